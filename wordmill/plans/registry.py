@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 _MODULES = (
     "wordmill.plans.classification",
     "wordmill.plans.instruction",
+    "wordmill.plans.training_data",
 )
 
 

@@ -108,3 +108,40 @@ def spam_splits(seed: int = 123) -> str:
     lab = (f"SELECT doc_id, CASE Label WHEN 'ham' THEN 0 WHEN 'spam' THEN 1 END AS Label, Text "
            f"FROM ({balanced(seed)}) b")
     return split3(lab, seed)
+
+
+def toks(src: str, id_cols: str = "doc_id", text: str = "text") -> str:
+    return f"SELECT {id_cols}, {word_tokens(text)} AS toks FROM ({src}) s_t"
+
+
+def long_tokens(src: str, id_cols: str = "doc_id", text: str = "text") -> str:
+    return (f"SELECT {id_cols}, t.i - 1 AS pos, toks[t.i] AS token "
+            f"FROM ({toks(src, id_cols, text)}) x, range(1, len(toks) + 1) t(i)")
+
+
+def vocab(src: str, id_cols: str = "doc_id", text: str = "text") -> str:
+    return ("SELECT token, row_number() OVER (ORDER BY token) - 1 AS token_id, n FROM "
+            f"(SELECT token, count(*) AS n FROM ({long_tokens(src, id_cols, text)}) l GROUP BY token) v")
+
+
+def encoded(src: str, vocab_sql: str, id_col: str = "doc_id", text: str = "text") -> str:
+    """<id, ids> for every source row ([] when it has no tokens)."""
+    return f"""
+SELECT d.{id_col}, coalesce(e.ids, []) AS ids FROM ({src}) d LEFT JOIN (
+  SELECT l.{id_col}, list(v.token_id ORDER BY l.pos) AS ids
+  FROM ({long_tokens(src, id_col, text)}) l JOIN ({vocab_sql}) v ON l.token = v.token GROUP BY l.{id_col}) e
+ON d.{id_col} = e.{id_col}
+"""
+
+
+def pad(ids: str, m: str, pad_id: int = 50256) -> str:
+    return f"list_concat({ids}[1:{m}], list_resize([]::BIGINT[], greatest({m} - len({ids}[1:{m}]), 0), {pad_id}))"
+
+
+def ids_md5(ids: str) -> str:
+    return f"md5(array_to_string({ids}, ' '))"
+
+
+DOCS = "SELECT doc_id, text FROM documents"
+DOC_VOCAB = vocab(DOCS)
+DOC_ENC = encoded(DOCS, DOC_VOCAB)
