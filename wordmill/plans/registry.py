@@ -10,6 +10,7 @@ _MODULES = (
     "wordmill.plans.classification",
     "wordmill.plans.instruction",
     "wordmill.plans.training_data",
+    "wordmill.plans.scoring",
 )
 
 
