@@ -11,6 +11,7 @@ _MODULES = (
     "wordmill.plans.instruction",
     "wordmill.plans.training_data",
     "wordmill.plans.scoring",
+    "wordmill.plans.corpus",
 )
 
 
