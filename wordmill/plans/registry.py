@@ -12,6 +12,7 @@ _MODULES = (
     "wordmill.plans.training_data",
     "wordmill.plans.scoring",
     "wordmill.plans.corpus",
+    "wordmill.plans.subwords",
 )
 
 
