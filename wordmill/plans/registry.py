@@ -13,6 +13,7 @@ _MODULES = (
     "wordmill.plans.scoring",
     "wordmill.plans.corpus",
     "wordmill.plans.subwords",
+    "wordmill.plans.io",
 )
 
 
