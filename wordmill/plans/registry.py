@@ -14,6 +14,8 @@ _MODULES = (
     "wordmill.plans.corpus",
     "wordmill.plans.subwords",
     "wordmill.plans.io",
+    "wordmill.plans.models",
+    "wordmill.plans.streams",
 )
 
 
