@@ -8,6 +8,10 @@ and is broadcast to flag fact rows. Hot fact rows get a salt in
 ``[0, salts)`` from their own id columns; the dimension rows of hot keys are
 replicated once per salt. The join then runs on (key, salt), which splits
 every hot key over ``salts`` tasks while cold keys keep salt 0.
+
+When the dimension's row count is at most ``broadcast_max_rows`` (checked
+with a count, which is cheap on a materialised model table) it is broadcast
+instead: a broadcast hash join has no skew problem and no shuffle.
 """
 
 from __future__ import annotations
@@ -28,14 +32,27 @@ def hot_keys(dim: DataFrame, key: str, freq_col: str, hot_fraction: float = 1e-4
                .select(key))
 
 
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int | None) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows (an exact, bounded check)."""
+    if not max_rows:
+        return False
+    return dim.limit(max_rows + 1).count() <= max_rows
+
+
 def salted_lookup(facts: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str],
                   freq_col: str | None = None, hot_fraction: float = 1e-4, salts: int = 32,
-                  how: str = "left") -> DataFrame:
+                  how: str = "left", broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """``facts JOIN dim USING (key)`` with hot keys split over ``salts`` tasks.
 
-    ``dim`` must be unique on ``key``. Without ``freq_col`` it is a plain join
-    (AQE may still turn it into a broadcast after measuring the real size).
+    ``dim`` must be unique on ``key``. A dimension of at most
+    ``broadcast_max_rows`` rows is broadcast. Without ``freq_col`` it is a
+    plain join (AQE may still broadcast it after measuring the real size).
     """
+    if fits_broadcast(dim, broadcast_max_rows):
+        return facts.join(F.broadcast(dim), key, how)
     if freq_col is None or salts <= 1:
         return facts.join(dim, key, how)
     hot = hot_keys(dim, key, freq_col, hot_fraction).withColumn(_HOT, F.lit(True))

@@ -18,7 +18,7 @@ WS_CLASS = r"\s\x{1c}-\x{1f}"
 # A token is a delimiter, or a maximal run of other characters in which a
 # hyphen belongs to the word unless it starts a `--`.
 WORD_TOKEN_PATTERN = (
-    "(?U)[" + PUNCT_CLASS + "]|--|(?:[^" + PUNCT_CLASS + WS_CLASS + r"\-]|-(?!-))+"
+    "(?U)[" + PUNCT_CLASS + "]|--|(?:[^" + PUNCT_CLASS + WS_CLASS + r"\-]++|-(?!-))+"
 )
 
 # Decode cleanup: whitespace before one of the punctuation delimiters is removed.

@@ -41,7 +41,7 @@ def accuracy(preds: DataFrame, num_batches: int | None = None,
     """M8: correct / total over the first ``num_batches`` batches (0 when no rows)."""
     g = _g(group_cols)
     x = preds if num_batches is None else preds.where(F.col(batch_col) < num_batches)
-    acc = F.count_if(F.col(pred_col) == F.col(target_col)) / F.count(F.lit(1))
+    acc = F.try_divide(F.count_if(F.col(pred_col) == F.col(target_col)), F.count(F.lit(1)))
     if not g:
         return x.agg(F.coalesce(acc, F.lit(0.0)).alias(out_col))
     return x.groupBy(*g).agg(F.coalesce(acc, F.lit(0.0)).alias(out_col))

@@ -98,4 +98,4 @@ def accuracy_by(df: DataFrame, group_cols: Sequence[str], pred_col: str = "pred"
                 label_col: str = "label") -> DataFrame:
     return df.groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        (F.count_if(F.col(pred_col) == F.col(label_col)) / F.count(F.lit(1))).alias("accuracy"))
+        F.try_divide(F.count_if(F.col(pred_col) == F.col(label_col)), F.count(F.lit(1))).alias("accuracy"))

@@ -118,7 +118,7 @@ def greedy_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
                             F.concat("path", F.array(tok)).alias("path"))
         if checkpoint_every and (step + 1) % checkpoint_every == 0 and step + 1 < max_new_tokens:
             frontier = cut_lineage(frontier)
-    paths = frontier.select("start", "n_prompts", F.col("path").alias(out_col))
+    paths = cut_lineage(frontier.select("start", "n_prompts", F.col("path").alias(out_col)))
     return salted_lookup(p, paths, "start", salt_cols=[id_col], freq_col="n_prompts",
                          how="left").select(id_col, out_col)
 

@@ -70,12 +70,16 @@ def pretoken_table(df: DataFrame, text_col: str = "text") -> DataFrame:
               .groupBy("pretoken").agg(F.count(F.lit(1)).alias("n")))
 
 
+PAIR_SHIFT = 1 << 20  # symbol ids stay below 2^20, so left * 2^20 + right orders like (left, right)
+
+
 def _pair_counts(table: DataFrame) -> DataFrame:
-    syms = F.split(F.regexp_replace("u", "^,|,$", ""), ",")
-    x = table.select(syms.alias("_s"), "n").where(F.size("_s") > 1)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("_s") - 1),
-                        lambda i: F.struct(F.element_at("_s", i).cast("bigint").alias("l"),
-                                           F.element_at("_s", i + 1).cast("bigint").alias("r")))
+    """<pair BIGINT = left * 2^20 + right, cnt> weighted by pre-token frequency."""
+    s = F.split(F.regexp_replace("u", "^,|,$", ""), ",")
+    x = table.select(F.transform(s, lambda v: v.cast("bigint")).alias("_s"), "n").where(F.size("_s") > 1)
+    n = F.size("_s") - 1
+    pairs = F.zip_with(F.slice("_s", 1, n), F.slice("_s", 2, n),
+                       lambda a, b: a * F.lit(PAIR_SHIFT) + b)
     return (x.select(F.explode(pairs).alias("p"), "n")
              .groupBy("p").agg(F.sum("n").alias("cnt")))
 
@@ -87,17 +91,25 @@ def learn_merges(df: DataFrame, text_col: str = "text", num_merges: int = 100,
     table = pretoken_table(df, text_col).select(to_symbols(F.col("pretoken")).alias("u"), "n")
     table = cut_lineage(table.groupBy("u").agg(F.sum("n").alias("n")))
     merges: list[Merge] = []
+    cached = None
     for rank in range(num_merges):
-        best = _pair_counts(table).agg(F.max_by(
-            "p", F.struct(F.col("cnt"), -F.col("p.l"), -F.col("p.r"))).alias("b"),
+        # each round reads the previous round's cached table; lineage is cut below
+        table = table.cache()
+        best = _pair_counts(table).agg(
+            F.max_by("p", F.struct(F.col("cnt"), -F.col("p"))).alias("b"),
             F.max("cnt").alias("c")).first()
+        if cached is not None:
+            cached.unpersist()  # its child is now cached
+        cached = table
         if best is None or best["b"] is None or best["c"] < min_count:
             break
-        left, right = int(best["b"]["l"]), int(best["b"]["r"])
+        left, right = divmod(int(best["b"]), PAIR_SHIFT)
         merges.append((left, right))
         table = table.select(apply_merge(F.col("u"), left, right, BASE_SYMBOLS + rank).alias("u"), "n")
         if (rank + 1) % checkpoint_every == 0:
             table = cut_lineage(table)
+    if cached is not None:
+        cached.unpersist()
     return merges
 
 
@@ -142,8 +154,9 @@ def encode(df: DataFrame, merges: Sequence[Merge], id_col: str = "doc_id",
     seg = df.select(id_col, F.posexplode(segs).alias("seg", "piece"))
     occ = seg.select(id_col, "seg", F.posexplode(pretokens("piece")).alias("pos", "pretoken"))
     distinct = pretoken_table(seg, "piece")
-    coded = distinct.select("pretoken", "n", symbol_ids(apply_merges(to_symbols(F.col("pretoken")),
-                                                                     merges)).alias("sym"))
+    # the segmented distinct pre-tokens are the applied model: materialise once
+    coded = cut_lineage(distinct.select("pretoken", "n", symbol_ids(
+        apply_merges(to_symbols(F.col("pretoken")), merges)).alias("sym")))
     joined = salted_lookup(occ, coded, "pretoken", salt_cols=[id_col, "seg", "pos"],
                            freq_col="n", salts=salts, how="left")
     parts = joined.select(id_col, "seg", "pos", "sym")

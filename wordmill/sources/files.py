@@ -73,10 +73,22 @@ def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 
 def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON array files: one ``[...]`` per partition (bounded by the partition size)."""
-    body = F.to_json(F.collect_list(F.struct(*df.columns)))
-    arrays = df.groupBy(F.spark_partition_id().alias("_wm_p")).agg(body.alias("value"))
-    arrays.select("value").write.mode(mode).text(path)
+    """JSON array files: one ``[...]`` per input partition, one file per task.
+
+    Map-only (no shuffle): each task joins its own rows' JSON objects, so a
+    file holds exactly one array and its size is bounded by the partition.
+    """
+    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+
+    def per_partition(batches):
+        import pandas as pd
+        objs: list[str] = []
+        for pdf in batches:
+            objs.extend(pdf["j"].tolist())
+        if objs:
+            yield pd.DataFrame({"value": ["[" + ",".join(objs) + "]"]})
+
+    js.mapInPandas(per_partition, "value string").write.mode(mode).text(path)
 
 
 def write_if_absent(df: DataFrame, path: str, fmt: str = "parquet") -> None:
