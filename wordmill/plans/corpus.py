@@ -99,8 +99,8 @@ _FB = f"SELECT arg_max(next, (n, -next)) AS fallback FROM (SELECT next, sum(n) A
 
 def _greedy_sql(steps: int) -> str:
     return f"""
-WITH RECURSIVE best AS ({_BEST}), fb AS ({_FB}),
-prompts AS (SELECT doc_id, full_ids, full_ids[len(full_ids)] AS start FROM ({_IDS}) x),
+WITH RECURSIVE best AS MATERIALIZED ({_BEST}), fb AS MATERIALIZED ({_FB}),
+prompts AS MATERIALIZED (SELECT doc_id, full_ids, full_ids[len(full_ids)] AS start FROM ({_IDS}) x),
 walk(start, step, cur, path) AS (
   SELECT DISTINCT start, 0, start, []::BIGINT[] FROM prompts
   UNION ALL
@@ -122,15 +122,15 @@ SELECT ctx, next, CASE WHEN rn_desc = 1 THEN 2.0 ELSE hi END AS hi, hi - p AS lo
       WHERE rk <= 25) c2) d) e
 """
 _SAMPLE = f"""
-WITH RECURSIVE cand AS ({_CAND}), known AS (SELECT DISTINCT ctx FROM cand),
+WITH RECURSIVE cand AS MATERIALIZED ({_CAND}), known AS MATERIALIZED (SELECT DISTINCT ctx FROM cand),
 walk(doc_id, step, cur, path) AS (
   SELECT doc_id, 0, full_ids[len(full_ids)], []::BIGINT[] FROM ({_IDS}) x
   UNION ALL
   SELECT w.doc_id, w.step + 1, c.next, list_append(w.path, c.next)
-  FROM walk w JOIN cand c
-    ON c.ctx = CASE WHEN w.cur IN (SELECT ctx FROM known) THEN w.cur ELSE -1 END
-   AND c.lo <= {q.hash_uniform(123, 'w.doc_id', 'w.step')} AND {q.hash_uniform(123, 'w.doc_id', 'w.step')} < c.hi
-  WHERE w.step < 15)
+  FROM (SELECT w0.doc_id, w0.step, w0.path, coalesce(k.ctx, -1) AS eff,
+               {q.hash_uniform(123, 'w0.doc_id', 'w0.step')} AS u
+        FROM walk w0 LEFT JOIN known k ON k.ctx = w0.cur WHERE w0.step < 15) w
+  JOIN cand c ON c.ctx = w.eff AND c.lo <= w.u AND w.u < c.hi)
 SELECT doc_id, array_to_string(path, ' ') AS generated FROM walk WHERE step = 15
 """
 
@@ -146,3 +146,14 @@ LEFT JOIN (SELECT ctx, sum(n) AS ctx_n FROM ({_COUNTS}) c2 GROUP BY ctx) t ON t.
     "l7_greedy": f"SELECT doc_id, array_to_string(path, ' ') AS generated FROM ({_greedy_sql(25)}) g",
     "l8_sample": _SAMPLE,
 }
+
+_L10 = f"""
+WITH g AS ({_greedy_sql(50).replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE", 1)}) gg),
+ids AS (SELECT doc_id, list_concat(full_ids, path) AS all_ids FROM g),
+toks AS (SELECT i.doc_id, string_agg(v.token, ' ' ORDER BY r.k) AS joined
+         FROM ids i, range(1, len(i.all_ids) + 1) r(k)
+         JOIN ({_VOCAB}) v ON v.token_id = i.all_ids[r.k] GROUP BY i.doc_id)
+SELECT doc_id, length(replace({q.decode_clean('joined')}, chr(10), ' ')) AS n_chars,
+       md5(replace({q.decode_clean('joined')}, chr(10), ' ')) AS text_md5 FROM toks
+"""
+ORACLE["l10_sample_report"] = _L10
