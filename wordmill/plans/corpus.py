@@ -10,23 +10,34 @@ from wordmill.operators import prompts as pr
 from wordmill.operators import sampling as smp
 from wordmill.operators import tokens as tok
 from wordmill.plans import sqlbits as q
+from wordmill.functions.text import word_tokens
+from wordmill.session import cut_lineage
 from wordmill.sources import adapters
 
 
 def corpus_ids(spark: SparkSession, sf_dir: str):
-    """<doc_id, train_ids, val_ids, full_ids> and the vocabulary of both parts."""
+    """<doc_id, train_ids, val_ids, full_ids> and the vocabulary of both parts.
+
+    Both halves are encoded in one pass (one ordered collect per document), and
+    the result, which every n-gram query reads several times, is materialised
+    once in the reliable checkpoint folder.
+    """
     parts = smp.char_split(adapters.corpus(spark, sf_dir), "text", 0.9)
-    both = (parts.select((F.col("doc_id") * 2).alias("rid"), F.col("train_text").alias("text"))
-                 .unionByName(parts.select((F.col("doc_id") * 2 + 1).alias("rid"),
-                                           F.col("val_text").alias("text"))))
-    vocab = tok.build_vocab(tok.explode_tokens(both, "rid")).cache()
-    enc = tok.encode_texts(both, vocab, id_col="rid")
-    train = enc.where(F.col("rid") % 2 == 0).select((F.col("rid") / 2).cast("bigint").alias("doc_id"),
-                                                     F.col("ids").alias("train_ids"))
-    val = enc.where(F.col("rid") % 2 == 1).select(((F.col("rid") - 1) / 2).cast("bigint").alias("doc_id"),
-                                                   F.col("ids").alias("val_ids"))
-    ids = train.join(val, "doc_id").withColumn("full_ids", F.concat("train_ids", "val_ids"))
-    return ids, vocab
+    halves = parts.select("doc_id", F.posexplode(F.array("train_text", "val_text")).alias("part", "text"))
+    long = halves.select("doc_id", "part", F.posexplode(word_tokens("text")).alias("pos", "token"))
+    vocab = tok.build_vocab(long).cache()
+    enc = tok.encode_tokens(long, vocab, ["doc_id", "part"])
+    ordered = F.array_sort(F.collect_list(F.struct("part", "pos", "token_id")))
+    per_doc = enc.groupBy("doc_id").agg(ordered.alias("_s"))
+
+    def half(k):
+        return F.transform(F.filter("_s", lambda x: x["part"] == k), lambda x: x["token_id"])
+
+    ids = (parts.select("doc_id").join(per_doc, "doc_id", "left")
+                .withColumn("_s", F.coalesce("_s", F.array().cast(per_doc.schema["_s"].dataType)))
+                .select("doc_id", half(0).alias("train_ids"), half(1).alias("val_ids"))
+                .withColumn("full_ids", F.concat("train_ids", "val_ids")))
+    return cut_lineage(ids), vocab
 
 
 def _model(spark, sf_dir):

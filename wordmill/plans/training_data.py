@@ -11,6 +11,7 @@ from wordmill.operators import sequences as seq
 from wordmill.operators import tokens as tok
 from wordmill.plans import sqlbits as q
 from wordmill.plans.classification import spam_splits
+from wordmill.session import cut_lineage
 from wordmill.sources import adapters
 
 PAD = seq.PAD_ID
@@ -29,7 +30,8 @@ def encoded_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     sp = spam_splits(spark, sf_dir)
     enc = tok.encode_texts(sp.select("doc_id", F.col("Text").alias("text")),
                            doc_vocab(spark, sf_dir))
-    return sp.select("doc_id", "Label", "split", "idx").join(enc, "doc_id")
+    # read by several branches (per split, per epoch): materialise once
+    return cut_lineage(sp.select("doc_id", "Label", "split", "idx").join(enc, "doc_id"))
 
 
 def md5_ids(c: str) -> F.Column:
