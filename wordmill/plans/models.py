@@ -93,4 +93,39 @@ ORACLE = {
 SELECT vec_id, CAST(arg_max(i - 1, (CAST(embedding[i] AS DOUBLE), -(i - 1))) AS INTEGER) AS pred
 FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY vec_id""",
 }
-_ = q  # SQL helpers kept for parity with the other plan modules
+
+_RECS = f"""
+SELECT conv_id, turn, conv_id * 100000 + turn AS rid, split,
+       {q.format_input('instruction', 'input')} AS prompt,
+       concat({q.format_input('instruction', 'input')}, chr(10), chr(10), '### Response:', chr(10), output) AS full_text
+FROM (SELECT *, CASE WHEN idx < floor(n * {q.dbl(0.85)}) THEN 'train'
+                     WHEN idx < floor(n * {q.dbl(0.85)}) + floor(n * {q.dbl(0.1)}) THEN 'test' ELSE 'validation' END AS split
+      FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx, count(*) OVER () AS n
+            FROM ({q.INSTRUCTIONS}) r0) r1) r2
+"""
+_RVOCAB = q.vocab(f"SELECT rid, full_text AS text FROM ({_RECS}) a", "rid")
+_TRAIN_IDS = q.encoded(f"SELECT rid, full_text AS text FROM ({_RECS}) a WHERE split = 'train'", _RVOCAB, "rid")
+_PROMPT_IDS = q.encoded(f"SELECT rid, prompt AS text FROM ({_RECS}) a WHERE split = 'test'", _RVOCAB, "rid")
+_L9 = f"""
+WITH RECURSIVE
+counts AS MATERIALIZED (SELECT ids[i - 1] AS ctx, ids[i] AS next, count(*) AS n
+                        FROM ({_TRAIN_IDS}) t, range(2, len(ids) + 1) r(i) GROUP BY ALL),
+best AS MATERIALIZED (SELECT ctx, arg_max(next, (n, -next)) AS best FROM counts GROUP BY ctx),
+fb AS MATERIALIZED (SELECT arg_max(next, (n, -next)) AS fallback FROM
+                    (SELECT next, sum(n) AS n FROM counts GROUP BY next) u),
+prompts AS MATERIALIZED (SELECT rid, ids, ids[len(ids)] AS start FROM ({_PROMPT_IDS}) p),
+walk(start, step, cur, path) AS (
+  SELECT DISTINCT start, 0, start, []::BIGINT[] FROM prompts
+  UNION ALL
+  SELECT w.start, w.step + 1, coalesce(b.best, f.fallback), list_append(w.path, coalesce(b.best, f.fallback))
+  FROM walk w LEFT JOIN best b ON b.ctx = w.cur CROSS JOIN fb f WHERE w.step < 25),
+gen AS (SELECT p.rid, list_concat(p.ids, w.path) AS all_ids FROM prompts p JOIN walk w
+        ON p.start = w.start AND w.step = 25),
+txt AS (SELECT g.rid, {q.decode_clean("string_agg(v.token, ' ' ORDER BY r.k)")} AS generated_text
+        FROM gen g, range(1, len(g.all_ids) + 1) r(k) JOIN ({_RVOCAB}) v ON v.token_id = g.all_ids[r.k]
+        GROUP BY g.rid)
+SELECT a.conv_id, a.turn, length(x.resp) AS response_chars, md5(x.resp) AS response_md5
+FROM (SELECT t.rid, {q.py_strip("replace(substr(t.generated_text, length(a0.prompt) + 1), '### Response:', '')")} AS resp
+      FROM txt t JOIN ({_RECS}) a0 ON a0.rid = t.rid) x JOIN ({_RECS}) a ON a.rid = x.rid
+"""
+ORACLE["l9_responses"] = _L9
