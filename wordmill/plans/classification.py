@@ -106,8 +106,8 @@ def p3_prediction_name(spark, sf_dir):
 def p10_char_split(spark, sf_dir):
     docs = adapters.corpus(spark, sf_dir)
     s = smp.char_split(docs, "text", 0.9)
-    return s.select("doc_id", F.length("train_text").alias("train_chars"),
-                    F.length("val_text").alias("val_chars"),
+    return s.select("doc_id", F.length("train_text").cast("bigint").alias("train_chars"),
+                    F.length("val_text").cast("bigint").alias("val_chars"),
                     F.md5("train_text").alias("train_md5"), F.md5("val_text").alias("val_md5"))
 
 
@@ -143,7 +143,7 @@ def t3_vocab_size(spark, sf_dir):
 
 def t4_inverse_vocab(spark, sf_dir):
     v = _vocab(spark, sf_dir)
-    return v.select("token_id", "token", F.length("token").alias("token_chars"))
+    return v.select("token_id", "token", F.length("token").cast("bigint").alias("token_chars"))
 
 
 def _encoded(spark, sf_dir):
@@ -161,7 +161,7 @@ def t6_decode(spark, sf_dir):
     vocab = _vocab(spark, sf_dir).cache()
     enc = tok.encode_texts(adapters.corpus(spark, sf_dir), vocab)
     dec = tok.decode_ids(enc, vocab)
-    return dec.select("doc_id", F.length("decoded").alias("decoded_chars"),
+    return dec.select("doc_id", F.length("decoded").cast("bigint").alias("decoded_chars"),
                       F.md5("decoded").alias("decoded_md5"))
 
 

@@ -82,7 +82,7 @@ def l10_sample_report(spark, sf_dir):
     text = tok.decode_ids(ids.join(g, "doc_id").select(
         "doc_id", F.concat("full_ids", "generated").alias("ids")), vocab)
     flat = pr.flatten_newlines("decoded")
-    return text.select("doc_id", F.length(flat).alias("n_chars"), F.md5(flat).alias("text_md5"))
+    return text.select("doc_id", F.length(flat).cast("bigint").alias("n_chars"), F.md5(flat).alias("text_md5"))
 
 
 QUERIES = {
@@ -148,7 +148,7 @@ SELECT doc_id, array_to_string(path, ' ') AS generated FROM walk WHERE step = 15
 ORACLE = {
     "l5_fit": f"SELECT ctx, next, n FROM ({_COUNTS}) c",
     "l6_loss": f"""
-SELECT sum(mult) AS n_pairs, round(sum(-ln((coalesce(c.n, 0) + 1) / (coalesce(t.ctx_n, 0) + v.v)) * mult) / sum(mult), 6) AS loss,
+SELECT CAST(sum(mult) AS BIGINT) AS n_pairs, round(sum(-ln((coalesce(c.n, 0) + 1) / (coalesce(t.ctx_n, 0) + v.v)) * mult) / sum(mult), 6) AS loss,
        round(exp(sum(-ln((coalesce(c.n, 0) + 1) / (coalesce(t.ctx_n, 0) + v.v)) * mult) / sum(mult)), 4) AS perplexity
 FROM (SELECT val_ids[i - 1] AS ctx, val_ids[i] AS next, count(*) AS mult FROM ({_IDS}) x, range(2, len(val_ids) + 1) r(i) GROUP BY ALL) p
 LEFT JOIN ({_COUNTS}) c ON c.ctx = p.ctx AND c.next = p.next

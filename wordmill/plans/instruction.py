@@ -138,7 +138,7 @@ FROM (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS id
     "p9_parse_reply": f"SELECT doc_id, reply, {_SCORE} AS score FROM ({_REPLIES}) r",
     "j1_payload": f"""
 SELECT conv_id, turn, to_json({{'model': 'llama3', 'messages': [{{'role': 'user', 'content': {_JUDGE}}}],
-       'options': {{'seed': 123, 'temperature': 0, 'num_ctx': 2048}}}}) AS payload FROM ({_WITH_RESP}) w""",
+       'options': {{'seed': 123, 'temperature': 0, 'num_ctx': 2048}}}})::VARCHAR AS payload FROM ({_WITH_RESP}) w""",
     "j2_ask_judge": f"""
 SELECT conv_id, turn, CAST((('0x' || substr(md5({_JUDGE}), 1, 8))::BIGINT % 101) AS VARCHAR) AS reply
 FROM ({_WITH_RESP}) w""",

@@ -76,7 +76,7 @@ def l9_responses(spark, sf_dir):
     io.write_json_records(out.select("conv_id", "turn", "instruction", "input", "output",
                                      "model_response"), path)
     back = spark.read.schema("conv_id bigint, turn bigint, " + io.RESPONSE_SCHEMA).json(path)
-    return back.select("conv_id", "turn", F.length("model_response").alias("response_chars"),
+    return back.select("conv_id", "turn", F.length("model_response").cast("bigint").alias("response_chars"),
                        F.md5("model_response").alias("response_md5"))
 
 

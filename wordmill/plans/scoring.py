@@ -173,7 +173,7 @@ SELECT row_id, epoch, batch_id, epoch * nb + batch_id AS step FROM (
 WHERE batch_id < nb
 """
 _POINTS = f"""
-SELECT epoch, step, sum(ex) OVER (ORDER BY step) AS examples_seen FROM
+SELECT epoch, step, CAST(sum(ex) OVER (ORDER BY step) AS BIGINT) AS examples_seen FROM
   (SELECT epoch, step, count(*) AS ex FROM ({_SCHED}) s GROUP BY epoch, step) g
 """
 

@@ -181,7 +181,7 @@ FROM (SELECT t.*, e.epoch,
 WHERE floor(i / 8) < floor(n / 8)
 """
 _LEDGER = f"""
-SELECT epoch, step, sum(ex) OVER (ORDER BY step) AS examples_seen, sum(tk) OVER (ORDER BY step) AS tokens_seen
+SELECT epoch, step, CAST(sum(ex) OVER (ORDER BY step) AS BIGINT) AS examples_seen, CAST(sum(tk) OVER (ORDER BY step) AS BIGINT) AS tokens_seen
 FROM (SELECT epoch, epoch * nb + batch_id AS step, count(*) AS ex, CAST(sum(n_tok) AS BIGINT) AS tk
       FROM ({_SCHED}) s GROUP BY epoch, epoch * nb + batch_id) g
 """
