@@ -11,9 +11,10 @@ Re-aimed from transformer pre-training: the model is a table of counts
   start contexts (not the prompts), carries the path as an array and cuts
   lineage every few steps through the reliable checkpoint folder.
 * Sampled continuation is an inverse-CDF lookup per prompt and step. Each
-  context's cumulative probabilities are cut into ``ceil(k/4)`` buckets of
-  the [0,1) axis, so the per-step join is an equi-join on (ctx, bucket) that
-  meets a handful of candidate rows per prompt.
+  context's cumulative probabilities are cut into ``max(ceil(k/4),
+  ceil(4096 * share of training occurrences))`` buckets of the [0,1) axis,
+  so the per-step join is an equi-join on (ctx, bucket) that meets a handful
+  of candidate rows per prompt, and a hot context is split over many keys.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from wordmill.functions.joins import salted_lookup
 from wordmill.functions.order import hash_uniform
 from wordmill.session import cut_lineage
 
+# Buckets shared out by training frequency: a context with share f gets >= f * 4096.
+HOT_BUCKETS = 4096
+
+
 def empty_ctx() -> Column:
     return F.array().cast("array<bigint>")
 
@@ -135,9 +140,15 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
     uni = counts.groupBy("next").agg(F.sum("n").alias("n")).withColumn("ctx", empty_ctx())
     allc = counts.select("ctx", "next", "n").unionByName(uni.select("ctx", "next", "n"))
     byctx = Window.partitionBy("ctx")
+    # a context's training frequency sizes its bucket count too, so a context that
+    # dominates the frontier is spread over many (ctx, bucket) join keys
+    total = allc.where(F.size("ctx") > 0).agg(F.sum("n").alias("_wm_total"))
+    allc = (allc.withColumn("_wm_ctx_n", F.sum("n").over(byctx))
+                .crossJoin(F.broadcast(total)))  # one row
     if not temperature or temperature <= 0:
-        kept = allc.groupBy("ctx").agg(F.max_by("next", F.struct(F.col("n"), -F.col("next")))
-                                        .alias("next")).withColumn("_wm_w", F.lit(1.0))
+        kept = allc.groupBy("ctx", "_wm_ctx_n", "_wm_total").agg(
+            F.max_by("next", F.struct(F.col("n"), -F.col("next"))).alias("next")
+        ).withColumn("_wm_w", F.lit(1.0))
     else:
         x = allc
         if top_k is not None:
@@ -151,7 +162,9 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
              .withColumn("lo", F.col("hi") - F.col("_wm_p"))
              .withColumn("_wm_last", F.row_number().over(byctx.orderBy(F.col("next").desc())) == 1)
              .withColumn("hi", F.when(F.col("_wm_last"), F.lit(2.0)).otherwise(F.col("hi")))
-             .withColumn("nb", F.ceil(F.count(F.lit(1)).over(byctx) / F.lit(4)).cast("int")))
+             .withColumn("nb", F.greatest(
+                 F.ceil(F.count(F.lit(1)).over(byctx) / F.lit(4)),
+                 F.ceil(F.col("_wm_ctx_n") * F.lit(HOT_BUCKETS) / F.col("_wm_total"))).cast("int")))
     top = F.least(F.floor(F.least(F.col("hi"), F.lit(1.0)) * F.col("nb")), F.col("nb") - 1)
     c = c.withColumn("bucket", F.explode(F.sequence(
         F.least(F.floor(F.col("lo") * F.col("nb")), F.col("nb") - 1).cast("int"), top.cast("int"))))

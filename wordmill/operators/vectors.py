@@ -13,6 +13,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordmill.functions.joins import salted_lookup
+
 LN_EPS = 1e-5
 
 
@@ -51,6 +53,6 @@ def pooled_embeddings(token_ids: DataFrame, table: DataFrame, row_col: str = "do
     """V2: mean embedding of each row's tokens (tokens without a vector are skipped)."""
     counts = token_ids.groupBy(row_col, token_col).agg(F.count(F.lit(1)).cast("double").alias("_wm_w"))
     vecs = table.select(F.col(key_col).alias(token_col), array_to_vector(vec_col).alias("_wm_v"))
-    joined = counts.join(vecs, token_col)
+    joined = salted_lookup(counts, vecs, token_col, salt_cols=[row_col], how="inner")
     pooled = joined.groupBy(row_col).agg(Summarizer.mean(F.col("_wm_v"), F.col("_wm_w")).alias("_wm_m"))
     return pooled.select(row_col, vector_to_array("_wm_m").alias(out_col))
