@@ -37,17 +37,21 @@ def hash_order_key(seed: int | str, id_cols: str | Sequence[str]) -> Column:
     return hash_key(seed, *_cols(id_cols))
 
 
-def hash_index(df: DataFrame, id_cols: str | Sequence[str], seed: int | str = 123,
-               index_col: str = "idx", group_cols: str | Sequence[str] | None = None,
-               total_col: str | None = None, digits: int = 3) -> DataFrame:
-    """Index rows 0..n-1 (per group) in seeded hash order ``md5(seed:id)``, id."""
+def hash_index_with_sizes(df: DataFrame, id_cols: str | Sequence[str], seed: int | str = 123,
+                          index_col: str = "idx", group_cols: str | Sequence[str] | None = None,
+                          total_col: str | None = None, digits: int = 3):
+    """``hash_index`` plus the per-group row counts ``<group..., _wm_n>``.
+
+    The counts come from the same small per-bucket aggregate as the offsets,
+    so a caller that needs group sizes does not read the indexed rows again.
+    """
     ids, groups = _cols(id_cols), _cols(group_cols)
     keyed = (df.withColumn(_K, hash_order_key(seed, ids))
                .withColumn(_B, F.substring(F.col(_K), 1, digits)))
     w = Window.partitionBy(*groups, _B).orderBy(_K, *ids)
     ranked = keyed.withColumn(_RN, F.row_number().over(w) - 1)
-    # Sizes per (group, bucket): the aggregate runs on the window's partitioning.
-    sizes = ranked.groupBy(*groups, _B).agg(F.count(F.lit(1)).alias(_N))
+    # Sizes per (group, bucket): a partial count over the id columns only.
+    sizes = keyed.groupBy(*groups, _B).agg(F.count(F.lit(1)).alias(_N))
     before = Window.partitionBy(*groups).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn(_OFF, F.coalesce(F.sum(_N).over(before), F.lit(0)))
     keep = [*groups, _B, _OFF]
@@ -59,8 +63,18 @@ def hash_index(df: DataFrame, id_cols: str | Sequence[str], seed: int | str = 12
         # At most 16**digits rows: a proven bound, so broadcast is safe.
         offsets = F.broadcast(offsets)
     out = ranked.join(offsets, [*groups, _B])
-    return out.withColumn(index_col, (F.col(_OFF) + F.col(_RN)).cast("bigint")).drop(
+    out = out.withColumn(index_col, (F.col(_OFF) + F.col(_RN)).cast("bigint")).drop(
         _K, _B, _RN, _OFF)
+    group_sizes = (sizes.groupBy(*groups).agg(F.sum(_N).alias(_N)) if groups
+                   else sizes.agg(F.sum(_N).alias(_N)))
+    return out, group_sizes
+
+
+def hash_index(df: DataFrame, id_cols: str | Sequence[str], seed: int | str = 123,
+               index_col: str = "idx", group_cols: str | Sequence[str] | None = None,
+               total_col: str | None = None, digits: int = 3) -> DataFrame:
+    """Index rows 0..n-1 (per group) in seeded hash order ``md5(seed:id)``, id."""
+    return hash_index_with_sizes(df, id_cols, seed, index_col, group_cols, total_col, digits)[0]
 
 
 def sorted_index(df: DataFrame, order_cols: str | Sequence[str], index_col: str = "idx",

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.operators.indexing import hash_index, sorted_index
+from wordmill.operators.indexing import hash_index, hash_index_with_sizes, sorted_index
 
 SPLIT_TOL = 1e-9
 
@@ -28,9 +28,9 @@ def balance(df: DataFrame, label_col: str, id_cols: str | Sequence[str], seed: i
     src = df.where(F.col(label_col).isNotNull())
     if classes is not None:
         src = src.where(F.col(label_col).isin(list(classes)))
-    ranked = hash_index(src, id_cols, seed=seed, index_col="_wm_cls_idx",
-                        group_cols=[label_col], total_col="_wm_cls_n")
-    sizes = ranked.groupBy(label_col).agg(F.max("_wm_cls_n").alias("_wm_cls_n"))
+    ranked, counts = hash_index_with_sizes(src, id_cols, seed=seed, index_col="_wm_cls_idx",
+                                           group_cols=[label_col])
+    sizes = counts.withColumnRenamed("_wm_n", "_wm_cls_n")  # one row per class
     if classes is not None:
         wanted = df.sparkSession.createDataFrame(
             [(c,) for c in classes], df.select(label_col).schema)
@@ -39,7 +39,7 @@ def balance(df: DataFrame, label_col: str, id_cols: str | Sequence[str], seed: i
     smallest = sizes.agg(F.coalesce(F.min("_wm_cls_n"), F.lit(0)).alias("_wm_min"))
     return (ranked.crossJoin(F.broadcast(smallest))
                   .where(F.col("_wm_cls_idx") < F.col("_wm_min"))
-                  .drop("_wm_cls_idx", "_wm_cls_n", "_wm_min"))
+                  .drop("_wm_cls_idx", "_wm_min"))
 
 
 def shuffle_index(df: DataFrame, id_cols: str | Sequence[str], seed: int = 123,
