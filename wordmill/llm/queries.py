@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wordmill.llm import bpe, decontam, exact_dedup, langid, simhash
+from wordmill.llm import bpe, decontam, exact_dedup, html_text, langid, licenses, lmscore, secrets, simhash, token_files
 from wordmill.llm.common import load_table
+from wordmill.session import ensure_checkpoint_dir
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -23,15 +27,42 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load_table(spark, sf_dir, "documents"), width=3, radius=2)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(load_table(spark, sf_dir, "documents"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(load_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(load_table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(load_table(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    token_files.write(load_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return token_files.digests(spark, folder)
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = load_table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return lmscore.score(load_table(spark, sf_dir, "documents"), good)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_exact_dedup, op3_simhash, op7_language_id, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_exact_dedup, op3_simhash, op4_license_scan,
+                                     op5_secret_scan, op6_html_text, op7_language_id, op8_token_files, op9_lm_score,
+                                     op10_bpe)}
 
 ORACLE = {
     "op2_exact_dedup": f"""
@@ -40,4 +71,5 @@ ORACLE = {
                      row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept
               FROM n WINDOW g AS (PARTITION BY norm))
         SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM w""",
+    "op4_license_scan": licenses.oracle(),
 }
