@@ -36,8 +36,6 @@ from wordmill.llm.common import cut_lineage, native, slices, text_bytes
 
 #: Pages that a text must be shared by, at least, to count as the host's own.
 SHARED_PAGES = 3
-#: Wrappers are broadcast up to this many hosts (a few KB each).
-BROADCAST_HOSTS = 10_000
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe|noscript|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
@@ -295,7 +293,7 @@ def extract(pages: DataFrame) -> DataFrame:
     wrappers = cut_lineage(infer_wrappers(rows))
     host = F.coalesce(F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))),
                                        r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/@]*@)?([^/:?#]*)", 1), F.lit(""))
-    joined = salted_lookup(rows.withColumn("host", host), wrappers, "host", ["page_id"], freq_col="n_pages",
-                           broadcast_max_rows=BROADCAST_HOSTS)
+    # broadcast while the wrappers' bytes are few; beyond that hosts with many pages are salted
+    joined = salted_lookup(rows.withColumn("host", host), wrappers, "host", ["page_id"], freq_col="n_pages")
     return joined.select("page_id", "url", "html", "wrapper", "n_pages").mapInArrow(
         _extractor, "page_id long, url string, text string, n_chars long")
