@@ -32,7 +32,7 @@ def test_salted_join_beyond_broadcast_limit(spark):
     dim = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     small = _plan(salted_lookup(facts, dim, "k", ["row"], freq_col="n"))
     assert "BroadcastHashJoin" in small
-    big = salted_lookup(facts, dim, "k", ["row"], freq_col="n", broadcast_max_rows=3)
+    big = salted_lookup(facts, dim, "k", ["row"], freq_col="n", broadcast_max_bytes=3)
     plan = _plan(big)
     assert "_wm_salt" in plan                    # salted (key, salt) join beyond the limit
     assert big.count() == 2000

@@ -87,6 +87,6 @@ def test_salted_lookup_matches_plain_join(spark):
                                             F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"))
     dim = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn("v", F.length("k"))
     a = salted_lookup(facts, dim, "k", ["row"], freq_col="n", hot_fraction=0.05, salts=8,
-                      broadcast_max_rows=None).select("row", "v").orderBy("row").collect()
+                      broadcast_max_bytes=None).select("row", "v").orderBy("row").collect()
     b = facts.join(dim, "k", "left").select("row", "v").orderBy("row").collect()
     assert a == b

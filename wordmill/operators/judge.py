@@ -84,33 +84,60 @@ def ask_judge(df: DataFrame, id_cols: Sequence[str], prompt_col: str,
     return req.mapInPandas(run, schema)
 
 
-def reassemble(lines: DataFrame, request_cols: str | Sequence[str], line_col: str = "line_no",
-               json_col: str = "json", out_col: str = "reply",
-               chunk_lines: int = 4096) -> DataFrame:
-    """Concatenate ``message.content`` per request in line order.
+def _content(json_col: str):
+    """``message.content`` of a reply line, NULL when the line is malformed or has none."""
+    return F.get_json_object(F.col(json_col), "$.message.content")
+
+
+def malformed_lines(lines: DataFrame, json_col: str = "json") -> DataFrame:
+    """The reply lines that ``reassemble`` would fail on."""
+    return lines.where(_content(json_col).isNull())
 
-    Two levels so a very long reply is not sorted in one task: lines are first
-    concatenated per (request, line_no div chunk_lines), then the ordered
-    chunks per request.
+
+def reassemble(lines: DataFrame, request_cols: str | Sequence[str], line_col: str = "line_no",
+               json_col: str = "json", out_col: str = "reply", chunk_lines: int = 4096,
+               malformed: str = "raise", complete_col: str | None = None) -> DataFrame:
+    """Concatenate ``message.content`` per request in line order, up to the ``done`` line.
+
+    A line without content raises (``malformed='raise'``) or is left out ('skip', with
+    ``malformed_lines`` as the rejects). Lines after the first ``"done": true`` line belong to no
+    reply; ``complete_col`` tells whether that line was seen. Two levels so a very long reply is
+    not sorted in one task: lines are first concatenated per (request, line_no div chunk_lines),
+    then the ordered chunks per request.
     """
+    if malformed not in ("raise", "skip"):
+        raise ValueError(f"unknown policy {malformed!r}")
     req = [request_cols] if isinstance(request_cols, str) else list(request_cols)
-    content = F.get_json_object(F.col(json_col), "$.message.content")
-    parts = lines.select(*req, F.col(line_col).alias("_wm_line"), content.alias("_wm_c"))
+    content = _content(json_col)
+    if malformed == "raise":
+        content = F.when(content.isNull(), F.raise_error(
+            F.concat(F.lit("malformed reply line: "), F.coalesce(F.col(json_col), F.lit("null"))))).otherwise(content)
+    done = F.coalesce(F.get_json_object(F.col(json_col), "$.done") == "true", F.lit(False))
+    parts = lines.select(*req, F.col(line_col).alias("_wm_line"), content.alias("_wm_v"), done.alias("_wm_done"))
+    if malformed == "skip":
+        parts = parts.where(F.col("_wm_v").isNotNull())
     parts = parts.withColumn("_wm_chunk", F.floor(F.col("_wm_line") / F.lit(chunk_lines)))
 
-    def ordered_concat(pos: str, val: str):
-        s = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(val).alias("v"))))
-        return F.array_join(F.transform(s, lambda x: x["v"]), "")
+    def joined(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
+        """The values of each key in order, cut after the first done one."""
+        s = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col("_wm_v").alias("v"),
+                                                 F.col("_wm_done").alias("d"))))
+        x = df.groupBy(*keys).agg(s.alias("_wm_s"))
+        at = F.array_position(F.transform("_wm_s", lambda y: y["d"]), F.lit(True))
+        kept = F.when(at > 0, F.slice("_wm_s", F.lit(1), at.cast("int"))).otherwise(F.col("_wm_s"))
+        return x.select(*keys, F.array_join(F.transform(kept, lambda y: y["v"]), "").alias("_wm_v"),
+                        (at > 0).alias("_wm_done"))
 
-    chunks = parts.groupBy(*req, "_wm_chunk").agg(ordered_concat("_wm_line", "_wm_c").alias("_wm_s"))
-    return chunks.groupBy(*req).agg(ordered_concat("_wm_chunk", "_wm_s").alias(out_col))
+    out = joined(joined(parts, [*req, "_wm_chunk"], "_wm_line"), req, "_wm_chunk")
+    extra = [F.col("_wm_done").alias(complete_col)] if complete_col else []
+    return out.select(*req, F.col("_wm_v").alias(out_col), *extra)
 
 
 def score_summary(df: DataFrame, reply_col: str = "reply") -> DataFrame:
     """J4 (+P9): parsed count, total count, mean of parsed scores to 2 places (NULL if none)."""
     s = parse_int_reply(reply_col)
     return df.agg(F.count(s).alias("n_scored"), F.count(F.lit(1)).alias("n_total"),
-                  F.round(F.avg(s), 2).alias("avg_score"))
+                  F.round(F.avg(s.cast("double")), 2).alias("avg_score"))
 
 
 def rejected_replies(df: DataFrame, reply_col: str = "reply") -> DataFrame:

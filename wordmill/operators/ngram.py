@@ -73,8 +73,10 @@ def loss(counts: DataFrame, val: DataFrame, ids_col: str, vocab_size: DataFrame
     v = F.lit(vocab_size) if isinstance(vocab_size, int) else F.col("v")
     pairs = ngram_pairs(val, ids_col, order).groupBy("ctx", "next").agg(
         F.count(F.lit(1)).alias("mult"))
-    j = (pairs.join(counts, ["ctx", "next"], "left")
-              .join(context_totals(counts).select("ctx", "ctx_n"), "ctx", "left"))
+    # the distinct successors of a frequent context would meet on its key: salted by their number
+    totals = context_totals(counts).select("ctx", "ctx_n", "n_next")
+    j = salted_lookup(pairs.join(counts, ["ctx", "next"], "left"), totals, "ctx", salt_cols=["next"],
+                      freq_col="n_next")
     if not isinstance(vocab_size, int):
         j = j.crossJoin(F.broadcast(vocab_size.select("v")))  # one row
     p = (F.coalesce(F.col("n"), F.lit(0)) + 1).cast("double") / (

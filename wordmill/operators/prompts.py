@@ -27,8 +27,8 @@ JUDGE_TEMPLATE = (
 JUDGE_MODEL = "llama3"
 JUDGE_OPTIONS = {"seed": 123, "temperature": 0, "num_ctx": 2048}
 
-# An integer reply: optional whitespace, sign, 1-9 ASCII digits, whitespace.
-INT_REPLY_PATTERN = "(?U)^[" + WS_CLASS + "]*[+-]?[0-9]{1,9}[" + WS_CLASS + "]*$"
+# An integer reply: optional whitespace, sign, ASCII digits, whitespace.
+INT_REPLY_PATTERN = "(?U)^[" + WS_CLASS + "]*[+-]?[0-9]+[" + WS_CLASS + "]*$"
 
 
 def _c(c: Column | str) -> Column:
@@ -71,10 +71,13 @@ def flatten_newlines(text: Column | str) -> Column:
 
 
 def parse_int_reply(reply: Column | str) -> Column:
-    """INT when the reply is an integer (whitespace allowed around), else NULL."""
+    """DECIMAL(38,0) when the reply is an integer (whitespace allowed around), else NULL.
+
+    An integer beyond 38 digits fits no SQL type and is rejected like any other reply.
+    """
     r = _c(reply)
     digits = F.regexp_extract(r, "([+-]?[0-9]+)", 1)
-    return F.when(r.rlike(INT_REPLY_PATTERN), digits.cast("int"))
+    return F.when(r.rlike(INT_REPLY_PATTERN), digits.try_cast("decimal(38,0)"))
 
 
 def chat_payload(prompt: Column | str, model: str = JUDGE_MODEL,

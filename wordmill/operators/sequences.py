@@ -2,7 +2,8 @@
 
 Sequences are ARRAY<BIGINT> per row; every operator is a native array
 expression (``slice``, ``array_repeat``, ``transform``), so it stays inside
-whole-stage codegen. Group-level values (batch max length, train-split max
+whole-stage codegen. The pad id is a parameter, an int or a column: with word
+ids it must lie outside the vocabulary (the vocabulary size, say). Group-level values (batch max length, train-split max
 length) come from small aggregates joined back, never from a global window.
 """
 
@@ -43,16 +44,19 @@ def next_token_long(df: DataFrame, id_cols: str | Sequence[str], pos_col: str =
     return df.withColumn(next_col, F.lead(token_col).over(w))
 
 
-def pad_truncate(ids: Column | str, max_length: Column | int, pad_id: int = PAD_ID) -> Column:
+def _pad(pad_id: Column | int) -> Column:
+    return (F.lit(pad_id) if isinstance(pad_id, int) else pad_id).cast("bigint")
+
+
+def pad_truncate(ids: Column | str, max_length: Column | int, pad_id: Column | int = PAD_ID) -> Column:
     """Q3: cut to ``max_length`` then right-pad with ``pad_id`` to exactly that length."""
     m = F.lit(max_length) if isinstance(max_length, int) else max_length
     cut = F.slice(_c(ids), F.lit(1), m)
-    return F.concat(cut, F.array_repeat(F.lit(pad_id).cast("bigint"),
-                                        F.greatest(m - F.size(cut), F.lit(0))))
+    return F.concat(cut, F.array_repeat(_pad(pad_id), F.greatest(m - F.size(cut), F.lit(0))))
 
 
 def pad_to_longest(df: DataFrame, ids_col: str, max_length: int | None = None,
-                   pad_id: int = PAD_ID, out_col: str = "padded",
+                   pad_id: Column | int = PAD_ID, out_col: str = "padded",
                    length_col: str = "max_length") -> DataFrame:
     """Q3 over a table: ``max_length`` None means the table's longest row (nothing cut)."""
     if max_length is not None:
@@ -64,7 +68,7 @@ def pad_to_longest(df: DataFrame, ids_col: str, max_length: int | None = None,
 
 
 def pad_to_split_longest(df: DataFrame, ids_col: str, split_col: str = "split",
-                         reference_split: str = "train", pad_id: int = PAD_ID,
+                         reference_split: str = "train", pad_id: Column | int = PAD_ID,
                          out_col: str = "padded", length_col: str = "max_length") -> DataFrame:
     """Q4: every split is cut/padded to the longest row of ``reference_split``."""
     longest = (df.where(F.col(split_col) == reference_split)
@@ -73,7 +77,7 @@ def pad_to_split_longest(df: DataFrame, ids_col: str, split_col: str = "split",
     return out.withColumn(out_col, pad_truncate(ids_col, F.col(length_col), pad_id))
 
 
-def collate(df: DataFrame, ids_col: str, batch_col: str = "batch_id", pad_id: int = PAD_ID,
+def collate(df: DataFrame, ids_col: str, batch_col: str = "batch_id", pad_id: Column | int = PAD_ID,
             ignore_index: int = IGNORE_INDEX, allowed_max_length: int | None = None,
             input_col: str = "input_ids", target_col: str = "target_ids") -> DataFrame:
     """Q6: instruction-tuning collation per batch.
@@ -86,14 +90,13 @@ def collate(df: DataFrame, ids_col: str, batch_col: str = "batch_id", pad_id: in
     """
     m = F.max(F.size(ids_col) + 1).over(Window.partitionBy(batch_col))  # batch = bounded group
     with_m = df.withColumn("_wm_m", m)
-    padded = F.concat(F.col(ids_col), F.array_repeat(F.lit(pad_id).cast("bigint"),
-                                                     F.col("_wm_m") - F.size(ids_col)))
+    padded = F.concat(F.col(ids_col), F.array_repeat(_pad(pad_id), F.col("_wm_m") - F.size(ids_col)))
     out = (with_m.withColumn("_wm_p", padded)
                  .withColumn(input_col, F.slice("_wm_p", F.lit(1), F.col("_wm_m") - 1))
                  .withColumn("_wm_t", F.slice("_wm_p", F.lit(2), F.col("_wm_m") - 1))
-                 .withColumn("_wm_first", F.array_position("_wm_t", F.lit(pad_id).cast("bigint"))))
+                 .withColumn("_wm_first", F.array_position(F.col("_wm_t"), _pad(pad_id))))
     masked = F.transform("_wm_t", lambda x, i: F.when(
-        (x == F.lit(pad_id)) & (F.col("_wm_first") > 0) & (i + 1 > F.col("_wm_first")),
+        (x == _pad(pad_id)) & (F.col("_wm_first") > 0) & (i + 1 > F.col("_wm_first")),
         F.lit(ignore_index).cast("bigint")).otherwise(x))
     out = out.withColumn(target_col, masked)
     if allowed_max_length is not None:
@@ -109,7 +112,7 @@ def last_n(ids: Column | str, n: int) -> Column:
 
 
 def classifier_input(ids: Column | str, max_length: Column | int | None,
-                     context_length: int | None = None, pad_id: int = PAD_ID) -> Column:
+                     context_length: int | None = None, pad_id: Column | int = PAD_ID) -> Column:
     """Q11: cut to ``min(max_length, context_length)`` then pad to ``max_length``.
 
     ``max_length`` None: no cap and no pad (only the context cut, if any).
@@ -120,5 +123,4 @@ def classifier_input(ids: Column | str, max_length: Column | int | None,
     m = F.lit(max_length) if isinstance(max_length, int) else max_length
     cap = m if context_length is None else F.least(m, F.lit(context_length))
     cut = F.slice(a, F.lit(1), cap)
-    return F.concat(cut, F.array_repeat(F.lit(pad_id).cast("bigint"),
-                                        F.greatest(m - F.size(cut), F.lit(0))))
+    return F.concat(cut, F.array_repeat(_pad(pad_id), F.greatest(m - F.size(cut), F.lit(0))))

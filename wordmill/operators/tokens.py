@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.functions.joins import salted_lookup
+from wordmill.functions import joins
 from wordmill.functions.text import decode_join, word_tokens
 from wordmill.operators.indexing import sorted_index
 
@@ -55,17 +55,17 @@ def vocab_size(tokens: DataFrame, token_col: str = "token", exact: bool = True)
 def encode_tokens(tokens: DataFrame, vocab: DataFrame, id_cols: str | Sequence[str],
                   pos_col: str = "pos", token_col: str = "token", id_col: str = "token_id",
                   count_col: str | None = "n", oov: str = "error",
-                  unk_id: int | None = None, hot_fraction: float = 1e-4,
-                  salts: int = 32) -> DataFrame:
+                  unk_id: int | None = None, hot_fraction: float | None = None,
+                  salts: int | None = None, small: bool | None = None) -> DataFrame:
     """T5 (long form): attach ``id_col`` to every token occurrence.
 
     ``oov``: 'error' raises on an unknown token (the reference's KeyError),
     'null' keeps it with a NULL id, 'skip' drops it, 'unk' uses ``unk_id``.
     """
     dim_cols = [token_col, id_col] + ([count_col] if count_col else [])
-    joined = salted_lookup(tokens, vocab.select(*dim_cols), token_col,
-                           salt_cols=[*_ids(id_cols), pos_col], freq_col=count_col,
-                           hot_fraction=hot_fraction, salts=salts, how="left")
+    joined = joins.salted_lookup(tokens, vocab.select(*dim_cols), token_col,
+                                 salt_cols=[*_ids(id_cols), pos_col], freq_col=count_col,
+                                 hot_fraction=hot_fraction, salts=salts, how="left", small=small)
     if count_col:
         joined = joined.drop(count_col)
     found = F.col(id_col)
@@ -89,32 +89,50 @@ def collect_ordered(df: DataFrame, id_cols: str | Sequence[str], pos_col: str, v
     return df.groupBy(*_ids(id_cols)).agg(F.transform(pairs, lambda s: s["v"]).alias(out_col))
 
 
-def encode_texts(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 out_col: str = "ids", oov: str = "error") -> DataFrame:
-    """T5 (array form): <id, ids ARRAY<BIGINT>>; texts without tokens get []."""
-    long = explode_tokens(df, id_col, text_col)
-    enc = encode_tokens(long, vocab, id_col, oov=oov)
-    arrays = collect_ordered(enc, id_col, "pos", "token_id", out_col)
-    return (df.select(id_col).join(arrays, id_col, "left")
-              .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<bigint>"))))
+def _by_row(df: DataFrame, ids: list[str], vocab: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` hash-partitioned by row when the vocabulary can be broadcast.
 
-
-def decode_ids(df: DataFrame, vocab: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
+    The exploded tokens then stay where their row is, and the ordered re-collect needs no
+    shuffle of its own: what moves is the text, once.
+    """
+    small = joins.fits_broadcast(vocab, joins.BROADCAST_MAX_BYTES)
+    return (df.repartition(*ids) if small else df), small
+
+
+def encode_texts(df: DataFrame, vocab: DataFrame, id_col: str | Sequence[str] = "doc_id",
+                 text_col: str = "text", out_col: str = "ids", oov: str = "error") -> DataFrame:
+    """T5 (array form): <id..., ids ARRAY<BIGINT>>; texts without tokens get []."""
+    ids = _ids(id_col)
+    rows, small = _by_row(df.select(*ids, text_col), ids, vocab)
+    # an empty text keeps its row as one null token
+    long = rows.select(*ids, F.posexplode_outer(word_tokens(text_col)).alias("pos", "token"))
+    enc = encode_tokens(long.where(F.col("token").isNotNull()), vocab, ids, oov=oov, small=small)
+    if not small:
+        arrays = collect_ordered(enc, ids, "pos", "token_id", out_col)
+        return (df.select(*ids).join(arrays, ids, "left")
+                  .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<bigint>"))))
+    none = long.where(F.col("token").isNull()).select(*ids, F.array().cast("array<bigint>").alias(out_col))
+    return collect_ordered(enc, ids, "pos", "token_id", out_col).unionByName(none)
+
+
+def decode_ids(df: DataFrame, vocab: DataFrame, id_col: str | Sequence[str] = "doc_id", ids_col: str = "ids",
                out_col: str = "decoded", token_col: str = "token",
                vocab_id_col: str = "token_id", count_col: str | None = "n") -> DataFrame:
     """Ids -> tokens via the inverse vocabulary -> text joined with spaces, with
     the space before punctuation removed. An unknown id raises."""
-    long = df.select(id_col, F.posexplode(ids_col).alias("pos", vocab_id_col))
+    ids = _ids(id_col)
     inv_cols = [vocab_id_col, token_col] + ([count_col] if count_col else [])
-    joined = salted_lookup(long, vocab.select(*inv_cols), vocab_id_col, salt_cols=[id_col, "pos"],
-                           freq_col=count_col, how="left")
+    rows, small = _by_row(df.select(*ids, ids_col), ids, vocab.select(*inv_cols))
+    long = rows.select(*ids, F.posexplode(ids_col).alias("pos", vocab_id_col))
+    joined = joins.salted_lookup(long, vocab.select(*inv_cols), vocab_id_col, salt_cols=[*ids, "pos"],
+                                 freq_col=count_col, how="left", small=small)
     joined = joined.withColumn(token_col, F.when(F.col(token_col).isNull(), F.raise_error(
         F.concat(F.lit("unknown id: "), F.col(vocab_id_col).cast("string")))).otherwise(
         F.col(token_col)))
-    arrays = collect_ordered(joined, id_col, "pos", token_col, "_wm_toks")
-    return (df.select(id_col).join(arrays, id_col, "left")
-              .select(id_col, decode_join(F.coalesce(F.col("_wm_toks"),
-                                                     F.array().cast("array<string>")))
+    arrays = collect_ordered(joined, ids, "pos", token_col, "_wm_toks")
+    return (df.select(*ids).join(arrays, ids, "left")
+              .select(*ids, decode_join(F.coalesce(F.col("_wm_toks"),
+                                                   F.array().cast("array<string>")))
                       .alias(out_col)))
 
 

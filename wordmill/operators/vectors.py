@@ -49,10 +49,19 @@ def layer_norm(df: DataFrame, arr_col: str, out_col: str = "normed", eps: float
 
 def pooled_embeddings(token_ids: DataFrame, table: DataFrame, row_col: str = "doc_id",
                       token_col: str = "token_id", key_col: str = "vec_id",
-                      vec_col: str = "embedding", out_col: str = "pooled") -> DataFrame:
-    """V2: mean embedding of each row's tokens (tokens without a vector are skipped)."""
+                      vec_col: str = "embedding", out_col: str = "pooled",
+                      rows: DataFrame | None = None) -> DataFrame:
+    """V2: mean embedding of each row's tokens (tokens without a vector are skipped).
+
+    ``rows`` holds every row id; a row without any embedded token gets a NULL vector.
+    """
     counts = token_ids.groupBy(row_col, token_col).agg(F.count(F.lit(1)).cast("double").alias("_wm_w"))
-    vecs = table.select(F.col(key_col).alias(token_col), array_to_vector(vec_col).alias("_wm_v"))
-    joined = salted_lookup(counts, vecs, token_col, salt_cols=[row_col], how="inner")
-    pooled = joined.groupBy(row_col).agg(Summarizer.mean(F.col("_wm_v"), F.col("_wm_w")).alias("_wm_m"))
-    return pooled.select(row_col, vector_to_array("_wm_m").alias(out_col))
+    # only a token of the table can be joined; how many rows have it tells the hot ones
+    freq = (counts.join(table.select(F.col(key_col).alias(token_col)), token_col, "left_semi")
+            .groupBy(token_col).agg(F.count(F.lit(1)).alias("_wm_rows")))
+    vecs = table.select(F.col(key_col).alias(token_col), F.col(vec_col).alias("_wm_a")).join(freq, token_col)
+    joined = salted_lookup(counts, vecs, token_col, salt_cols=[row_col], freq_col="_wm_rows", how="inner")
+    pooled = joined.groupBy(row_col).agg(
+        Summarizer.mean(array_to_vector("_wm_a"), F.col("_wm_w")).alias("_wm_m"))
+    pooled = pooled.select(row_col, vector_to_array("_wm_m").alias(out_col))
+    return pooled if rows is None else rows.select(row_col).join(pooled, row_col, "left")

@@ -63,7 +63,7 @@ def p8_flatten(spark, sf_dir):
 
 def p9_parse_reply(spark, sf_dir):
     rep = adapters.score_replies(spark, sf_dir)
-    return rep.select("doc_id", "reply", pr.parse_int_reply("reply").alias("score"))
+    return rep.select("doc_id", "reply", pr.parse_int_reply("reply").cast("bigint").alias("score"))
 
 
 def j1_payload(spark, sf_dir):
@@ -120,8 +120,8 @@ SELECT doc_id, CASE b WHEN 0 THEN '85.0' WHEN 1 THEN 'Score: 85' WHEN 2 THEN ''
 FROM (SELECT doc_id, h, h % 20 AS b FROM
       (SELECT doc_id, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT AS h FROM documents) x) y
 """
-_SCORE = ("CASE WHEN regexp_full_match(reply, '\\s*[+-]?[0-9]{1,9}\\s*') "
-          "THEN CAST(regexp_extract(reply, '([+-]?[0-9]+)', 1) AS INTEGER) END")
+_SCORE = ("CASE WHEN regexp_full_match(reply, '\\s*[+-]?[0-9]+\\s*') "
+          "THEN CAST(regexp_extract(reply, '([+-]?[0-9]+)', 1) AS BIGINT) END")
 
 ORACLE = {
     "d5_ordered_split": f"""

@@ -126,8 +126,8 @@ def v2_pooled(spark, sf_dir):
     docs = adapters.corpus(spark, sf_dir)
     vocab = tok.build_vocab(tok.explode_tokens(docs, "doc_id"))
     ids = tok.encode_tokens(tok.explode_tokens(docs, "doc_id"), vocab, "doc_id")
-    pooled = vec.pooled_embeddings(ids, load_table(spark, sf_dir, "embeddings"))
-    return pooled.select("doc_id", F.posexplode("pooled").alias("dim", "value")).select(
+    pooled = vec.pooled_embeddings(ids, load_table(spark, sf_dir, "embeddings"), rows=docs)
+    return pooled.select("doc_id", F.posexplode_outer("pooled").alias("dim", "value")).select(
         "doc_id", F.col("dim").cast("int").alias("dim"), F.round("value", R6).alias("value"))
 
 
@@ -222,8 +222,9 @@ FROM (SELECT vec_id, embedding,
              list_var_pop(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS var FROM embeddings) e,
      range(1, 65) r(i) WHERE i <= len(embedding)""",
     "v2_pooled": f"""
-SELECT l.doc_id, CAST(r.i - 1 AS INTEGER) AS dim, round(avg(CAST(e.embedding[r.i] AS DOUBLE)), 6) AS value
-FROM ({q.long_tokens(q.DOCS)}) l JOIN ({q.DOC_VOCAB}) v ON l.token = v.token
-JOIN embeddings e ON e.vec_id = v.token_id, range(1, 65) r(i)
-GROUP BY l.doc_id, r.i""",
+SELECT d.doc_id, p.dim, p.value FROM documents d LEFT JOIN (
+  SELECT l.doc_id, CAST(r.i - 1 AS INTEGER) AS dim, round(avg(CAST(e.embedding[r.i] AS DOUBLE)), 6) AS value
+  FROM ({q.long_tokens(q.DOCS)}) l JOIN ({q.DOC_VOCAB}) v ON l.token = v.token
+  JOIN embeddings e ON e.vec_id = v.token_id, range(1, 65) r(i)
+  GROUP BY l.doc_id, r.i) p ON p.doc_id = d.doc_id""",
 }

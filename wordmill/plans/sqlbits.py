@@ -134,7 +134,7 @@ ON d.{id_col} = e.{id_col}
 """
 
 
-def pad(ids: str, m: str, pad_id: int = 50256) -> str:
+def pad(ids: str, m: str, pad_id: int | str = 50256) -> str:
     return f"list_concat({ids}[1:{m}], list_resize([]::BIGINT[], greatest({m} - len({ids}[1:{m}]), 0), {pad_id}))"
 
 

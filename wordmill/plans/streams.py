@@ -35,14 +35,13 @@ def st1_ingest(spark: SparkSession, sf_dir: str):
 def st2_reassemble(spark, sf_dir):
     ev = load_table(spark, sf_dir, "events")
     lines = st.stream_files(spark, _table_glob(sf_dir, "events"), ev.schema)
+    # a user's events are the lines of one reply; a purchase is its last line
+    message = F.struct(F.get_json_object("props", "$.k").alias("content"))
     lines = lines.select(F.col("user_id").alias("request_id"), F.col("event_id").alias("line_no"),
-                         "ts", F.to_json(F.struct(F.struct(F.get_json_object("props", "$.k")
-                                                           .alias("content")).alias("message")))
-                         .alias("json"))
+                         F.to_json(F.struct(message.alias("message"),
+                                            (F.col("event_type") == "purchase").alias("done"))).alias("json"))
     sink, ck = io.scratch_path(spark, "reassembly-sink"), io.scratch_path(spark, "reassembly-ck")
-    out = st.reassemble_stream(lines, "request_id", "line_no", "json", "ts", sink, ck)
-    return out.select("request_id", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
-                      .alias("window_start"), "reply")
+    return st.reassemble_stream(lines, "request_id", "line_no", "json", sink, ck)
 
 
 QUERIES = {
@@ -55,7 +54,10 @@ ORACLE = {
 SELECT doc_id, CAST(len({q.word_tokens('text')}) AS BIGINT) AS n_tokens,
        md5(replace(text, chr(10), ' ')) AS flat_md5 FROM documents""",
     "st2_reassemble": """
-SELECT user_id AS request_id, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
-       string_agg(CAST(json_extract_string(props, '$.k') AS VARCHAR), '' ORDER BY event_id) AS reply
-FROM events GROUP BY user_id, date_trunc('day', ts)""",
+WITH ends AS (SELECT user_id, min(CASE WHEN event_type = 'purchase' THEN event_id END) AS last_id
+              FROM events GROUP BY user_id)
+SELECT e.user_id AS request_id, any_value(x.last_id) IS NOT NULL AS complete,
+       string_agg(CAST(json_extract_string(e.props, '$.k') AS VARCHAR), '' ORDER BY e.event_id) AS reply
+FROM events e JOIN ends x ON e.user_id = x.user_id
+WHERE x.last_id IS NULL OR e.event_id <= x.last_id GROUP BY e.user_id""",
 }

@@ -1,13 +1,13 @@
-"""ST1-ST2: incremental ingest and stateful reply reassembly with Structured Streaming.
+"""ST1-ST2: incremental ingest and reply reassembly with Structured Streaming.
 
 * ST1: a file source with a checkpoint never re-reads a finished file (the
   re-aimed skip-if-present rule). Row-local operators run on the stream and
   the sink is a parquet folder; ``trigger(availableNow=True)`` drains what is
   there and stops, so the streamed result can be compared with the batch one.
-* ST2: reply chunks are grouped per (request, event-time window) with a
-  watermark, so a window's state is dropped once the watermark passes it.
-  Update-mode batches are appended with their batch id; the latest row per
-  key is the reassembled reply (idempotent under batch replays).
+* ST2: every micro-batch writes its reply lines to a folder of its own number,
+  so a replayed batch overwrites itself. The lines written so far are the
+  state: no line is late, no reply is cut by a window, and nothing is rewritten
+  when a reply grows. Replies are put together from them up to their ``done`` line.
 """
 
 from __future__ import annotations
@@ -15,9 +15,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from wordmill.operators.judge import reassemble
+
 
 def stream_files(spark: SparkSession, path_glob: str, schema: StructType | str,
                  fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -27,41 +29,41 @@ def stream_files(spark: SparkSession, path_glob: str, schema: StructType | str,
     return r.load(path_glob)
 
 
+def _drained(query: StreamingQuery, timeout_s: float | None) -> None:
+    """Waits for an availableNow query; a limit that runs out stops it and raises."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the stream was not drained in {timeout_s} s; the sink holds only a part")
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], sink_path: str,
-           checkpoint_path: str, timeout_s: int = 600) -> DataFrame:
+           checkpoint_path: str, timeout_s: float | None = None) -> DataFrame:
     """ST1: run ``transform`` over every new file once; return the sink as a batch frame."""
-    q = (transform(stream).writeStream.format("parquet").outputMode("append")
+    out = transform(stream)
+    q = (out.writeStream.format("parquet").outputMode("append")
          .option("path", sink_path).option("checkpointLocation", checkpoint_path)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
-    return stream.sparkSession.read.parquet(sink_path)
+    _drained(q, timeout_s)
+    return stream.sparkSession.read.schema(out.schema).parquet(sink_path)
 
 
 def reassemble_stream(lines: DataFrame, request_col: str, line_col: str, json_col: str,
-                      ts_col: str, sink_path: str, checkpoint_path: str,
-                      window: str = "1 day", watermark: str = "1 hour",
-                      timeout_s: int = 600) -> DataFrame:
-    """ST2: ``message.content`` concatenated in line order per (request, window)."""
-    content = F.get_json_object(F.col(json_col), "$.message.content")
-    agg = (lines.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-                .withWatermark(ts_col, watermark)
-                .groupBy(request_col, F.window(ts_col, window).alias("w"))
-                .agg(F.collect_list(F.struct(F.col(line_col).alias("p"), content.alias("c")))
-                     .alias("_wm_parts")))
+                      sink_path: str, checkpoint_path: str, complete_col: str = "complete",
+                      timeout_s: float | None = None) -> DataFrame:
+    """ST2: <request, reply, complete>: ``message.content`` in line order up to the done line."""
+    rows = lines.select(request_col, line_col, json_col)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        reply = F.array_join(F.transform(F.array_sort("_wm_parts"), lambda s: s["c"]), "")
-        (batch.select(request_col, F.col("w.start").alias("window_start"), reply.alias("reply"),
-                      F.lit(batch_id).alias("batch_id"))
-              .write.mode("append").parquet(sink_path))
+        batch.write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
 
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint_path)
+    spark = lines.sparkSession
+    write_batch(spark.createDataFrame([], rows.schema), -1)  # a stream without files has a sink too
+    q = (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint_path)
          .foreachBatch(write_batch).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise q.exception()
-    out = lines.sparkSession.read.parquet(sink_path)
-    return out.groupBy(request_col, "window_start").agg(
-        F.max_by("reply", "batch_id").alias("reply"))
+    _drained(q, timeout_s)
+    stored = spark.read.schema(rows.schema).parquet(sink_path)
+    return reassemble(stored, request_col, line_col, json_col, complete_col=complete_col)
