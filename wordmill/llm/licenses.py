@@ -146,21 +146,21 @@ def oracle(templates: tuple[Template, ...] = TEMPLATES) -> str:
     def starts(t):
         tests = [f"coalesce(w[i + {at + j + 1}], '') = '{x}'" for at, key in t.key_offsets() for j, x in enumerate(key)]
         low = min(at for at, _ in t.key_offsets())
-        return f"list_filter(range({-low}, n_words), i -> {' AND '.join(tests)})"
+        return f"list_filter(range({-low}, n_words), lambda i: {' AND '.join(tests)})"
 
     def share(t, k):
         parts = " + ".join(f"(CASE WHEN i + {j} >= 0 AND coalesce(w[i + {j + 1}], '') = '{x}' THEN 1 ELSE 0 END)"
                            for j, x in enumerate(t.words))
-        return f"coalesce(list_max(list_transform(t{k}, i -> ({parts}) / {float(len(t.words))})), 0.0)"
+        return f"coalesce(list_max(list_transform(t{k}, lambda i: ({parts}) / {float(len(t.words))})), 0.0)"
 
     def named(which):
         own = ", ".join(f"CASE WHEN len(t{k}) > 0 THEN '{templates[k].label}' END" for k in which)
-        return f"array_to_string(list_sort(list_filter([{own}], x -> x IS NOT NULL)), ',')"
+        return f"array_to_string(list_sort(list_filter([{own}], lambda x: x IS NOT NULL)), ',')"
     base = [k for k, t in enumerate(templates) if t.base]
     every = f"list_concat({', '.join(f't{k}' for k in base[:1])}, list_concat({', '.join(f't{k}' for k in base[1:])}))"
     return rf"""
         WITH s AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SEPARATORS}'), x -> x <> '') AS w
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SEPARATORS}'), lambda x: x <> '') AS w
                    FROM documents),
         n AS (SELECT doc_id, w, CAST(len(w) AS BIGINT) AS n_words FROM s),
         p AS (SELECT doc_id, w, n_words, {', '.join(f'{starts(t)} AS t{k}' for k, t in enumerate(templates))} FROM n),
