@@ -1,8 +1,10 @@
 """S1-S7 write/read invariants, ST1-ST2 batch equivalence, L1-L3."""
 
+import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from wordmill.operators import learning as ml
@@ -72,19 +74,28 @@ def test_stream_equals_batch(spark):
     assert again.count() == 50  # finished files are not read again
 
 
+def test_every_file_of_a_slow_stream_arrives(spark):
+    src = tempfile.mkdtemp(prefix="wm-many-")
+    df = spark.range(0, 1200, 1, 12).withColumnRenamed("id", "doc_id")
+    df.write.mode("overwrite").parquet(src + "/a")
+    stream = st.stream_files(spark, src + "/a", df.schema, max_files_per_trigger=1)
+    out = st.ingest(stream, lambda x: x, io.scratch_path(spark, "t-sink"), io.scratch_path(spark, "t-ck"))
+    assert out.count() == 1200
+    with pytest.raises(TimeoutError):
+        st.ingest(stream, lambda x: x, io.scratch_path(spark, "t-sink"), io.scratch_path(spark, "t-ck"), timeout_s=0.2)
+
+
 def test_stream_reassembly_equals_batch(spark):
-    import json
     src = tempfile.mkdtemp(prefix="wm-lines-")
-    rows = [(r, i, f"2024-01-0{1 + i % 2} 00:00:0{i}", json.dumps({"message": {"content": c}}))
+    rows = [(r, i, json.dumps({"message": {"content": c}, "done": r == 1 and c == "e"}))
             for r in (1, 2) for i, c in enumerate("abcdef")]
-    df = spark.createDataFrame(rows, "rid long, line_no long, ts string, json string").withColumn(
-        "ts", F.to_timestamp("ts"))
+    df = spark.createDataFrame(rows, "rid long, line_no long, json string").repartition(5)
     df.write.mode("overwrite").parquet(src + "/l")
     sink, ck = io.scratch_path(spark, "t-rs"), io.scratch_path(spark, "t-rck")
-    out = st.reassemble_stream(st.stream_files(spark, src + "/l", df.schema), "rid", "line_no",
-                               "json", "ts", sink, ck)
-    got = sorted((r.rid, r.reply) for r in out.collect())
-    assert got == [(1, "ace"), (1, "bdf"), (2, "ace"), (2, "bdf")]
+    for _ in range(2):  # a second run finds no new file and changes nothing
+        out = st.reassemble_stream(st.stream_files(spark, src + "/l", df.schema, max_files_per_trigger=1),
+                                   "rid", "line_no", "json", sink, ck)
+        assert sorted(tuple(r) for r in out.collect()) == [(1, "abcde", True), (2, "abcdef", False)]
 
 
 def test_batch_scoring_and_linear_head(spark):
@@ -96,5 +107,7 @@ def test_batch_scoring_and_linear_head(spark):
     assert {r.vec_id: r.pred for r in scored.collect()} == exp
     train = df.withColumn("label", F.element_at("embedding", 1).cast("int") % 2)
     model = ml.fit_linear_head(train, "embedding", "label")
-    pred = ml.apply_linear_head(model, train, "embedding")
-    assert pred.count() == 40
+    pred = ml.apply_linear_head(model, train, "embedding", probs_col="p").collect()
+    assert len(pred) == 40 and all(abs(sum(r.p) - 1) < 1e-9 and r.pred == int(np.argmax(r.p)) for r in pred)
+    most = max(sum(r.label == k for r in pred) for k in (0, 1))
+    assert sum(r.pred == r.label for r in pred) > most

@@ -1,4 +1,4 @@
-"""Q1-Q6, Q10-Q11 against plain-Python restatements (FIXTURES section 4)."""
+"""Q1-Q6, Q10-Q11 against literal arrays (FIXTURES section 4)."""
 
 from pyspark.sql import functions as F
 
@@ -7,59 +7,38 @@ from wordmill.operators import sequences as seq
 PAD = 50256
 
 
-def py_windows(ids, m, stride):
-    return [(i, ids[i:i + m], ids[i + 1:i + m + 1]) for i in range(0, len(ids) - m, stride)]
-
-
 def test_windows_lengths(spark):
-    m, stride = 4, 3
-    lengths = [0, 1, m, m + 1, m + stride, m + stride + 1, 20]
-    rows = [(n, list(range(100, 100 + n))) for n in lengths]
+    rows = [(n, list(range(100, 100 + n))) for n in (0, 1, 4, 5, 7, 8)]
     df = spark.createDataFrame(rows, "n int, ids array<bigint>")
-    got = {}
-    for r in seq.sliding_windows(df, "ids", m, stride).collect():
-        got.setdefault(r.n, []).append((r.start, list(r.input_ids), list(r.target_ids)))
-    for n, ids in rows:
-        assert sorted(got.get(n, [])) == py_windows(ids, m, stride), n
-
-
-def py_pad(ids, m):
-    cut = ids[:m]
-    return cut + [PAD] * (m - len(cut))
+    got = sorted((r.n, r.start, list(r.input_ids), list(r.target_ids))
+                 for r in seq.sliding_windows(df, "ids", 4, 3).collect())
+    first = ([100, 101, 102, 103], [101, 102, 103, 104])
+    assert got == [(5, 0, *first), (7, 0, *first), (8, 0, *first),
+                   (8, 3, [103, 104, 105, 106], [104, 105, 106, 107])]
 
 
 def test_pad_truncate(spark):
     rows = [(1, [1, 2]), (2, [1, 2, 3, 4]), (3, [1, 2, 3, 4, 5, 6]), (4, [])]
     df = spark.createDataFrame(rows, "id int, ids array<bigint>")
     out = {r.id: list(r.p) for r in df.select("id", seq.pad_truncate("ids", 4).alias("p")).collect()}
-    assert out == {i: py_pad(ids, 4) for i, ids in rows}
+    assert out == {1: [1, 2, PAD, PAD], 2: [1, 2, 3, 4], 3: [1, 2, 3, 4], 4: [PAD] * 4}
+    own = {r.id: list(r.p) for r in df.select("id", seq.pad_truncate("ids", 3, F.col("id") + 6).alias("p")).collect()}
+    assert own == {1: [1, 2, 7], 2: [1, 2, 3], 3: [1, 2, 3], 4: [10, 10, 10]}
     longest = seq.pad_to_longest(df, "ids", None).collect()
     assert all(len(r.padded) == 6 and r.max_length == 6 for r in longest)
 
 
-def py_collate(batch, allowed=None):
-    m = max(len(x) + 1 for x in batch)
-    out = []
-    for item in batch:
-        p = item + [PAD] + [PAD] * (m - len(item) - 1)
-        inp, tgt = p[:-1], p[1:]
-        idx = [i for i, v in enumerate(tgt) if v == PAD]
-        for i in idx[1:]:
-            tgt[i] = -100
-        if allowed is not None:
-            inp, tgt = inp[:allowed], tgt[:allowed]
-        out.append((inp, tgt))
-    return out
-
-
 def test_collate_masks_and_cut(spark):
     batch = [[0, 1, 2, 3, 4], [5, 6], [7, PAD, 9], [1]]
     df = spark.createDataFrame([(i, 0, b) for i, b in enumerate(batch)],
                                "rid int, batch_id int, ids array<bigint>")
-    for allowed in (None, 3):
-        got = {r.rid: (list(r.input_ids), list(r.target_ids))
-               for r in seq.collate(df, "ids", allowed_max_length=allowed).collect()}
-        assert [got[i] for i in range(4)] == py_collate(batch, allowed)
+    whole = {r.rid: (list(r.input_ids), list(r.target_ids)) for r in seq.collate(df, "ids").collect()}
+    assert whole == {
+        0: ([0, 1, 2, 3, 4], [1, 2, 3, 4, PAD]), 1: ([5, 6, PAD, PAD, PAD], [6, PAD, -100, -100, -100]),
+        2: ([7, PAD, 9, PAD, PAD], [PAD, 9, -100, -100, -100]), 3: ([1, PAD, PAD, PAD, PAD], [PAD, -100, -100, -100, -100])}
+    cut = {r.rid: (list(r.input_ids), list(r.target_ids))
+           for r in seq.collate(df, "ids", allowed_max_length=3).collect()}
+    assert cut == {i: (x[:3], y[:3]) for i, (x, y) in whole.items()}
 
 
 def test_last_n_and_classifier_input(spark):

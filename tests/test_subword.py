@@ -1,13 +1,12 @@
 """T7-T10 against a plain-Python byte-level BPE."""
 
-import re
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from wordmill.operators import subword as bpe
-
-PAT = None
+from wordmill.sources import files as io
 
 
 def py_pretokens(text):
@@ -63,21 +62,63 @@ def test_pretokens_match_regex_module(spark, corpus):
     assert all(got[i] == py_pretokens(t) for i, t in enumerate(TEXTS))
 
 
-def test_learned_merges_match_python(corpus):
-    assert bpe.learn_merges(corpus, "text", 12, checkpoint_every=4) == py_learn(TEXTS, 12)
+def py_encode(text, ranks):
+    """Plain BPE: the lowest-ranked pair merges, leftmost first, until none is left."""
+    out = []
+    for p in py_pretokens(text):
+        k = list(p.encode("utf-8"))
+        while (best := min(((ranks[x], i) for i, x in enumerate(zip(k, k[1:])) if x in ranks), default=None)):
+            k[best[1]:best[1] + 2] = [256 + best[0]]
+        out += k
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 12, 40])
+def test_learned_merges_match_python(corpus, n):
+    assert bpe.learn_merges(corpus, "text", n, checkpoint_every=4) == py_learn(TEXTS, n)
+
+
+def test_learning_stops_below_the_least_count(corpus):
+    assert bpe.learn_merges(corpus, "text", 1000) == py_learn(TEXTS, 1000)
 
 
 def test_encode_decode_round_trip_and_special(spark, corpus):
-    merges = py_learn(TEXTS, 12)
-    table = bpe.token_bytes(spark, merges)
-    enc = bpe.encode(corpus, merges)
-    dec = {r.doc_id: r.text for r in bpe.decode(enc, table).collect()}
-    assert dec == dict(enumerate(TEXTS))
-    sp = corpus.withColumn("text", F.concat("text", F.lit("<|endoftext|>"), F.lit("x")))
-    enc2 = bpe.encode(sp, merges, special="allow")
-    for r in enc2.collect():
-        assert list(r.ids).count(50256) == 1
-    with pytest.raises(Exception):
+    merges = py_learn(TEXTS, 40)
+    ranks = {m: r for r, m in enumerate(merges)}
+    assert {r.doc_id: list(r.ids) for r in bpe.encode(corpus, merges).collect()} == {
+        i: py_encode(t, ranks) for i, t in enumerate(TEXTS)}
+    assert {r.doc_id: r.text for r in bpe.decode(bpe.encode(corpus, merges), merges).collect()} == dict(enumerate(TEXTS))
+    sp = corpus.withColumn("text", F.concat("text", F.lit("<|endoftext|>"), F.lit("x"), F.lit("<|endoftext|>")))
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(sp, merges, special="allow").collect()}
+    assert got == {i: [*py_encode(t, ranks), 50256, *py_encode("x", ranks), 50256] for i, t in enumerate(TEXTS)}
+    with pytest.raises(Exception, match="special token"):
         bpe.encode(sp, merges, special="raise").collect()
     as_text = bpe.encode(sp, merges, special="as_text")
     assert all(50256 not in r.ids for r in as_text.collect())
+    with pytest.raises(Exception, match="unknown id"):
+        bpe.decode(spark.createDataFrame([(1, [99999])], "doc_id long, ids array<bigint>"), merges).collect()
+
+
+def test_a_list_of_50000_merges(corpus):
+    rng = random.Random(1)
+    merges = dict.fromkeys(py_learn(TEXTS, 30))  # a list without repeats, in order
+    while len(merges) < 50_000:
+        merges.setdefault((rng.randrange(256 + len(merges)), rng.randrange(256)))
+    model = bpe.Model.learned(list(merges))
+    assert len(model.merges) == 50_000 and model.special["<|endoftext|>"] == 50256
+    ranks = {m: r for r, m in enumerate(merges)}
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(corpus, model).collect()}
+    assert got == {i: py_encode(t, ranks) for i, t in enumerate(TEXTS)}
+
+
+def test_special_id_may_not_be_an_ordinary_one():
+    with pytest.raises(ValueError, match="special ids"):
+        bpe.Model.learned([(97, 98)], {"<|endoftext|>": 256})
+
+
+def test_model_from_files(spark, corpus):
+    model = bpe.Model.learned(py_learn(TEXTS, 20))
+    path = io.scratch_path(spark, "t-model")
+    io.write_model_files(spark, model, path)
+    back = bpe.Model.from_tables(io.read_vocab_json(spark, f"{path}/vocab"), io.read_merge_list(spark, f"{path}/merges"))
+    assert back == model

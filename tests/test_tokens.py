@@ -1,63 +1,73 @@
-"""T1-T6, T11-T12 against a plain-Python restatement of the word tokenizer."""
-
-import re
+"""T1-T6, T11-T12 against hand-written token lists."""
 
 import pytest
 from pyspark.sql import functions as F
 
+from wordmill.functions import joins
 from wordmill.functions.text import word_tokens
 from wordmill.operators import tokens as tok
+from wordmill.plans import classification
 
-SPLIT = re.compile(r'([,.:;?_!"()\']|--|\s)')
+CASES = {
+    "a---b": ["a", "--", "-b"], "a----b": ["a", "--", "--", "b"], "re-use": ["re-use"],
+    '"Hi," he said--no.': ['"', "Hi", ",", '"', "he", "said", "--", "no", "."],
+    "x\ty\n\nz  w\r\n": ["x", "y", "z", "w"], "": [], "   ": [],
+    "ab---": ["ab", "--", "-"], "a-.": ["a-", "."],
+    "it's -- ok-- -x- --": ["it", "'", "s", "--", "ok", "--", "-x-", "--"],
+    "x y z\u001cq": ["x", "y", "z", "q"], "I HAD always thought": ["I", "HAD", "always", "thought"],
+}
 
 
-def py_tokens(text):
-    return [t.strip() for t in SPLIT.split(text) if t.strip()]
+def test_word_split_edge_cases(spark):
+    df = spark.createDataFrame([(t,) for t in CASES], "text string")
+    assert {r.text: list(r.t) for r in df.select("text", word_tokens("text").alias("t")).collect()} == CASES
 
 
-def py_decode(tokens):
-    return re.sub(r'\s+([,.:;?_!"()\'])', r"\1", " ".join(tokens))
+STORY = 'The cat--"Tom"--sat. The dog, too!'
+STORY_VOCAB = ["!", '"', ",", "--", ".", "The", "Tom", "cat", "dog", "sat", "too"]
+STORY_IDS = [5, 7, 3, 1, 6, 1, 3, 9, 4, 5, 8, 2, 10, 0]
 
 
-CASES = ["a---b", "a----b", "re-use", '"Hi," he said--no.', "x\ty\n\nz  w\r\n", "", "   ",
-         "ab---", "a-.", "it's -- ok-- -x- --", "x y z\u001cq", "I HAD always thought"]
+@pytest.fixture(scope="module")
+def story(spark):
+    return spark.createDataFrame([(1, STORY), (2, "")], "doc_id long, text string")
 
 
-def test_word_split_edge_cases(spark):
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "id int, text string")
-    got = {r.id: list(r.t) for r in df.select("id", word_tokens("text").alias("t")).collect()}
-    for i, text in enumerate(CASES):
-        assert got[i] == py_tokens(text), text
+def test_vocabulary_known_values(story):
+    rows = tok.build_vocab(tok.explode_tokens(story, "doc_id")).orderBy("token_id").collect()
+    assert [r.token for r in rows] == STORY_VOCAB and [r.token_id for r in rows] == list(range(11))
+    assert [r.n for r in rows] == [1, 2, 1, 2, 1, 2, 1, 1, 1, 1, 1]
 
 
-@pytest.fixture(scope="module")
-def story(spark):
-    """The longest document of the sf0.001 corpus as one text."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    text = docs.orderBy(docs.n_chars.desc(), "doc_id").first().text
-    return text, spark.createDataFrame([(1, text)], "doc_id long, text string")
+@pytest.mark.parametrize("limit", [joins.BROADCAST_MAX_BYTES, None])
+def test_encode_decode_round_trip(story, limit, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", limit)
+    vocab = tok.build_vocab(tok.explode_tokens(story, "doc_id"))
+    enc = tok.encode_texts(story, vocab)
+    assert {r.doc_id: list(r.ids) for r in enc.collect()} == {1: STORY_IDS, 2: []}
+    dec = {r.doc_id: r.decoded for r in tok.decode_ids(enc, vocab).collect()}
+    assert dec == {1: 'The cat --" Tom" -- sat. The dog, too!', 2: ""}
 
 
-def test_vocabulary_known_values(story):
-    text, df = story
-    toks = py_tokens(text)
-    long = tok.explode_tokens(df, "doc_id")
-    assert long.count() == len(toks)
-    rows = tok.build_vocab(long).orderBy("token_id").collect()
-    assert [r.token for r in rows] == sorted(set(toks))
-    assert [r.token_id for r in rows] == list(range(len(rows)))
-
-
-def test_encode_decode_round_trip(story):
-    text, df = story
-    vocab = tok.build_vocab(tok.explode_tokens(df, "doc_id")).cache()
-    enc = tok.encode_texts(df, vocab)
-    ids = enc.first().ids
-    toks = py_tokens(text)
-    inv = {r.token: r.token_id for r in vocab.collect()}
-    assert ids == [inv[t] for t in toks]
-    dec = tok.decode_ids(enc, vocab).first().decoded
-    assert dec == py_decode(toks)
+def test_two_id_columns(spark):
+    rows = spark.createDataFrame([(1, 100001, "a b"), (2, 1, "b")], "conv_id long, turn long, text string")
+    vocab = tok.build_vocab(tok.explode_tokens(rows, ["conv_id", "turn"]))
+    enc = tok.encode_texts(rows, vocab, id_col=["conv_id", "turn"])
+    assert {(r.conv_id, r.turn): list(r.ids) for r in enc.collect()} == {(1, 100001): [0, 1], (2, 1): [1]}
+
+
+@pytest.mark.parametrize("name", ["t5_encode", "t6_decode"])
+def test_registered_queries_down_both_sides(spark, name, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    small = sorted(classification.QUERIES[name](spark, sf).collect())
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", None)
+    assert sorted(classification.QUERIES[name](spark, sf).collect()) == small
+
+
+def test_encoding_moves_the_text_once(story):
+    vocab = tok.build_vocab(tok.explode_tokens(story, "doc_id"))
+    plan = tok.encode_texts(story, vocab)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc_id") <= 2  # one for each branch of the union
 
 
 def test_unknown_token_policies(spark):

@@ -1,28 +1,29 @@
-"""Byte-level BPE learned and applied with native Spark expressions.
-
-* Text is cut into pre-tokens with the public GPT-2 pre-token pattern; only
-  the *distinct* pre-tokens (with their frequency) are segmented, and the
-  occurrences join back to them (hot pre-tokens salted).
-* A pre-token's symbols are a comma-framed decimal string (``,116,104,``).
-  Merging the pair (L, R) into N everywhere, left to right and without
-  overlap, is ``regexp_replace(u, '(?<=,)L,R,', 'N,')`` - the look-behind
-  lets a match start on the comma that closed the previous match.
-* Learning (T10) counts adjacent pairs weighted by frequency each round and
-  takes the best pair (count desc, then left id, right id asc). Only that one
-  pair travels to the driver per round; the merge list is bounded by
-  ``num_merges``. Lineage is cut through the reliable checkpoint folder.
-* Applying merges in rank order equals the lowest-rank-first algorithm,
-  because a pair that involves a merged symbol always ranks after it.
+"""Byte-level BPE learned from a corpus or read from files, encoding and decoding.
+
+* Text is cut into pre-tokens natively with the public GPT-2 pattern. A task
+  segments each distinct pre-token that it meets once, with the model's merges
+  as a broadcast rank table, so the cost does not depend on the number of
+  merges and encoding and decoding need no shuffle.
+* A model is bounded by its files: byte ids, ranked merges and special tokens.
+  It comes from learned merges or from vocabulary and merge tables (S8), whose
+  printable alphabet is mapped back to bytes.
+* Learning (T10) counts adjacent pairs of the distinct pre-tokens, weighted by
+  frequency, and takes the best pair (count desc, then left id, right id asc).
+  A round takes every next-best pair that provably would follow: pairs
+  that share no symbol with the ones taken before keep their counts, and any pair
+  that the round creates or changes counts at most as much as the best pair
+  that shares a symbol with a taken one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.functions.joins import salted_lookup
 from wordmill.session import cut_lineage
 
 # The public GPT-2 pre-token pattern and its end-of-text token.
@@ -32,84 +33,257 @@ PRETOKEN_PATTERN = (
 END_OF_TEXT = "<|endoftext|>"
 END_OF_TEXT_ID = 50256
 BASE_SYMBOLS = 256
+#: Distinct pre-tokens that a task remembers at once.
+CACHE_WORDS = 500_000
+#: Pairs looked at in one round of learning.
+ROUND_PAIRS = 256
 
 Merge = tuple[int, int]
 
 
+def byte_alphabet() -> list[str]:
+    """The printable character of each byte in published byte-level vocabulary files."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    chars = {b: chr(b) for b in shown}
+    hidden = (b for b in range(256) if b not in chars)
+    chars |= {b: chr(256 + k) for k, b in enumerate(list(hidden))}
+    return [chars[b] for b in range(256)]
+
+
+@dataclass(frozen=True)
+class Model:
+    """Byte ids, merges as (left, right, new id) in rank order, and special tokens."""
+
+    byte_ids: tuple[int, ...]
+    merges: tuple[tuple[int, int, int], ...]
+    special: dict[str, int] = field(default_factory=lambda: {END_OF_TEXT: END_OF_TEXT_ID})
+
+    def __post_init__(self):
+        taken = {*self.byte_ids, *(m[2] for m in self.merges)}
+        clash = {t: i for t, i in self.special.items() if i in taken}
+        if clash:
+            raise ValueError(f"special ids are also ids of ordinary tokens: {clash}")
+
+    @classmethod
+    def learned(cls, merges: Sequence[Merge], special: dict[str, int] | None = None) -> Model:
+        """Bytes are 0-255 and merge ``r`` makes id ``256 + r``; the default special id moves past them."""
+        last = BASE_SYMBOLS + len(merges)
+        own = {END_OF_TEXT: max(END_OF_TEXT_ID, last)} if special is None else special
+        return cls(tuple(range(BASE_SYMBOLS)),
+                   tuple((int(a), int(b), BASE_SYMBOLS + r) for r, (a, b) in enumerate(merges)), own)
+
+    @classmethod
+    def from_tables(cls, vocab: DataFrame, merges: DataFrame, special: Sequence[str] = (END_OF_TEXT,)) -> Model:
+        """From <token, token_id> and <rank, left, right> in the printable alphabet.
+
+        One row for each token and merge of the model comes to the driver.
+        """
+        ids = {r["token"]: r["token_id"] for r in vocab.collect()}
+        ranked = merges.orderBy("rank").collect()
+        return cls(tuple(ids[c] for c in byte_alphabet()),
+                   tuple((ids[r["left"]], ids[r["right"]], ids[r["left"] + r["right"]]) for r in ranked),
+                   {t: ids[t] for t in special if t in ids})
+
+    def pieces(self) -> dict[int, bytes]:
+        """The bytes of every id."""
+        out = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        for left, right, new in self.merges:
+            out[new] = out[left] + out[right]
+        return out | {i: t.encode("utf-8") for t, i in self.special.items()}
+
+
 def pretokens(text: Column | str) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     return F.regexp_extract_all(t, F.lit(PRETOKEN_PATTERN), 0)
 
 
-def to_symbols(s: Column) -> Column:
-    """UTF-8 bytes of ``s`` as a comma-framed decimal string, e.g. ``,104,105,``."""
-    hexed = F.regexp_extract_all(F.hex(F.encode(s, "UTF-8")), F.lit(".."), 0)
-    dec = F.transform(hexed, lambda h: F.conv(h, 16, 10))
-    return F.concat(F.lit(","), F.array_join(dec, ","), F.lit(","))
-
-
-def symbol_ids(u: Column) -> Column:
-    """``,1,2,`` -> ARRAY<BIGINT> [1, 2]."""
-    inner = F.regexp_replace(u, "^,|,$", "")
-    return F.transform(F.split(inner, ","), lambda x: x.cast("bigint"))
-
-
-def apply_merge(u: Column, left: int, right: int, new_id: int) -> Column:
-    return F.regexp_replace(u, f"(?<=,){left},{right},", f"{new_id},")
-
-
-def apply_merges(u: Column, merges: Sequence[Merge]) -> Column:
-    for rank, (left, right) in enumerate(merges):
-        u = apply_merge(u, left, right, BASE_SYMBOLS + rank)
-    return u
-
-
 def pretoken_table(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Distinct pre-tokens with frequencies: <pretoken, n>."""
     return (df.select(F.explode(pretokens(text_col)).alias("pretoken"))
               .groupBy("pretoken").agg(F.count(F.lit(1)).alias("n")))
 
 
-PAIR_SHIFT = 1 << 20  # symbol ids stay below 2^20, so left * 2^20 + right orders like (left, right)
+def _segmenter(model: Model):
+    """A function from a pre-token to its ids: lowest rank first, leftmost on ties.
+
+    Everything it needs is inside it, so tasks carry it by value.
+    """
+    import heapq
+
+    ranks = {(a, b): (r, new) for r, (a, b, new) in enumerate(model.merges)}
+    byte_ids = model.byte_ids
+
+    def segment(word: str) -> list[int]:
+        sym: list = [byte_ids[b] for b in word.encode("utf-8")]
+        after = [*range(1, len(sym)), -1]
+        before = list(range(-1, len(sym) - 1))
+        heap: list = []
+
+        def note(i):
+            found = ranks.get((sym[i], sym[after[i]])) if after[i] >= 0 else None
+            if found:
+                heapq.heappush(heap, (found[0], i, found[1]))
+        for i in range(len(sym)):
+            note(i)
+        while heap:
+            rank, i, new = heapq.heappop(heap)
+            j = after[i]
+            if sym[i] is None or j < 0 or ranks.get((sym[i], sym[j]), (None,))[0] != rank:
+                continue  # the pair is gone
+            sym[i], sym[j], after[i] = new, None, after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            note(i)
+            if before[i] >= 0:
+                note(before[i])
+        return [s for s in sym if s is not None]
+    return segment
+
+
+def encode(df: DataFrame, model: Model | Sequence[Merge], id_col: str | Sequence[str] = "doc_id",
+           text_col: str = "text", special: str = "raise", out_col: str = "ids") -> DataFrame:
+    """T7 (+T9): byte-level BPE ids per row.
+
+    ``special``: 'allow' turns every special token into its id; 'raise' fails on a text
+    containing one (the library default); 'as_text' encodes it as ordinary text.
+    """
+    model = model if isinstance(model, Model) else Model.learned(model)
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    marks = list(model.special)
+    if special == "raise":
+        found = F.lit(False)
+        for mark in marks:
+            found = found | (F.instr(text, mark) > 0)
+        text = F.when(found, F.raise_error(F.lit(f"text contains a special token of {marks}"))).otherwise(text)
+    if special == "allow" and marks:
+        quoted = "|".join("\\Q" + m + "\\E" for m in sorted(marks, key=len, reverse=True))
+        between = F.split(text, quoted, -1)
+        own = F.concat(F.regexp_extract_all(text, F.lit(f"({quoted})"), 1), F.array(F.lit("")))
+        # the pattern never yields a special token as one pre-token, so its text can stand for it
+        pieces = F.filter(F.flatten(F.zip_with(between, own, lambda t, m: F.concat(pretokens(t), F.array(m)))),
+                          lambda p: p != "")
+    elif special in ("raise", "as_text", "allow"):
+        pieces = pretokens(text)
+    else:
+        raise ValueError(f"unknown special policy {special!r}")
+    src = df.select(*ids, pieces.alias("_wm_p"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    # the rank table travels with the task's function, which Spark broadcasts when it is large
+    segment, limit, marked = _segmenter(model), CACHE_WORDS, dict(model.special) if special == "allow" else {}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict = {}
+        for pdf in batches:
+            rows = []
+            for words in pdf["_wm_p"]:
+                row: list[int] = []
+                for w in words:
+                    own = known.get(w)
+                    if own is None:
+                        if len(known) >= limit:
+                            known.clear()
+                        own = known[w] = [marked[w]] if w in marked else segment(w)
+                    row.extend(own)
+                rows.append(row)
+            out = pdf[ids].copy()
+            out[out_col] = rows
+            yield out
+    return src.mapInPandas(run, f"{schema}, `{out_col}` array<bigint>")
+
+
+def decode(df: DataFrame, model: Model | Sequence[Merge], id_col: str | Sequence[str] = "doc_id",
+           ids_col: str = "ids", out_col: str = "text") -> DataFrame:
+    """Ids -> bytes -> UTF-8 text (invalid bytes become U+FFFD); an unknown id raises."""
+    model = model if isinstance(model, Model) else Model.learned(model)
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    src = df.select(*ids, ids_col)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    held = df.sparkSession.sparkContext.broadcast(model.pieces())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pieces = held.value
+        for pdf in batches:
+            out = pdf[ids].copy()
+            try:
+                out[out_col] = [b"".join([pieces[int(i)] for i in (row if row is not None else ())])
+                                .decode("utf-8", "replace") for row in pdf[ids_col]]
+            except KeyError as unknown:
+                raise ValueError(f"unknown id: {unknown}") from None
+            yield out
+    return src.mapInPandas(run, f"{schema}, `{out_col}` string")
 
 
 def _pair_counts(table: DataFrame) -> DataFrame:
-    """<pair BIGINT = left * 2^20 + right, cnt> weighted by pre-token frequency."""
-    s = F.split(F.regexp_replace("u", "^,|,$", ""), ",")
-    x = table.select(F.transform(s, lambda v: v.cast("bigint")).alias("_s"), "n").where(F.size("_s") > 1)
-    n = F.size("_s") - 1
-    pairs = F.zip_with(F.slice("_s", 1, n), F.slice("_s", 2, n),
-                       lambda a, b: a * F.lit(PAIR_SHIFT) + b)
-    return (x.select(F.explode(pairs).alias("p"), "n")
-             .groupBy("p").agg(F.sum("n").alias("cnt")))
+    """<l, r, cnt> of adjacent symbols, weighted by pre-token frequency."""
+    x = table.where(F.size("sym") > 1)
+    n = F.size("sym") - 1
+    pairs = F.arrays_zip(F.slice("sym", F.lit(1), n).alias("l"), F.slice("sym", F.lit(2), n).alias("r"))
+    return x.select(F.explode(pairs).alias("p"), "n").groupBy("p.l", "p.r").agg(F.sum("n").alias("cnt"))
+
+
+def _next_merges(ranked: list, most: int, min_count: int) -> list[Merge]:
+    """The pairs that would be taken one after another, as far as one count of all pairs tells.
+
+    ``ranked`` holds the leading pairs in order. A pair that shares a symbol with a taken one
+    bounds every count that the merges change or create; a later pair must exceed it.
+    """
+    taken: list = []
+    used: set[int] = set()
+    for k, (left, right, cnt) in enumerate(ranked):
+        if cnt < min_count or len(taken) == most:
+            break
+        if {left, right} & used:
+            taken = [t for t in taken if t[2] > cnt] or taken[:1]
+            break
+        taken.append((left, right, cnt))
+        used |= {left, right}
+        if k == len(ranked) - 1 and len(ranked) == ROUND_PAIRS:  # what follows may interfere
+            taken = [t for t in taken if t[2] > cnt] or taken[:1]
+    return [(left, right) for left, right, _ in taken]
 
 
 def learn_merges(df: DataFrame, text_col: str = "text", num_merges: int = 100,
-                 min_count: int = 2, checkpoint_every: int = 5) -> list[Merge]:
+                 min_count: int = 2, checkpoint_every: int = 4) -> list[Merge]:
     """Learn up to ``num_merges`` merges from a corpus (stops early when no pair
     reaches ``min_count``). Returns the ranked merge list."""
-    table = pretoken_table(df, text_col).select(to_symbols(F.col("pretoken")).alias("u"), "n")
-    table = cut_lineage(table.groupBy("u").agg(F.sum("n").alias("n")))
+    def rewrite(new: list[tuple[int, int, int]]):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                rows = []
+                for sym in pdf["sym"]:
+                    sym = list(sym)
+                    for left, right, own in new:
+                        if left in sym:
+                            out, i = [], 0
+                            while i < len(sym):
+                                if sym[i] == left and i + 1 < len(sym) and sym[i + 1] == right:
+                                    out.append(own)
+                                    i += 2
+                                else:
+                                    out.append(sym[i])
+                                    i += 1
+                            sym = out
+                    rows.append(sym)
+                yield pd.DataFrame({"sym": rows, "n": pdf["n"].to_numpy()})
+        return run
+    codes = F.regexp_extract_all(F.hex(F.encode("pretoken", "UTF-8")), F.lit(".."), 0)
+    table = cut_lineage(pretoken_table(df, text_col).select(
+        F.transform(codes, lambda h: F.conv(h, 16, 10).cast("bigint")).alias("sym"), "n"))
     merges: list[Merge] = []
-    cached = None
-    for rank in range(num_merges):
-        # each round reads the previous round's cached table; lineage is cut below
-        table = table.cache()
-        best = _pair_counts(table).agg(
-            F.max_by("p", F.struct(F.col("cnt"), -F.col("p"))).alias("b"),
-            F.max("cnt").alias("c")).first()
-        if cached is not None:
-            cached.unpersist()  # its child is now cached
-        cached = table
-        if best is None or best["b"] is None or best["c"] < min_count:
+    rounds = 0
+    while len(merges) < num_merges:
+        # at most ROUND_PAIRS rows come to the driver
+        best = _pair_counts(table).orderBy(F.col("cnt").desc(), "l", "r").limit(ROUND_PAIRS).collect()
+        new = _next_merges([tuple(b) for b in best], num_merges - len(merges), min_count)
+        if not new:
             break
-        left, right = divmod(int(best["b"]), PAIR_SHIFT)
-        merges.append((left, right))
-        table = table.select(apply_merge(F.col("u"), left, right, BASE_SYMBOLS + rank).alias("u"), "n")
-        if (rank + 1) % checkpoint_every == 0:
+        made = [(a, b, BASE_SYMBOLS + len(merges) + k) for k, (a, b) in enumerate(new)]
+        merges += new
+        table = table.mapInPandas(rewrite(made), "sym array<bigint>, n bigint")
+        rounds += 1
+        if rounds % checkpoint_every == 0:
             table = cut_lineage(table)
-    if cached is not None:
-        cached.unpersist()
     return merges
 
 
@@ -119,65 +293,9 @@ def merges_frame(spark, merges: Sequence[Merge]) -> DataFrame:
     return spark.createDataFrame(rows, "rank int, left bigint, right bigint, token_id bigint")
 
 
-def token_bytes(spark, merges: Sequence[Merge], special: dict[str, int] | None = None) -> DataFrame:
-    """<token_id, hex> for the 256 bytes, every merge and the special tokens.
-
-    Its size is ``256 + len(merges) + len(special)``: bounded by the model.
-    """
-    table = {i: f"{i:02X}" for i in range(BASE_SYMBOLS)}
-    for r, (a, b) in enumerate(merges):
-        table[BASE_SYMBOLS + r] = table[a] + table[b]
-    for text, tid in (special or {END_OF_TEXT: END_OF_TEXT_ID}).items():
-        table[tid] = text.encode("utf-8").hex().upper()
-    return spark.createDataFrame(sorted(table.items()), "token_id bigint, hex string")
-
-
-def encode(df: DataFrame, merges: Sequence[Merge], id_col: str = "doc_id",
-           text_col: str = "text", special: str = "raise", special_id: int = END_OF_TEXT_ID,
-           out_col: str = "ids", salts: int = 32) -> DataFrame:
-    """T7 (+T9): byte-level BPE ids per row.
-
-    ``special``: 'allow' turns every ``<|endoftext|>`` into ``special_id``;
-    'raise' fails on a text containing it (the library default); 'as_text'
-    encodes it as ordinary text.
-    """
-    text = F.col(text_col)
-    if special == "raise":
-        text = F.when(F.instr(text, END_OF_TEXT) > 0, F.raise_error(
-            F.lit("text contains the special token " + END_OF_TEXT))).otherwise(text)
-    if special == "allow":
-        segs = F.split(text, F.lit(END_OF_TEXT.replace("|", "\\|")), -1)
-    elif special in ("raise", "as_text"):
-        segs = F.array(text)
-    else:
-        raise ValueError(f"unknown special policy {special!r}")
-    seg = df.select(id_col, F.posexplode(segs).alias("seg", "piece"))
-    occ = seg.select(id_col, "seg", F.posexplode(pretokens("piece")).alias("pos", "pretoken"))
-    distinct = pretoken_table(seg, "piece")
-    # the segmented distinct pre-tokens are the applied model: materialise once
-    coded = cut_lineage(distinct.select("pretoken", "n", symbol_ids(
-        apply_merges(to_symbols(F.col("pretoken")), merges)).alias("sym")))
-    joined = salted_lookup(occ, coded, "pretoken", salt_cols=[id_col, "seg", "pos"],
-                           freq_col="n", salts=salts, how="left")
-    parts = joined.select(id_col, "seg", "pos", "sym")
-    if special == "allow":
-        marks = seg.where(F.col("seg") > 0).select(
-            id_col, "seg", F.lit(-1).alias("pos"), F.array(F.lit(special_id).cast("bigint")).alias("sym"))
-        parts = parts.unionByName(marks)
-    ordered = F.array_sort(F.collect_list(F.struct("seg", "pos", "sym")))
-    per_row = parts.groupBy(id_col).agg(F.flatten(F.transform(ordered, lambda s: s["sym"])).alias(out_col))
-    return (df.select(id_col).join(per_row, id_col, "left")
-              .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<bigint>"))))
-
-
-def decode(df: DataFrame, table: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
-           out_col: str = "text") -> DataFrame:
-    """Ids -> bytes (bounded id table, broadcast) -> UTF-8 text, in order."""
-    long = df.select(id_col, F.posexplode(ids_col).alias("pos", "token_id"))
-    j = long.join(F.broadcast(table), "token_id", "left")
-    j = j.withColumn("hex", F.when(F.col("hex").isNull(), F.raise_error(
-        F.concat(F.lit("unknown id: "), F.col("token_id").cast("string")))).otherwise(F.col("hex")))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "hex")))
-    per_row = j.groupBy(id_col).agg(F.array_join(F.transform(ordered, lambda s: s["hex"]), "").alias("_h"))
-    return (df.select(id_col).join(per_row, id_col, "left")
-              .select(id_col, F.decode(F.unhex(F.coalesce("_h", F.lit(""))), "UTF-8").alias(out_col)))
+def token_table(spark, model: Model) -> DataFrame:
+    """<token_id, hex, token> of every id; ``token`` in the printable alphabet (specials as they are)."""
+    alphabet, special = byte_alphabet(), {i: t for t, i in model.special.items()}
+    rows = [(i, b.hex().upper(), special.get(i) or "".join(alphabet[x] for x in b))
+            for i, b in sorted(model.pieces().items())]
+    return spark.createDataFrame(rows, "token_id bigint, hex string, token string")

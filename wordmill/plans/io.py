@@ -10,6 +10,7 @@ from wordmill.operators import prompts as pr
 from wordmill.operators import subword as bpe
 from wordmill.plans import sqlbits as q
 from wordmill.plans.classification import spam_splits
+from wordmill.plans.subwords import NUM_MERGES, learned, learned_sql
 from wordmill.sources import adapters
 from wordmill.sources import files as io
 from wordmill.session import load_table
@@ -44,12 +45,14 @@ def s3_json(spark, sf_dir):
 
 
 def s4_whole_text(spark, sf_dir):
+    """A text file for each range of documents, a document a line; every file is read back whole."""
     path = io.scratch_path(spark, "corpus-text")
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs.write.mode("overwrite").partitionBy("doc_id").text(path)
-    back = io.read_whole_text(spark, path)
-    return back.select(F.regexp_extract("path", r"doc_id=(\d+)", 1).cast("bigint").alias("doc_id"),
-                       F.md5("text").alias("text_md5"))
+    docs.orderBy("doc_id").select(F.concat_ws("\t", "doc_id", F.hex(F.encode("text", "UTF-8"))).alias("value")) \
+        .write.mode("overwrite").text(path)
+    lines = io.read_whole_text(spark, path).select(F.explode(F.split("text", "\n")).alias("v")).where("v <> ''")
+    return lines.select(F.substring_index("v", "\t", 1).cast("bigint").alias("doc_id"),
+                        F.md5(F.unhex(F.substring_index("v", "\t", -1))).alias("text_md5"))
 
 
 def s5_write_splits(spark, sf_dir):
@@ -81,24 +84,13 @@ def s7_write_if_absent(spark, sf_dir):
 
 
 def s8_model_files(spark, sf_dir):
-    docs = adapters.corpus(spark, sf_dir)
-    merges = bpe.learn_merges(docs, "text", 10)
+    """Writes a learned model as vocabulary and merge files, reads them as tables and makes a model of those."""
+    _, merges = learned(spark, sf_dir)
     base = io.scratch_path(spark, "bpe-model")
-    table = bpe.token_bytes(spark, merges)
-    # vocabulary JSON map {hex bytes: id} and the rank-ordered merge list (bounded by the model)
-    vocab_json = table.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("hex", "token_id"))))
-                           .alias("value"))
-    vocab_json.coalesce(1).write.mode("overwrite").text(f"{base}/vocab")
-    lines = bpe.merges_frame(spark, merges).orderBy("rank").select(
-        F.concat_ws(" ", F.col("left").cast("string"), F.col("right").cast("string")).alias("value"))
-    header = spark.createDataFrame([("#version: 0.2",)], "value string")
-    header.unionByName(lines).coalesce(1).write.mode("overwrite").text(f"{base}/merges")
+    io.write_model_files(spark, bpe.Model.learned(merges), base)
     vocab = io.read_vocab_json(spark, f"{base}/vocab")
-    ml = io.read_merge_list(spark, f"{base}/merges")
-    joined = ml.join(vocab.withColumnRenamed("token_id", "id"),
-                     F.col("id") == F.col("rank") + bpe.BASE_SYMBOLS, "left")
-    return joined.select("rank", F.col("left").cast("bigint").alias("left"),
-                         F.col("right").cast("bigint").alias("right"), F.col("token").alias("hex"))
+    model = bpe.Model.from_tables(vocab, io.read_merge_list(spark, f"{base}/merges"))
+    return bpe.merges_frame(spark, [(a, b) for a, b, _ in model.merges])
 
 
 QUERIES = {
@@ -120,8 +112,9 @@ ORACLE = {
     "s1_tsv": f"SELECT Label, md5(Text) AS text_md5 FROM ({q.LABELLED}) m",
     "s2_csv": f"SELECT split, Label, md5(Text) AS text_md5 FROM ({q.spam_splits(123)}) s",
     "s3_json": f"SELECT conv_id, turn, md5(concat_ws(chr(1), instruction, input, output)) AS record_md5 FROM ({q.INSTRUCTIONS}) r",
-    "s4_whole_text": "SELECT doc_id, md5(text || chr(10)) AS text_md5 FROM documents",
+    "s4_whole_text": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
     "s5_write_splits": f"SELECT split, count(*) AS n_rows, CAST(sum(length(Text)) AS BIGINT) AS n_chars FROM ({q.spam_splits(123)}) s GROUP BY split",
     "s6_json_write": f"SELECT conv_id, turn, md5({_RESP}) AS response_md5 FROM ({q.INSTRUCTIONS}) r",
     "s7_write_if_absent": "SELECT doc_id, lang FROM documents",
+    "s8_model_files": learned_sql(NUM_MERGES),
 }

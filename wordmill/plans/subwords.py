@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from wordmill.operators import subword as bpe
+from wordmill.session import cut_lineage
 from wordmill.sources import adapters
 
+#: Merges that the queries learn; the coder takes any number (tests use 50,000).
 NUM_MERGES = 30
 
 
@@ -21,43 +23,30 @@ def t10_learn_merges(spark, sf_dir):
     return bpe.merges_frame(spark, merges)
 
 
-def _coded(spark, sf_dir, special="raise", text=None):
-    docs, merges = learned(spark, sf_dir)
-    if text is not None:
-        docs = docs.withColumn("text", text)
-    enc = bpe.encode(docs, merges, "doc_id", "text", special=special)
-    table = bpe.token_bytes(spark, merges)
-    return docs, enc, table
-
-
-def _n_bytes(enc: DataFrame, table: DataFrame) -> DataFrame:
-    long = enc.select("doc_id", F.explode("ids").alias("token_id"))
-    sized = long.join(F.broadcast(table.select("token_id", (F.length("hex") / 2).cast("bigint")
-                                               .alias("b"))), "token_id")
-    return sized.groupBy("doc_id").agg(F.sum("b").alias("n_bytes"))
+def _ids_md5(c: str):
+    return F.md5(F.array_join(c, " "))
 
 
 def t7_subword_encode(spark, sf_dir):
-    docs, enc, table = _coded(spark, sf_dir)
-    dec = bpe.decode(enc, table, out_col="decoded")
-    ok = dec.join(docs, "doc_id").select("doc_id", (F.col("decoded") == F.col("text")).alias("roundtrip_ok"))
-    return ok.join(_n_bytes(enc, table), "doc_id", "left").select(
-        "doc_id", "roundtrip_ok", F.coalesce("n_bytes", F.lit(0)).cast("bigint").alias("n_bytes"))
+    docs, merges = learned(spark, sf_dir)
+    enc = bpe.encode(docs, merges)
+    return enc.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), _ids_md5("ids").alias("ids_md5"))
 
 
 def t8_subword_decode(spark, sf_dir):
-    _, enc, table = _coded(spark, sf_dir)
-    dec = bpe.decode(enc, table, out_col="decoded")
+    docs, merges = learned(spark, sf_dir)
+    dec = bpe.decode(bpe.encode(docs, merges), merges, out_col="decoded")
     return dec.select("doc_id", F.md5("decoded").alias("text_md5"))
 
 
 def t9_special_tokens(spark, sf_dir):
-    joined = F.concat(F.col("text"), F.lit(bpe.END_OF_TEXT), F.col("text"))
-    _, enc, table = _coded(spark, sf_dir, special="allow", text=joined)
+    docs, merges = learned(spark, sf_dir)
+    joined = docs.select("doc_id", F.concat(F.col("text"), F.lit(bpe.END_OF_TEXT), F.col("text")).alias("text"))
+    enc = cut_lineage(bpe.encode(joined, merges, special="allow"))
     n_special = F.size(F.filter("ids", lambda x: x == F.lit(bpe.END_OF_TEXT_ID)))
-    dec = bpe.decode(enc, table, out_col="decoded")
+    dec = bpe.decode(enc, merges, out_col="decoded")
     return enc.join(dec, "doc_id").select("doc_id", n_special.cast("bigint").alias("n_special"),
-                                          F.md5("decoded").alias("text_md5"))
+                                          _ids_md5("ids").alias("ids_md5"), F.md5("decoded").alias("text_md5"))
 
 
 QUERIES = {
@@ -67,8 +56,48 @@ QUERIES = {
     "t9_special_tokens": t9_special_tokens,
 }
 
+# Pre-tokens without look-ahead: a mark before the last white space of a run that a word follows
+# ends the run there; then every symbol of a pre-token is framed on its own, so that replace()
+# merges left to right without overlap, and each merge is one more CTE.
+_PRE = ("regexp_extract_all(regexp_replace(text, '(\\s+)(\\s[^\\s])', '\\1' || chr(1) || '\\2', 'g'), "
+        "'''s|''t|''re|''ve|''m|''ll|''d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}\\x01]+|\\s+')")
+
+
+def _learn_sql(n: int) -> str:
+    """CTEs occ <doc_id, i, w>, w<k> <w, n, u> and m<k> <l, r, cnt> of ``n`` rounds."""
+    parts = [
+        f"toks AS MATERIALIZED (SELECT doc_id, {_PRE} AS ws FROM documents)",
+        "occ AS MATERIALIZED (SELECT doc_id, r.i AS i, ws[r.i] AS w FROM toks, range(1, len(ws) + 1) r(i))",
+        "w0 AS MATERIALIZED (SELECT w, count(*) AS n, '<' || array_to_string(list_transform("
+        "regexp_extract_all(hex(encode(w)), '..'), lambda h: CAST(('0x' || h)::BIGINT AS VARCHAR)), '><') || '>' AS u "
+        "FROM occ GROUP BY w)"]
+    for k in range(n):
+        parts.append(
+            f"m{k} AS MATERIALIZED (SELECT l, r, cnt FROM (SELECT CAST(s[j.i] AS BIGINT) AS l, CAST(s[j.i + 1] AS BIGINT) AS r, "
+            f"sum(n) AS cnt FROM (SELECT n, string_split(substr(u, 2, length(u) - 2), '><') AS s FROM w{k}) x, "
+            f"range(1, len(s)) j(i) GROUP BY ALL) y ORDER BY cnt DESC, l, r LIMIT 1)")
+        parts.append(
+            f"w{k + 1} AS MATERIALIZED (SELECT w, n, replace(u, '<' || m.l || '><' || m.r || '>', '<{256 + k}>') AS u "
+            f"FROM w{k}, m{k} m)")
+    return ", ".join(parts)
+
+
+def learned_sql(n: int) -> str:
+    rows = " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS rank, l AS left, r AS right, "
+                              f"CAST({256 + k} AS BIGINT) AS token_id FROM m{k}" for k in range(n))
+    return f"WITH {_learn_sql(n)} {rows}"
+
+
+_CODED = f"""
+WITH {_learn_sql(NUM_MERGES)},
+coded AS (SELECT o.doc_id, string_agg(replace(substr(w.u, 2, length(w.u) - 2), '><', ' '), ' ' ORDER BY o.i) AS s
+          FROM occ o JOIN w{NUM_MERGES} w ON o.w = w.w GROUP BY o.doc_id),
+ids AS (SELECT d.doc_id, d.text, coalesce(c.s, '') AS s FROM documents d LEFT JOIN coded c ON c.doc_id = d.doc_id)
+"""
+
 ORACLE = {
-    "t7_subword_encode": "SELECT doc_id, true AS roundtrip_ok, CAST(octet_length(encode(text)) AS BIGINT) AS n_bytes FROM documents",
+    "t10_learn_merges": learned_sql(NUM_MERGES),
+    "t7_subword_encode": f"{_CODED} SELECT doc_id, CAST(CASE WHEN s = '' THEN 0 ELSE length(s) - length(replace(s, ' ', '')) + 1 END AS BIGINT) AS n_ids, md5(s) AS ids_md5 FROM ids",
     "t8_subword_decode": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
-    "t9_special_tokens": "SELECT doc_id, CAST(1 AS BIGINT) AS n_special, md5(concat(text, '<|endoftext|>', text)) AS text_md5 FROM documents",
+    "t9_special_tokens": f"{_CODED} SELECT doc_id, CAST(1 AS BIGINT) AS n_special, md5(trim(s || ' {bpe.END_OF_TEXT_ID} ' || s)) AS ids_md5, md5(concat(text, '{bpe.END_OF_TEXT}', text)) AS text_md5 FROM ids",
 }

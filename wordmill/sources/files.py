@@ -23,10 +23,10 @@ RESPONSE_SCHEMA = INSTRUCTION_SCHEMA + ", model_response string"
 
 def _csv_reader(spark: SparkSession, schema: str, header: bool, sep: str, quote: str):
     r = (spark.read.schema(schema).option("header", header).option("sep", sep)
-         .option("multiLine", True).option("mode", "FAILFAST"))
-    if quote:
-        return r.option("quote", quote).option("escape", quote)
-    return r.option("quote", "")  # quoting off: raw TSV lines
+         .option("mode", "FAILFAST"))
+    if quote:  # a quoted field may span lines, so a file can't be cut between tasks
+        return r.option("multiLine", True).option("quote", quote).option("escape", quote)
+    return r.option("quote", "")  # quoting off: raw TSV lines, split freely
 
 
 def read_labelled_tsv(spark: SparkSession, path: str, quote: str = '"',
@@ -75,18 +75,21 @@ def write_json_records(df: DataFrame, path: str, mode: str = "overwrite") -> Non
 def write_json_arrays(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON array files: one ``[...]`` per input partition, one file per task.
 
-    Map-only (no shuffle): each task joins its own rows' JSON objects, so a
-    file holds exactly one array and its size is bounded by the partition.
+    Map-only (no shuffle) and row by row: a task writes the opening bracket, one object a line
+    with its comma, and the closing bracket, so it never holds more than a batch.
     """
     js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
 
     def per_partition(batches):
         import pandas as pd
-        objs: list[str] = []
+        first = True
         for pdf in batches:
-            objs.extend(pdf["j"].tolist())
-        if objs:
-            yield pd.DataFrame({"value": ["[" + ",".join(objs) + "]"]})
+            rows = [("[" if first and k == 0 else ",") + x for k, x in enumerate(pdf["j"].tolist())]
+            if rows:
+                first = False
+                yield pd.DataFrame({"value": rows})
+        if not first:
+            yield pd.DataFrame({"value": ["]"]})
 
     js.mapInPandas(per_partition, "value string").write.mode(mode).text(path)
 
@@ -104,11 +107,11 @@ def read_vocab_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_merge_list(spark: SparkSession, path: str) -> DataFrame:
-    """A rank-ordered merge list ``left right`` per line (``#`` lines skipped) ->
+    """A rank-ordered merge list ``left right`` per line (a ``#version`` first line skipped) ->
     <rank, left, right>."""
     raw = spark.read.text(path, wholetext=True)
     lines = raw.select(F.posexplode(F.split(F.col("value"), "\n")).alias("line_no", "line"))
-    kept = lines.where((F.length(F.trim("line")) > 0) & ~F.col("line").startswith("#"))
+    kept = lines.where((F.length(F.trim("line")) > 0) & ~((F.col("line_no") == 0) & F.col("line").startswith("#version")))
     parts = F.split(F.col("line"), " ")
     ranked = kept.select("line_no", parts[0].alias("left"), parts[1].alias("right"))
     first = ranked.agg(F.min("line_no").alias("_wm_first"))
@@ -117,6 +120,18 @@ def read_merge_list(spark: SparkSession, path: str) -> DataFrame:
         (F.col("line_no") - F.col("_wm_first")).alias("rank"), "left", "right")
 
 
+def write_model_files(spark: SparkSession, model, path: str) -> None:
+    """S8 counterpart: ``path/vocab`` (one JSON map) and ``path/merges`` (a ranked pair a line)
+    in the printable byte alphabet. Both are bounded by the model."""
+    from wordmill.operators.subword import token_table
+    table = token_table(spark, model)
+    vocab = table.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("token", "token_id")))).alias("value"))
+    vocab.coalesce(1).write.mode("overwrite").text(f"{path}/vocab")
+    name = {r["token_id"]: r["token"] for r in table.collect()}
+    lines = [("#version: 0.2",), *((f"{name[a]} {name[b]}",) for a, b, _ in model.merges)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(f"{path}/merges")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
