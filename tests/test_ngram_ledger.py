@@ -59,10 +59,49 @@ def test_greedy_continue(spark):
     df = _ids(spark)
     counts = ng.fit(df, "ids")
     got = {r.doc_id: list(r.generated) for r in
-           ng.greedy_continue(df, "doc_id", "ids", counts, 7, checkpoint_every=3).collect()}
+           ng.greedy_continue(df, "doc_id", "ids", counts, 7).collect()}
     assert got == {i: py_greedy(s[-1], 7) for i, s in enumerate(SEQS)}
 
 
+def test_greedy_continue_longer_orders_and_stop(spark):
+    df = _ids(spark)
+    for order, steps in ((1, 3), (2, 1), (2, 33), (3, 9)):
+        counts = ng.fit(df, "ids", order)
+        table = {}
+        for r in counts.collect():
+            key = tuple(r.ctx)
+            table[key] = max(table.get(key, (0, 0)), (r.n, -r.next))
+        uni = {}
+        for r in counts.collect():
+            uni[r.next] = uni.get(r.next, 0) + r.n
+        common = max(uni, key=lambda x: (uni[x], -x))
+        got = {r.doc_id: list(r.generated) for r in ng.greedy_continue(df, "doc_id", "ids", counts, steps, order).collect()}
+        for i, s in enumerate(SEQS):
+            walk = list(s)
+            for _ in range(steps):
+                key = tuple(walk[-(order - 1):]) if order > 1 else ()
+                walk.append(-table[key][1] if key in table else common)
+            assert got[i] == walk[len(s):], (order, steps, i)
+    counts = ng.fit(df, "ids")
+    cut = {r.doc_id: list(r.generated) for r in ng.greedy_continue(df, "doc_id", "ids", counts, 6, eos_id=3).collect()}
+    for i, s in enumerate(SEQS):
+        full = py_greedy(s[-1], 6)
+        assert cut[i] == (full[:full.index(3)] if 3 in full else full)
+
+
+def test_hot_start_context_is_not_joined_plainly(spark, monkeypatch):
+    """90 % of the prompts end in one context: beyond the broadcast limit its walks are salted."""
+    from wordmill.functions import joins
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", None)
+    counts = ng.fit(_ids(spark), "ids")
+    rows = spark.range(1000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 > 0, F.array(F.lit(2)))
+                                    .otherwise(F.array(F.col("id") % 7)).cast("array<bigint>").alias("ids"))
+    out = ng.greedy_continue(rows, "doc_id", "ids", counts, 4)
+    assert "_wm_salt" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.doc_id: list(r.generated) for r in out.collect()}
+    assert len(got) == 1000 and all(got[i] == py_greedy(2, 4) for i in range(1000) if i % 10)
+
+
 def test_sample_continue_stops_at_eos_and_greedy_at_zero_temperature(spark):
     df = _ids(spark)
     counts = ng.fit(df, "ids")

@@ -7,9 +7,8 @@ Re-aimed from transformer pre-training: the model is a table of counts
   combined before the shuffle).
 * Loss pre-aggregates validation pairs to distinct (ctx, next) with a
   multiplicity before joining, so no hot pair is joined row by row.
-* Greedy continuation depends only on the context, so it walks the distinct
-  start contexts (not the prompts), carries the path as an array and cuts
-  lineage every few steps through the reliable checkpoint folder.
+* Greedy continuation depends only on the context: distinct start contexts are
+  continued by path doubling over the table of contexts, with few joins.
 * Sampled continuation is an inverse-CDF lookup per prompt and step. Each
   context's cumulative probabilities are cut into ``max(ceil(k/4),
   ceil(4096 * share of training occurrences))`` buckets of the [0,1) axis,
@@ -98,36 +97,83 @@ def global_best(counts: DataFrame) -> DataFrame:
     return uni.agg(F.max_by("next", F.struct(F.col("n"), -F.col("next"))).alias("fallback"))
 
 
-def greedy_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataFrame,
-                    max_new_tokens: int, order: int = 2, checkpoint_every: int = 10,
-                    out_col: str = "generated") -> DataFrame:
-    """Append exactly ``max_new_tokens`` greedy ids to every prompt (no stop token).
+def _next_context(ctx: Column, token: Column, order: int) -> Column:
+    return context_of(F.concat(ctx, F.array(token)), order).cast("array<bigint>")
+
+
+def _greedy_steps(counts: DataFrame, starts: DataFrame, order: int) -> DataFrame:
+    """<ctx, tok, nxt> for every context that a walk can reach: seen ones, starts, and where they lead.
 
-    Prompts sharing their last ``order - 1`` ids share the walk, so the loop
-    runs over distinct contexts and the prompts join back at the end with hot
-    contexts salted.
+    An unseen context goes on with the overall most frequent id, so after ``order`` steps from a
+    known one nothing new turns up.
+    """
+    best = cut_lineage(best_next(counts))
+    fallback = best.sparkSession.createDataFrame(
+        [global_best(counts).first()], "fallback bigint") if not best.isEmpty() else None
+    if fallback is None:
+        return best.select("ctx", F.col("best").alias("tok"), F.col("ctx").alias("nxt"))
+
+    def step(nodes: DataFrame) -> DataFrame:
+        x = nodes.join(best, "ctx", "left").crossJoin(F.broadcast(fallback))  # one row
+        tok = F.coalesce("best", "fallback")
+        return x.select("ctx", tok.alias("tok"), _next_context(F.col("ctx"), tok, order).alias("nxt"))
+
+    steps = cut_lineage(step(best.select("ctx").union(starts.select("ctx")).distinct()))
+    new = steps
+    for _ in range(order):
+        new = cut_lineage(step(new.select(F.col("nxt").alias("ctx")).distinct().join(steps, "ctx", "left_anti")))
+        if new.isEmpty():
+            break
+        steps = steps.unionByName(new)
+    return cut_lineage(steps)
+
+
+def greedy_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataFrame,
+                    max_new_tokens: int, order: int = 2, out_col: str = "generated",
+                    eos_id: Column | int | None = None) -> DataFrame:
+    """Append ``max_new_tokens`` greedy ids to every prompt; ``eos_id`` ends it and is not appended.
+
+    Prompts sharing their last ``order - 1`` ids share the walk, so it runs over distinct
+    contexts. Walks flow together, so they aren't followed step by step: a table of jumps over
+    1, 2, 4, ... steps is made by joining it with itself, and the positions of a walk are filled
+    in by halves, about ``2 * log2(max_new_tokens)`` joins in all. A context in which many walks
+    meet is salted by how many do.
     """
-    # The walk reads these once per step: materialise them once.
-    n_parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    best = cut_lineage(best_next(counts).crossJoin(F.broadcast(global_best(counts)))
-                       .repartition(n_parts, "ctx"))
-    fallback = best.select("fallback").first()[0] if best.take(1) else None  # a scalar
-    lookup = best.select(F.col("ctx").alias("cur"), "best")
     p = prompts.select(id_col, context_of(F.col(ids_col), order).cast("array<bigint>").alias("start"))
-    starts = p.groupBy("start").agg(F.count(F.lit(1)).alias("n_prompts"))
-    frontier = starts.select("start", "n_prompts", F.col("start").alias("cur"),
-                             F.array().cast("array<bigint>").alias("path"))
-    for step in range(max_new_tokens):
-        j = frontier.join(lookup, "cur", "left")
-        tok = F.coalesce(F.col("best"), F.lit(fallback).cast("bigint"))
-        nxt_ctx = context_of(F.concat("cur", F.array(tok)), order)
-        frontier = j.select("start", "n_prompts", nxt_ctx.alias("cur"),
-                            F.concat("path", F.array(tok)).alias("path"))
-        if checkpoint_every and (step + 1) % checkpoint_every == 0 and step + 1 < max_new_tokens:
-            frontier = cut_lineage(frontier)
-    paths = cut_lineage(frontier.select("start", "n_prompts", F.col("path").alias(out_col)))
-    return salted_lookup(p, paths, "start", salt_cols=[id_col], freq_col="n_prompts",
-                         how="left").select(id_col, out_col)
+    starts = cut_lineage(p.groupBy("start").agg(F.count(F.lit(1)).alias("n_prompts")))
+    steps = _greedy_steps(counts, starts.select(F.col("start").alias("ctx")), order)
+    jumps = {1: steps.select("ctx", "nxt")}
+    size = 1
+    while size * 2 < max_new_tokens:
+        half = jumps[size]
+        met = half.groupBy("nxt").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("nxt", "mid")
+        second = met.join(half.select(F.col("ctx").alias("mid"), F.col("nxt").alias("end")), "mid")
+        jumps[size * 2] = cut_lineage(salted_lookup(
+            half.withColumnRenamed("nxt", "mid"), second, "mid", salt_cols=["ctx"], freq_col="n", how="inner")
+            .select("ctx", F.col("end").alias("nxt")))
+        size *= 2
+    at = starts.select("start", F.lit(0).alias("pos"), F.col("start").alias("ctx"))
+    while size:
+        here = at.where(F.col("pos") + size < max_new_tokens)
+        met = here.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"))
+        table = met.join(jumps[size], "ctx")
+        moved = salted_lookup(here, table, "ctx", salt_cols=["start", "pos"], freq_col="n", how="inner").select(
+            "start", (F.col("pos") + size).alias("pos"), F.col("nxt").alias("ctx"))
+        at = cut_lineage(at.unionByName(moved))
+        size //= 2
+    met = at.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"))
+    toks = salted_lookup(at.where(F.col("pos") < max_new_tokens), met.join(steps.select("ctx", "tok"), "ctx"), "ctx",
+                         salt_cols=["start", "pos"], freq_col="n", how="inner")
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "tok")))
+    path = F.transform(ordered, lambda x: x["tok"])
+    paths = toks.groupBy("start").agg(path.alias(out_col))
+    if eos_id is not None:
+        stop = F.array_position(F.col(out_col), (F.lit(eos_id) if isinstance(eos_id, int) else eos_id).cast("bigint"))
+        paths = paths.withColumn(out_col, F.when(stop > 0, F.slice(out_col, F.lit(1), (stop - 1).cast("int")))
+                                 .otherwise(F.col(out_col)))
+    paths = cut_lineage(starts.join(paths, "start", "left"))
+    out = salted_lookup(p, paths, "start", salt_cols=[id_col], freq_col="n_prompts", how="left")
+    return out.select(id_col, F.coalesce(out_col, empty_ctx()).alias(out_col))
 
 
 def candidates(counts: DataFrame, top_k: int | None = None, temperature: float = 1.0,
@@ -140,6 +186,10 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
     Contexts also include the empty context (unigram counts) as the fallback.
     """
     uni = counts.groupBy("next").agg(F.sum("n").alias("n")).withColumn("ctx", empty_ctx())
+    if top_k is not None and temperature and temperature > 0:
+        # only ids that tie with the k-th can be drawn, so the whole vocabulary meets in no task
+        kth = uni.select("n").orderBy(F.col("n").desc()).limit(top_k).agg(F.min("n").alias("_wm_kth"))
+        uni = uni.crossJoin(F.broadcast(kth)).where(F.col("n") >= F.col("_wm_kth")).drop("_wm_kth")
     allc = counts.select("ctx", "next", "n").unionByName(uni.select("ctx", "next", "n"))
     byctx = Window.partitionBy("ctx")
     # a context's training frequency sizes its bucket count too, so a context that
@@ -201,8 +251,11 @@ def sample_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
     nb = cand.select("ctx", "nb").distinct()
     empty_nb = nb.where(F.size("ctx") == 0).select(F.col("nb").alias("_wm_enb"))
     start = prompts.select(id_col, context_of(F.col(ids_col), order).cast("array<bigint>").alias("cur"))
-    start = (start.join(nb.withColumnRenamed("ctx", "cur"), "cur", "left")
-                  .crossJoin(F.broadcast(empty_nb)))
+    # many prompts may end in one context: salted by how many do
+    met = start.groupBy("cur").agg(F.count(F.lit(1)).alias("n_prompts"))
+    known = cut_lineage(met.join(nb.withColumnRenamed("ctx", "cur"), "cur", "left"))
+    start = (salted_lookup(start, known, "cur", salt_cols=[id_col], freq_col="n_prompts")
+             .crossJoin(F.broadcast(empty_nb)))
     frontier = start.select(
         id_col, F.when(F.col("nb").isNull(), empty_ctx()).otherwise(F.col("cur")).alias("cur"),
         F.coalesce("nb", "_wm_enb").alias("nb"), F.array().cast("array<bigint>").alias("path"),

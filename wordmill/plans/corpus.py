@@ -76,6 +76,15 @@ def l8_sample(spark, sf_dir):
     return s.select("doc_id", _ids_text("generated").alias("generated"))
 
 
+def l8_sample_stop(spark, sf_dir):
+    """L8 with a stop id that occurs: the id of the full stop."""
+    ids, vocab, counts = _model(spark, sf_dir)
+    stop = vocab.where(F.col("token") == ".").select("token_id").first()
+    s = ng.sample_continue(ids, "doc_id", "full_ids", counts, 15, order=2, top_k=25,
+                           temperature=1.4, eos_id=stop[0] if stop else None, seed=123)
+    return s.select("doc_id", _ids_text("generated").alias("generated"))
+
+
 def l10_sample_report(spark, sf_dir):
     ids, vocab, counts = _model(spark, sf_dir)
     g = ng.greedy_continue(ids, "doc_id", "full_ids", counts, 50, order=2)
@@ -90,6 +99,7 @@ QUERIES = {
     "l6_loss": l6_loss,
     "l7_greedy": l7_greedy,
     "l8_sample": l8_sample,
+    "l8_sample_stop": l8_sample_stop,
     "l10_sample_report": l10_sample_report,
 }
 
@@ -156,6 +166,13 @@ LEFT JOIN (SELECT ctx, sum(n) AS ctx_n FROM ({_COUNTS}) c2 GROUP BY ctx) t ON t.
 (SELECT count(*) AS v FROM ({_VOCAB}) vv) v""",
     "l7_greedy": f"SELECT doc_id, array_to_string(path, ' ') AS generated FROM ({_greedy_sql(25)}) g",
     "l8_sample": _SAMPLE,
+    "l8_sample_stop": f"""
+WITH RECURSIVE {_SAMPLE.split("WITH RECURSIVE", 1)[1].rsplit("SELECT doc_id, array_to_string", 1)[0].rstrip()},
+last AS (SELECT doc_id, path FROM walk WHERE step = 15),
+stop AS (SELECT token_id FROM ({_VOCAB}) v WHERE token = '.')
+SELECT doc_id, array_to_string(CASE WHEN list_contains(path, token_id) THEN path[1 : list_position(path, token_id) - 1]
+                               ELSE path END, ' ') AS generated
+FROM last LEFT JOIN stop ON true""",
 }
 
 _L10 = f"""

@@ -16,7 +16,7 @@ from wordmill.plans.classification import spam_splits
 from wordmill.plans.scoring import row_splits
 from wordmill.sources import adapters
 from wordmill.sources import files as io
-from wordmill.session import load_table
+from wordmill.session import cut_lineage, load_table
 
 
 def l1_batch_scoring(spark: SparkSession, sf_dir: str):
@@ -56,27 +56,34 @@ def l4_classify_texts(spark, sf_dir):
     return pred.select("doc_id", lab.prediction_name("pred").alias("predicted"))
 
 
+#: Ids that L9 generates at most (the reference's limit).
+MAX_NEW_TOKENS = 256
+
+
 def l9_responses(spark, sf_dir):
-    recs = smp.ordered_split(adapters.instruction_records(spark, sf_dir), ["conv_id", "turn"])
-    recs = recs.withColumn("rid", F.col("conv_id") * F.lit(100000) + F.col("turn")).withColumn(
-        "full", pr.training_text("instruction", "input", "output")).withColumn(
-        "prompt", pr.format_input("instruction", "input")).cache()
-    vocab = tok.build_vocab(tok.explode_tokens(recs.select("rid", F.col("full").alias("text")), "rid")).cache()
+    """Continues the prompts of the held-out records up to the end-of-text id and exports the responses."""
+    key = ["conv_id", "turn"]
+    recs = smp.ordered_split(adapters.instruction_records(spark, sf_dir), key)
+    recs = cut_lineage(recs.withColumn("full", pr.training_text("instruction", "input", "output"))
+                       .withColumn("prompt", F.concat(pr.format_input("instruction", "input"),
+                                                      F.lit(pr.RESPONSE_HEADER)))
+                       .withColumn("rid", F.concat_ws("/", *key)))
+    vocab = tok.build_vocab(tok.explode_tokens(recs.select("rid", F.col("full").alias("text")), "rid"))
+    # the end-of-text id is the first one beyond the vocabulary, at the end of each training text
+    end = vocab.agg(F.count(F.lit(1)).cast("bigint").alias("end_id")).first()["end_id"]
     train = tok.encode_texts(recs.where(F.col("split") == "train").select("rid", F.col("full").alias("text")),
                              vocab, id_col="rid")
-    counts = ng.fit(train, "ids", 2)
+    counts = cut_lineage(ng.fit(train.select(F.concat("ids", F.array(F.lit(end))).alias("ids")), "ids", 2))
     test = recs.where(F.col("split") == "test")
-    prompts = tok.encode_texts(test.select("rid", F.col("prompt").alias("text")), vocab, id_col="rid")
-    gen = ng.greedy_continue(prompts, "rid", "ids", counts, 25, order=2)
-    full_ids = prompts.join(gen, "rid").select("rid", F.concat("ids", "generated").alias("ids"))
-    text = tok.decode_ids(full_ids, vocab, id_col="rid", out_col="generated_text")
-    out = test.join(text, "rid").withColumn(
-        "model_response", pr.extract_response("generated_text", "prompt"))
+    prompts = cut_lineage(tok.encode_texts(test.select("rid", F.col("prompt").alias("text")), vocab, id_col="rid"))
+    gen = ng.greedy_continue(prompts, "rid", "ids", counts, MAX_NEW_TOKENS, order=2, eos_id=end)
+    # only what was generated is decoded: nothing of the prompt has to be cut off again
+    text = tok.decode_ids(gen, vocab, id_col="rid", ids_col="generated", out_col="generated_text")
+    out = test.join(text, "rid").withColumn("model_response", pr.extract_response("generated_text", F.lit("")))
     path = io.scratch_path(spark, "instruction-responses")
-    io.write_json_records(out.select("conv_id", "turn", "instruction", "input", "output",
-                                     "model_response"), path)
+    io.write_json_records(out.select(*key, "instruction", "input", "output", "model_response"), path)
     back = spark.read.schema("conv_id bigint, turn bigint, " + io.RESPONSE_SCHEMA).json(path)
-    return back.select("conv_id", "turn", F.length("model_response").cast("bigint").alias("response_chars"),
+    return back.select(*key, F.length("model_response").cast("bigint").alias("response_chars"),
                        F.md5("model_response").alias("response_md5"))
 
 
@@ -95,8 +102,8 @@ FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY vec_id""",
 }
 
 _RECS = f"""
-SELECT conv_id, turn, conv_id * 100000 + turn AS rid, split,
-       {q.format_input('instruction', 'input')} AS prompt,
+SELECT conv_id, turn, conv_id || '/' || turn AS rid, split,
+       concat({q.format_input('instruction', 'input')}, chr(10), chr(10), '### Response:', chr(10)) AS prompt,
        concat({q.format_input('instruction', 'input')}, chr(10), chr(10), '### Response:', chr(10), output) AS full_text
 FROM (SELECT *, CASE WHEN idx < floor(n * {q.dbl(0.85)}) THEN 'train'
                      WHEN idx < floor(n * {q.dbl(0.85)}) + floor(n * {q.dbl(0.1)}) THEN 'test' ELSE 'validation' END AS split
@@ -108,24 +115,26 @@ _TRAIN_IDS = q.encoded(f"SELECT rid, full_text AS text FROM ({_RECS}) a WHERE sp
 _PROMPT_IDS = q.encoded(f"SELECT rid, prompt AS text FROM ({_RECS}) a WHERE split = 'test'", _RVOCAB, "rid")
 _L9 = f"""
 WITH RECURSIVE
+vocab AS MATERIALIZED (SELECT token, token_id FROM ({_RVOCAB}) v0),
+fin AS MATERIALIZED (SELECT count(*) AS end_id FROM vocab),
+texts AS MATERIALIZED (SELECT list_append(ids, end_id) AS ids FROM ({_TRAIN_IDS}) t, fin),
 counts AS MATERIALIZED (SELECT ids[i - 1] AS ctx, ids[i] AS next, count(*) AS n
-                        FROM ({_TRAIN_IDS}) t, range(2, len(ids) + 1) r(i) GROUP BY ALL),
+                        FROM texts, range(2, len(ids) + 1) r(i) GROUP BY ALL),
 best AS MATERIALIZED (SELECT ctx, arg_max(next, (n, -next)) AS best FROM counts GROUP BY ctx),
 fb AS MATERIALIZED (SELECT arg_max(next, (n, -next)) AS fallback FROM
                     (SELECT next, sum(n) AS n FROM counts GROUP BY next) u),
-prompts AS MATERIALIZED (SELECT rid, ids, ids[len(ids)] AS start FROM ({_PROMPT_IDS}) p),
-walk(start, step, cur, path) AS (
-  SELECT DISTINCT start, 0, start, []::BIGINT[] FROM prompts
+prompts AS MATERIALIZED (SELECT rid, ids[len(ids)] AS start FROM ({_PROMPT_IDS}) p),
+walk(start, step, cur) AS (
+  SELECT DISTINCT start, 0, start FROM prompts
   UNION ALL
-  SELECT w.start, w.step + 1, coalesce(b.best, f.fallback), list_append(w.path, coalesce(b.best, f.fallback))
-  FROM walk w LEFT JOIN best b ON b.ctx = w.cur CROSS JOIN fb f WHERE w.step < 25),
-gen AS (SELECT p.rid, list_concat(p.ids, w.path) AS all_ids FROM prompts p JOIN walk w
-        ON p.start = w.start AND w.step = 25),
-txt AS (SELECT g.rid, {q.decode_clean("string_agg(v.token, ' ' ORDER BY r.k)")} AS generated_text
-        FROM gen g, range(1, len(g.all_ids) + 1) r(k) JOIN ({_RVOCAB}) v ON v.token_id = g.all_ids[r.k]
-        GROUP BY g.rid)
+  SELECT w.start, w.step + 1, coalesce(b.best, f.fallback)
+  FROM walk w LEFT JOIN best b ON b.ctx = w.cur CROSS JOIN fb f WHERE w.step < {MAX_NEW_TOKENS}),
+stop AS (SELECT start, min(step) AS at FROM walk, fin WHERE step > 0 AND cur = end_id GROUP BY start),
+gen AS (SELECT w.start, string_agg(v.token, ' ' ORDER BY w.step) AS joined
+        FROM walk w LEFT JOIN stop s ON s.start = w.start JOIN vocab v ON v.token_id = w.cur
+        WHERE w.step > 0 AND (s.at IS NULL OR w.step < s.at) GROUP BY w.start)
 SELECT a.conv_id, a.turn, length(x.resp) AS response_chars, md5(x.resp) AS response_md5
-FROM (SELECT t.rid, {q.py_strip("replace(substr(t.generated_text, length(a0.prompt) + 1), '### Response:', '')")} AS resp
-      FROM txt t JOIN ({_RECS}) a0 ON a0.rid = t.rid) x JOIN ({_RECS}) a ON a.rid = x.rid
+FROM (SELECT p.rid, {q.py_strip("replace(" + q.decode_clean("coalesce(g.joined, '')") + ", '### Response:', '')")} AS resp
+      FROM prompts p LEFT JOIN gen g ON g.start = p.start) x JOIN ({_RECS}) a ON a.rid = x.rid
 """
 ORACLE["l9_responses"] = _L9
