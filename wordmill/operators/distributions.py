@@ -82,6 +82,20 @@ def sample(df: DataFrame, seed: int, step: int | str = 0, row_cols: str | Sequen
     return x.groupBy(*rows).agg(F.coalesce(F.min(hit), F.max(class_col)).alias(out_col))
 
 
+def row_scores(df: DataFrame, row_cols: str | Sequence[str] = "row_id", class_col: str = "class_id",
+               logit_col: str = "logit", target_col: str = "target", ignore_index: int = -100) -> DataFrame:
+    """M1 + M6 in one aggregate: <row..., target, pred, loss>; the loss of an ignored target is NULL."""
+    rows = _ids(row_cols)
+    x = df.withColumn("_wm_m", F.max(logit_col).over(Window.partitionBy(*rows)))
+    agg = x.groupBy(*rows, target_col).agg(
+        F.max_by(F.col(class_col), F.struct(F.col(logit_col), -F.col(class_col))).alias("pred"),
+        F.max("_wm_m").alias("_wm_m"), F.sum(F.exp(F.col(logit_col) - F.col("_wm_m"))).alias("_wm_s"),
+        F.max(F.when(F.col(class_col) == F.col(target_col), F.col(logit_col))).alias("_wm_t"))
+    loss = F.log("_wm_s") + F.col("_wm_m") - F.col("_wm_t")
+    return agg.select(*rows, target_col, "pred",
+                      F.when(F.col(target_col) != F.lit(ignore_index), loss).alias("loss"))
+
+
 def cross_entropy(df: DataFrame, row_cols: str | Sequence[str] = "row_id",
                   class_col: str = "class_id", logit_col: str = "logit",
                   target_col: str = "target", ignore_index: int = -100,

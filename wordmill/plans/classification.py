@@ -1,7 +1,7 @@
 """Entry A: labelled messages -> balance -> label ids -> split -> tokens -> vocabulary.
 
-Each query takes (spark, sf_dir) and returns a lazy DataFrame; ``ORACLE``
-holds the DuckDB twin of each one.
+Each query takes (spark, sf_dir) and returns a DataFrame; tables that several branches read
+(splits, vocabularies) are materialised while it is built. ``ORACLE`` holds the DuckDB twins.
 """
 
 from __future__ import annotations
@@ -16,17 +16,27 @@ from wordmill.operators import tokens as tok
 from wordmill.operators.indexing import sorted_index
 from wordmill.plans import sqlbits as q
 from wordmill.sources import adapters
-from wordmill.session import load_table
+from wordmill.session import cut_lineage, load_table
 
 SEED = 123
 
 
 def spam_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The classification data set: <doc_id, Label 0/1, Text, idx, split>."""
-    msgs = adapters.labelled_messages(spark, sf_dir)
-    bal = smp.balance(msgs, "Label", "doc_id", seed=SEED, classes=["ham", "spam"])
+    narrow = narrow_splits(spark, sf_dir)
+    texts = adapters.corpus(spark, sf_dir).withColumnRenamed("text", "Text")
+    return narrow.join(texts, "doc_id").select("doc_id", "Label", "Text", "idx", "split")
+
+
+def narrow_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """<doc_id, Label 0/1, idx, split>: balanced and split on ids alone, materialised once.
+
+    The texts are joined afterwards, one shuffle for all that balancing and splitting decide.
+    """
+    labels = adapters.message_labels(spark, sf_dir)
+    bal = cut_lineage(smp.balance(labels, "Label", "doc_id", seed=SEED, classes=["ham", "spam"]))
     ids = bal.withColumn("Label", lab.map_labels("Label").cast("int"))
-    return smp.random_split(ids, "doc_id", 0.7, 0.1, 0.2, seed=SEED)
+    return cut_lineage(smp.random_split(ids, "doc_id", 0.7, 0.1, 0.2, seed=SEED))
 
 
 def split_token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +49,8 @@ def split_token_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def d1_balance(spark, sf_dir):
-    msgs = adapters.labelled_messages(spark, sf_dir)
-    return smp.balance(msgs, "Label", "doc_id", seed=SEED, classes=["ham", "spam"]).select(
+    labels = adapters.message_labels(spark, sf_dir)
+    return smp.balance(labels, "Label", "doc_id", seed=SEED, classes=["ham", "spam"]).select(
         "doc_id", "Label")
 
 
@@ -57,7 +67,7 @@ def d3_shuffle(spark, sf_dir):
 
 
 def d4_random_split(spark, sf_dir):
-    return spam_splits(spark, sf_dir).select("doc_id", "Label", "idx", "split")
+    return narrow_splits(spark, sf_dir).select("doc_id", "Label", "idx", "split")
 
 
 def d6_sorted_index(spark, sf_dir):
@@ -66,7 +76,7 @@ def d6_sorted_index(spark, sf_dir):
 
 
 def d7_num_batches(spark, sf_dir):
-    sp = spam_splits(spark, sf_dir)
+    sp = narrow_splits(spark, sf_dir)
     sizes = sp.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
     drop = F.col("split") == "train"
     return sizes.select(
@@ -76,7 +86,7 @@ def d7_num_batches(spark, sf_dir):
 
 
 def d8_first_batches(spark, sf_dir):
-    sp = spam_splits(spark, sf_dir)
+    sp = narrow_splits(spark, sf_dir)
     # batch position inside each split = global idx minus the split's first idx
     start = sp.groupBy("split").agg(F.min("idx").alias("start"))
     pos = sp.join(F.broadcast(start), "split").withColumn("pos", F.col("idx") - F.col("start"))
@@ -148,7 +158,7 @@ def t4_inverse_vocab(spark, sf_dir):
 
 def _encoded(spark, sf_dir):
     docs = adapters.corpus(spark, sf_dir)
-    return tok.encode_texts(docs, _vocab(spark, sf_dir).cache())
+    return tok.encode_texts(docs, _vocab(spark, sf_dir))
 
 
 def t5_encode(spark, sf_dir):
@@ -158,7 +168,7 @@ def t5_encode(spark, sf_dir):
 
 
 def t6_decode(spark, sf_dir):
-    vocab = _vocab(spark, sf_dir).cache()
+    vocab = _vocab(spark, sf_dir)
     enc = tok.encode_texts(adapters.corpus(spark, sf_dir), vocab)
     dec = tok.decode_ids(enc, vocab)
     return dec.select("doc_id", F.length("decoded").cast("bigint").alias("decoded_chars"),

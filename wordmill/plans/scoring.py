@@ -14,7 +14,7 @@ from wordmill.operators import tokens as tok
 from wordmill.operators import vectors as vec
 from wordmill.plans import sqlbits as q
 from wordmill.sources import adapters
-from wordmill.session import load_table
+from wordmill.session import cut_lineage, load_table
 
 R6 = 6
 
@@ -28,7 +28,8 @@ def row_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     (train drops its short last batch)."""
     rows = load_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("row_id"), F.col("label").cast("int").alias("target"))
-    sp = smp.random_split(rows, "row_id", 0.7, 0.1, 0.2, seed=123)
+    # a narrow table that several branches read: materialised once
+    sp = cut_lineage(smp.random_split(rows, "row_id", 0.7, 0.1, 0.2, seed=123))
     start = sp.groupBy("split").agg(F.min("idx").alias("_s"), F.count(F.lit(1)).alias("_n"))
     x = sp.join(F.broadcast(start), "split")  # three rows
     x = x.withColumn("batch_id", F.floor((F.col("idx") - F.col("_s")) / 8).cast("bigint"))
@@ -65,51 +66,44 @@ def m6_cross_entropy(spark, sf_dir):
     return ce.select("row_id", F.round("loss", R6).alias("loss"))
 
 
-def _losses_preds(spark, sf_dir):
-    sc = scores(spark, sf_dir)
+def _scored_rows(spark, sf_dir) -> DataFrame:
+    """<row_id, target, pred, loss, split, batch_id> of every row of a loader."""
     rs = row_splits(spark, sf_dir).select("row_id", "split", "batch_id")
-    losses = dist.cross_entropy(sc).join(rs, "row_id")
-    preds = dist.argmax(sc).join(rs, "row_id").join(
-        sc.select("row_id", "target").distinct(), "row_id")
-    return losses, preds
+    return dist.row_scores(scores(spark, sf_dir)).join(rs, "row_id")
 
 
 def m7_loader_loss(spark, sf_dir):
-    losses, _ = _losses_preds(spark, sf_dir)
-    first = ev.loader_loss(losses, 5, "split").withColumnRenamed("loss", "loss_first5")
-    full = ev.loader_loss(losses, None, "split").withColumnRenamed("loss", "loss_all")
-    return first.join(full, "split").select("split", F.round("loss_first5", R6).alias("loss_first5"),
-                                            F.round("loss_all", R6).alias("loss_all"))
+    r = ev.split_report(_scored_rows(spark, sf_dir), 5)
+    return r.select("split", F.round("loss_first", R6).alias("loss_first5"), F.round("loss_all", R6).alias("loss_all"))
 
 
 def m8_accuracy(spark, sf_dir):
-    _, preds = _losses_preds(spark, sf_dir)
-    first = ev.accuracy(preds, 5, "split").withColumnRenamed("accuracy", "acc_first5")
-    full = ev.accuracy(preds, None, "split").withColumnRenamed("accuracy", "acc_all")
-    return first.join(full, "split").select("split", F.round("acc_first5", R6).alias("acc_first5"),
-                                            F.round("acc_all", R6).alias("acc_all"))
+    r = ev.split_report(_scored_rows(spark, sf_dir), 5)
+    return r.select("split", F.round("acc_first", R6).alias("acc_first5"), F.round("acc_all", R6).alias("acc_all"))
 
 
 def m9_eval_report(spark, sf_dir):
-    losses, preds = _losses_preds(spark, sf_dir)
-    r = ev.report(losses, preds, ["train", "validation", "test"])
-    return r.select("split", F.round("loss", R6).alias("loss"), F.round("accuracy", R6).alias("accuracy"))
+    r = ev.split_report(_scored_rows(spark, sf_dir))
+    names = spark.createDataFrame([(s,) for s in ("train", "validation", "test")], "split string")
+    return names.join(F.broadcast(r), "split", "left").select(  # three rows
+        "split", F.round(F.coalesce("loss_all", F.lit(float("nan"))), R6).alias("loss"),
+        F.round(F.coalesce("acc_all", F.lit(0.0)), R6).alias("accuracy"))
 
 
 def m10_loss_curve(spark, sf_dir):
-    sc = scores(spark, sf_dir)
-    ce = dist.cross_entropy(sc).select("row_id", "loss")
-    rs = row_splits(spark, sf_dir)
-    train = rs.where(F.col("split") == "train").select("row_id")
-    sched = led.epoch_schedule(train, "row_id", num_epochs=5, batch_size=8, seed=123)
-    ledger = led.exposure_ledger(sched)
-    points = led.eval_points(ledger, 5)
-    train_loss = (ev.loader_loss(sched.join(ce, "row_id"), 5, "epoch")
-                  .withColumnRenamed("loss", "train_loss"))
-    val = rs.where(F.col("split") == "validation").join(ce, "row_id")
+    """Losses at every fifth step against epochs and tokens seen (rows x columns: a row has its classes)."""
+    rows = cut_lineage(_scored_rows(spark, sf_dir).select("row_id", "split", "batch_id", "loss"))
+    width = load_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("row_id"), F.size("embedding").cast("bigint").alias("n_tok"))
+    train = rows.where(F.col("split") == "train").select("row_id", "loss").join(width, "row_id")
+    sched = cut_lineage(led.epoch_schedule(train, "row_id", num_epochs=5, batch_size=8, seed=123))
+    points = led.eval_points(led.exposure_ledger(sched, "n_tok"), 5)
+    train_loss = ev.loader_loss(sched, 5, "epoch").withColumnRenamed("loss", "train_loss")
+    val = rows.where(F.col("split") == "validation")
     val_loss = ev.loader_loss(val, 5).withColumnRenamed("loss", "val_loss")
-    curve = ev.loss_curve(points.join(train_loss, "epoch").crossJoin(F.broadcast(val_loss)), 5, 5)
-    return curve.select("step", "examples_seen", F.round("epoch_pos", R6).alias("epoch_pos"),
+    points = cut_lineage(points.join(train_loss, "epoch").crossJoin(F.broadcast(val_loss)))  # one row
+    curve = ev.loss_curve(points, 5, 5)
+    return curve.select("step", "examples_seen", "tokens_seen", F.round("epoch_pos", R6).alias("epoch_pos"),
                         F.round("train_loss", R6).alias("train_loss"),
                         F.round("val_loss", R6).alias("val_loss"))
 
@@ -173,8 +167,10 @@ SELECT row_id, epoch, batch_id, epoch * nb + batch_id AS step FROM (
 WHERE batch_id < nb
 """
 _POINTS = f"""
-SELECT epoch, step, CAST(sum(ex) OVER (ORDER BY step) AS BIGINT) AS examples_seen FROM
-  (SELECT epoch, step, count(*) AS ex FROM ({_SCHED}) s GROUP BY epoch, step) g
+SELECT epoch, step, CAST(sum(ex) OVER (ORDER BY step) AS BIGINT) AS examples_seen,
+       CAST(sum(tk) OVER (ORDER BY step) AS BIGINT) AS tokens_seen FROM
+  (SELECT epoch, step, count(*) AS ex, sum(len(embedding)) AS tk FROM ({_SCHED}) s JOIN embeddings e ON e.vec_id = s.row_id
+   GROUP BY epoch, step) g
 """
 
 ORACLE = {
@@ -205,7 +201,7 @@ FROM (VALUES ('train'), ('validation'), ('test')) s(split)
 LEFT JOIN (SELECT split, avg(bl) AS loss FROM ({_LOSS_B}) b GROUP BY split) l ON s.split = l.split
 LEFT JOIN (SELECT split, count_if(pred = target) / count(*) AS acc FROM ({_PRED_S}) p GROUP BY split) a ON s.split = a.split""",
     "m10_loss_curve": f"""
-SELECT p.step, p.examples_seen,
+SELECT p.step, p.examples_seen, p.tokens_seen,
        round(CASE WHEN n.n <= 1 THEN 0.0 ELSE floor(p.step / 5) * 5.0 / (n.n - 1) END, 6) AS epoch_pos,
        round(t.train_loss, 6) AS train_loss, round(v.val_loss, 6) AS val_loss
 FROM ({_POINTS}) p

@@ -22,6 +22,14 @@ def labelled_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("text").alias("Text")))
 
 
+def message_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """<doc_id, Label> of the labelled messages without their text."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id")
+    labels = load_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return docs.join(labels, "doc_id").select(
+        "doc_id", F.when(F.col("quality") == 0, "spam").otherwise("ham").alias("Label"))
+
+
 def instruction_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """<conv_id, turn, instruction, input, output> from conversations.
 
