@@ -111,3 +111,23 @@ def test_batch_scoring_and_linear_head(spark):
     assert len(pred) == 40 and all(abs(sum(r.p) - 1) < 1e-9 and r.pred == int(np.argmax(r.p)) for r in pred)
     most = max(sum(r.label == k for r in pred) for k in (0, 1))
     assert sum(r.pred == r.label for r in pred) > most
+
+
+PROMO = "You are a winner you have been specially selected to receive a cash award claim now"
+FRIEND = "Hey are we still meeting for dinner at my place tomorrow evening"
+
+
+def test_text_classifier_losses_cap_and_sample_texts(spark):
+    rows = [(f"{PROMO} {i}", 1, "train") for i in range(12)] + [(f"{FRIEND} {i}", 0, "train") for i in range(12)]
+    rows += [(PROMO, 1, "test"), (FRIEND, 0, "test"), (FRIEND + " soon", 0, "test")]
+    df = spark.createDataFrame(rows, "Text string, label int, split string")
+    train = df.where("split = 'train'")
+    cap = ml.longest_text(train, "Text")
+    assert cap == 17
+    model = ml.fit_text_classifier(train, "Text", "label", cap)
+    out = {r.split: r for r in ml.quality_by(ml.classify(model, df, "Text", max_length=cap, probs_col="probs"), ["split"]).collect()}
+    assert (out["train"].n_rows, out["train"].accuracy, out["train"].majority) == (24, 1.0, 0.5)
+    assert out["train"].loss < 0.1 and out["test"].accuracy == 1.0 and abs(out["test"].majority - 2 / 3) < 1e-12
+    long = spark.createDataFrame([(FRIEND + " x" * 10 + " " + PROMO * 50,), (PROMO,), ("",)], "Text string")
+    pred = [r.pred for r in ml.classify(model, long, "Text", max_length=12).collect()]
+    assert pred[0] == 0 and pred[1] == 1 and pred[2] in (0, 1)  # beyond the cap nothing counts

@@ -58,21 +58,35 @@ def text_classifier(num_features: int = 1 << 18, max_iter: int = 50, reg: float
     ])
 
 
-def with_word_tokens(df: DataFrame, text_col: str, tokens_col: str = "tokens") -> DataFrame:
-    return df.withColumn(tokens_col, word_tokens(text_col))
+def with_word_tokens(df: DataFrame, text_col: str, tokens_col: str = "tokens",
+                     max_length: int | None = None) -> DataFrame:
+    """Word tokens, cut to ``max_length``. Padding up to it adds nothing to a bag of words,
+    so no pad tokens are made."""
+    toks = word_tokens(text_col)
+    return df.withColumn(tokens_col, toks if max_length is None else F.slice(toks, 1, max_length))
 
 
-def fit_text_classifier(train: DataFrame, text_col: str, label_col: str, **kw) -> PipelineModel:
+def longest_text(df: DataFrame, text_col: str) -> int:
+    """The number of word tokens of the longest text: the cap of L4 after training on ``df``."""
+    return int(df.agg(F.coalesce(F.max(F.size(word_tokens(text_col))), F.lit(0)).alias("m")).first()["m"])
+
+
+def fit_text_classifier(train: DataFrame, text_col: str, label_col: str, max_length: int | None = None,
+                        **kw) -> PipelineModel:
     """L2: fit on the training rows."""
-    t = with_word_tokens(train, text_col).withColumn(label_col, F.col(label_col).cast("double"))
+    t = with_word_tokens(train, text_col, max_length=max_length).withColumn(
+        label_col, F.col(label_col).cast("double"))
     return text_classifier(label_col=label_col, **kw).fit(t)
 
 
-def classify(model: PipelineModel, df: DataFrame, text_col: str, out_col: str = "pred") -> DataFrame:
-    """L4 core: predicted class id per text."""
-    out = model.transform(with_word_tokens(df, text_col))
-    return out.withColumn(out_col, F.col("prediction").cast("int")).drop(
-        "tokens", "_wm_tf", "_wm_features", "raw", "probability", "prediction")
+def classify(model: PipelineModel, df: DataFrame, text_col: str, out_col: str = "pred",
+             max_length: int | None = None, probs_col: str | None = None) -> DataFrame:
+    """L4 core: predicted class id per text; ``probs_col`` adds the class probabilities."""
+    out = model.transform(with_word_tokens(df, text_col, max_length=max_length))
+    out = out.withColumn(out_col, F.col("prediction").cast("int"))
+    if probs_col:
+        out = out.withColumn(probs_col, vector_to_array("probability"))
+    return out.drop("tokens", "_wm_tf", "_wm_features", "raw", "probability", "prediction")
 
 
 def fit_linear_head(train: DataFrame, features_col: str, label_col: str,
@@ -94,6 +108,18 @@ def apply_linear_head(model, df: DataFrame, features_col: str, out_col: str = "p
     return x.drop("_wm_v", "rawPrediction", "probability", "prediction")
 
 
+def quality_by(df: DataFrame, group_cols: Sequence[str], probs_col: str = "probs", pred_col: str = "pred",
+               label_col: str = "label", floor: float = 1e-15) -> DataFrame:
+    """Rows, mean cross-entropy of the labels, accuracy and the share of the largest class."""
+    p = F.greatest(F.element_at(probs_col, F.col(label_col).cast("int") + 1), F.lit(floor))
+    per_class = df.groupBy(*group_cols, label_col).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(-F.log(p)).alias("_l"),
+        F.count_if(F.col(pred_col) == F.col(label_col)).alias("_c"))
+    return per_class.groupBy(*group_cols).agg(
+        F.sum("_n").alias("n_rows"), (F.sum("_l") / F.sum("_n")).alias("loss"),
+        (F.sum("_c") / F.sum("_n")).alias("accuracy"), (F.max("_n") / F.sum("_n")).alias("majority"))
+
+
 def accuracy_by(df: DataFrame, group_cols: Sequence[str], pred_col: str = "pred",
                 label_col: str = "label") -> DataFrame:
     return df.groupBy(*group_cols).agg(

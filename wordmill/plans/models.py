@@ -11,6 +11,7 @@ from wordmill.operators import ngram as ng
 from wordmill.operators import prompts as pr
 from wordmill.operators import sampling as smp
 from wordmill.operators import tokens as tok
+from wordmill.plans import scoring
 from wordmill.plans import sqlbits as q
 from wordmill.plans.classification import spam_splits
 from wordmill.plans.scoring import row_splits
@@ -27,35 +28,67 @@ def l1_batch_scoring(spark: SparkSession, sf_dir: str):
 
 
 def _spam_model(spark, sf_dir):
-    sp = spam_splits(spark, sf_dir).withColumnRenamed("Label", "label").cache()
-    model = ml.fit_text_classifier(sp.where(F.col("split") == "train"), "Text", "label")
-    return sp, model
+    sp = cut_lineage(spam_splits(spark, sf_dir).withColumnRenamed("Label", "label"))
+    train = sp.where(F.col("split") == "train")
+    cap = ml.longest_text(train, "Text")
+    return sp, ml.fit_text_classifier(train, "Text", "label", cap), cap
+
+
+def _rounded(quality: DataFrame) -> DataFrame:
+    return quality.select("split", "n_rows", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"))
+
+
+def _facts(quality: DataFrame) -> DataFrame:
+    """What SQL can predict of a fitted model: rows, its losses are numbers, training learned something."""
+    learned = (F.col("split") != "train") | (F.col("accuracy") >= F.col("majority"))
+    sound = (F.col("loss") >= 0) & F.col("accuracy").between(0, 1) & learned
+    return quality.select("split", F.col("n_rows").cast("bigint").alias("n_rows"), sound.alias("sound"))
+
+
+def _text_quality(spark, sf_dir) -> DataFrame:
+    sp, model, cap = _spam_model(spark, sf_dir)
+    return ml.quality_by(ml.classify(model, sp, "Text", max_length=cap, probs_col="probs"), ["split"])
 
 
 def l2_text_classifier(spark, sf_dir):
-    sp, model = _spam_model(spark, sf_dir)
-    pred = ml.classify(model, sp, "Text")
-    acc = ml.accuracy_by(pred, ["split"])
-    return acc.select("split", "n_rows", F.round("accuracy", 6).alias("accuracy"))
+    return _rounded(_text_quality(spark, sf_dir))
 
 
-def l3_linear_head(spark, sf_dir):
+def l2_facts(spark, sf_dir):
+    return _facts(_text_quality(spark, sf_dir))
+
+
+def _head_quality(spark, sf_dir) -> DataFrame:
     rs = row_splits(spark, sf_dir).select("row_id", "split", F.col("target").alias("label"))
     emb = load_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
-    data = rs.join(emb, "row_id").cache()
+    data = cut_lineage(rs.join(emb, "row_id"))
     model = ml.fit_linear_head(data.where(F.col("split") == "train"), "embedding", "label")
-    pred = ml.apply_linear_head(model, data, "embedding")
-    acc = ml.accuracy_by(pred, ["split"])
-    return acc.select("split", "n_rows", F.round("accuracy", 6).alias("accuracy"))
+    return ml.quality_by(ml.apply_linear_head(model, data, "embedding", probs_col="probs"), ["split"])
 
 
-def l4_classify_texts(spark, sf_dir):
-    sp, model = _spam_model(spark, sf_dir)
+def l3_linear_head(spark, sf_dir):
+    return _rounded(_head_quality(spark, sf_dir))
+
+
+def l3_facts(spark, sf_dir):
+    return _facts(_head_quality(spark, sf_dir))
+
+
+def _classified(spark, sf_dir) -> DataFrame:
+    sp, model, cap = _spam_model(spark, sf_dir)
     test = sp.where(F.col("split") == "test").select("doc_id", "Text")
-    pred = ml.classify(model, test, "Text")
+    pred = ml.classify(model, test, "Text", max_length=cap)
     return pred.select("doc_id", lab.prediction_name("pred").alias("predicted"))
 
 
+def l4_classify_texts(spark, sf_dir):
+    return _classified(spark, sf_dir)
+
+
+def l4_facts(spark, sf_dir):
+    return _classified(spark, sf_dir).select("doc_id", F.col("predicted").isin("spam", "ham").alias("named"))
+
+
 #: Ids that L9 generates at most (the reference's limit).
 MAX_NEW_TOKENS = 256
 
@@ -91,11 +124,19 @@ QUERIES = {
     "l1_batch_scoring": l1_batch_scoring,
     "l2_text_classifier": l2_text_classifier,
     "l3_linear_head": l3_linear_head,
+    "l2_facts": l2_facts,
+    "l3_facts": l3_facts,
     "l4_classify_texts": l4_classify_texts,
+    "l4_facts": l4_facts,
     "l9_responses": l9_responses,
 }
 
+_SPLITS = q.spam_splits(123)
+
 ORACLE = {
+    "l2_facts": f"SELECT split, count(*) AS n_rows, true AS sound FROM ({_SPLITS}) s GROUP BY split",
+    "l3_facts": f"SELECT split, count(*) AS n_rows, true AS sound FROM ({scoring.ROW_SPLITS}) s GROUP BY split",
+    "l4_facts": f"SELECT doc_id, true AS named FROM ({_SPLITS}) s WHERE split = 'test'",
     "l1_batch_scoring": f"""
 SELECT vec_id, CAST(arg_max(i - 1, (CAST(embedding[i] AS DOUBLE), -(i - 1))) AS INTEGER) AS pred
 FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY vec_id""",

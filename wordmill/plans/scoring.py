@@ -155,6 +155,7 @@ SELECT row_id, target, split, batch_id FROM (
   FROM ({q.split3(_ROWS.replace('vec_id AS row_id', 'vec_id AS doc_id'), 123)}) s0) s1
 WHERE split <> 'train' OR batch_id < floor(sn / 8)
 """.replace("SELECT row_id, target, split, batch_id", "SELECT doc_id AS row_id, target, split, batch_id")
+ROW_SPLITS = _RS
 _LOSS_B = f"SELECT r.split, r.batch_id, avg(c.loss) AS bl FROM ({_CE}) c JOIN ({_RS}) r ON c.row_id = r.row_id GROUP BY r.split, r.batch_id"
 _PRED_S = f"SELECT r.split, r.batch_id, a.pred, a.target FROM ({_ARGMAX}) a JOIN ({_RS}) r ON a.row_id = r.row_id"
 _SCHED = f"""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,7 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
@@ -40,7 +43,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared
     file system). Only a local-mode session without that setting (tests,
-    bench) gets a fresh temporary folder.
+    bench) gets a fresh temporary folder, which goes when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set; set it to a shared folder "
             "before running iterative operators on a cluster")
     local_dir = tempfile.mkdtemp(prefix="wordmill-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, local_dir, ignore_errors=True)
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()
 
