@@ -34,6 +34,10 @@ from pyspark.sql import functions as F
 from wordmill.functions.joins import salted_lookup
 from wordmill.llm.common import cut_lineage, native, slices, text_bytes
 
+#: Containers nested deeper than this are read as the tags of a flow.
+MAX_DEPTH = 100
+#: Children of one wrapper node; beyond that, keys are coarsened to tag names and any repetition folds.
+MAX_NODES = 200
 #: Pages that a text must be shared by, at least, to count as the host's own.
 SHARED_PAGES = 3
 
@@ -57,20 +61,24 @@ _BREAKS = frozenset("""address article aside blockquote body br caption center d
 
 
 class Box:
-    """A container of a page: children are boxes and flows (lists of texts and tag names)."""
+    """A container of a page: children are boxes and flows (lists of texts and tag names).
 
-    __slots__ = ("key", "role", "items")
+    Boilerplate is a box without children; ``nested`` counts open elements of its name inside it.
+    """
+
+    __slots__ = ("key", "name", "role", "items", "nested")
 
     def __init__(self, key: str, role: str):
-        self.key, self.role, self.items = key, role, []
+        self.key, self.name, self.role, self.items, self.nested = key, key.partition(".")[0], role, [], 0
 
 
 def _label(name: str, attributes: str) -> tuple[str, str]:
-    """(alignment key, role) of an element: its name and the words of its class, id and role."""
+    """(alignment key, role) of an element: its name and the words of its class, id and role
+    (of boilerplate only the words that mark it)."""
     words = sorted({w for m in _NAMES.finditer(attributes) for w in re.findall(r"[a-z]+", (m[1] or m[2] or m[3] or "").lower())})
     dropped = name in _DROPPED or any(w in _MARKS for w in words)
     role = "drop" if dropped else "article" if name in _ARTICLE or "main" in words and name != "body" else ""
-    return ".".join([name, *words]), role
+    return ".".join([name, *(w for w in words if not dropped or w in _MARKS)]), role
 
 
 def parse(page: str) -> Box:
@@ -79,6 +87,8 @@ def parse(page: str) -> Box:
     stack = [root]
 
     def flow() -> list:
+        if stack[-1].role == "drop":
+            return []  # nothing of it is kept
         items = stack[-1].items
         if not items or isinstance(items[-1], Box):
             items.append([])
@@ -91,17 +101,25 @@ def parse(page: str) -> Box:
         name = (m[3] or "").lower()
         if not name:
             continue  # a comment, declaration, script or the like
+        top = stack[-1]
         if m[2]:
-            open_at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].key.split(".")[0] == name), 0)
+            if top.role == "drop" and top.name == name and top.nested:
+                top.nested -= 1
+                continue
+            open_at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), 0)
             if open_at:
                 del stack[open_at:]
-            elif name not in _BOXES:
+            else:
                 flow().append(("b", name))
             continue
-        if name in _BREAKS and len(stack) > 1 and stack[-1].key.split(".")[0] == "p":
+        if name in _BREAKS and top.name == "p":
             stack.pop()  # a block ends an open paragraph
+        elif top.role == "drop":
+            top.nested += name == top.name and not m[4].endswith("/")
+            continue
         key, role = _label(name, m[4]) if m[4] else (name, "drop" if name in _DROPPED else "article" if name in _ARTICLE else "")
-        if name not in _VOID and (name in _BOXES or role) and not m[4].endswith("/"):
+        deep = len(stack) > MAX_DEPTH and role != "drop"
+        if name not in _VOID and (name in _BOXES or role) and not deep and not m[4].endswith("/"):
             box = Box(key, role)
             stack[-1].items.append(box)
             stack.append(box)
@@ -117,27 +135,38 @@ def parse(page: str) -> Box:
 
 def _node(item) -> dict:
     if isinstance(item, Box):
-        return {"k": item.key, "r": item.role, "o": 0, "m": 0, "c": _folded([_node(i) for i in item.items])}
+        return {"k": item.key, "r": item.role, "o": 0, "m": 0, "c": _coarse(_folded([_node(i) for i in item.items]))}
     text = xxhash.xxh64_hexdigest(" ".join("".join(x for kind, x in item if kind == "t").split()))
     return {"k": "", "tags": sorted({x for kind, x in item if kind == "b"}), "text": text, "o": 0, "m": 0}
 
 
 def _folded(nodes: list[dict]) -> list[dict]:
-    """Runs of one, two or three like elements become one repeated element (or sequence of repeated ones)."""
+    """An element like one of the last three before it folds onto that one: what lies between them is
+    then a repeated sequence of optional elements. Long sequences fold onto any earlier element."""
     out: list[dict] = []
     for node in nodes:
-        back = next((k for k in (1, 2, 3) if len(out) >= k and out[-k]["k"] == node["k"]), 0)
-        if back and node["k"]:
-            out[-back] = _merged(out[-back], node) | {"m": 1}
-            for k in range(back - 1, 0, -1):
-                out[-k] = out[-k] | {"o": 1, "m": 1}
-        elif back and node["k"] == "":
-            out[-back] = _merged(out[-back], node) | {"m": 1}
-        else:
+        reach = len(out) if len(out) > MAX_NODES else min(3, len(out))
+        back = next((k for k in range(1, reach + 1) if out[-k]["k"] == node["k"]), 0)
+        if not back:
             out.append(node)
+            continue
+        out[-back] = _merged(out[-back], node) | {"m": 1}
+        for k in range(back - 1, 0, -1):
+            out[-k] = out[-k] | {"o": 1, "m": 1}
     return out
 
 
+def _coarse(nodes: list[dict]) -> list[dict]:
+    """A sequence with too many different keys, told apart by tag names alone."""
+    if len(nodes) <= MAX_NODES:
+        return nodes
+    plain = [n if not n["k"] or n["r"] else n | {"k": n["k"].partition(".")[0]} for n in nodes]
+    out: dict = {}
+    for n in plain:
+        out[n["k"]] = (_merged(out[n["k"]], n) if n["k"] in out else n) | {"o": 1, "m": 1}
+    return list(out.values())
+
+
 def _merged(a: dict, b: dict) -> dict:
     """The expression of two aligned nodes of one key."""
     out = {"k": a["k"], "o": a["o"] | b["o"], "m": a["m"] | b["m"]}
@@ -164,7 +193,7 @@ def aligned(a: list[dict], b: list[dict]) -> list[dict]:
         else:
             out.append(b[j] | {"o": 1})
             j += 1
-    return _folded(out)
+    return _coarse(_folded(out))
 
 
 class Wrapper:
@@ -187,7 +216,7 @@ def _learned(batches):
     for batch in batches:
         for part in slices(batch, "html"):
             for url, raw in zip(part.column(0).to_pylist(), text_bytes(part, "html")):
-                nodes = _folded([_node(i) for i in parse(raw.decode("utf-8", "replace")).items])
+                nodes = _coarse(_folded([_node(i) for i in parse(raw.decode("utf-8", "replace")).items]))
                 host = _host(url)
                 if host in hosts:
                     hosts[host].add(nodes, 1)
@@ -224,16 +253,19 @@ def _kept(box_items: list, nodes: list[dict], inside: bool, shared: bool, out: d
         key = item.key if isinstance(item, Box) else ""
         # elements that the page lacks are optional, a repeated one may follow itself: the next node of this key,
         # else (a repeated sequence starts anew) the first
-        found = next((k for k in (*range(at, len(nodes)), *range(at)) if nodes[k]["k"] == key), None)
+        order = (*range(at, len(nodes)), *range(at))
+        found = next((k for k in order if nodes[k]["k"] == key), None)
+        if found is None and "." in key:  # a coarsened wrapper has the tag name alone
+            found = next((k for k in order if nodes[k]["k"] == item.name), None)
         node = nodes[found] if found is not None else None
         at = found if found is not None else at
         if isinstance(item, Box):
             role = node["r"] if node else item.role
             if role == "drop":
                 continue
-            out["breaks"](item.key)
+            out["breaks"](item.name)
             _kept(item.items, node["c"] if node else [], inside or role == "article", shared, out)
-            out["breaks"](item.key)
+            out["breaks"](item.name)
         elif inside:
             out["article"](item)
         else:
@@ -257,8 +289,8 @@ def main_text(page: str, nodes: list[dict], pages: int) -> str:
     """The main text of one page under its host's wrapper."""
     article, rest, every = [], [], []
 
-    def breaks(key):
-        tag = ("b", key.split(".")[0])
+    def breaks(name):
+        tag = ("b", name)
         for flows in (article, rest, every):
             flows.append(tag)
 

@@ -65,7 +65,11 @@ class TextCoder:
     in a row, so that a chunk is encoded once; any other tokenizer gets whole texts.
     """
 
-    _plain = re.compile(r"([a-z]+)([.,!?;:]*)")
+    #: Lower-case letters that no normalization changes, with ASCII punctuation (no apostrophe, which
+    #: makes contractions, and no "<", which begins an added token) before and after them.
+    _plain = re.compile(r"([!-&(-/:;=-@\[-`{-~]*)([a-z\u00df-\u00f6\u00f8-\u024f]*)([!-&(-/:;=-@\[-`{-~]*)")
+    #: Bytes that a byte-level vocabulary writes as another character than their own.
+    _shown = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 255 and b != 173))}
 
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
@@ -88,17 +92,23 @@ class TextCoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _core(self, piece: str) -> list[int]:
+        """The ids of one pre-token of lower-case letters, or of one of punctuation."""
         ids = self.core_ids.get(piece)
         if ids is None:
-            ids = [t.id for t in self.tokenizer.model.tokenize(piece)] if piece.isalpha() else self._whole(piece)
-            self.core_ids[piece] = ids
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._shown)
+            ids = self.core_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(shown)]
         return ids
 
     def _chunk(self, chunk: bytes) -> list[int]:
-        plain = self._plain.fullmatch(chunk.decode().lower()) if chunk.isascii() else None
+        text = chunk.decode("utf-8", "replace")
+        plain = self._plain.fullmatch(text.lower())
         if not plain:
-            return self._whole(chunk.decode("utf-8", "replace"))
-        return self._core(plain[1]) + self._core(plain[2]) if plain[2] else self._core(plain[1])
+            return self._whole(text)
+        before, letters, after = plain.groups()
+        ids = self._core(letters) if letters else []
+        if before:
+            ids = self._core(before) + ids
+        return ids + self._core(after) if after else ids
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of UTF-8 texts."""
