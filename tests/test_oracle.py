@@ -8,7 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from wordmill.plans.oracle_check import compare, duck
+from oracle_check import compare, duck
 
 SF = os.environ.get("WM_ORACLE_SF", "/root/testdata/sf0.001")
 SQL = E.oracle_sql()

@@ -4,7 +4,7 @@
 partition-parallel replacements:
 
 * ``hash_index`` - order by a seeded md5 key. The first ``digits`` hex chars of
-  the key are an order-preserving, uniform bucket (16**digits of them). Rows
+  the key are an order-preserving, uniform bucket (16**digits of them, from the shuffle width). Rows
   are ranked inside (group, bucket); the per-bucket sizes form a small table
   whose running totals are the offsets. Shuffle once on (group, bucket); the
   offsets table holds at most ``groups * 16**digits`` rows.
@@ -16,6 +16,7 @@ partition-parallel replacements:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,15 +38,22 @@ def hash_order_key(seed: int | str, id_cols: str | Sequence[str]) -> Column:
     return hash_key(seed, *_cols(id_cols))
 
 
+def bucket_digits(df: DataFrame) -> int:
+    """Hex digits that make at least four buckets for each shuffle partition (3 at least)."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(3, math.ceil(math.log(4 * width, 16)))
+
+
 def hash_index_with_sizes(df: DataFrame, id_cols: str | Sequence[str], seed: int | str = 123,
                           index_col: str = "idx", group_cols: str | Sequence[str] | None = None,
-                          total_col: str | None = None, digits: int = 3):
+                          total_col: str | None = None, digits: int | None = None):
     """``hash_index`` plus the per-group row counts ``<group..., _wm_n>``.
 
     The counts come from the same small per-bucket aggregate as the offsets,
     so a caller that needs group sizes does not read the indexed rows again.
     """
     ids, groups = _cols(id_cols), _cols(group_cols)
+    digits = digits or bucket_digits(df)
     keyed = (df.withColumn(_K, hash_order_key(seed, ids))
                .withColumn(_B, F.substring(F.col(_K), 1, digits)))
     w = Window.partitionBy(*groups, _B).orderBy(_K, *ids)
@@ -72,7 +80,7 @@ def hash_index_with_sizes(df: DataFrame, id_cols: str | Sequence[str], seed: int
 
 def hash_index(df: DataFrame, id_cols: str | Sequence[str], seed: int | str = 123,
                index_col: str = "idx", group_cols: str | Sequence[str] | None = None,
-               total_col: str | None = None, digits: int = 3) -> DataFrame:
+               total_col: str | None = None, digits: int | None = None) -> DataFrame:
     """Index rows 0..n-1 (per group) in seeded hash order ``md5(seed:id)``, id."""
     return hash_index_with_sizes(df, id_cols, seed, index_col, group_cols, total_col, digits)[0]
 
