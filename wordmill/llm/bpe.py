@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import json
 import re
 from collections import defaultdict
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from wordmill.llm.common import native, slices, text_bytes
 
 MAX_WORDS = 400_000
+#: New pre-tokens that are merged together.
+NEW_WORDS = 100_000
 #: Fixed value: the published byte-level pre-token pattern.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -63,13 +66,13 @@ class PairIndex:
         keys = merges[:, 0] << 32 | merges[:, 1]
         self.order = np.argsort(keys)
         self.keys, self.merges = keys[self.order], merges
-        self.base = np.array(model["base"], np.int64)
+        self.base = np.array(model["base"], np.int32)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each symbol pair, -1 where none merges."""
         if not len(self.keys):
             return np.full(len(left), -1)
-        wanted = left << 32 | right
+        wanted = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.order[at], -1)
 
@@ -78,7 +81,7 @@ class PairIndex:
         lens = np.fromiter((len(w) for w in words), np.int64, len(words))
         sym = self.base[np.frombuffer(b"".join(words), np.uint8)]
         n, ends = len(sym), np.cumsum(lens)
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         after[ends[lens > 0] - 1] = -1
         before[(ends - lens)[lens > 0]] = -1
         places, heap = defaultdict(list), []
@@ -95,7 +98,7 @@ class PairIndex:
                     heapq.heappush(heap, rank)
                 places[rank].append(own)
 
-        note(np.flatnonzero(after >= 0))
+        note(np.flatnonzero(after >= 0).astype(np.int32))
         while heap:
             rank = heapq.heappop(heap)
             a, b, merged = self.merges[rank].tolist()
@@ -108,7 +111,7 @@ class PairIndex:
                     if p not in taken:
                         chosen.append(p)
                         taken.add(int(after[p]))
-                at = np.array(chosen, np.int64)
+                at = np.array(chosen, np.int32)
             if not len(at):
                 continue
             gone = after[at]
@@ -134,8 +137,8 @@ class Coder:
     def _reset(self) -> None:
         self.known: dict = {i: k for k, i in enumerate(self.model["added"].values())}  # an added token's key is its id
         self.done = len(self.known)
-        self.ids = np.array(list(self.known), np.int64)
-        self.lens = np.ones(self.done, np.int64)
+        self.ids = np.array(list(self.known), np.int32)
+        self.lens = np.ones(self.done, np.int32)
 
     def lookups(self, text: str) -> np.ndarray:
         """Table positions of a text's pre-tokens; new ones get the next position."""
@@ -147,28 +150,28 @@ class Coder:
                 out.append(known[self.model["added"][part]])
             else:
                 out.extend([put(t, len(known)) for t in PRE_TOKEN.findall(part)])
-        return np.array(out, np.int64)
+        return np.array(out, np.int32)
 
     def full(self) -> bool:
         return len(self.known) > MAX_WORDS
 
     def settle(self) -> None:
         """Encode the pre-tokens that are new since the last call."""
-        words = [w.encode() for w in list(self.known)[self.done:]]
+        words = [w.encode() for w in itertools.islice(self.known, self.done, None)]
         if words:
             ids, lens = self.index.encode(words)
-            self.ids, self.lens = np.r_[self.ids, ids], np.r_[self.lens, lens]
+            self.ids, self.lens = np.r_[self.ids, ids], np.r_[self.lens, lens.astype(np.int32)]
             self.done = len(self.known)
 
     def ids_of(self, looked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids in a row, number of ids of each pre-token)."""
-        return _gather(self.ids, np.cumsum(self.lens) - self.lens, self.lens, looked)
+        return _gather(self.ids, np.cumsum(self.lens, dtype=np.int64) - self.lens, self.lens, looked)
 
 
 def _gather(data, starts, lens, at):
     """The pieces ``data[starts[i]:starts[i] + lens[i]]`` for i in ``at``, in a row, and their lengths."""
     size = lens[at]
-    ends = np.cumsum(size)
+    ends = np.cumsum(size, dtype=np.int64)
     inside = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size)
     return data[np.repeat(starts[at], size) + inside], size
 
@@ -179,7 +182,7 @@ def _encoded(model, batches):
 
     def flush():
         coder.settle()
-        starts = np.cumsum(coder.lens) - coder.lens
+        starts = np.cumsum(coder.lens, dtype=np.int64) - coder.lens
         for ids, looked in waiting:
             flat, size = _gather(coder.ids, starts, coder.lens, np.concatenate(looked))
             counts = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum([len(x) for x in looked])]]
@@ -190,8 +193,10 @@ def _encoded(model, batches):
     for batch in batches:
         for part in slices(batch, "text"):
             looked = [coder.lookups(t.decode("utf-8", "replace")) for t in text_bytes(part, "text")]
-            waiting.append((part.column(0), [x.astype(np.int32) for x in looked]))
+            waiting.append((part.column(0), looked))
             held += sum(map(len, looked))
+            if len(coder.known) - coder.done > NEW_WORDS:
+                coder.settle()
             if coder.full() or held > 16_000_000:
                 yield from flush()
                 held = 0

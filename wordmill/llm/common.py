@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from wordmill.session import cut_lineage, load_table
 #: Ids of one join side are broadcast up to this count (16 MB of longs), else both sides are shuffled.
 BROADCAST_IDS = 1_000_000
 #: Text bytes worked on at once inside a task; a single longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 __all__ = ["BROADCAST_IDS", "SLICE_BYTES", "cut_lineage", "keep_ids", "load_table", "lower_az", "native",
            "owners_of", "slices", "text_bytes", "word_spans", "word_hashes"]
@@ -52,7 +53,8 @@ def keep_ids(docs: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_I
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have at most ``limit`` bytes together (one row at least)."""
-    size = np.cumsum(np.fromiter((len(x) for x in text_bytes(batch, column)), np.int64, batch.num_rows))
+    lens = pc.binary_length(batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()))
+    size = np.cumsum(pc.fill_null(lens, 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
         before = size[start - 1] if start else 0

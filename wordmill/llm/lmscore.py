@@ -25,6 +25,8 @@ from wordmill.llm.common import BROADCAST_IDS, cut_lineage, native, slices, text
 
 #: Start sign: a byte that UTF-8 never uses.
 START = 0xFF
+#: Text bytes counted at once; the counts of a slice are as many as the vocabulary's trigrams.
+COUNT_BYTES = 4 << 20
 
 
 def _grams(texts: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +50,7 @@ def _counts(batches):
     """Sparse trigram counts of a task: all texts, and those flagged as target."""
     held = []
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", COUNT_BYTES):
             texts, flags = text_bytes(part, "text"), part.column(1).to_pylist()
             seen = np.unique(np.frombuffer(b"".join(texts) + bytes([START]), np.uint8))
             place = np.zeros(256, np.int64)
