@@ -5,8 +5,9 @@ character n-gram model (byte trigrams of the lower-cased letters, add-alpha smoo
 Expectation-maximisation estimates the document's language proportions from the word likelihoods,
 and the language set is selected by penalised likelihood: starting from the best single language, the
 next one is added only while it raises the log-likelihood by more than ``penalty * log(words + 1)``.
-The predicted language has the largest proportion; ties go to the first name. ``score`` is the
-mean responsibility of that language over the document's words.
+One more component, under which every trigram is equally likely, stands for words of no learned
+language. The predicted language has the largest proportion; ties go to the first name.
+``score`` is the mean responsibility of that language over the document's words, ``noise`` that of no language.
 
 The models are learned from all training rows: trigram counts are summed in each task, then shuffled.
 A model is 65,536 hashed trigrams a language, so what is broadcast is bounded by the number of
@@ -66,8 +67,8 @@ def _counts(batches):
                                           pa.array(counts[bins], pa.int64())], ["lang", "bin", "n"])
 
 
-def learn(train: DataFrame, alpha: float = 0.5) -> tuple[list[str], np.ndarray]:
-    """(languages, log-probabilities [bin, language]) from every row of ``train(text, lang)``."""
+def learn(train: DataFrame, alpha: float = 0.05) -> tuple[list[str], np.ndarray]:
+    """(languages, log-probabilities [bin, language or none]) from every row of ``train(text, lang)``."""
     rows = native(train, "lang", "text").where("lang is not null").select(
         F.col("lang").cast("string"), F.col("text").cast("string"))
     counted = rows.select("lang", "text").mapInArrow(
@@ -81,7 +82,8 @@ def learn(train: DataFrame, alpha: float = 0.5) -> tuple[list[str], np.ndarray]:
     for k, row in enumerate(per_lang):
         counts[[b.bin for b in row.bins], k] = [b.n for b in row.bins]
     logs = np.log((counts + alpha) / (counts.sum(0) + alpha * BINS))
-    return [r.lang for r in per_lang], logs.astype(np.float32)
+    uniform = np.full((BINS, 1), -np.log(BINS))
+    return [r.lang for r in per_lang], np.hstack([logs, uniform]).astype(np.float32)
 
 
 def mixtures(loglik: np.ndarray, first: np.ndarray, penalty: float = 4.0, rounds: int = 8):
@@ -146,6 +148,7 @@ def _predictor(model, penalty: float):
                 texts = text_bytes(part, "text")
                 has = [bool(langs) and bool(_LETTER.search(t.decode("utf-8", "ignore"))) for t in texts]
                 names, scores, sets = [UND] * len(texts), [0.0] * len(texts), [[] for _ in texts]
+                noise = [0.0] * len(texts)
                 rows = [i for i, x in enumerate(has) if x]
                 if rows:
                     norm = [_norm(texts[i]) for i in rows]
@@ -159,13 +162,18 @@ def _predictor(model, penalty: float):
                     loglik = np.add.reduceat(logs[codes[spot]], at, 0)
                     first = np.searchsorted(begin, np.cumsum([0, *(len(t) for t in norm)])[:-1])
                     share, resp = mixtures(loglik, first, penalty)
-                    best = share.argmax(1)
+                    real = share[:, :-1]
+                    # where no language is in the set, the likeliest one alone is named
+                    alone = np.add.reduceat(loglik[:, :-1], first, 0).argmax(1)
+                    best = np.where(real.max(1) > 0, real.argmax(1), alone)
                     for k, i in enumerate(rows):
                         names[i], scores[i] = langs[best[k]], float(min(1.0, resp[k, best[k]]))
-                        sets[i] = [langs[x] for x in np.flatnonzero(share[k] > 0)]
+                        sets[i] = [langs[x] for x in np.flatnonzero(real[k] > 0)]
+                        noise[i] = float(min(1.0, resp[k, -1]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                     pa.array(sets, pa.list_(pa.string()))], ["doc_id", "lang_pred", "score", "lang_set"])
+                     pa.array(sets, pa.list_(pa.string())), pa.array(noise, pa.float64())],
+                    ["doc_id", "lang_pred", "score", "lang_set", "noise"])
     return run
 
 
@@ -175,21 +183,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: float = 4.0) -> DataFrame:
-    """doc_id, lang_pred, score, lang_set of every row of ``docs(doc_id, text)``."""
+    """doc_id, lang_pred, score, lang_set, noise of every row of ``docs(doc_id, text)``."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     narrow = native(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(_predictor(held, penalty), "doc_id long, lang_pred string, score double, lang_set array<string>")
+    return narrow.mapInArrow(_predictor(held, penalty), "doc_id long, lang_pred string, score double, lang_set array<string>, noise double")
 
 
 def identify(docs: DataFrame, penalty: float = 4.0) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, lang_set; learned from the rows that aren't held out."""
+    """doc_id, held_out, lang_pred, score, lang_set, noise; learned from the rows that aren't held out."""
     train = docs.where(docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"]))
     out = predict(docs, learn(train), penalty)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "lang_set")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "lang_set", "noise")
 
 
-def drop_rejected(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """``docs`` without what is ``und`` or has no language with ``min_score`` of its words.
+def drop_rejected(docs: DataFrame, max_noise: float = 0.5) -> DataFrame:
+    """``docs`` without what is ``und`` or has more than ``max_noise`` of its words in no learned language.
 
     Decided row by row in one pass over the texts, so repeated ids and null ids need no join.
     """
@@ -204,6 +212,6 @@ def drop_rejected(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
             answers = pa.Table.from_batches(judge([pair])) if batch.num_rows else None
             if answers is not None:
                 names = answers.column("lang_pred").to_pylist()
-                scores = answers.column("score").to_pylist()
-                yield batch.filter(pa.array([n != UND and s >= min_score for n, s in zip(names, scores)], pa.bool_()))
+                noise = answers.column("noise").to_pylist()
+                yield batch.filter(pa.array([n != UND and x <= max_noise for n, x in zip(names, noise)], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
