@@ -196,7 +196,7 @@ def identify(docs: DataFrame, penalty: float = 4.0) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "lang_set", "noise")
 
 
-def drop_rejected(docs: DataFrame, max_noise: float = 0.5) -> DataFrame:
+def drop_rejected(docs: DataFrame, max_noise: float = 0.8) -> DataFrame:
     """``docs`` without what is ``und`` or has more than ``max_noise`` of its words in no learned language.
 
     Decided row by row in one pass over the texts, so repeated ids and null ids need no join.
