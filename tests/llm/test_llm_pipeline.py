@@ -16,7 +16,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.execute(queries.ORACLE[name]).df()[list(got.columns)]
 

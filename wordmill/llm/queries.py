@@ -64,7 +64,22 @@ QUERIES = {f.__name__: f for f in (op1_decontamination, op2_exact_dedup, op3_sim
                                      op5_secret_scan, op6_html_text, op7_language_id, op8_token_files, op9_lm_score,
                                      op10_bpe)}
 
+def _shingles(table: str, key: str) -> str:
+    """Distinct 5-word shingles <key, s> of a table's texts; a shorter text is one shingle."""
+    return rf"""
+        SELECT {key}, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+                                                          lambda i: array_to_string(w[i:i + 4], ' ')))) AS s
+        FROM (SELECT {key}, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{licenses.SEPARATORS}'),
+                                        lambda x: x <> '') AS w FROM {table}) t WHERE len(w) > 0"""
+
+
 ORACLE = {
+    "op1_decontamination": f"""
+        WITH d AS ({_shingles('documents', 'doc_id')}), q AS ({_shingles('benchmark', 'item_id')}),
+        n AS (SELECT item_id, count(*) AS n_shingles FROM q GROUP BY item_id)
+        SELECT d.doc_id, q.item_id, n.n_shingles, count(*) AS n_shared, count(*) / n.n_shingles AS containment
+        FROM q JOIN d ON d.s = q.s JOIN n ON n.item_id = q.item_id GROUP BY d.doc_id, q.item_id, n.n_shingles
+        HAVING count(*) >= 0.8 * n.n_shingles - 1e-9""",
     "op2_exact_dedup": f"""
         WITH n AS (SELECT doc_id, {_LOWER} AS norm FROM documents),
         w AS (SELECT doc_id, norm, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
