@@ -62,7 +62,9 @@ class TextCoder:
     """The tokenizers library's ids of whole texts.
 
     Where the tokenizer drops white space, a text's ids are those of its white-space-separated chunks
-    in a row, so that a chunk is encoded once; any other tokenizer gets whole texts.
+    in a row, so that a chunk is encoded once; any other tokenizer gets whole texts. Most chunks are
+    plain: letters that no normalization changes, with punctuation around them. Their pre-tokens go
+    straight to the tokenizer's model, each once; other chunks go through the whole tokenizer.
     """
 
     #: Lower-case letters that no normalization changes, with ASCII punctuation (no apostrophe, which
