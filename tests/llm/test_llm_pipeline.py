@@ -27,6 +27,12 @@ def test_query_equals_sql(spark, name):
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE)))
+def test_query_runs_over_its_whole_table(spark, name):
+    table = "pages" if name == "op6_html_text" else "documents"
+    assert queries.QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = []
