@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordmill.functions import joins
 from wordmill.functions.joins import salted_lookup
 from wordmill.functions.order import hash_uniform
 from wordmill.session import cut_lineage
@@ -142,28 +143,31 @@ def greedy_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
     p = prompts.select(id_col, context_of(F.col(ids_col), order).cast("array<bigint>").alias("start"))
     starts = cut_lineage(p.groupBy("start").agg(F.count(F.lit(1)).alias("n_prompts")))
     steps = _greedy_steps(counts, starts.select(F.col("start").alias("ctx")), order)
+    # every table that is followed below has at most the rows and columns of ``steps``
+    small = joins.fits_broadcast(steps, joins.BROADCAST_MAX_BYTES)
+
+    def follow(rows: DataFrame, key: str, table: DataFrame, salt_cols: list[str]) -> DataFrame:
+        if small:
+            return rows.join(F.broadcast(table), key)
+        met = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(table, key)
+        return salted_lookup(rows, met, key, salt_cols=salt_cols, freq_col="n", how="inner", small=False).drop("n")
+
     jumps = {1: steps.select("ctx", "nxt")}
     size = 1
     while size * 2 < max_new_tokens:
         half = jumps[size]
-        met = half.groupBy("nxt").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("nxt", "mid")
-        second = met.join(half.select(F.col("ctx").alias("mid"), F.col("nxt").alias("end")), "mid")
-        jumps[size * 2] = cut_lineage(salted_lookup(
-            half.withColumnRenamed("nxt", "mid"), second, "mid", salt_cols=["ctx"], freq_col="n", how="inner")
-            .select("ctx", F.col("end").alias("nxt")))
+        second = half.select(F.col("ctx").alias("mid"), F.col("nxt").alias("end"))
+        jumps[size * 2] = cut_lineage(follow(half.withColumnRenamed("nxt", "mid"), "mid", second, ["ctx"])
+                                      .select("ctx", F.col("end").alias("nxt")))
         size *= 2
     at = starts.select("start", F.lit(0).alias("pos"), F.col("start").alias("ctx"))
     while size:
         here = at.where(F.col("pos") + size < max_new_tokens)
-        met = here.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"))
-        table = met.join(jumps[size], "ctx")
-        moved = salted_lookup(here, table, "ctx", salt_cols=["start", "pos"], freq_col="n", how="inner").select(
+        moved = follow(here, "ctx", jumps[size], ["start", "pos"]).select(
             "start", (F.col("pos") + size).alias("pos"), F.col("nxt").alias("ctx"))
         at = cut_lineage(at.unionByName(moved))
         size //= 2
-    met = at.groupBy("ctx").agg(F.count(F.lit(1)).alias("n"))
-    toks = salted_lookup(at.where(F.col("pos") < max_new_tokens), met.join(steps.select("ctx", "tok"), "ctx"), "ctx",
-                         salt_cols=["start", "pos"], freq_col="n", how="inner")
+    toks = follow(at.where(F.col("pos") < max_new_tokens), "ctx", steps.select("ctx", "tok"), ["start", "pos"])
     ordered = F.array_sort(F.collect_list(F.struct("pos", "tok")))
     path = F.transform(ordered, lambda x: x["tok"])
     paths = toks.groupBy("start").agg(path.alias(out_col))
