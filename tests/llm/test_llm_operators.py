@@ -255,6 +255,29 @@ def test_page_text(spark):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def host_texts(pages, copies=1):
+    """Texts of pages of one host; each page is a task of its own or ``copies`` of it are one."""
+    wrapper = html_text.Wrapper([], 0)
+    for k, page in enumerate(pages * copies):
+        nodes = html_text._coarse(html_text._folded([html_text._node(i) for i in html_text.parse(page).items]))
+        wrapper.add(nodes, 1) if k else wrapper.__init__(nodes, 1)
+    return [html_text.main_text(p, wrapper.nodes, wrapper.pages) for p in pages]
+
+
+@pytest.mark.parametrize("extra", ["<ul><li>i</li><li>j</li></ul>", "<table><tr><td>i</td><td>j</td></table>",
+                                   "<section><p>i</p>j</section>", "<div class='quote'>i<p>j</p></div>",
+                                   "<section><div>i</div></section> <section><div>i</div></section>"])
+def test_what_one_page_alone_has_is_its_text(spark, extra):
+    page = "<body><section>same</section>\n<div class='content'>\n<p>{}</p>\n{}\n</div>\n<table>foot</table></body>"
+    pages = [page.format(x, extra * (x == "two")) for x in ("one", "two", "three", "four")]
+    own = html_text.main_text(f"<body>{extra}</body>", [], 1)
+    want = ["one", "two\n" + own, "three", "four"]
+    assert host_texts(pages) == want and host_texts(pages, 2) == want
+    rows = [(i, "http://a.b/", x) for i, x in enumerate(pages)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    assert [r.text for r in sorted(got)] == want
+
+
 def test_odd_pages_stay_bounded():
     """Deep nesting, many different elements and unclosed boilerplate neither fail nor grow the wrapper."""
     pages = ["<div>" * 5000 + "deep", "<nav>" * 3000 + "menu" + "</nav>" * 3000 + "<p>text",

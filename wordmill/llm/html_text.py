@@ -12,7 +12,8 @@ wrapper for each task by then and never its pages in one place.
 In the wrapper an element is the article, boilerplate (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments of readers) or neither. Aligning a page with its host's
 wrapper tells which of its texts are kept: those inside the article; where the page has none, the slots
-outside boilerplate, that is without the texts that all pages of the host share.
+outside boilerplate, that is without the texts that all pages of the host share. A text is shared only
+where every page of the host has this very text at this place ("a" in the nodes from there up).
 
 Defined results: null and empty html, and a page without main text, give an empty text and 0
 characters. A null url is a host of its own. Tags that are never closed end with what holds them.
@@ -131,13 +132,21 @@ def parse(page: str) -> Box:
 
 
 # A wrapper node is {"k": key, "r": role, "c": children} or, for a flow, {"k": "", "tags": [...], "text": hash or None};
-# both have "o" (optional) and "m" (repeated).
+# both have "o" (optional), "m" (repeated) and "a" (every page has it; a flow: with this very text).
 
 def _node(item) -> dict:
     if isinstance(item, Box):
-        return {"k": item.key, "r": item.role, "o": 0, "m": 0, "c": _coarse(_folded([_node(i) for i in item.items]))}
-    text = xxhash.xxh64_hexdigest(" ".join("".join(x for kind, x in item if kind == "t").split()))
-    return {"k": "", "tags": sorted({x for kind, x in item if kind == "b"}), "text": text, "o": 0, "m": 0}
+        return {"k": item.key, "r": item.role, "o": 0, "m": 0, "a": 1, "c": _coarse(_folded([_node(i) for i in item.items]))}
+    return {"k": "", "tags": sorted({x for kind, x in item if kind == "b"}), "text": _hash(item), "o": 0, "m": 0, "a": 1}
+
+
+def _hash(flow: list) -> str:
+    return xxhash.xxh64_hexdigest(" ".join("".join(x for kind, x in flow if kind == "t").split()))
+
+
+def _partly(node: dict) -> dict:
+    """A node that some pages lack, with all below it."""
+    return node | {"a": 0} | ({"c": [_partly(n) for n in node["c"]]} if node["k"] else {})
 
 
 def _folded(nodes: list[dict]) -> list[dict]:
@@ -150,7 +159,7 @@ def _folded(nodes: list[dict]) -> list[dict]:
         if not back:
             out.append(node)
             continue
-        out[-back] = _merged(out[-back], node) | {"m": 1}
+        out[-back] = _merged(out[-back], node, True) | {"m": 1}
         for k in range(back - 1, 0, -1):
             out[-k] = out[-k] | {"o": 1, "m": 1}
     return out
@@ -163,20 +172,25 @@ def _coarse(nodes: list[dict]) -> list[dict]:
     plain = [n if not n["k"] or n["r"] else n | {"k": n["k"].partition(".")[0]} for n in nodes]
     out: dict = {}
     for n in plain:
-        out[n["k"]] = (_merged(out[n["k"]], n) if n["k"] in out else n) | {"o": 1, "m": 1}
+        out[n["k"]] = (_merged(out[n["k"]], n, True) if n["k"] in out else n) | {"o": 1, "m": 1}
     return list(out.values())
 
 
-def _merged(a: dict, b: dict) -> dict:
-    """The expression of two aligned nodes of one key."""
-    out = {"k": a["k"], "o": a["o"] | b["o"], "m": a["m"] | b["m"]}
+def _merged(a: dict, b: dict, same: bool) -> dict:
+    """The expression of two aligned nodes of one key, from the ``same`` pages or from others."""
+    out = {"k": a["k"], "o": a["o"] | b["o"], "m": a["m"] | b["m"], "a": a["a"] | b["a"] if same else a["a"] & b["a"]}
     if a["k"] == "":
-        return out | {"tags": sorted({*a["tags"], *b["tags"]}), "text": a["text"] if a["text"] == b["text"] else None}
-    return out | {"r": a["r"], "c": aligned(a["c"], b["c"])}
+        text = a["text"] if a["text"] == b["text"] else None
+        return out | {"tags": sorted({*a["tags"], *b["tags"]}), "text": text, "a": out["a"] if text else 0}
+    if same and a["a"] != b["a"]:
+        a, b = (x if x["a"] else _partly(x) for x in (a, b))
+    return out | {"r": a["r"], "c": aligned(a["c"], b["c"], same)}
 
 
-def aligned(a: list[dict], b: list[dict]) -> list[dict]:
-    """Aligns two sequences on their longest common subsequence of keys; what one lacks is optional."""
+def aligned(a: list[dict], b: list[dict], same: bool = False) -> list[dict]:
+    """Aligns two sequences on their longest common subsequence of keys; what one lacks is optional,
+    and other pages than those of the ``same`` ones lack it."""
+    lacked = {"o": 1} if same else {"o": 1, "a": 0}
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -185,13 +199,13 @@ def aligned(a: list[dict], b: list[dict]) -> list[dict]:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and a[i]["k"] == b[j]["k"]:
-            out.append(_merged(a[i], b[j]))
+            out.append(_merged(a[i], b[j], same))
             i, j = i + 1, j + 1
         elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append(a[i] | {"o": 1})
+            out.append(a[i] | lacked)
             i += 1
         else:
-            out.append(b[j] | {"o": 1})
+            out.append(b[j] | lacked)
             j += 1
     return _coarse(_folded(out))
 
@@ -247,7 +261,10 @@ def infer_wrappers(pages: DataFrame, spread: int = 32) -> DataFrame:
 
 
 def _kept(box_items: list, nodes: list[dict], inside: bool, shared: bool, out: dict) -> None:
-    """Aligns the items of a page with wrapper nodes; collects flows of the article and other slots."""
+    """Aligns the items of a page with wrapper nodes; collects flows of the article and other slots.
+
+    ``shared``: the host has pages enough, and each has all that the nodes lie in.
+    """
     at = 0
     for item in box_items:
         key = item.key if isinstance(item, Box) else ""
@@ -264,12 +281,12 @@ def _kept(box_items: list, nodes: list[dict], inside: bool, shared: bool, out: d
             if role == "drop":
                 continue
             out["breaks"](item.name)
-            _kept(item.items, node["c"] if node else [], inside or role == "article", shared, out)
+            _kept(item.items, node["c"] if node else [], inside or role == "article", shared and bool(node and node["a"]), out)
             out["breaks"](item.name)
         elif inside:
             out["article"](item)
         else:
-            out["rest"](item, bool(node and shared and node["text"]))
+            out["rest"](item, bool(node and shared and node["a"] and node["text"] == _hash(item)))
 
 
 def _text(flows: list) -> str:
