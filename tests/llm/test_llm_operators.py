@@ -278,6 +278,30 @@ def test_what_one_page_alone_has_is_its_text(spark, extra):
     assert [r.text for r in sorted(got)] == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html class='nav-open no-js nav'><body class='single has-sidebar sidebar'><p>x</p></body></html>", "x"),
+    ("<body><main class='with-sidebar'>x</main>y</body>", "x"), ("<main class='sidebar'>x</main>y", "x"),
+    ("<article class='post social-science comment'>x</article>y", "x"),
+    ("<div id='search-results'><article>x</article></div>y", "x"), ("<div id='search'><article>x</article></div>y", "x"),
+    ("<form id='f'><div class='overlay'><main>x</main></div></form><article>y</article>", "x\ny"),
+    ("<html><head><link rel='a'><body class='b'><nav>n</nav>x</body></html>", "x"),
+    ("<head><body><form class='search'><main>x</main></form><form>y</form>", "x"),
+    ("<article><h1 class='page-header header'>x</h1><table><tr class='header'><td class='menu'>y</td></tr></table>"
+     "<p class='alert-free'>z<span class='share'>s</span></p><p class='alert'>no</p></article>", "x\ny\nzs"),
+    ("<article>x</article><div class='box comments'><article>no</article></div>", "x"),
+    ("<div>x</div><div class='comments'><article class='c'>no</article></div><aside><article>no</article></aside>", "x"),
+    ("<div class='x Sidebar'>no</div><div role='navigation'>no</div><div id='footer'>no</div><div>x</div>", "x"),
+    ("<html><body>x<div class='ad'><html><body>no</body></html></div></body></html>", "x"),
+    ("<div class='ad'>" * 400 + "<main>x</main>" + "</div>" * 400, "x")])
+def test_boilerplate_spares_the_page_and_its_article(page, want):
+    assert html_text.main_text(page, [], 1) == want
+
+
+def test_one_class_is_boilerplate_on_some_pages_only():
+    pages = ["<div class='search'>no</div><p>x", "<div class='search'><article>y</article></div>", "<div class='search2'>z</div>"]
+    assert host_texts(pages) == host_texts(pages[::-1])[::-1] == ["x", "y", "z"]
+
+
 def test_odd_pages_stay_bounded():
     """Deep nesting, many different elements and unclosed boilerplate neither fail nor grow the wrapper."""
     pages = ["<div>" * 5000 + "deep", "<nav>" * 3000 + "menu" + "</nav>" * 3000 + "<p>text",

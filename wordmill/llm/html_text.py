@@ -11,10 +11,15 @@ wrapper for each task by then and never its pages in one place.
 
 In the wrapper an element is the article, boilerplate (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments of readers) or neither. Aligning a page with its host's
-wrapper tells which of its texts are kept: those inside the article; where the page has none, the slots
+wrapper tells which of its texts are kept: those inside the page's article; where it has none, the slots
 outside boilerplate, that is without the texts that all pages of the host share. A text is shared only
 where every page of the host has this very text at this place ("a" in the nodes from there up).
 
+Boilerplate is marked by an element's name or by a whole word of its class, id or role. Never is it the page, the
+article, a heading, a part of a table or an inline tag, or what holds the page or a main element. What holds the only
+article of a page is none either, unless its own name says so (other than form and fieldset) or a word of readers'
+comments or of related pages: the article is then a comment or a teaser.
+
 Defined results: null and empty html, and a page without main text, give an empty text and 0
 characters. A null url is a host of its own. Tags that are never closed end with what holds them.
 Repeated rows repeat; other columns are not read.
@@ -50,12 +55,19 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _BOXES = frozenset("""html head body main article section div nav header footer aside form ul ol dl table figure
     dialog details menu select button template svg fieldset address""".split())
 _ARTICLE = frozenset(["article", "main"])
+_PAGE = frozenset(["html", "body", "article", "main"])
 _DROPPED = frozenset("""head nav header footer aside form dialog menu select button template svg fieldset""".split())
+#: Never marked by class, id and role: the page, the article, headings, parts of tables, inline tags.
+_SPARED = frozenset("""html body article main h1 h2 h3 h4 h5 h6 hgroup caption thead tbody tfoot tr td th a abbr acronym b bdi
+    bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt
+    u var""".split())
 #: Words of class, id and role values that mark boilerplate (fixed list).
 _MARKS = frozenset("""ad ads adbox adslot advert adverts advertisement advertising sponsor sponsored promo promotion banner
     nav navbar navigation menu breadcrumb breadcrumbs sidebar header masthead footer cookie cookies consent gdpr notice
     alert popup modal overlay newsletter subscribe signup login search share sharing social related recommended
     comment comments disqus reply replies respond toolbar pagination pager skip contentinfo complementary""".split())
+#: Those of them whose articles are not the page's.
+_OTHERS = frozenset("comment comments disqus reply replies respond related recommended".split())
 _BREAKS = frozenset("""address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption
     figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main nav ol option p pre section summary
     table tbody td tfoot th thead title tr ul""".split())
@@ -75,15 +87,66 @@ class Box:
 
 def _label(name: str, attributes: str) -> tuple[str, str]:
     """(alignment key, role) of an element: its name and the words of its class, id and role
-    (of boilerplate only the words that mark it)."""
-    words = sorted({w for m in _NAMES.finditer(attributes) for w in re.findall(r"[a-z]+", (m[1] or m[2] or m[3] or "").lower())})
-    dropped = name in _DROPPED or any(w in _MARKS for w in words)
-    role = "drop" if dropped else "article" if name in _ARTICLE or "main" in words and name != "body" else ""
-    return ".".join([name, *(w for w in words if not dropped or w in _MARKS)]), role
+    (of boilerplate only those that mark it)."""
+    values = [(m[1] or m[2] or m[3] or "").lower() for m in _NAMES.finditer(attributes)]
+    whole = {w for v in values for w in v.split()}
+    marks = whole & _MARKS if name not in _SPARED else frozenset()
+    if marks or name in _DROPPED:
+        return ".".join([name, *sorted(marks)]), "drop"
+    words = sorted({w for v in values for w in re.findall(r"[a-z]+", v)})
+    return ".".join([name, *words]), "article" if name in _ARTICLE or "main" in whole and name not in _SPARED else ""
+
+
+def _holders(page: str, names: set[str]) -> set[int]:
+    """Where the boilerplate begins that holds an element of ``names`` and is none for that reason."""
+    out: set[int] = set()
+    stack: list[tuple[str, int, bool]] = []
+    n_open: dict[str, int] = {}
+    known = 0  # the elements below this depth are in ``out``, if they belong there
+    for m in _TOKEN.finditer(page):
+        name = (m[3] or "").lower()
+        if not name or name in _VOID or m[4].endswith("/"):
+            continue
+        close = name if m[2] else "p" if name in _BREAKS and stack and stack[-1][0] == "p" else ""
+        if close and n_open.get(close):
+            while True:
+                last = stack.pop()[0]
+                n_open[last] -= 1
+                if last == close:
+                    break
+            known = min(known, len(stack))
+        if m[2]:
+            continue
+        if name in names:
+            out.update(at for _, at, free in stack[known:] if free)
+            known = len(stack)
+        key, role = _label(name, m[4])
+        free = role == "drop" and ("article" not in names or name in ("form", "fieldset") or
+                                   name not in _DROPPED and not _OTHERS & {*key.split(".")[1:]})
+        stack.append((name, m.start(), free))
+        n_open[name] = n_open.get(name, 0) + 1
+    return out
 
 
 def parse(page: str) -> Box:
     """The tree of a page's containers; everything in a flow is ("t", text) or ("b", tag)."""
+    none: frozenset[int] | set[int] = frozenset()
+    for _ in range(3):  # for the page, its main element, its article
+        root, lost, found = _tree(page, none)
+        names = lost & {"html", "body"} or lost & {"main"} or (lost if not found else set())
+        free = _holders(page, names) - none if names else set()
+        if not free:
+            return root
+        none = none | free
+    return _tree(page, none)[0]
+
+
+def _tree(page: str, none: frozenset[int] | set[int]) -> tuple[Box, set[str], bool]:
+    """(the tree, which of html, body, main and article are inside boilerplate, whether an article is outside).
+
+    Elements that begin at ``none`` are no boilerplate.
+    """
+    lost, found, seen = set(), False, set()
     root = Box("", "")
     stack = [root]
 
@@ -117,8 +180,15 @@ def parse(page: str) -> Box:
             stack.pop()  # a block ends an open paragraph
         elif top.role == "drop":
             top.nested += name == top.name and not m[4].endswith("/")
+            if name in _PAGE and name not in seen:
+                lost.add(name)
             continue
         key, role = _label(name, m[4]) if m[4] else (name, "drop" if name in _DROPPED else "article" if name in _ARTICLE else "")
+        if role == "drop" and m.start() in none:
+            role = ""
+        found = found or role == "article"
+        if name in ("html", "body"):
+            seen.add(name)
         deep = len(stack) > MAX_DEPTH and role != "drop"
         if name not in _VOID and (name in _BOXES or role) and not deep and not m[4].endswith("/"):
             box = Box(key, role)
@@ -128,7 +198,7 @@ def parse(page: str) -> Box:
             flow().append(("b", name))
     if at < len(page):
         flow().append(("t", page[at:]))
-    return root
+    return root, lost, found
 
 
 # A wrapper node is {"k": key, "r": role, "c": children} or, for a flow, {"k": "", "tags": [...], "text": hash or None};
@@ -277,11 +347,10 @@ def _kept(box_items: list, nodes: list[dict], inside: bool, shared: bool, out: d
         node = nodes[found] if found is not None else None
         at = found if found is not None else at
         if isinstance(item, Box):
-            role = node["r"] if node else item.role
-            if role == "drop":
+            if item.role == "drop":
                 continue
             out["breaks"](item.name)
-            _kept(item.items, node["c"] if node else [], inside or role == "article", shared and bool(node and node["a"]), out)
+            _kept(item.items, node["c"] if node else [], inside or item.role == "article", shared and bool(node and node["a"]), out)
             out["breaks"](item.name)
         elif inside:
             out["article"](item)
