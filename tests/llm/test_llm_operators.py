@@ -315,6 +315,15 @@ def test_odd_pages_stay_bounded():
     assert [html_text.main_text(p, wrapper.nodes, 1) for p in pages] == want
 
 
+@pytest.mark.parametrize("deep", [1, 98, 99, 100, 101, 150, 3000])
+def test_text_after_a_deep_nest(deep):
+    nest = "<div>" * deep + "b<nav>n<div>n</div></nav>" + "<section>c" + "</div>" * deep
+    assert html_text.main_text(f"no<article>a{nest}d<p>e</article>no", [], 1) == "a\nb\nc\nd\ne"
+    assert html_text.main_text("no" + "<div>" * deep + "no<article>a<div>b</div>c</article>no" + "</div>" * deep + "no", [], 1) == "a\nb\nc"
+    nest = "<div>" * deep + "<article><div>a</div><article>b</article>c<div class='ad'>no<div>no</div></div>d</article>"
+    assert html_text.main_text(nest + "no" + "</div>" * deep + "no", [], 1) == "a\nb\ncd"
+
+
 def test_wrapper_alignment_makes_groups():
     def nodes(page):
         return html_text._folded([html_text._node(i) for i in html_text.parse(page).items])

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from wordmill.functions.joins import salted_lookup
 from wordmill.llm.common import cut_lineage, native, slices, text_bytes
 
-#: Containers nested deeper than this are read as the tags of a flow.
+#: Containers nested deeper than this are read as the tags of a flow (but for boilerplate and the outermost article).
 MAX_DEPTH = 100
 #: Children of one wrapper node; beyond that, keys are coarsened to tag names and any repetition folds.
 MAX_NODES = 200
@@ -76,13 +76,14 @@ _BREAKS = frozenset("""address article aside blockquote body br caption center d
 class Box:
     """A container of a page: children are boxes and flows (lists of texts and tag names).
 
-    Boilerplate is a box without children; ``nested`` counts open elements of its name inside it.
+    Boilerplate is a box without children. ``nested`` counts the open elements inside that are no boxes:
+    of boilerplate those of its name, else containers nested too deep, by name.
     """
 
     __slots__ = ("key", "name", "role", "items", "nested")
 
     def __init__(self, key: str, role: str):
-        self.key, self.name, self.role, self.items, self.nested = key, key.partition(".")[0], role, [], 0
+        self.key, self.name, self.role, self.items, self.nested = key, key.partition(".")[0], role, [], {}
 
 
 def _label(name: str, attributes: str) -> tuple[str, str]:
@@ -167,19 +168,24 @@ def _tree(page: str, none: frozenset[int] | set[int]) -> tuple[Box, set[str], bo
             continue  # a comment, declaration, script or the like
         top = stack[-1]
         if m[2]:
-            if top.role == "drop" and top.name == name and top.nested:
-                top.nested -= 1
-                continue
-            open_at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), 0)
-            if open_at:
-                del stack[open_at:]
-            else:
+            for k in range(len(stack) - 1, -1, -1):
+                box = stack[k]
+                if box.nested.get(name):
+                    box.nested[name] -= 1
+                    del stack[k + 1:]
+                elif k and box.name == name:
+                    del stack[k:]
+                    break
+                elif k:
+                    continue
                 flow().append(("b", name))
+                break
             continue
         if name in _BREAKS and top.name == "p":
             stack.pop()  # a block ends an open paragraph
         elif top.role == "drop":
-            top.nested += name == top.name and not m[4].endswith("/")
+            if name == top.name and not m[4].endswith("/"):
+                top.nested[name] = top.nested.get(name, 0) + 1
             if name in _PAGE and name not in seen:
                 lost.add(name)
             continue
@@ -189,8 +195,11 @@ def _tree(page: str, none: frozenset[int] | set[int]) -> tuple[Box, set[str], bo
         found = found or role == "article"
         if name in ("html", "body"):
             seen.add(name)
-        deep = len(stack) > MAX_DEPTH and role != "drop"
-        if name not in _VOID and (name in _BOXES or role) and not deep and not m[4].endswith("/"):
+        if name not in _VOID and (name in _BOXES or role) and not m[4].endswith("/"):
+            if len(stack) > MAX_DEPTH and role != "drop" and (role == "" or any(b.role == "article" for b in stack)):
+                flow().append(("b", name))
+                stack[-1].nested[name] = stack[-1].nested.get(name, 0) + 1
+                continue
             box = Box(key, role)
             stack[-1].items.append(box)
             stack.append(box)
