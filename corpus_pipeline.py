@@ -12,7 +12,7 @@ from wordmill.session import ensure_checkpoint_dir, load_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or with more than four words of five in no learned language, go."""
+    """Documents without a letter, or with two words more than half of them in no learned language, go."""
     return langid.drop_rejected(docs)
 
 

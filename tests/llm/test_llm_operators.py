@@ -377,6 +377,17 @@ def test_language_filter(spark):
     assert sorted(r.text for r in out.collect()) == sorted(t for _, t, _ in rows + kept)
 
 
+def test_language_filter_drops_an_unlearned_language_of_the_same_script(spark):
+    rows = [(i, talk(lang, i, 200), lang) for i in range(40) for lang in [("xx", "yy")[i % 2]]]
+    kin = "velu nodri pasha gerli ofta kata mika".split()  # five words of seven are none of a learned language
+    draw = np.random.default_rng(5).permutation
+    odd = [(100 + i, " ".join(w for _ in range(n) for w in draw(kin)), None) for i, n in enumerate((3, 10, 100))]
+    short = [(200, "kata velu nodri", None), (201, "velu gerli mika kata ofta", None), (202, "velu", None)]
+    half = [(203, " ".join(["velu kata nodri mika toku"] * 20), None)]
+    docs = spark.createDataFrame(rows + odd + short + half, "doc_id long, text string, lang string")
+    assert sorted(langid.drop_rejected(docs).collect()) == sorted(rows + short + half, key=lambda r: r[0])
+
+
 def test_mixture_matches_plain_em():
     rng = np.random.default_rng(0)
     loglik = np.log(rng.dirichlet([0.3] * 3, 50))

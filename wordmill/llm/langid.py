@@ -177,6 +177,10 @@ def _predictor(model, penalty: float):
     return run
 
 
+def _n_words(text: bytes) -> int:
+    return len(_norm(text).split())
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the documents that teach nothing: crc32 of the id as text leaves 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -196,8 +200,9 @@ def identify(docs: DataFrame, penalty: float = 4.0) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "lang_set", "noise")
 
 
-def drop_rejected(docs: DataFrame, max_noise: float = 0.8) -> DataFrame:
-    """``docs`` without what is ``und`` or has more than ``max_noise`` of its words in no learned language.
+def drop_rejected(docs: DataFrame, max_noise: float = 0.5, spare: float = 2.0) -> DataFrame:
+    """``docs`` without what is ``und`` or has more than ``max_noise`` of its words, and ``spare`` words beyond,
+    in no learned language: a few words are too little evidence.
 
     Decided row by row in one pass over the texts, so repeated ids and null ids need no join.
     """
@@ -212,6 +217,8 @@ def drop_rejected(docs: DataFrame, max_noise: float = 0.8) -> DataFrame:
             answers = pa.Table.from_batches(judge([pair])) if batch.num_rows else None
             if answers is not None:
                 names = answers.column("lang_pred").to_pylist()
-                noise = answers.column("noise").to_pylist()
-                yield batch.filter(pa.array([n != UND and x <= max_noise for n, x in zip(names, noise)], pa.bool_()))
+                noise = answers.column("noise").to_numpy()
+                n_words = np.fromiter(map(_n_words, text_bytes(pair, "text")), np.int64, batch.num_rows)
+                bad = noise * n_words > max_noise * n_words + spare
+                yield batch.filter(pa.array([n != UND and not x for n, x in zip(names, bad)], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
