@@ -532,6 +532,31 @@ def test_bpe_round_trip(docs, nothing, monkeypatch):
     assert bpe.round_trip(nothing, BYTE_FILE).collect() == []
 
 
+# rows that share a doc_id ---------------------------------------------------------------------
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_decontamination_decides_row_by_row(spark, shared):
+    item = "one two three four five six seven eight"
+    rows = [(shared, f"x {item} y"), (shared, "a clean text"), (shared, None), (shared, ""), (8, "clean"), (9, item), (shared, item)]
+    docs = frame(spark, rows).repartition(3)
+    out = decontam.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(
+        [(shared, "a clean text"), (shared, None), (shared, ""), (8, "clean")], key=str)
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_near_dedup_decides_row_by_row(spark, shared):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(shared, one), (shared, one.upper()), (shared, two), (9, two.upper()), (shared, three), (5, three.upper()), (5, "lone"), (6, "LONE")]
+    docs = frame(spark, rows + [rows[0]]).repartition(3)
+    out = simhash.drop_near_duplicates(docs)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert len(got) == 4 and (5, "lone") in got and (5, three.upper()) in got
+    assert ((9, two.upper()) if shared is None else (7, two)) in got and {(shared, one), (shared, one.upper())} & {*got}
+
+
 # all -----------------------------------------------------------------------------------------
 
 def test_empty_tables(spark, nothing):

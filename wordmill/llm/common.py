@@ -17,8 +17,8 @@ BROADCAST_IDS = 1_000_000
 #: Text bytes worked on at once inside a task; a single longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
-__all__ = ["BROADCAST_IDS", "SLICE_BYTES", "cut_lineage", "keep_ids", "load_table", "lower_az", "native",
-           "owners_of", "slices", "text_bytes", "word_spans", "word_hashes"]
+__all__ = ["BROADCAST_IDS", "SLICE_BYTES", "cut_lineage", "keep_ids", "keep_rows", "load_table", "lower_az", "native",
+           "owners_of", "row_key", "slices", "text_bytes", "word_spans", "word_hashes"]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,6 +51,24 @@ def keep_ids(docs: DataFrame, ids: DataFrame, how: str, limit: int = BROADCAST_I
     return docs.join(F.broadcast(other) if few else other, same, how)
 
 
+def row_key(doc_id: Column, text: Column) -> list[Column]:
+    """_id, _d1, _d2 of a row: its doc_id and 128 bits of its text."""
+    text = text.cast("string")
+    return [doc_id.cast("long").alias("_id"), F.xxhash64(text).alias("_d1"), F.xxhash64(F.lit(1), text).alias("_d2")]
+
+
+def keep_rows(docs: DataFrame, rows: DataFrame, how: str, limit: int = BROADCAST_IDS // 2) -> DataFrame:
+    """``docs`` with (left_semi) or without (left_anti) the rows of ``rows(_id, _d1, _d2)``, see ``row_key``.
+
+    As ``keep_ids``, but rows that share a doc_id, null or not, are told apart by their texts.
+    """
+    few = rows.limit(limit + 1).count() <= limit
+    other = rows.select("_id", "_d1", "_d2")
+    mine = row_key(docs["doc_id"], docs["text"])
+    same = mine[0].eqNullSafe(other["_id"]) & (mine[1] == other["_d1"]) & (mine[2] == other["_d2"])
+    return docs.join(F.broadcast(other) if few else other, same, how)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have at most ``limit`` bytes together (one row at least)."""
     lens = pc.binary_length(batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import cut_lineage, keep_ids, native, slices, text_bytes, word_hashes, word_spans
+from wordmill.llm.common import cut_lineage, keep_rows, native, row_key, slices, text_bytes, word_hashes, word_spans
 
 #: Bytes that are part of a word: ASCII letters and digits, and all of a non-ASCII character.
 _WORD = np.array([chr(b).isalnum() and b < 128 or b >= 128 for b in range(256)], np.int8)
@@ -132,9 +132,15 @@ def _blocks(items: DataFrame, limit: int):
 def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, threshold: float = 0.8,
                     block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, item_id, n_shingles, n_shared, containment of every item found in a document."""
-    narrow = native(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return _contained(docs, items, width, threshold, block_bytes).select(
+        F.col("_id").alias("doc_id"), "item_id", "n_shingles", "n_shared", "containment")
+
+
+def _contained(docs: DataFrame, items: DataFrame, width: int, threshold: float, block_bytes: int) -> DataFrame:
+    """As ``contained_items``, with the row's key (see ``row_key``)."""
+    narrow = native(docs, "doc_id", "text").select(*row_key(docs["doc_id"], docs["text"]), F.col("text").cast("string"))
     items = native(items, "item_id", "text").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    schema = "doc_id long, item_id long, n_shingles long, n_shared long, containment double"
+    schema = "_id long, _d1 long, _d2 long, item_id long, n_shingles long, n_shared long, containment double"
     sc = docs.sparkSession.sparkContext
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(items, block_bytes):
@@ -144,19 +150,20 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = 5, threshold
             found = _Block(held.value, width, threshold)
             for batch in batches:
                 for part in slices(batch, "text"):
-                    ids, rows = part.column(0).to_pylist(), []
+                    keys, rows = list(zip(*(part.column(k).to_pylist() for k in range(3)))), []
                     for r, at, shared in found.found(text_bytes(part, "text")):
                         item_id, wanted = found.items[at]
-                        rows.append((ids[r], item_id, len(wanted), shared, shared / len(wanted)))
+                        rows.append((*keys[r], item_id, len(wanted), shared, shared / len(wanted)))
                     if rows:
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t) for c, t in zip(zip(*rows), [*[pa.int64()] * 4, pa.float64()])],
-                            ["doc_id", "item_id", "n_shingles", "n_shared", "containment"])
+                            [pa.array(c, t) for c, t in zip(zip(*rows), [*[pa.int64()] * 6, pa.float64()])],
+                            ["_id", "_d1", "_d2", "item_id", "n_shingles", "n_shared", "containment"])
         out = out.unionByName(narrow.mapInArrow(run, schema))
     return out
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    hit = contained_items(docs, items, width, threshold).select("doc_id").distinct()
-    return keep_ids(docs, cut_lineage(hit), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, with all their columns; what shares a doc_id, null or not,
+    with a row that holds one stays."""
+    hit = _contained(docs, items, width, threshold, 8 << 20).select("_id", "_d1", "_d2").distinct()
+    return keep_rows(docs, cut_lineage(hit), "left_anti")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import cut_lineage, keep_ids, native, owners_of, text_bytes
+from wordmill.llm.common import cut_lineage, keep_rows, native, owners_of, row_key, text_bytes
 
 BLOCK = 4096
 
@@ -52,12 +52,17 @@ def _signed(x: int) -> int:
 
 def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fp (the fingerprint as a signed long)."""
+    return _keyed(docs, width, seed).select(F.col("_id").alias("doc_id"), "fp")
+
+
+def _keyed(docs: DataFrame, width: int, seed: int) -> DataFrame:
+    """fp and the key of every row (see ``row_key``)."""
     def run(batches):
         for batch in batches:
             prints = [_signed(fingerprint(t, width, seed)) for t in text_bytes(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
-    narrow = native(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(prints, pa.int64())], ["_id", "_d1", "_d2", "fp"])
+    narrow = native(docs, "doc_id", "text").select(*row_key(docs["doc_id"], docs["text"]), F.col("text").cast("string"))
+    return narrow.mapInArrow(run, "_id long, _d1 long, _d2 long, fp long")
 
 
 class _Forest:
@@ -198,16 +203,31 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, seed: int = 42, block: int = BLOCK) -> DataFrame:
     """doc_id, fingerprint (hex), component_id, fp of every row of ``docs(doc_id, text)``."""
     marked = cut_lineage(fingerprints(docs, width, seed))
-    classes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    return marked.join(_firsts(marked, F.col("doc_id"), radius, block), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+def _firsts(marked: DataFrame, own: Column, radius: int, block: int) -> DataFrame:
+    """fp, first (the smallest ``own`` of its component) of every fingerprint in ``marked``."""
+    classes = cut_lineage(marked.groupBy("fp").agg(F.min(own).alias("own")))
     roots = components(links(classes.select("fp"), radius, block))
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    firsts = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = cut_lineage(named.select("fp", "root").join(firsts, "root").select("fp", "component_id"))
-    return marked.join(of_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    firsts = named.groupBy("root").agg(F.min("own").alias("first"))
+    return cut_lineage(named.select("fp", "root").join(firsts, "root").select("fp", "first"))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with the smallest doc_id of each component; a group without any doc_id stays whole."""
-    gone = near_duplicates(docs, width, radius).where("doc_id <> component_id").select("doc_id").distinct()
-    return keep_ids(docs, cut_lineage(gone), "left_anti")
+    """``docs`` with one row of each component: of the smallest doc_id (null comes last), and of rows with that
+    doc_id the one of smallest text hash, once."""
+    marked = cut_lineage(_keyed(docs, width, 42))
+    own = F.struct(F.col("_id").isNull().alias("none"), "_id", "_d1", "_d2")
+    rows = marked.join(_firsts(marked, own, radius, BLOCK), "fp").select("_id", "_d1", "_d2", (own == F.col("first")).alias("stays"))
+    found = cut_lineage(rows.groupBy("_id", "_d1", "_d2", "stays").agg(F.count("*").alias("n")).where("not stays or n > 1"))
+    rest = keep_rows(docs, found, "left_anti")
+    twins = found.where("stays")
+    if twins.isEmpty():
+        return rest
+    both = keep_rows(docs, twins, "left_semi")
+    key = [c.alias(f"_twin{k}") for k, c in enumerate(row_key(both["doc_id"], both["text"]))]
+    once = both.select("*", *key).dropDuplicates(["_twin0", "_twin1", "_twin2"]).select(*[F.col(c) for c in docs.columns])
+    return rest.unionByName(once)
