@@ -232,6 +232,18 @@ def test_trigram_queries_never_miss(pattern, match):
     assert re.search(pattern, match) and holds(secrets.trigram_query(pattern), match)
 
 
+@pytest.mark.parametrize("pattern, match", [
+    ("key=([a-z]+);end", "key=abc;end"), ("ab[A-Za-z]{3}cd", "abxyzcd"), ("ab(?:[a-z]|xy)cd", "abqcd"), ("ab(?:[a-z])?cd", "abqcd"),
+    ("ab(?:x[a-z]y){2}cd", "abxqyxrycd"), ("(?:a(?:b.c))de", "abxcde")])
+def test_trigram_queries_never_miss_behind_a_gap(pattern, match):
+    assert re.search(pattern, match) and holds(secrets.trigram_query(pattern), match)
+
+
+def test_trigram_query_keeps_the_literals_around_a_gap():
+    query = secrets.trigram_query("key=([a-z]+);end")
+    assert secrets._trigrams(query) == {"key", "ey=", ";en", "end"} and not holds(query, "key=end")
+
+
 # pages ---------------------------------------------------------------------------------------
 
 PAGE = ("<!DOCTYPE html><html><head><title>T</title><script>var t='</p><article>';</script></head><body><nav><a href='x'>M</a>"

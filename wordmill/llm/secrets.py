@@ -61,7 +61,7 @@ MORE = (
 
 def trigram_query(pattern: str):
     """None (no mandatory trigram), a trigram, or ("and" | "or", queries) over lower-cased text."""
-    strings, query = _walk(parser.parse(pattern))
+    strings, query, _ = _walk(parser.parse(pattern))
     return _both(query, _literal(strings))
 
 
@@ -93,13 +93,13 @@ def _characters(items) -> set[str] | None:
 
 
 def _walk(nodes):
-    """(strings that the end of the sequence may spell, query of all before them)."""
-    strings, query = {""}, None
+    """(strings that the end of the sequence may spell, query of all before them, whether they spell all of it)."""
+    strings, query, whole = {""}, None, True
 
     def extend(more):
-        nonlocal strings, query
+        nonlocal strings, query, whole
         if more is None or len(strings) * len(more) > MAX_STRINGS:
-            query, strings = _both(query, _literal(strings)), {""}
+            query, strings, whole = _both(query, _literal(strings)), {""}, False
         if more is not None:
             strings = {a + b for a, b in product(strings, more)} if len(more) <= MAX_STRINGS else {""}
 
@@ -111,8 +111,8 @@ def _walk(nodes):
         elif kind is op.AT:
             continue
         elif kind is op.SUBPATTERN:
-            inner, own = _walk(value[3])
-            if own is None:
+            inner, own, plain = _walk(value[3])
+            if own is None and plain:
                 extend(inner)
             else:
                 query = _both(query, own)
@@ -120,18 +120,18 @@ def _walk(nodes):
                 query = _both(query, _literal(inner))
         elif kind is op.BRANCH:
             walked = [_walk(x) for x in value[1]]
-            if all(q is None for _, q in walked):
-                extend(set().union(*(s for s, _ in walked)))
+            if all(q is None and plain for _, q, plain in walked):
+                extend(set().union(*(s for s, _, _ in walked)))
             else:
                 extend(None)
-                query = _both(query, _either(_both(q, _literal(s)) for s, q in walked))
+                query = _both(query, _either(_both(q, _literal(s)) for s, q, _ in walked))
         elif kind in (op.MAX_REPEAT, op.MIN_REPEAT):
             low, high, body = value
-            inner, own = _walk(body)
-            if own is None and low == 0 and high == 1:
+            inner, own, plain = _walk(body)
+            if own is None and plain and low == 0 and high == 1:
                 extend(inner | {""})
             elif low >= 1:
-                if own is None and low == high and low <= 4:
+                if own is None and plain and low == high and low <= 4:
                     for _ in range(low):
                         extend(inner)
                 else:
@@ -141,7 +141,7 @@ def _walk(nodes):
                 extend(None)
         else:
             extend(None)
-    return strings, query
+    return strings, query, whole
 
 
 def _trigrams(query) -> set[str]:
