@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordmill.llm import bpe, decontam, exact_dedup, html_text, langid, licenses, lmscore, secrets, simhash, token_files
+from wordmill.llm import (bpe, decontam, exact_dedup, filter_audit, fingerprints, html_text, langid, licenses, lmscore,
+                          resample, secrets, simhash, token_files)
 from wordmill.llm.common import load_table
 from wordmill.session import ensure_checkpoint_dir
 
@@ -60,9 +61,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(load_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_exact_dedup, op3_simhash, op4_license_scan,
                                      op5_secret_scan, op6_html_text, op7_language_id, op8_token_files, op9_lm_score,
-                                     op10_bpe)}
+                                     op10_bpe, op11_resample, op12_fingerprints, op13_filter_audit)}
 
 def _shingles(table: str, key: str) -> str:
     """Distinct 5-word shingles <key, s> of a table's texts; a shorter text is one shingle."""
@@ -87,4 +100,5 @@ ORACLE = {
               FROM n WINDOW g AS (PARTITION BY norm))
         SELECT doc_id, keep_id, group_size, kept, sha256(norm) AS text_sha256 FROM w""",
     "op4_license_scan": licenses.oracle(),
+    "op13_filter_audit": filter_audit.oracle(),
 }
