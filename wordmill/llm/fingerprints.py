@@ -10,11 +10,11 @@ Two filters compare by the bits they share beyond chance, as a part of the most
 the mean over the shorter one's filters, each with its best counterpart and weighted by its bits.
 
 Only the table of entropy classes is broadcast. Each text's successor in the order of doc_id is found by
-one range partitioning; of each partition the first and last row meet their neighbours' in a second step.
+one range partitioning of the texts, where the first row of a range also goes to the end of the range before.
 
 Defined results: a null text is an empty text; it has no filter, is like another empty one (1) and unlike
 all others (0). A text shorter than a window is one feature. Equal texts have equal fingerprints under one
-table. A null doc_id comes after all others. Rows of one doc_id come in the order of their texts' SHA-256.
+table. A null doc_id comes after all others. Rows of one doc_id come in the order of their texts' signed XXH64 (seed 42).
 A single row is its own successor. An empty table gives an empty result. Other columns are not read.
 """
 
@@ -22,16 +22,16 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import SLICE_BYTES, cut_lineage, native, slices, text_bytes, word_hashes
+from wordmill.llm.common import SLICE_BYTES, native, owners_of, slices, text_bytes, word_hashes
 
 WINDOW = 8
 RUN = 16
@@ -42,8 +42,8 @@ DULL = 100
 FILTER_BITS = 2048
 PER_FILTER = 160
 PROBES = 5
-#: Filters compared at once.
-_BLOCK = 256
+#: Filters compared at once, and characters of texts fingerprinted at once (a longer text alone).
+_BLOCK, _SLICE = 256, SLICE_BYTES // 4
 
 #: c * log2(c) in units of 2**-20, so that sums are exact
 _PLOGP = np.array([0] + [round(c * np.log2(c) * (1 << 20)) for c in range(1, WINDOW + 1)], np.int64)
@@ -82,7 +82,7 @@ def _windows(starts: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
 def _count_classes(batches: Iterator[pa.RecordBatch]):
     counts = np.zeros(BINS + 1, np.int64)
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", _SLICE):
             data, starts, size = _joined(text_bytes(part, "text"))
             classes = entropy_classes(data)
             counts += np.bincount(classes[_windows(starts, size, len(classes))], minlength=BINS + 1)
@@ -224,44 +224,59 @@ def _compared(rows: list[tuple[int | None, str, str]], ranks: np.ndarray) -> pa.
     return pa.RecordBatch.from_arrays(columns, _NAMES)
 
 
-def _edge(kind: int, doc_id: int | None, text: str) -> pa.RecordBatch:
-    part = TaskContext.get().partitionId()
-    empty = [pa.nulls(1, pa.string())] * 3 + [pa.nulls(1, pa.float64())] * 2
-    return pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([len(text)], pa.int64()), *empty,
-                                       pa.array([kind]), pa.array([part]), pa.array([text])],
-                                      [*_NAMES, "_kind", "_part", "_text"])
-
-
 def _walk(ranks):
-    """Rows of a sorted partition: results of all but the last (_kind 0), the first (1) and the last (2)."""
-    def finish(rows):
-        batch = _compared(rows, ranks.value)
-        n = batch.num_rows
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64)),
-                                           pa.nulls(n, pa.string())], [*_NAMES, "_kind", "_part", "_text"])
-
+    """Results of a sorted range of (doc_id, text, extra); an extra row only ends it."""
     def run(batches: Iterator[pa.RecordBatch]):
         last, rows, held = None, [], 0
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = part.column(0).to_pylist()
-                for doc_id, text in zip(ids, part.column(1).to_pylist(), strict=True):
-                    if last is None:
-                        yield _edge(1, doc_id, text)
-                    else:
+                for doc_id, text, extra in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    if last is not None:
                         rows.append((*last, text))
                         held += len(text)
-                    last = (doc_id, text)
-                    if held > SLICE_BYTES:
-                        yield finish(rows)
+                    last = None if extra else (doc_id, text)
+                    if held > _SLICE:
+                        yield _compared(rows, ranks.value)
                         rows, held = [], 0
         if rows:
-            yield finish(rows)
-        if last is not None:
-            yield _edge(2, *last)
+            yield _compared(rows, ranks.value)
     return run
 
 
+def _at_or_before(heads: Column, group: int) -> Column:
+    """How many of the ascending ``heads``, in arrays of ``group``, are not above the row's key."""
+    firsts = F.transform(heads, lambda g: g[0])
+    full = F.size(F.filter(firsts, lambda h: h <= F.col("_key"))) - 1
+    return full * group + F.size(F.filter(F.get(heads, full), lambda h: h <= F.col("_key")))
+
+
+def _in_ranges(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, text)`` by falling doc_id in sorted partitions, each followed by the next one's first row (extra).
+
+    The ranges come from the keys alone, so texts are shuffled once.
+    """
+    # falling doc_ids as rising numbers, without overflow; nulls last
+    key = F.struct(F.isnull("doc_id").cast("int").alias("n"), F.bitwise_not(F.coalesce("doc_id", F.lit(0))).alias("i"),
+                   F.xxhash64("text").alias("h"))
+    keys = rows.select(key.alias("_key"))
+    parts = owners_of(rows.sparkSession)
+    heads = sorted(tuple(r["head"]) for r in keys.repartitionByRange(parts, "_key")
+                   .select(F.spark_partition_id().alias("part"), "_key")
+                   .groupBy("part").agg(F.min("_key").alias("head")).collect())  # one of a partition
+    group = max(1, round(len(heads) ** 0.5))
+    nested = [[dict(zip("nih", h, strict=True)) for h in heads[k:k + group]] for k in range(0, len(heads), group)]
+    table = F.from_json(F.lit(json.dumps(nested)), "array<array<struct<n: int, i: bigint, h: bigint>>>")
+    place = (_at_or_before(table, group) - 1).alias("part")
+    placed = rows.select("doc_id", "text", key.alias("_key")).select("doc_id", "text", "_key", place)
+    is_head = F.col("_key") == F.get(F.get(table, F.floor(F.col("part") / group).cast("int")), F.col("part") % group)
+    own = F.struct(F.col("part"), F.lit(False).alias("extra"))
+    before = F.struct(F.pmod(F.col("part") - 1, F.lit(max(1, len(heads)))).alias("part"), F.lit(True).alias("extra"))
+    return (placed.select("doc_id", "text", "_key", F.explode(F.when(is_head, F.array(own, before)).otherwise(F.array(own)))
+                          .alias("to")).select("doc_id", "text", "_key", "to.part", "to.extra")
+            .repartitionById(max(1, len(heads)), F.col("part")).sortWithinPartitions("extra", "_key", "text")
+            .select("doc_id", "text", "extra"))
+
+
 def fingerprints(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -269,23 +284,7 @@ def fingerprints(docs: DataFrame, ranks: np.ndarray | None = None) -> DataFrame:
     own is to the edited one and to that of its successor by falling doc_id (the last one's is the first).
     ``ranks`` comes from ``rarity_ranks``, by default of ``docs``.
     """
-    spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(rarity_ranks(docs) if ranks is None else ranks)
+    table = docs.sparkSession.sparkContext.broadcast(rarity_ranks(docs) if ranks is None else ranks)
     rows = native(docs, "doc_id", "text").select(F.col("doc_id").cast("long"),
                                                  F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    falling = [F.col("doc_id").desc_nulls_last(), F.sha2(F.col("text").cast("binary"), 256)]
-    walked = cut_lineage(rows.repartitionByRange(*falling).sortWithinPartitions(*falling)
-                         .mapInArrow(_walk(table), _RESULT + ", _kind long, _part long, _text string"))
-    edges = walked.where("_kind > 0")
-    parts = sorted(r["_part"] for r in edges.where("_kind = 1").select("_part").collect())  # one of a partition
-    after = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "_from long, _to long")
-    first = edges.where("_kind = 1").select(F.col("_part").alias("_to"), F.col("_text").alias("_after"))
-    pairs = (edges.where("_kind = 2").join(F.broadcast(after), F.col("_part") == F.col("_from"))
-             .join(first, "_to").select("doc_id", "_text", "_after"))
-
-    def close(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                yield _compared([tuple(c.to_pylist()[0] for c in row.columns)], table.value)
-    return walked.where("_kind = 0").select(*_NAMES).unionByName(pairs.mapInArrow(close, _RESULT))
+    return _in_ranges(rows).mapInArrow(_walk(table), _RESULT)
