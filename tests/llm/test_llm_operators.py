@@ -72,6 +72,18 @@ def test_exact_duplicates(docs, limit):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+def test_stages_keep_columns_named_like_their_own(spark, nothing):
+    rows = [(1, "a b c", 1, 2, 3, 4), (1, "a b c", 1, 2, 3, 4), (1, "d", 1, 2, 3, 4), (5, "A B c", 1, 2, 3, 4), (1, "d e f", 5, 6, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _digest long, _TWIN0 long, _sha long, _id long")
+    exact = exact_dedup.drop_exact_duplicates(docs)
+    assert exact.columns == docs.columns
+    assert sorted(map(tuple, exact.collect())) == sorted([rows[3], rows[2], rows[4]])
+    near = simhash.drop_near_duplicates(docs.where("doc_id = 1"))
+    assert near.columns == docs.columns and sorted(map(tuple, near.collect())) == sorted([rows[0], rows[2], rows[4]])
+    assert decontam.drop_contaminated(docs, spark.createDataFrame([], "item_id long, text string")).count() == 5
+    assert decontam.contained_items(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
 def test_exact_dedup_keeps_one_row_of_each_text(docs):
     kept = exact_dedup.drop_exact_duplicates(docs)
     assert kept.columns == docs.columns

@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wordmill.llm import decontam, queries
@@ -16,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.execute(queries.ORACLE[name]).df()[list(got.columns)]
@@ -66,6 +67,17 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() == docs.count()
 
 
+@pytest.mark.parametrize("left_out", ["en", "fr"])
+def test_language_stage_rejects_a_language_that_was_not_learned(spark, left_out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    known = docs.withColumn("lang", F.when(F.col("lang") != left_out, F.col("lang")))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, known, SF).select("doc_id").collect()}
+    was = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    foreign = {i for i, lang in was.items() if lang == left_out}
+    assert len(foreign) > 100 and len(foreign & kept) <= 0.1 * len(foreign)
+    assert kept - foreign == set(was) - foreign  # what is in a learned language stays, all of it
+
+
 def test_held_out_accuracy(spark):
     got = queries.QUERIES["op7_language_id"](spark, SF).join(
         spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()

@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 
 from wordmill.llm.common import native, slices, text_bytes
 
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 #: New pre-tokens that are merged together.
-NEW_WORDS = 100_000
+NEW_WORDS = 50_000
+#: Looked-up pre-tokens that wait for their codes.
+MAX_WAITING = 2_000_000
 #: Fixed value: the published byte-level pre-token pattern.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -197,7 +199,7 @@ def _encoded(model, batches):
             held += sum(map(len, looked))
             if len(coder.known) - coder.done > NEW_WORDS:
                 coder.settle()
-            if coder.full() or held > 16_000_000:
+            if coder.full() or held > MAX_WAITING:
                 yield from flush()
                 held = 0
                 if coder.full():

@@ -17,7 +17,7 @@ BROADCAST_IDS = 1_000_000
 #: Text bytes worked on at once inside a task; a single longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 
-__all__ = ["BROADCAST_IDS", "SLICE_BYTES", "cut_lineage", "keep_ids", "keep_rows", "load_table", "lower_az", "native",
+__all__ = ["BROADCAST_IDS", "SLICE_BYTES", "cut_lineage", "free_names", "keep_ids", "keep_rows", "load_table", "lower_az", "native",
            "owners_of", "row_key", "slices", "text_bytes", "word_spans", "word_hashes"]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,6 +33,17 @@ def native(docs: DataFrame, *cols: str) -> DataFrame:
     return docs.select(*[docs[c] for c in cols])
 
 
+def free_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the ``wanted`` ones that ``docs`` doesn't have, in whatever case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def owners_of(spark: SparkSession) -> int:
     """How many hash ranges an exchange uses: the cluster's own shuffle width."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

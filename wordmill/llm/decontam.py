@@ -19,6 +19,7 @@ item_id is carried along. Repeated rows repeat. An empty table gives an empty re
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import defaultdict
 
@@ -142,9 +143,11 @@ def _contained(docs: DataFrame, items: DataFrame, width: int, threshold: float,
     items = native(items, "item_id", "text").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     schema = "_id long, _d1 long, _d2 long, item_id long, n_shingles long, n_shared long, containment double"
     sc = docs.sparkSession.sparkContext
-    out = docs.sparkSession.createDataFrame([], schema)
-    for block in _blocks(items, block_bytes):
-        held = sc.broadcast(block)
+    out = None
+    for block in itertools.chain(_blocks(items, block_bytes), [None]):
+        if block is None and out is not None:
+            break
+        held = sc.broadcast(block or [])  # without an item, a block of none gives no row
 
         def run(batches, held=held):
             found = _Block(held.value, width, threshold)
@@ -158,7 +161,8 @@ def _contained(docs: DataFrame, items: DataFrame, width: int, threshold: float,
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, t) for c, t in zip(zip(*rows), [*[pa.int64()] * 6, pa.float64()])],
                             ["_id", "_d1", "_d2", "item_id", "n_shingles", "n_shared", "containment"])
-        out = out.unionByName(narrow.mapInArrow(run, schema))
+        found = narrow.mapInArrow(run, schema)
+        out = found if out is None else out.unionByName(found)
     return out
 
 

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import BROADCAST_IDS, cut_lineage, keep_ids, lower_az, native, owners_of, text_bytes
+from wordmill.llm.common import BROADCAST_IDS, cut_lineage, free_names, keep_ids, lower_az, native, owners_of, text_bytes
 
 _SENT = ("sender int, owner int, n int, shift int, first long, quotients binary, remainders binary,"
          " doc_ids array<long>, digests binary, counts array<int>")
@@ -156,9 +156,10 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
                         .where("some and not all").select("doc_id"))
     if mixed.isEmpty():
         return rest
-    digest = F.sha2(lower_az(docs["text"]).cast("binary"), 256)
-    both = keep_ids(docs, mixed, "left_semi").withColumn("_digest", digest)
-    stay = result.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    both = (both.join(stay, both["doc_id"].eqNullSafe(stay["_id"]) & (both["_digest"] == stay["_sha"]), "left_semi")
-            .dropDuplicates(["doc_id", "_digest"]).drop("_digest"))
+    name, other_id, other_digest = free_names(docs, "_digest", "_id", "_sha")
+    both = keep_ids(docs, mixed, "left_semi")
+    both = both.select("*", F.sha2(lower_az(both["text"]).cast("binary"), 256).alias(name))
+    stay = result.where("kept").select(F.col("doc_id").alias(other_id), F.col("text_sha256").alias(other_digest))
+    both = (both.join(stay, F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col(name) == F.col(other_digest)), "left_semi")
+            .dropDuplicates(["doc_id", name]).drop(name))
     return rest.unionByName(both)

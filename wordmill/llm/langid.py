@@ -140,6 +140,9 @@ def mixtures(loglik: np.ndarray, first: np.ndarray, penalty: float = 4.0, rounds
     return share, np.add.reduceat(resp, first, 0) / words[:, None]
 
 
+_PREDICTED = ["doc_id", "lang_pred", "score", "lang_set", "noise", "fit", "n_words"]
+
+
 def _predictor(model, penalty: float):
     def run(batches):
         langs, logs = model.value
@@ -148,7 +151,7 @@ def _predictor(model, penalty: float):
                 texts = text_bytes(part, "text")
                 has = [bool(langs) and bool(_LETTER.search(t.decode("utf-8", "ignore"))) for t in texts]
                 names, scores, sets = [UND] * len(texts), [0.0] * len(texts), [[] for _ in texts]
-                noise = [0.0] * len(texts)
+                noise, fits, n_words = ([0.0] * len(texts) for _ in range(3))
                 rows = [i for i, x in enumerate(has) if x]
                 if rows:
                     norm = [_norm(texts[i]) for i in rows]
@@ -166,31 +169,41 @@ def _predictor(model, penalty: float):
                     # where no language is in the set, the likeliest one alone is named
                     alone = np.add.reduceat(loglik[:, :-1], first, 0).argmax(1)
                     best = np.where(real.max(1) > 0, real.argmax(1), alone)
+                    named = real > 0
+                    named[np.arange(len(rows)), best] = True
+                    doc = np.repeat(np.arange(len(rows)), np.diff(np.r_[first, len(loglik)]))
+                    own = np.where(named[doc], loglik[:, :-1], -np.inf).max(1) / (ends - begin)
+                    rising = np.lexsort((own, doc))
+                    upto = np.r_[0, np.cumsum((ends - begin)[rising])]
+                    count = np.diff(np.r_[first, len(loglik)])
+                    middle = own[rising][np.searchsorted(upto, (upto[first] + upto[first + count]) / 2) - 1]
                     for k, i in enumerate(rows):
                         names[i], scores[i] = langs[best[k]], float(min(1.0, resp[k, best[k]]))
                         sets[i] = [langs[x] for x in np.flatnonzero(real[k] > 0)]
                         noise[i] = float(min(1.0, resp[k, -1]))
+                        fits[i], n_words[i] = float(middle[k]), float(count[k])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
-                     pa.array(sets, pa.list_(pa.string())), pa.array(noise, pa.float64())],
-                    ["doc_id", "lang_pred", "score", "lang_set", "noise"])
+                     pa.array(sets, pa.list_(pa.string())),
+                     *(pa.array(x, pa.float64()) for x in (noise, fits, n_words))], _PREDICTED)
     return run
 
 
-def _n_words(text: bytes) -> int:
-    return len(_norm(text).split())
-
-
 def held_out(doc_id: Column) -> Column:
     """True for the documents that teach nothing: crc32 of the id as text leaves 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: float = 4.0) -> DataFrame:
-    """doc_id, lang_pred, score, lang_set, noise of every row of ``docs(doc_id, text)``."""
+    """doc_id, lang_pred, score, lang_set, noise, fit, n_words of every row of ``docs(doc_id, text)``.
+
+    fit: median over the words, weighted by their bytes, of the log-likelihood of a byte under the likeliest
+    language of the set.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
     narrow = native(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return narrow.mapInArrow(_predictor(held, penalty), "doc_id long, lang_pred string, score double, lang_set array<string>, noise double")
+    return narrow.mapInArrow(_predictor(held, penalty), "doc_id long, lang_pred string, score double, lang_set array<string>,"
+                             " noise double, fit double, n_words double")
 
 
 def identify(docs: DataFrame, penalty: float = 4.0) -> DataFrame:
@@ -200,25 +213,55 @@ def identify(docs: DataFrame, penalty: float = 4.0) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "lang_set", "noise")
 
 
-def drop_rejected(docs: DataFrame, max_noise: float = 0.5, spare: float = 2.0) -> DataFrame:
-    """``docs`` without what is ``und`` or has more than ``max_noise`` of its words, and ``spare`` words beyond,
-    in no learned language: a few words are too little evidence.
+def floors(known: DataFrame, model: tuple[list[str], np.ndarray], far: float = 2.0, least: float = 1.0) -> dict[str, float]:
+    """The fit that long documents of each language may not fall short of, from rows of learned languages.
+
+    ``known(doc_id, text)`` taught nothing. The floor lies below its language's median fit by ``far`` times
+    the widest gap of any language between median and first percentile, taken as ``least`` nats at least;
+    a language without a row has the lowest of all floors. No row at all: no floor.
+    """
+    fits = predict(known, model).where(F.col("lang_pred") != UND).groupBy("lang_pred").agg(
+        F.percentile_approx("fit", [0.01, 0.5], 10_000).alias("q")).collect()  # a row per language
+    if not fits:
+        return {}
+    gap = max(least, *(r["q"][1] - r["q"][0] for r in fits))
+    floor = {r["lang_pred"]: r["q"][1] - far * gap for r in fits}
+    return {lang: floor.get(lang, min(floor.values())) for lang in model[0]}
+
+
+def drop_rejected(docs: DataFrame, max_noise: float = 0.5, spare: float = 4.0, doubt: float = 2.5) -> DataFrame:
+    """``docs`` without what is ``und`` or in no learned language.
+
+    That is, a text of more than 2 * ``spare`` words whose fit is below the floor of its language (see ``floors``;
+    from the held-out rows with a lang) by more than ``doubt`` over the root of its words; or, where no
+    language has a floor, one with more than ``max_noise`` of its words, and ``spare`` words beyond, under the
+    component for no language.
 
     Decided row by row in one pass over the texts, so repeated ids and null ids need no join.
     """
-    train = docs.where(docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"]))
-    held = docs.sparkSession.sparkContext.broadcast(learn(train))
-    judge = _predictor(held, 4.0)
+    out = F.coalesce(held_out(docs["doc_id"]), F.lit(False))
+    model = learn(docs.where(docs["doc_id"].isNotNull() & ~out))
+    low = floors(docs.where(out & docs["lang"].isNotNull()), model)
+    held = docs.sparkSession.sparkContext.broadcast((model, low))
 
     def run(batches):
+        judge = _predictor(_Held(held.value[0]), 4.0)
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            pair = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], ["doc_id", "text"])
-            answers = pa.Table.from_batches(judge([pair])) if batch.num_rows else None
-            if answers is not None:
-                names = answers.column("lang_pred").to_pylist()
-                noise = answers.column("noise").to_numpy()
-                n_words = np.fromiter(map(_n_words, text_bytes(pair, "text")), np.int64, batch.num_rows)
-                bad = noise * n_words > max_noise * n_words + spare
-                yield batch.filter(pa.array([n != UND and not x for n, x in zip(names, bad)], pa.bool_()))
+            for part in slices(batch, "text"):
+                texts = part.column(part.schema.get_field_index("text"))
+                pair = pa.RecordBatch.from_arrays([pa.nulls(part.num_rows, pa.int64()), texts], ["doc_id", "text"])
+                got = pa.Table.from_batches(judge([pair])).to_pydict()
+                n = np.array(got["n_words"])
+                noisy = np.array(got["noise"]) * n > max_noise * n + spare
+                below = np.array(got["fit"]) - [held.value[1].get(x, np.inf) for x in got["lang_pred"]]
+                strange = np.isfinite(below) & (below < -doubt / np.sqrt(np.maximum(n, 1)))
+                bad = noisy & np.isneginf(below) | strange & (n > 2 * spare)
+                yield part.filter(pa.array([n != UND and not x for n, x in zip(got["lang_pred"], bad)], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
+
+
+class _Held:
+    """A value in the place of a broadcast one."""
+
+    def __init__(self, value):
+        self.value = value

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import cut_lineage, keep_rows, native, owners_of, row_key, text_bytes
+from wordmill.llm.common import cut_lineage, free_names, keep_rows, native, owners_of, row_key, text_bytes
 
 BLOCK = 4096
 
@@ -228,6 +228,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> Da
     if twins.isEmpty():
         return rest
     both = keep_rows(docs, twins, "left_semi")
-    key = [c.alias(f"_twin{k}") for k, c in enumerate(row_key(both["doc_id"], both["text"]))]
-    once = both.select("*", *key).dropDuplicates(["_twin0", "_twin1", "_twin2"]).select(*[F.col(c) for c in docs.columns])
+    names = free_names(docs, "_twin0", "_twin1", "_twin2")
+    key = [c.alias(n) for n, c in zip(names, row_key(both["doc_id"], both["text"]), strict=True)]
+    once = both.select("*", *key).dropDuplicates(names).drop(*names)
     return rest.unionByName(once)
