@@ -11,29 +11,42 @@ from wordmill.llm import bpe, decontam, exact_dedup, langid, simhash
 from wordmill.session import ensure_checkpoint_dir, load_table
 
 
+#: Texts travel between Spark and Python in Arrow batches of this size where the session leaves Spark's 64 MB.
+BATCH_BYTES = "8m"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``; its session's tasks hold a few MB of texts at once rather than 10,000 rows."""
+    conf = docs.sparkSession.conf
+    if conf.get(_BATCH_CONF, "67108864b") in ("67108864b", "64m", "64MB"):
+        conf.set(_BATCH_CONF, BATCH_BYTES)
+    return docs
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or with two words more than half of them in no learned language, go."""
-    return langid.drop_rejected(docs)
+    """Documents without a letter, or that fit their likeliest language worse than held-out texts do, go."""
+    return langid.drop_rejected(_in_small_batches(docs))
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the largest doc_id stays."""
-    return exact_dedup.drop_exact_duplicates(docs)
+    return exact_dedup.drop_exact_duplicates(_in_small_batches(docs))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of fingerprints (3-word shingles, 2 bits) the smallest doc_id stays."""
-    return simhash.drop_near_duplicates(docs, width=3, radius=2)
+    return simhash.drop_near_duplicates(_in_small_batches(docs), width=3, radius=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return decontam.drop_contaminated(docs, load_table(spark, sf_dir, "benchmark"))
+    return decontam.drop_contaminated(_in_small_batches(docs), load_table(spark, sf_dir, "benchmark"))
 
 
 def bpe_codes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded text."""
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe.round_trip(_in_small_batches(docs), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup_stage), ("simhash_dedup", simhash_dedup),
