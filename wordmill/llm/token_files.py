@@ -21,6 +21,7 @@ doc_id keep a fixed order by text hash. An empty table writes no shard.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 import zlib
@@ -40,7 +41,8 @@ from wordmill.llm.common import cut_lineage, keep_ids, native, owners_of, text_b
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 400, 4096, 32 << 10
 SHARD_BYTES = 4 << 20
 LEVEL = 3
-MAX_CHUNKS = 500_000
+#: Chunks that a coder holds before it starts anew.
+MAX_CHUNKS = 700_000
 
 _SHARD = ("dictionary_hash string, width int, part int, start long, first_id long, last_id long, doc_ids array<long>,"
           " counts array<long>, offsets array<long>, frames binary")
@@ -63,13 +65,14 @@ class TextCoder:
 
     Where the tokenizer drops white space, a text's ids are those of its white-space-separated chunks
     in a row, so that a chunk is encoded once; any other tokenizer gets whole texts. Most chunks are
-    plain: letters that no normalization changes, with punctuation around them. Their pre-tokens go
-    straight to the tokenizer's model, each once; other chunks go through the whole tokenizer.
+    plain: letters that no normalization changes, with punctuation around them. One expression cuts all
+    new chunks; each distinct piece goes straight to the tokenizer's model, once, and chunks are put
+    together from their pieces. Other chunks go through the whole tokenizer.
     """
 
-    #: Lower-case letters that no normalization changes, with ASCII punctuation (no apostrophe, which
-    #: makes contractions, and no "<", which begins an added token) before and after them.
-    _plain = re.compile(r"([!-&(-/:;=-@\[-`{-~]*)([a-z\u00df-\u00f6\u00f8-\u024f]*)([!-&(-/:;=-@\[-`{-~]*)")
+    #: A line of lower-case letters that no normalization changes, with ASCII punctuation (no apostrophe, which
+    #: makes contractions, and no "<", which begins an added token) before and after them; or any line.
+    _plain = re.compile(r"^([!-&(-/:;=-@\[-`{-~]*)([a-z\u00df-\u00f6\u00f8-\u024f]*)([!-&(-/:;=-@\[-`{-~]*)$|^.+$", re.MULTILINE)
     #: Bytes that a byte-level vocabulary writes as another character than their own.
     _shown = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 255 and b != 173))}
 
@@ -82,57 +85,77 @@ class TextCoder:
         self.by_chunk = ('"invert": true' in steps and "Removed" in steps and "\\\\s" in steps
                          and parsed["model"].get("type") == "BPE"
                          and "Lowercase" in json.dumps(parsed.get("normalizer") or {}))
-        self.core_ids: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self):
-        self.table, self.done = _Table(), 0
-        self.flat, self.lens = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.core_ids = {}
+        """Empty tables: of chunks (bytes) and of pieces (a string, or a chunk that isn't plain)."""
+        self.chunks, self.pieces = _Table(), _Table()
+        self.chunk_ids, self.chunk_lens = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.piece_ids, self.piece_lens = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _core(self, piece: str) -> list[int]:
-        """The ids of one pre-token of lower-case letters, or of one of punctuation."""
-        ids = self.core_ids.get(piece)
-        if ids is None:
-            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._shown)
-            ids = self.core_ids[piece] = [t.id for t in self.tokenizer.model.tokenize(shown)]
-        return ids
-
-    def _chunk(self, chunk: bytes) -> list[int]:
-        text = chunk.decode("utf-8", "replace")
-        plain = self._plain.fullmatch(text.lower())
-        if not plain:
-            return self._whole(text)
-        before, letters, after = plain.groups()
-        ids = self._core(letters) if letters else []
-        if before:
-            ids = self._core(before) + ids
-        return ids + self._core(after) if after else ids
+    def _piece(self, piece: str | bytes) -> list[int]:
+        """The ids of one pre-token of lower-case letters, or of one of punctuation, or of a whole chunk."""
+        if isinstance(piece, bytes):
+            return self._whole(piece.decode("utf-8", "replace"))
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._shown)
+        return [t.id for t in self.tokenizer.model.tokenize(shown)] if piece else []
+
+    def _settle(self) -> None:
+        """Encode the chunks that are new since the last call."""
+        new = list(itertools.islice(self.chunks, len(self.chunk_lens), None))
+        if not new:
+            return
+        cut = self._plain.findall(b"\n".join(new).decode("utf-8", "replace").lower())
+        odd = ("", "", "")
+        parts = [x if x != odd else (chunk, "", "") for x, chunk in zip(cut, new, strict=True)]
+        at = np.fromiter(map(self.pieces.__getitem__, itertools.chain.from_iterable(parts)), np.int32, 3 * len(parts))
+        fresh = [self._piece(x) for x in itertools.islice(self.pieces, len(self.piece_lens), None)]
+        lens = np.fromiter(map(len, fresh), np.int32, len(fresh))
+        self.piece_ids = np.r_[self.piece_ids, np.fromiter(itertools.chain.from_iterable(fresh), np.int32, int(lens.sum()))]
+        self.piece_lens = np.r_[self.piece_lens, lens]
+        self.chunk_ids = np.r_[self.chunk_ids, _gather(self.piece_ids, self.piece_lens, at)]
+        self.chunk_lens = np.r_[self.chunk_lens, self.piece_lens[at].reshape(-1, 3).sum(1, dtype=np.int32)]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of UTF-8 texts."""
         if not self.by_chunk:
             found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-            return [np.array(e.ids, np.int64) for e in found]
-        if len(self.table) > MAX_CHUNKS:
+            return [np.array(e.ids, np.int32) for e in found]
+        if len(self.chunks) > MAX_CHUNKS:
             self._reset()
-        look = self.table.__getitem__
-        at = [np.fromiter(map(look, chunks), np.int64, len(chunks)) for chunks in map(bytes.split, texts)]  # ASCII white space
-        ids = [self._chunk(c) for c in list(self.table)[self.done:]]
-        self.done = len(self.table)
-        self.flat = np.r_[self.flat, np.fromiter((i for own in ids for i in own), np.int64)]
-        self.lens = np.r_[self.lens, np.fromiter(map(len, ids), np.int64, len(ids))]
-        starts = np.cumsum(self.lens) - self.lens
-        out = []
-        for looked in at:
-            size = self.lens[looked]
-            ends = np.cumsum(size)
-            inside = np.arange(int(size.sum())) - np.repeat(ends - size, size)
-            out.append(self.flat[np.repeat(starts[looked], size) + inside])
-        return out
+        look = self.chunks.__getitem__
+        at = [np.fromiter(map(look, chunks), np.int32, len(chunks)) for chunks in map(bytes.split, texts)]  # ASCII white space
+        self._settle()
+        looked = np.concatenate(at) if at else np.zeros(0, np.int32)
+        upto = np.r_[0, np.cumsum(self.chunk_lens[looked], dtype=np.int64)]
+        ends = upto[np.cumsum([0, *map(len, at)])]
+        ids = _gather(self.chunk_ids, self.chunk_lens, looked)
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+class _Shared:
+    """What every writing task needs; as a broadcast value it keeps its coder from task to task of a worker."""
+
+    def __init__(self, spec: str, dictionary: bytes):
+        self.spec, self.dictionary, self.coder = spec, dictionary, None
+
+    def __reduce__(self):
+        return _Shared, (self.spec, self.dictionary)
+
+    def get_coder(self) -> TextCoder:
+        if self.coder is None:
+            self.coder = TextCoder(self.spec)
+        return self.coder
+
+
+def _gather(data: np.ndarray, lens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pieces of ``data`` numbered ``at``, in a row; piece i has ``lens[i]`` items."""
+    starts, size = np.cumsum(lens, dtype=np.int64) - lens, lens[at].astype(np.int64)
+    ends = np.cumsum(size)
+    return data[np.arange(int(size.sum())) + np.repeat(starts[at] - ends + size, size)]
 
 
 def _runs(batch: pa.RecordBatch, column: str, limit: int):
@@ -190,10 +213,10 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 1) ->
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary))], "hash string, data binary").coalesce(1).write.parquet(
         f"{folder}/dictionary")
-    held = spark.sparkContext.broadcast((spec, dictionary))  # a tokenizer file and at most DICTIONARY_BYTES
+    held = spark.sparkContext.broadcast(_Shared(spec, dictionary))  # a tokenizer file and at most DICTIONARY_BYTES
 
     def run(batches):
-        coder, pack, part = TextCoder(held.value[0]), _compressor(held.value[1]), TaskContext.get().partitionId()
+        coder, pack, part = held.value.get_coder(), _compressor(held.value.dictionary), TaskContext.get().partitionId()
         start, ids, counts, frames = 0, [], [], []
 
         def shard():
