@@ -2,10 +2,16 @@
 
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from oracle_check import compare, duck
 from pyspark.sql import functions as F
 
 from wordmill.operators import subword as bpe
+from wordmill.plans import subwords
+from wordmill.sources import adapters
 from wordmill.sources import files as io
 
 
@@ -78,6 +84,61 @@ def test_learned_merges_match_python(corpus, n):
     assert bpe.learn_merges(corpus, "text", n, checkpoint_every=4) == py_learn(TEXTS, n)
 
 
+@pytest.mark.parametrize("frontier", [1, 5, 60])
+def test_learning_with_a_short_frontier_and_many_ties(spark, monkeypatch, frontier):
+    monkeypatch.setattr(bpe, "FRONTIER", frontier)
+    monkeypatch.setattr(bpe, "ROUND_PAIRS", min(4, frontier))
+    rng = random.Random(frontier)
+    texts = ["".join(rng.choice("abc  ") for _ in range(120)) for _ in range(6)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert bpe.learn_merges(docs, "text", 60, checkpoint_every=7) == py_learn(texts, 60)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab"), min_size=1, max_size=9), min_size=1, max_size=8))
+def test_a_round_takes_what_recounting_would_take(words):
+    n = np.arange(1, len(words) + 1) ** 2
+    sym = np.array([x for w in words for x in (-1, *w.encode())], np.int32)
+    keys, own = bpe._pairs(sym, n)
+    counts = {}
+    for k, c in zip(keys.tolist(), own.tolist()):
+        counts[k] = counts.get(k, 0) + c
+    taken = bpe._next_merges(counts, (0, 0, 0), 50, 1)
+    for r, pair in enumerate(taken):
+        keys, own = bpe._pairs(sym, n)
+        counts = {}
+        for k, c in zip(keys.tolist(), own.tolist()):
+            counts[k] = counts.get(k, 0) + c
+        assert pair == min(((-c, k >> 32, k & 0xFFFFFFFF) for k, c in counts.items()))[1:]
+        sym = bpe._apply(sym, [(*pair, 256 + r)])
+
+
+def test_thirty_merges_are_those_of_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duck(sf)
+    assert compare(spark, con, sf, "t10", lambda s, d: subwords.t10_learn_merges(s, d, 30), subwords.learned_sql(30))[0]
+    merges = subwords.learned(spark, sf, 30)
+    query = lambda s, d: subwords.ids_row(bpe.encode(adapters.corpus(s, d), merges))
+    assert compare(spark, con, sf, "t7", query, subwords.coded_sql(30))[0]
+
+
+def test_published_vocabulary_gives_the_library_s_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    theirs = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    model = subwords.published()
+    assert len(model.merges) == 50_000 and model.special == {"<|endoftext|>": 50256}
+    docs = adapters.corpus(spark, "/root/testdata/sf0.001")
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1 - i: t for i, t in enumerate(TEXTS)}
+    both = docs.select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(-1 - i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string"))
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(both, model).collect()}
+    assert got == {i: theirs.encode(t, add_special_tokens=False).ids for i, t in texts.items()}
+    marked = both.withColumn("text", F.concat("text", F.lit("<|endoftext|>a")))
+    got = {r.doc_id: list(r.ids) for r in bpe.encode(marked, model, special="allow").collect()}
+    assert got == {i: theirs.encode(t + "<|endoftext|>a", add_special_tokens=False).ids for i, t in texts.items()}
+
+
 def test_learning_stops_below_the_least_count(corpus):
     assert bpe.learn_merges(corpus, "text", 1000) == py_learn(TEXTS, 1000)
 

@@ -7,20 +7,22 @@
 * A model is bounded by its files: byte ids, ranked merges and special tokens.
   It comes from learned merges or from vocabulary and merge tables (S8), whose
   printable alphabet is mapped back to bytes.
-* Learning (T10) counts adjacent pairs of the distinct pre-tokens, weighted by
-  frequency, and takes the best pair (count desc, then left id, right id asc).
-  A round takes every next-best pair that provably would follow: pairs
-  that share no symbol with the ones taken before keep their counts, and any pair
-  that the round creates or changes counts at most as much as the best pair
-  that shares a symbol with a taken one.
+* Learning (T10) takes the best adjacent pair of the distinct pre-tokens, weighted by
+  frequency (count desc, then left id, right id asc), several a round where their
+  order is proven. Pair counts are kept up by signed changes from the pre-tokens
+  that a round rewrites, and are not counted anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import heapq
+import json
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,9 @@ END_OF_TEXT_ID = 50256
 BASE_SYMBOLS = 256
 #: Distinct pre-tokens that a task remembers at once.
 CACHE_WORDS = 500_000
-#: Pairs looked at in one round of learning.
-ROUND_PAIRS = 256
+#: Pairs looked at in one round of learning, and pairs whose counts are kept from round to round.
+ROUND_PAIRS = 1024
+FRONTIER = 50_000
 
 Merge = tuple[int, int]
 
@@ -84,6 +87,16 @@ class Model:
                    tuple((ids[r["left"]], ids[r["right"]], ids[r["left"] + r["right"]]) for r in ranked),
                    {t: ids[t] for t in special if t in ids})
 
+    @classmethod
+    def from_file(cls, path: str) -> Model:
+        """From one published tokenizer file of a byte-level vocabulary (read by the driver, bounded by the model)."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        ids = spec["model"]["vocab"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        return cls(tuple(ids[c] for c in byte_alphabet()), tuple((ids[a], ids[b], ids[a + b]) for a, b in pairs),
+                   {t["content"]: t["id"] for t in spec["added_tokens"]})
+
     def pieces(self) -> dict[int, bytes]:
         """The bytes of every id."""
         out = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
@@ -214,76 +227,177 @@ def decode(df: DataFrame, model: Model | Sequence[Merge], id_col: str | Sequence
     return src.mapInPandas(run, f"{schema}, `{out_col}` string")
 
 
-def _pair_counts(table: DataFrame) -> DataFrame:
-    """<l, r, cnt> of adjacent symbols, weighted by pre-token frequency."""
-    x = table.where(F.size("sym") > 1)
-    n = F.size("sym") - 1
-    pairs = F.arrays_zip(F.slice("sym", F.lit(1), n).alias("l"), F.slice("sym", F.lit(2), n).alias("r"))
-    return x.select(F.explode(pairs).alias("p"), "n").groupBy("p.l", "p.r").agg(F.sum("n").alias("cnt"))
+_BLOCK = "sym binary, n binary"
+
+
+def _as_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and their frequencies as blocks: symbols (int32, -1 before each word) and frequencies (int64)."""
+    for batch in batches:
+        words = batch.column(0).cast(pa.binary()).to_pylist()
+        sym = [x for w in words for x in (-1, *w)]
+        yield _block(np.array(sym, np.int32), batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _block(sym: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([sym.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())],
+                                      ["sym", "n"])
+
+
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield np.frombuffer(row["sym"], np.int32), np.frombuffer(row["n"], np.int64)
+
+
+def _apply(sym: np.ndarray, made: Sequence[tuple[int, int, int]]) -> np.ndarray:
+    """The symbols after the merges, one after another, each leftmost first."""
+    for left, right, own in made:
+        at = np.flatnonzero((sym[:-1] == left) & (sym[1:] == right))
+        if left == right and len(at) > 1:  # of overlapping places every other one merges
+            begins = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+            at = at[(np.arange(len(at)) - np.repeat(begins, np.diff(np.r_[begins, len(at)]))) % 2 == 0]
+        if len(at):
+            sym = sym.copy()
+            sym[at] = own
+            sym = np.delete(sym, at + 1)
+    return sym
+
+
+def _pairs(sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Adjacent pairs as left << 32 | right, and the frequency of the word of each."""
+    inside = (sym[:-1] >= 0) & (sym[1:] >= 0)
+    word = np.cumsum(sym < 0)[:-1][inside] - 1
+    return sym[:-1][inside].astype(np.int64) << 32 | sym[1:][inside], n[word]
 
 
-def _next_merges(ranked: list, most: int, min_count: int) -> list[Merge]:
-    """The pairs that would be taken one after another, as far as one count of all pairs tells.
+def _summed(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1)) if len(keys) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(counts, first) if len(first) else counts
+    live = sums != 0
+    return pa.RecordBatch.from_arrays([pa.array(keys[first][live]), pa.array(sums[live])], ["pair", "d"])
 
-    ``ranked`` holds the leading pairs in order. A pair that shares a symbol with a taken one
-    bounds every count that the merges change or create; a later pair must exceed it.
+
+def _counted(pending: list) -> Callable:
+    """Counts of all pairs of a task's blocks after the ``pending`` merges."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sym, n in _blocks_of(batches):
+            yield _summed(*_pairs(_apply(sym, pending), n))
+    return run
+
+
+def _changed(pending: list, made: list, known) -> Callable:
+    """Signed changes that the ``made`` merges bring to pair counts, of ``known`` pairs and of new symbols.
+
+    Only words that hold a merged pair are rewritten and counted, before and after.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, newest = known.value
+        for sym, n in _blocks_of(batches):
+            sym = _apply(sym, pending)
+            word = np.cumsum(sym < 0) - 1
+            touched = np.zeros(len(n), bool)
+            for left, right, _ in made:
+                touched[word[:-1][(sym[:-1] == left) & (sym[1:] == right)]] = True
+            if touched.any():
+                old, own = sym[touched[word]], n[touched]
+                (a, x), (b, y) = _pairs(old, own), _pairs(_apply(old, made), own)
+                keys, counts = np.concatenate([a, b]), np.concatenate([-x, y])
+                keep = (keys >> 32 >= newest) | (keys & 0xFFFFFFFF >= newest) | np.isin(keys, pairs)
+                yield _summed(keys[keep], counts[keep])
+    return run
+
+
+def _rewritten(pending: list) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sym, n in _blocks_of(batches):
+            yield _block(_apply(sym, pending), n)
+    return run
+
+
+Place = tuple[int, int, int]  # (-count, left, right): pairs come in ascending order
+
+
+def _next_merges(leading: dict[int, int], last: Place, most: int, min_count: int) -> list[Merge]:
+    """The pairs that would be taken one after another, as far as these counts tell.
+
+    ``leading`` has every pair up to ``last``. Merging (a, b) leaves the count of another pair alone unless
+    the two can overlap, that is unless one's right symbol is the other's left. A pair that it creates stands
+    where (x, a) or (b, y) stood and counts at most as much; so the next pair in order is safe while it counts
+    more than each of those. A pair of one symbol twice ends the round.
     """
-    taken: list = []
-    used: set[int] = set()
-    for k, (left, right, cnt) in enumerate(ranked):
-        if cnt < min_count or len(taken) == most:
+    best = heapq.nsmallest(ROUND_PAIRS, ((-c, k >> 32, k & 0xFFFFFFFF) for k, c in leading.items() if c >= min_count))
+    cut = best[-1][0] if len(best) == ROUND_PAIRS else 0
+    taken: list[Merge] = []
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    for k, (negative, left, right) in enumerate(best):
+        if len(taken) == most or (negative, left, right) > last or taken and negative >= cut:
+            break
+        if left in rights or right in lefts:
             break
-        if {left, right} & used:
-            taken = [t for t in taken if t[2] > cnt] or taken[:1]
+        ties = (p for p in best[k + 1:] if p[0] == negative)
+        if any(r in lefts or x in rights for _, x, r in ties):
             break
-        taken.append((left, right, cnt))
-        used |= {left, right}
-        if k == len(ranked) - 1 and len(ranked) == ROUND_PAIRS:  # what follows may interfere
-            taken = [t for t in taken if t[2] > cnt] or taken[:1]
-    return [(left, right) for left, right, _ in taken]
+        taken.append((left, right))
+        lefts.add(left)
+        rights.add(right)
+        if left == right:
+            break
+    return taken
+
+
+def _leading(blocks: DataFrame, pending: list) -> tuple[dict[int, int], Place]:
+    """The FRONTIER pairs that come first, and the last of them; with all pairs, a place after every pair."""
+    rows = (blocks.mapInArrow(_counted(pending), "pair long, d long").groupBy("pair").agg(F.sum("d").alias("d"))
+            .orderBy(F.col("d").desc(), "pair").limit(FRONTIER).collect())
+    end = rows[-1] if len(rows) == FRONTIER else None
+    return {r["pair"]: r["d"] for r in rows}, (-end["d"], end["pair"] >> 32, end["pair"] & 0xFFFFFFFF) if end else (0, 0, 0)
 
 
 def learn_merges(df: DataFrame, text_col: str = "text", num_merges: int = 100,
-                 min_count: int = 2, checkpoint_every: int = 4) -> list[Merge]:
+                 min_count: int = 2, checkpoint_every: int = 16) -> list[Merge]:
     """Learn up to ``num_merges`` merges from a corpus (stops early when no pair
-    reaches ``min_count``). Returns the ranked merge list."""
-    def rewrite(new: list[tuple[int, int, int]]):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                rows = []
-                for sym in pdf["sym"]:
-                    sym = list(sym)
-                    for left, right, own in new:
-                        if left in sym:
-                            out, i = [], 0
-                            while i < len(sym):
-                                if sym[i] == left and i + 1 < len(sym) and sym[i + 1] == right:
-                                    out.append(own)
-                                    i += 2
-                                else:
-                                    out.append(sym[i])
-                                    i += 1
-                            sym = out
-                    rows.append(sym)
-                yield pd.DataFrame({"sym": rows, "n": pdf["n"].to_numpy()})
-        return run
-    codes = F.regexp_extract_all(F.hex(F.encode("pretoken", "UTF-8")), F.lit(".."), 0)
-    table = cut_lineage(pretoken_table(df, text_col).select(
-        F.transform(codes, lambda h: F.conv(h, 16, 10).cast("bigint")).alias("sym"), "n"))
+    reaches ``min_count``). Returns the ranked merge list.
+
+    The distinct pre-tokens stay in the tasks as blocks of symbols. The driver holds the FRONTIER pairs of
+    highest count; a round takes as many merges as their order is proven for (``_next_merges``), and its one
+    job returns the signed changes of those pairs' counts and the pairs of new symbols that count no less than
+    the frontier's last one. A pair's count rises in one round only, that of its newest symbol, so no pair from
+    outside can come before it; when the best pair falls behind that place, all pairs are counted again.
+    """
+    blocks = cut_lineage(pretoken_table(df, text_col).select(F.encode("pretoken", "UTF-8"), "n")
+                         .mapInArrow(_as_blocks, _BLOCK))
+    spark = df.sparkSession
     merges: list[Merge] = []
-    rounds = 0
+    pending: list[tuple[int, int, int]] = []
+    leading: dict[int, int] = {}
+    last, rounds, known = (0, 0, 0), 0, None
     while len(merges) < num_merges:
-        # at most ROUND_PAIRS rows come to the driver
-        best = _pair_counts(table).orderBy(F.col("cnt").desc(), "l", "r").limit(ROUND_PAIRS).collect()
-        new = _next_merges([tuple(b) for b in best], num_merges - len(merges), min_count)
+        new = _next_merges(leading, last, num_merges - len(merges), min_count)
         if not new:
-            break
+            if known is not None and -last[0] < min_count:
+                break
+            leading, last = _leading(blocks, pending)
+            known = spark.sparkContext.broadcast((np.array(sorted(leading), np.int64), BASE_SYMBOLS + len(merges)))
+            if not leading or max(leading.values()) < min_count:
+                break
+            continue
         made = [(a, b, BASE_SYMBOLS + len(merges) + k) for k, (a, b) in enumerate(new)]
         merges += new
-        table = table.mapInPandas(rewrite(made), "sym array<bigint>, n bigint")
+        changes = (blocks.mapInArrow(_changed(pending, made, known), "pair long, d long")
+                   .groupBy("pair").agg(F.sum("d").alias("d")).where((F.col("d") < 0) | (F.col("d") >= -last[0])).collect())
+        for pair, d in changes:
+            now = leading.get(pair, 0) + d
+            if now > 0:
+                leading[pair] = now
+            else:
+                leading.pop(pair, None)
+        pending += made
         rounds += 1
         if rounds % checkpoint_every == 0:
-            table = cut_lineage(table)
+            blocks, pending = cut_lineage(blocks.mapInArrow(_rewritten(pending), _BLOCK)), []
     return merges
 
 

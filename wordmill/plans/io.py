@@ -10,7 +10,7 @@ from wordmill.operators import prompts as pr
 from wordmill.operators import subword as bpe
 from wordmill.plans import sqlbits as q
 from wordmill.plans.classification import spam_splits
-from wordmill.plans.subwords import NUM_MERGES, learned, learned_sql
+from wordmill.plans.subwords import learned
 from wordmill.sources import adapters
 from wordmill.sources import files as io
 from wordmill.session import load_table
@@ -85,7 +85,7 @@ def s7_write_if_absent(spark, sf_dir):
 
 def s8_model_files(spark, sf_dir):
     """Writes a learned model as vocabulary and merge files, reads them as tables and makes a model of those."""
-    _, merges = learned(spark, sf_dir)
+    merges = learned(spark, sf_dir)
     base = io.scratch_path(spark, "bpe-model")
     io.write_model_files(spark, bpe.Model.learned(merges), base)
     vocab = io.read_vocab_json(spark, f"{base}/vocab")
@@ -116,5 +116,4 @@ ORACLE = {
     "s5_write_splits": f"SELECT split, count(*) AS n_rows, CAST(sum(length(Text)) AS BIGINT) AS n_chars FROM ({q.spam_splits(123)}) s GROUP BY split",
     "s6_json_write": f"SELECT conv_id, turn, md5({_RESP}) AS response_md5 FROM ({q.INSTRUCTIONS}) r",
     "s7_write_if_absent": "SELECT doc_id, lang FROM documents",
-    "s8_model_files": learned_sql(NUM_MERGES),
 }
