@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wordmill.functions import joins
+from wordmill.functions import exchange, joins
 from wordmill.functions.text import word_tokens
 from wordmill.operators import tokens as tok
 from wordmill.plans import classification
@@ -64,10 +64,32 @@ def test_registered_queries_down_both_sides(spark, name, monkeypatch):
     assert sorted(classification.QUERIES[name](spark, sf).collect()) == small
 
 
-def test_encoding_moves_the_text_once(story):
+def test_encoding_moves_no_text(story):
     vocab = tok.build_vocab(tok.explode_tokens(story, "doc_id"))
     plan = tok.encode_texts(story, vocab)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(doc_id") <= 2  # one for each branch of the union
+    assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_repeated_ids_and_rows_stay_apart(spark, small, monkeypatch):
+    monkeypatch.setattr(exchange, "BLOCK_VALUES", 4)
+    texts = [(1, "a b c"), (1, "d e"), (1, "d e"), (None, "c a"), (None, None), (2, ""), (3, "b " * 9)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    vocab = tok.build_vocab(tok.explode_tokens(docs, "doc_id"))
+    enc = tok.encode_texts(docs, vocab, small=small)
+    want = sorted(str((i, ["abcde".index(w) for w in (t or "").split()])) for i, t in texts)
+    assert sorted(str((r.doc_id, list(r.ids))) for r in enc.collect()) == want
+    dec = tok.decode_ids(enc, vocab, small=small)
+    assert sorted(str(tuple(r)) for r in dec.collect()) == sorted(str((i, " ".join((t or "").split()))) for i, t in texts)
+    part = vocab.where("token < 'c'")
+    for policy, known in (("null", None), ("skip", "skip"), ("unk", -1)):
+        got = tok.encode_texts(docs, part, oov=policy, unk_id=-1, small=small).collect()
+        assert sorted(str((r.doc_id, list(r.ids))) for r in got) == sorted(str((i, [
+            "ab".index(w) if w in "ab" else known for w in (t or "").split() if w in "ab" or known != "skip"])) for i, t in texts)
+    with pytest.raises(Exception, match="unknown token: [cde]"):
+        tok.encode_texts(docs, part, small=small).collect()
+    with pytest.raises(Exception, match="unknown id: [234]"):
+        tok.decode_ids(enc, part, small=small).collect()
 
 
 def test_unknown_token_policies(spark):

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions import joins
+from wordmill.functions.exchange import lookup_arrays
 from wordmill.functions.text import decode_join, word_tokens
 from wordmill.operators.indexing import sorted_index
 
@@ -89,51 +90,34 @@ def collect_ordered(df: DataFrame, id_cols: str | Sequence[str], pos_col: str, v
     return df.groupBy(*_ids(id_cols)).agg(F.transform(pairs, lambda s: s["v"]).alias(out_col))
 
 
-def _by_row(df: DataFrame, ids: list[str], vocab: DataFrame) -> tuple[DataFrame, bool]:
-    """``df`` hash-partitioned by row when the vocabulary can be broadcast.
+def encode_texts(df: DataFrame, vocab: DataFrame, id_col: str | Sequence[str] = "doc_id",
+                 text_col: str = "text", out_col: str = "ids", oov: str = "error", unk_id: int | None = None,
+                 count_col: str | None = "n", small: bool | None = None) -> DataFrame:
+    """T5 (array form): <id..., ids ARRAY<BIGINT>>, a row for a row; texts without tokens get [].
 
-    The exploded tokens then stay where their row is, and the ordered re-collect needs no
-    shuffle of its own: what moves is the text, once.
+    Neither texts nor tokens are shuffled (``functions.exchange``). ``oov`` as in ``encode_tokens``.
     """
-    small = joins.fits_broadcast(vocab, joins.BROADCAST_MAX_BYTES)
-    return (df.repartition(*ids) if small else df), small
-
-
-def encode_texts(df: DataFrame, vocab: DataFrame, id_col: str | Sequence[str] = "doc_id",
-                 text_col: str = "text", out_col: str = "ids", oov: str = "error") -> DataFrame:
-    """T5 (array form): <id..., ids ARRAY<BIGINT>>; texts without tokens get []."""
     ids = _ids(id_col)
-    rows, small = _by_row(df.select(*ids, text_col), ids, vocab)
-    # an empty text keeps its row as one null token
-    long = rows.select(*ids, F.posexplode_outer(word_tokens(text_col)).alias("pos", "token"))
-    enc = encode_tokens(long.where(F.col("token").isNotNull()), vocab, ids, oov=oov, small=small)
-    if not small:
-        arrays = collect_ordered(enc, ids, "pos", "token_id", out_col)
-        return (df.select(*ids).join(arrays, ids, "left")
-                  .withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<bigint>"))))
-    none = long.where(F.col("token").isNull()).select(*ids, F.array().cast("array<bigint>").alias(out_col))
-    return collect_ordered(enc, ids, "pos", "token_id", out_col).unionByName(none)
+    words = df.select(*ids, word_tokens(text_col).alias("_wm_words"))
+    found = lookup_arrays(words, ids, "_wm_words", vocab, "token", "token_id", out_col, count_col, small,
+                          "unknown token: " if oov == "error" else None)
+    if oov in ("error", "null"):
+        return found
+    if oov == "skip":
+        return found.withColumn(out_col, F.filter(out_col, lambda i: i.isNotNull()))
+    if oov == "unk":
+        return found.withColumn(out_col, F.transform(out_col, lambda i: F.coalesce(i, F.lit(unk_id).cast("bigint"))))
+    raise ValueError(f"unknown oov policy {oov!r}")
 
 
 def decode_ids(df: DataFrame, vocab: DataFrame, id_col: str | Sequence[str] = "doc_id", ids_col: str = "ids",
                out_col: str = "decoded", token_col: str = "token",
-               vocab_id_col: str = "token_id", count_col: str | None = "n") -> DataFrame:
+               vocab_id_col: str = "token_id", count_col: str | None = "n", small: bool | None = None) -> DataFrame:
     """Ids -> tokens via the inverse vocabulary -> text joined with spaces, with
-    the space before punctuation removed. An unknown id raises."""
+    the space before punctuation removed, a row for a row. An unknown id raises."""
     ids = _ids(id_col)
-    inv_cols = [vocab_id_col, token_col] + ([count_col] if count_col else [])
-    rows, small = _by_row(df.select(*ids, ids_col), ids, vocab.select(*inv_cols))
-    long = rows.select(*ids, F.posexplode(ids_col).alias("pos", vocab_id_col))
-    joined = joins.salted_lookup(long, vocab.select(*inv_cols), vocab_id_col, salt_cols=[*ids, "pos"],
-                                 freq_col=count_col, how="left", small=small)
-    joined = joined.withColumn(token_col, F.when(F.col(token_col).isNull(), F.raise_error(
-        F.concat(F.lit("unknown id: "), F.col(vocab_id_col).cast("string")))).otherwise(
-        F.col(token_col)))
-    arrays = collect_ordered(joined, ids, "pos", token_col, "_wm_toks")
-    return (df.select(*ids).join(arrays, ids, "left")
-              .select(*ids, decode_join(F.coalesce(F.col("_wm_toks"),
-                                                   F.array().cast("array<string>")))
-                      .alias(out_col)))
+    found = lookup_arrays(df, ids, ids_col, vocab, vocab_id_col, token_col, "_wm_toks", count_col, small, "unknown id: ")
+    return found.select(*ids, decode_join("_wm_toks").alias(out_col))
 
 
 def longest_length(df: DataFrame, ids_col: str = "ids") -> Column:

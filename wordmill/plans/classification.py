@@ -167,6 +167,28 @@ def t5_encode(spark, sf_dir):
                       F.md5(F.array_join("ids", " ")).alias("ids_md5"))
 
 
+def _encoded_beyond(spark, sf_dir, oov):
+    """Every document in the vocabulary of the labelled ones, digests with null ids as '-'."""
+    docs = adapters.corpus(spark, sf_dir)
+    known = docs.join(load_table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    vocab = tok.build_vocab(tok.explode_tokens(known, "doc_id"))
+    enc = tok.encode_texts(docs, vocab, oov=oov, unk_id=-1)
+    shown = F.transform("ids", lambda i: F.coalesce(i.cast("string"), F.lit("-")))
+    return enc.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.md5(F.array_join(shown, " ")).alias("ids_md5"))
+
+
+def t5_oov_null(spark, sf_dir):
+    return _encoded_beyond(spark, sf_dir, "null")
+
+
+def t5_oov_skip(spark, sf_dir):
+    return _encoded_beyond(spark, sf_dir, "skip")
+
+
+def t5_oov_unk(spark, sf_dir):
+    return _encoded_beyond(spark, sf_dir, "unk")
+
+
 def t6_decode(spark, sf_dir):
     vocab = _vocab(spark, sf_dir)
     enc = tok.encode_texts(adapters.corpus(spark, sf_dir), vocab)
@@ -200,6 +222,9 @@ QUERIES = {
     "t3_vocab_size": t3_vocab_size,
     "t4_inverse_vocab": t4_inverse_vocab,
     "t5_encode": t5_encode,
+    "t5_oov_null": t5_oov_null,
+    "t5_oov_skip": t5_oov_skip,
+    "t5_oov_unk": t5_oov_unk,
     "t6_decode": t6_decode,
     "t12_token_freq": t12_token_freq,
 }
@@ -220,6 +245,18 @@ SELECT d.doc_id, {q.decode_clean("coalesce(array_to_string(t.toks, ' '), '')")}
 FROM documents d LEFT JOIN ({_TOKS}) t ON d.doc_id = t.doc_id
 """
 
+_KNOWN = f"SELECT token FROM ({_LONG}) l WHERE doc_id IN (SELECT doc_id FROM labels)"
+
+
+def _beyond(shown: str, where: str) -> str:
+    return f"""
+WITH l AS ({_LONG}), v AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS token_id FROM (SELECT DISTINCT token FROM ({_KNOWN}) k) t),
+e AS (SELECT l.doc_id, count(*) AS n, string_agg({shown}, ' ' ORDER BY l.pos) AS s
+      FROM l LEFT JOIN v ON l.token = v.token {where} GROUP BY l.doc_id)
+SELECT d.doc_id, CAST(coalesce(e.n, 0) AS BIGINT) AS n_ids, md5(coalesce(e.s, '')) AS ids_md5
+FROM documents d LEFT JOIN e ON e.doc_id = d.doc_id"""
+
+
 ORACLE = {
     "split_token_stats": f"""
 SELECT split, Label, count(*) AS n_rows, CAST(sum(len({q.word_tokens('Text')})) AS BIGINT) AS total_tokens,
@@ -255,6 +292,9 @@ FROM (SELECT lang, {q.word_tokens('text')} AS toks FROM documents) t GROUP BY la
     "t3_vocab_size": f"SELECT count(DISTINCT token) AS vocab_size FROM ({_LONG}) l",
     "t4_inverse_vocab": f"SELECT token_id, token, length(token) AS token_chars FROM ({_VOCAB}) v",
     "t5_encode": f"SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, md5(array_to_string(ids, ' ')) AS ids_md5 FROM ({_ENC}) e",
+    "t5_oov_null": _beyond("coalesce(CAST(v.token_id AS VARCHAR), '-')", ""),
+    "t5_oov_skip": _beyond("CAST(v.token_id AS VARCHAR)", "WHERE v.token_id IS NOT NULL"),
+    "t5_oov_unk": _beyond("CAST(coalesce(v.token_id, -1) AS VARCHAR)", ""),
     "t6_decode": f"SELECT doc_id, length(decoded) AS decoded_chars, md5(decoded) AS decoded_md5 FROM ({_DEC}) d",
     "t12_token_freq": f"SELECT token, count(*) AS n FROM ({_LONG}) l GROUP BY token",
 }
