@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordmill.operators import closed_form as cf
 from wordmill.operators import labels as lab
 from wordmill.operators import learning as ml
 from wordmill.operators import ngram as ng
@@ -89,6 +90,56 @@ def l4_facts(spark, sf_dir):
     return _classified(spark, sf_dir).select("doc_id", F.col("predicted").isin("spam", "ham").alias("named"))
 
 
+def _bayes_scores(spark, sf_dir) -> DataFrame:
+    """Scores of every split under the model of the training split, texts cut to its longest one."""
+    sp = cut_lineage(spam_splits(spark, sf_dir).select("doc_id", "split", F.col("Label").alias("label"), "Text"))
+    train = sp.where(F.col("split") == "train")
+    cap = ml.longest_text(train, "Text")
+    model = cf.token_bayes(ml.with_word_tokens(train, "Text"), "tokens", "label", 2)
+    rows = ml.with_word_tokens(sp, "Text", max_length=max(1, cap))
+    return cf.bayes_scores(rows, ["doc_id", "split", "label"], "tokens", model)
+
+
+def l2_bayes(spark, sf_dir):
+    return cf.quality(_bayes_scores(spark, sf_dir), ["split"], "scores", "label")
+
+
+def l4_bayes(spark, sf_dir):
+    found = _bayes_scores(spark, sf_dir).where(F.col("split") == "test")
+    return found.withColumn("pred", cf.best_class("scores")).select(
+        "doc_id", lab.prediction_name("pred").alias("predicted"), F.round(F.element_at("scores", 2) - F.element_at("scores", 1), 6).alias("margin"))
+
+
+#: Classes of the embeddings.
+HEAD_CLASSES = 10
+
+
+def _head_rows(spark, sf_dir):
+    rs = row_splits(spark, sf_dir).select("row_id", "split", F.col("target").alias("label"))
+    emb = load_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
+    data = cut_lineage(rs.join(emb, "row_id"))
+    return data, cf.least_squares_head(data.where(F.col("split") == "train"), "embedding", "label", HEAD_CLASSES)
+
+
+def l3_weights(spark, sf_dir):
+    _, weights = _head_rows(spark, sf_dir)
+    rows = [(i, c, float(w)) for i, row in enumerate(weights) for c, w in enumerate(row)]
+    return spark.createDataFrame(rows, "feature int, class_id int, w double").select(
+        "feature", "class_id", F.round("w", 6).alias("weight"))
+
+
+def l3_predictions(spark, sf_dir):
+    data, weights = _head_rows(spark, sf_dir)
+    return data.select("row_id", "split", cf.head_scores(weights, "embedding").alias("scores")).select(
+        "row_id", "split", cf.best_class("scores").alias("pred"))
+
+
+def l3_quality(spark, sf_dir):
+    data, weights = _head_rows(spark, sf_dir)
+    scored = data.select("split", "label", cf.head_scores(weights, "embedding").alias("scores"))
+    return cf.quality(scored, ["split"], "scores", "label")
+
+
 #: Ids that L9 generates at most (the reference's limit).
 MAX_NEW_TOKENS = 256
 
@@ -128,6 +179,11 @@ QUERIES = {
     "l3_facts": l3_facts,
     "l4_classify_texts": l4_classify_texts,
     "l4_facts": l4_facts,
+    "l2_bayes": l2_bayes,
+    "l3_weights": l3_weights,
+    "l3_predictions": l3_predictions,
+    "l3_quality": l3_quality,
+    "l4_bayes": l4_bayes,
     "l9_responses": l9_responses,
 }
 
@@ -142,6 +198,58 @@ SELECT vec_id, CAST(arg_max(i - 1, (CAST(embedding[i] AS DOUBLE), -(i - 1))) AS
 FROM embeddings, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY vec_id""",
 }
 
+_BAYES = f"""
+WITH s AS MATERIALIZED ({_SPLITS}),
+l AS MATERIALIZED (SELECT s.doc_id, s.split, s.Label, t.pos, t.token FROM s JOIN ({q.long_tokens('SELECT doc_id, Text FROM s', 'doc_id', 'Text')}) t
+                   ON t.doc_id = s.doc_id),
+cap AS (SELECT greatest(coalesce(max(pos) + 1, 0), 1) AS m FROM l WHERE split = 'train'),
+n AS (SELECT token, count(*) FILTER (Label = 0) AS n0, count(*) FILTER (Label = 1) AS n1 FROM l WHERE split = 'train' GROUP BY token),
+z AS (SELECT count(*) AS v, sum(n0) AS s0, sum(n1) AS s1 FROM n),
+w AS MATERIALIZED (SELECT token, ln((n0 + 1.0::DOUBLE) / (s0 + v)) AS w0, ln((n1 + 1.0::DOUBLE) / (s1 + v)) AS w1 FROM n, z),
+p AS (SELECT ln(count(*) FILTER (Label = 0)::DOUBLE / count(*)) AS p0, ln(count(*) FILTER (Label = 1)::DOUBLE / count(*)) AS p1
+      FROM s WHERE split = 'train'),
+d AS (SELECT l.doc_id, sum(w0) AS a0, sum(w1) AS a1 FROM l, cap, w WHERE l.token = w.token AND l.pos < cap.m GROUP BY l.doc_id),
+x AS MATERIALIZED (SELECT s.doc_id, s.split, s.Label, p0 + coalesce(a0, 0) AS s0, p1 + coalesce(a1, 0) AS s1
+                   FROM s CROSS JOIN p LEFT JOIN d ON d.doc_id = s.doc_id)"""
+ORACLE |= {
+    "l2_bayes": f"""{_BAYES}
+SELECT split, count(*) AS n_rows,
+       round(avg(ln(exp(s0 - greatest(s0, s1)) + exp(s1 - greatest(s0, s1))) + greatest(s0, s1) - CASE Label WHEN 0 THEN s0 ELSE s1 END), 6) AS loss,
+       round(avg(CAST((CASE WHEN s1 > s0 THEN 1 ELSE 0 END) = Label AS DOUBLE)), 6) AS accuracy FROM x GROUP BY split""",
+    "l4_bayes": f"""{_BAYES}
+SELECT doc_id, CASE WHEN s1 > s0 THEN 'spam' ELSE 'ham' END AS predicted, round(s1 - s0, 6) AS margin FROM x WHERE split = 'test'""",
+}
+
+# Gauss-Jordan elimination of [Gram + 1 | class sums], one row a step; the matrix is positive definite.
+_HEAD = f"""
+WITH RECURSIVE
+d AS MATERIALIZED (SELECT r.row_id, r.split, r.target AS label, [1.0::DOUBLE] || CAST(e.embedding AS DOUBLE[]) AS x
+                   FROM ({scoring.ROW_SPLITS}) r JOIN embeddings e ON e.vec_id = r.row_id),
+t AS MATERIALIZED (SELECT label, x FROM d WHERE split = 'train'),
+g AS (SELECT i, j, sum(x[i] * x[j]) + CASE WHEN i = j THEN 1 ELSE 0 END AS v FROM t, range(1, 66) a(i), range(1, 66) b(j) GROUP BY i, j
+      UNION ALL
+      SELECT i, 66 + c, coalesce(sum(x[i]) FILTER (label = c), 0) FROM t, range(1, 66) a(i), range({HEAD_CLASSES}) b(c) GROUP BY i, c),
+rows_ AS (SELECT i, list(v ORDER BY j) AS r FROM g GROUP BY i),
+m(k, a) AS (
+  SELECT 1, list(r ORDER BY i) FROM rows_
+  UNION ALL
+  SELECT k + 1, list_transform(a, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+         ELSE list_transform(r, lambda v, j: v - r[k] / a[k][k] * a[k][j]) END) FROM m WHERE k <= 65),
+w AS MATERIALIZED (SELECT a FROM m WHERE k = 66),
+s AS MATERIALIZED (SELECT row_id, split, label, list_transform(range({HEAD_CLASSES}), lambda c:
+          list_sum(list_transform(x, lambda v, i: v * a[i][66 + c]))) AS s FROM d, w),
+q AS (SELECT *, list_max(s) AS top FROM s)"""
+ORACLE |= {
+    "l3_weights": f"""{_HEAD}
+SELECT CAST(i - 1 AS INTEGER) AS feature, CAST(c AS INTEGER) AS class_id, round(a[i][66 + c], 6) AS weight
+FROM w, range(1, 66) f(i), range({HEAD_CLASSES}) b(c)""",
+    "l3_predictions": f"{_HEAD} SELECT row_id, split, CAST(list_position(s, top) - 1 AS INTEGER) AS pred FROM q",
+    "l3_quality": f"""{_HEAD}
+SELECT split, count(*) AS n_rows,
+       round(avg(ln(list_sum(list_transform(s, lambda v: exp(v - top)))) + top - s[label + 1]), 6) AS loss,
+       round(avg(CAST(list_position(s, top) - 1 = label AS DOUBLE)), 6) AS accuracy FROM q GROUP BY split""",
+}
+
 _RECS = f"""
 SELECT conv_id, turn, conv_id || '/' || turn AS rid, split,
        concat({q.format_input('instruction', 'input')}, chr(10), chr(10), '### Response:', chr(10)) AS prompt,
