@@ -85,17 +85,55 @@ def test_every_file_of_a_slow_stream_arrives(spark):
         st.ingest(stream, lambda x: x, io.scratch_path(spark, "t-sink"), io.scratch_path(spark, "t-ck"), timeout_s=0.2)
 
 
-def test_stream_reassembly_equals_batch(spark):
-    src = tempfile.mkdtemp(prefix="wm-lines-")
-    rows = [(r, i, json.dumps({"message": {"content": c}, "done": r == 1 and c == "e"}))
-            for r in (1, 2) for i, c in enumerate("abcdef")]
-    df = spark.createDataFrame(rows, "rid long, line_no long, json string").repartition(5)
-    df.write.mode("overwrite").parquet(src + "/l")
-    sink, ck = io.scratch_path(spark, "t-rs"), io.scratch_path(spark, "t-rck")
-    for _ in range(2):  # a second run finds no new file and changes nothing
-        out = st.reassemble_stream(st.stream_files(spark, src + "/l", df.schema, max_files_per_trigger=1),
-                                   "rid", "line_no", "json", sink, ck)
-        assert sorted(tuple(r) for r in out.collect()) == [(1, "abcde", True), (2, "abcdef", False)]
+def _write_lines(spark, folder, rows):
+    lines = [(r, i, json.dumps({"message": {"content": c}, "done": done})) for r, i, c, done in rows]
+    spark.createDataFrame(lines, "rid long, line_no long, json string").coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_stream_reassembly_over_micro_batches_and_a_restart(spark):
+    src, sink, ck = (io.scratch_path(spark, x) for x in ("t-lines", "t-rs", "t-rck"))
+    schema = "rid long, line_no long, json string"
+
+    def run(**kw):
+        out = st.reassemble_stream(st.stream_files(spark, src, schema, max_files_per_trigger=1), "rid", "line_no", "json", sink, ck, **kw)
+        return sorted(map(tuple, out.collect()))
+    _write_lines(spark, src, [(1, 2, "c", False), (1, 1, "b", False), (2, 1, "x", False)])
+    _write_lines(spark, src, [(1, 0, "a", False), (3, 0, "whole", True), (3, 1, "late", False)])
+    assert run() == [(1, "abc", False), (2, "x", False), (3, "whole", True)]
+    # a restart goes on from the open replies; what follows a done line belongs to nothing
+    _write_lines(spark, src, [(1, 4, "e", True), (1, 3, "d", False), (1, 5, "f", False), (3, 2, "later", True)])
+    _write_lines(spark, src, [(2, 0, "w", False), (1, 6, "g", True)])
+    want = [(1, "abcde", True), (2, "wx", False), (3, "whole", True)]
+    assert run() == want and run() == want  # the last run finds no new line
+    state = spark.read.format("statestore").load(ck).select("key.rid", "value.groupState.*").collect()
+    assert {r.rid: list(r.contents) for r in state} == {1: [], 2: ["x", "w"], 3: []}
+
+
+def test_a_silent_reply_is_given_up(spark):
+    src, sink, ck = (io.scratch_path(spark, x) for x in ("t-lines", "t-rs", "t-rck"))
+    schema = "rid long, line_no long, json string, at timestamp"
+
+    def run(*rows):
+        lines = [(r, i, json.dumps({"message": {"content": c}, "done": done}), f"2024-01-01 {t}") for r, i, c, done, t in rows]
+        frame = spark.createDataFrame(lines, "rid long, line_no long, json string, at string")
+        frame.withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(src)
+        out = st.reassemble_stream(st.stream_files(spark, src, schema), "rid", "line_no", "json", sink, ck, timeout_s=100,
+                                   time_col="at", forget="10 minutes")
+        return sorted(map(tuple, out.collect()))
+    assert run((1, 0, "a", False, "10:00:00"), (2, 0, "b", True, "10:00:00"), (4, 0, "d", False, "10:05:00")) == [
+        (1, "a", False), (2, "b", True), (4, "d", False)]
+    assert run((3, 0, "c", False, "10:12:00")) == [(1, "a", False), (2, "b", True), (3, "c", False), (4, "d", False)]
+    left = spark.read.format("statestore").load(ck).select("key.rid").collect()
+    assert sorted(r.rid for r in left) == [3, 4]  # the silent open reply and the mark of the finished one are gone
+    assert run((4, 1, "e", True, "10:13:00")) == [(1, "a", False), (2, "b", True), (3, "c", False), (4, "de", True)]
+
+
+def test_malformed_reply_line_stops_the_stream(spark):
+    src, sink, ck = (io.scratch_path(spark, x) for x in ("t-lines", "t-rs", "t-rck"))
+    spark.createDataFrame([(1, 0, "{}")], "rid long, line_no long, json string").write.parquet(src)
+    stream = st.stream_files(spark, src, "rid long, line_no long, json string")
+    with pytest.raises(Exception, match="malformed reply line"):
+        st.reassemble_stream(stream, "rid", "line_no", "json", sink, ck)
 
 
 def test_batch_scoring_and_linear_head(spark):

@@ -33,14 +33,30 @@ def st1_ingest(spark: SparkSession, sf_dir: str):
 
 
 def st2_reassemble(spark, sf_dir):
+    """The events come as files of consecutive event_ids, a micro-batch each; the stream is stopped half-way and restarted."""
     ev = load_table(spark, sf_dir, "events")
-    lines = st.stream_files(spark, _table_glob(sf_dir, "events"), ev.schema)
+    folder, sink, ck = (io.scratch_path(spark, f"reassembly-{x}") for x in ("lines", "sink", "ck"))
+    low, high = ev.agg(F.min("event_id"), F.max("event_id")).first()
+    part = F.floor((F.col("event_id") - low) * ST2_FILES / (high - low + 1)) if low is not None else F.lit(0)
+    out = None
+    for half in range(2):
+        for k in range(half * ST2_FILES // 2, (half + 1) * ST2_FILES // 2):
+            ev.where(part == k).coalesce(1).write.mode("append").parquet(folder)
+        out = _replies(spark, folder, ev.schema, sink, ck)
+    return out
+
+
+#: Files, and so micro-batches, of the reply lines.
+ST2_FILES = 4
+
+
+def _replies(spark, folder, schema, sink, ck):
+    lines = st.stream_files(spark, folder, schema, max_files_per_trigger=1)
     # a user's events are the lines of one reply; a purchase is its last line
     message = F.struct(F.get_json_object("props", "$.k").alias("content"))
     lines = lines.select(F.col("user_id").alias("request_id"), F.col("event_id").alias("line_no"),
                          F.to_json(F.struct(message.alias("message"),
                                             (F.col("event_type") == "purchase").alias("done"))).alias("json"))
-    sink, ck = io.scratch_path(spark, "reassembly-sink"), io.scratch_path(spark, "reassembly-ck")
     return st.reassemble_stream(lines, "request_id", "line_no", "json", sink, ck)
 
 
