@@ -10,7 +10,7 @@ block, so ids may repeat, and arrays keep their order.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -56,16 +56,20 @@ def _packed(rows: pa.RecordBatch) -> bytes:
 
 
 def lookup_arrays(df: DataFrame, keep: Sequence[str], array_col: str, dim: DataFrame, key: str, value: str, out_col: str,
-                  freq_col: str | None = None, small: bool | None = None, missing: str | None = None) -> DataFrame:
+                  freq_col: str | None = None, small: bool | None = None, missing: str | None = None,
+                  combine: Callable[[pa.Array, pa.Array, np.ndarray], pa.Array] | None = None,
+                  out_type: str | None = None) -> DataFrame:
     """<keep..., out_col>: each element of ``array_col`` replaced by ``dim.value`` of ``dim.key``, null where it has none.
 
     ``dim`` must be unique on ``key``. ``freq_col`` names its frequencies, by which hot keys are salted. A null
-    array gives an empty one. With ``missing`` an element without a value raises that message. ``small`` is the answer of ``joins.fits_broadcast`` when the caller has it.
+    array gives an empty one. ``combine`` makes a row's result, of ``out_type``, from (values of the distinct
+    elements, indices into them of all elements in a row, elements of each array) in place of the array. With ``missing`` an element without a value raises that message. ``small`` is the answer of ``joins.fits_broadcast`` when the caller has it.
     """
     src = df.select(*keep, F.col(array_col).alias("_wm_array"))
     kinds = {f.name: f.dataType.simpleString() for f in dim.schema}
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema.fields[:-1])
-    schema = f"{kept}`{out_col}` array<{kinds[value]}>"
+    schema = f"{kept}`{out_col}` {out_type or f'array<{kinds[value]}>'}"
+    join = combine or (lambda values, at, lens: _rebuilt(values.take(at), lens))
 
     def check(asked: pa.Array, found: pa.Array) -> None:
         if missing is not None and found.null_count:
@@ -82,7 +86,7 @@ def lookup_arrays(df: DataFrame, keep: Sequence[str], array_col: str, dim: DataF
                 coded = flat.dictionary_encode()
                 found = values.take(pc.index_in(coded.dictionary, value_set=keys, skip_nulls=True))
                 check(coded.dictionary, found)
-                out = _rebuilt(found.take(coded.indices), lens)
+                out = join(found, coded.indices, lens)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], [*batch.schema.names[:-1], out_col])
         return src.mapInArrow(direct, schema)
 
@@ -106,7 +110,7 @@ def lookup_arrays(df: DataFrame, keep: Sequence[str], array_col: str, dim: DataF
         check(answers[key], values)
         rows = pa.ipc.open_stream(blocks["rows"][0].as_py()).read_all()
         flat, lens = _arrays(rows.column(rows.num_columns - 1))
-        out = _rebuilt(values.take(flat), lens)
+        out = join(values, flat, lens)
         return pa.table([*rows.columns[:-1], out], [*rows.column_names[:-1], out_col])
     key_kind = src.schema["_wm_array"].dataType.elementType.simpleString()
     blocks = cut_lineage(src.mapInArrow(cut, f"block long, rows binary, keys array<{key_kind}>"))

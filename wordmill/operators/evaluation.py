@@ -50,17 +50,19 @@ def accuracy(preds: DataFrame, num_batches: int | None = None,
 def split_report(rows: DataFrame, num_batches: int | None = None, split_col: str = "split",
                  batch_col: str = "batch_id", loss_col: str = "loss", pred_col: str = "pred",
                  target_col: str = "target") -> DataFrame:
-    """M7 + M8 (+M9) in one pass: <split, loss_first, loss_all, acc_first, acc_all>.
+    """M7 + M8 (+M9) in one pass: <split, loss_first, loss_all, loss_rows, acc_first, acc_all>.
 
+    loss_rows is the global mean, over rows rather than batches.
     One aggregate per batch, one per split: the first ``num_batches`` batches and all of them are
     conditional sums over the same rows.
     """
     per_batch = rows.groupBy(split_col, batch_col).agg(
-        F.avg(loss_col).alias("_wm_l"), F.count(F.lit(1)).alias("_wm_n"),
-        F.count_if(F.col(pred_col) == F.col(target_col)).alias("_wm_c"))
+        F.avg(loss_col).alias("_wm_l"), F.sum(loss_col).alias("_wm_s"), F.count(loss_col).alias("_wm_r"),
+        F.count(F.lit(1)).alias("_wm_n"), F.count_if(F.col(pred_col) == F.col(target_col)).alias("_wm_c"))
     early = F.lit(True) if num_batches is None else F.col(batch_col) < num_batches
     return per_batch.groupBy(split_col).agg(
         F.avg(F.when(early, F.col("_wm_l"))).alias("loss_first"), F.avg("_wm_l").alias("loss_all"),
+        F.try_divide(F.sum("_wm_s"), F.sum("_wm_r")).alias("loss_rows"),
         F.coalesce(F.try_divide(F.sum(F.when(early, F.col("_wm_c"))), F.sum(F.when(early, F.col("_wm_n")))),
                    F.lit(0.0)).alias("acc_first"),
         F.try_divide(F.sum("_wm_c"), F.sum("_wm_n")).alias("acc_all"))

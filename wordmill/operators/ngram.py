@@ -180,6 +180,10 @@ def greedy_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
     return out.select(id_col, F.coalesce(out_col, empty_ctx()).alias(out_col))
 
 
+#: Next ids of one span; running sums of a context meet span by span.
+SPAN_IDS = 4096
+
+
 def candidates(counts: DataFrame, top_k: int | None = None, temperature: float = 1.0,
                order: int = 2) -> DataFrame:
     """Sampling table ``<ctx, bucket, next, lo, hi, nb, next_ctx, next_nb>``.
@@ -195,32 +199,43 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
         kth = uni.select("n").orderBy(F.col("n").desc()).limit(top_k).agg(F.min("n").alias("_wm_kth"))
         uni = uni.crossJoin(F.broadcast(kth)).where(F.col("n") >= F.col("_wm_kth")).drop("_wm_kth")
     allc = counts.select("ctx", "next", "n").unionByName(uni.select("ctx", "next", "n"))
-    byctx = Window.partitionBy("ctx")
     # a context's training frequency sizes its bucket count too, so a context that
     # dominates the frontier is spread over many (ctx, bucket) join keys
     total = allc.where(F.size("ctx") > 0).agg(F.sum("n").alias("_wm_total"))
-    allc = (allc.withColumn("_wm_ctx_n", F.sum("n").over(byctx))
-                .crossJoin(F.broadcast(total)))  # one row
+    stats = cut_lineage(allc.groupBy("ctx").agg(F.sum("n").alias("_wm_ctx_n"), F.max("n").alias("_wm_top"),
+                                                F.count(F.lit(1)).alias("_wm_rows")))
+    span = F.floor(F.col("next") / F.lit(SPAN_IDS)).alias("_wm_span")
     if not temperature or temperature <= 0:
-        kept = allc.groupBy("ctx", "_wm_ctx_n", "_wm_total").agg(
-            F.max_by("next", F.struct(F.col("n"), -F.col("next"))).alias("next")
-        ).withColumn("_wm_w", F.lit(1.0))
+        kept = allc.groupBy("ctx").agg(F.max_by("next", F.struct(F.col("n"), -F.col("next"))).alias("next"))
+        kept = kept.withColumn("_wm_w", F.lit(1.0))
     else:
-        x = allc
+        x = salted_lookup(allc, stats.select("ctx", "_wm_top", "_wm_rows"), "ctx", salt_cols=["next"], freq_col="_wm_rows")
         if top_k is not None:
-            x = x.withColumn("_wm_rk", F.rank().over(byctx.orderBy(F.col("n").desc()))) \
-                 .where(F.col("_wm_rk") <= top_k).drop("_wm_rk")
-        lg = F.log(F.col("n").cast("double"))
-        kept = x.withColumn("_wm_w", F.exp((lg - F.max(lg).over(byctx)) / F.lit(float(temperature))))
-    ordered = byctx.orderBy("next").rowsBetween(Window.unboundedPreceding, 0)
-    c = (kept.withColumn("_wm_p", F.col("_wm_w") / F.sum("_wm_w").over(byctx))
-             .withColumn("hi", F.sum("_wm_p").over(ordered))
-             .withColumn("lo", F.col("hi") - F.col("_wm_p"))
-             .withColumn("_wm_last", F.row_number().over(byctx.orderBy(F.col("next").desc())) == 1)
-             .withColumn("hi", F.when(F.col("_wm_last"), F.lit(2.0)).otherwise(F.col("hi")))
-             .withColumn("nb", F.greatest(
-                 F.ceil(F.count(F.lit(1)).over(byctx) / F.lit(4)),
-                 F.ceil(F.col("_wm_ctx_n") * F.lit(HOT_BUCKETS) / F.col("_wm_total"))).cast("int")))
+            # the k-th count of a context from the k best of each span of ids
+            best = allc.groupBy("ctx", span).agg(F.slice(F.sort_array(F.collect_list("n"), False), 1, top_k).alias("b"))
+            kth = best.groupBy("ctx").agg(F.slice(F.sort_array(F.flatten(F.collect_list("b")), False), 1, top_k).alias("b"))
+            kth = kth.select("ctx", F.element_at("b", -1).alias("_wm_kth")).join(stats.select("ctx", "_wm_rows"), "ctx")
+            x = (salted_lookup(x.drop("_wm_rows"), cut_lineage(kth), "ctx", salt_cols=["next"], freq_col="_wm_rows")
+                 .where(F.col("n") >= F.col("_wm_kth")))
+        lg = F.log(F.col("n").cast("double")) - F.log(F.col("_wm_top").cast("double"))
+        kept = x.select("ctx", "next", F.exp(lg / F.lit(float(temperature))).alias("_wm_w"))
+    # running weights in two levels: inside a span of ids, and over the spans of a context
+    kept = cut_lineage(kept.select("ctx", "next", "_wm_w", span))
+    inside = Window.partitionBy("ctx", "_wm_span").orderBy("next").rowsBetween(Window.unboundedPreceding, 0)
+    spans = kept.groupBy("ctx", "_wm_span").agg(F.sum("_wm_w").alias("w"), F.count(F.lit(1)).alias("c"), F.max("next").alias("m"))
+    spans = spans.groupBy("ctx").agg(F.array_sort(F.collect_list(F.struct("_wm_span", "w", "c", "m"))).alias("s"))
+    add_w = lambda a: F.aggregate(a, F.lit(0.0), lambda t, y: t + y["w"])
+    before = F.transform("s", lambda y, k: F.struct(y["_wm_span"].alias("_wm_span"), add_w(F.slice("s", 1, k)).alias("off")))
+    spans = spans.select("ctx", add_w(F.col("s")).alias("_wm_all"), F.element_at("s", -1)["m"].alias("_wm_last"),
+                         F.aggregate("s", F.lit(0).cast("bigint"), lambda t, y: t + y["c"]).alias("_wm_c"),
+                         F.explode(before).alias("b")).select("ctx", "b._wm_span", "b.off", "_wm_all", "_wm_last", "_wm_c")
+    spans = spans.join(stats.select("ctx", "_wm_ctx_n"), "ctx").crossJoin(F.broadcast(total))  # one row
+    c = kept.withColumn("_wm_in", F.sum("_wm_w").over(inside)).join(spans, ["ctx", "_wm_span"])
+    c = (c.withColumn("hi", (F.col("off") + F.col("_wm_in")) / F.col("_wm_all"))
+          .withColumn("lo", F.col("hi") - F.col("_wm_w") / F.col("_wm_all"))
+          .withColumn("hi", F.when(F.col("next") == F.col("_wm_last"), F.lit(2.0)).otherwise(F.col("hi")))
+          .withColumn("nb", F.greatest(F.ceil(F.col("_wm_c") / F.lit(4)), F.ceil(
+              F.col("_wm_ctx_n") * F.lit(HOT_BUCKETS) / F.col("_wm_total"))).cast("int")))
     top = F.least(F.floor(F.least(F.col("hi"), F.lit(1.0)) * F.col("nb")), F.col("nb") - 1)
     c = c.withColumn("bucket", F.explode(F.sequence(
         F.least(F.floor(F.col("lo") * F.col("nb")), F.col("nb") - 1).cast("int"), top.cast("int"))))

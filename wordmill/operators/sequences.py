@@ -44,6 +44,16 @@ def next_token_long(df: DataFrame, id_cols: str | Sequence[str], pos_col: str =
     return df.withColumn(next_col, F.lead(token_col).over(w))
 
 
+def next_tokens(df: DataFrame, id_cols: str | Sequence[str], ids_col: str = "ids", pos_col: str = "pos",
+                token_col: str = "token_id", next_col: str = "next_id") -> DataFrame:
+    """Q2: <id..., pos, token, next token> of id arrays by an array shift (NULL at the end); nothing is shuffled."""
+    ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    shifted = F.concat(F.slice(ids_col, F.lit(2), F.size(ids_col)), F.array(F.lit(None).cast("bigint")))
+    pairs = F.zip_with(ids_col, F.slice(shifted, F.lit(1), F.size(ids_col)), lambda t, n: F.struct(t.alias("t"), n.alias("n")))
+    return df.select(*ids, F.posexplode(pairs).alias(pos_col, "_wm_t")).select(
+        *ids, pos_col, F.col("_wm_t.t").alias(token_col), F.col("_wm_t.n").alias(next_col))
+
+
 def _pad(pad_id: Column | int) -> Column:
     return (F.lit(pad_id) if isinstance(pad_id, int) else pad_id).cast("bigint")
 

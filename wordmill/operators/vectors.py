@@ -8,14 +8,21 @@ exploding every vector into one row per dimension.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordmill.functions.exchange import lookup_arrays
 from wordmill.functions.joins import salted_lookup
 
 LN_EPS = 1e-5
+#: Token vectors added up at once.
+POOL_TOKENS = 1 << 14
 
 
 def layer_norm(df: DataFrame, arr_col: str, out_col: str = "normed", eps: float = LN_EPS,
@@ -47,6 +54,38 @@ def layer_norm(df: DataFrame, arr_col: str, out_col: str = "normed", eps: float
     return x.withColumn(out_col, normed).drop("_wm_s")
 
 
+def _mean_vectors(values: pa.Array, at: pa.Array, lens: np.ndarray) -> pa.Array:
+    """Mean of each row's vectors, elements without one left out; null where none is left."""
+    known = values.is_valid().to_numpy(zero_copy_only=False)
+    at = at.fill_null(-1).to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(lens)), lens)
+    has = np.zeros(len(at), bool)
+    has[at >= 0] = known[at[at >= 0]]
+    at, row = (np.cumsum(known) - 1)[at[has]], row[has]
+    count = np.bincount(row, minlength=len(lens))
+    if not len(at):
+        return pa.array([None] * len(lens), pa.list_(pa.float64()))
+    matrix = values.drop_null().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(int(known.sum()), -1)
+    sums = np.zeros((len(lens), matrix.shape[1]))
+    for k in range(0, len(at), POOL_TOKENS):  # rows come in order
+        own, first = np.unique(row[k:k + POOL_TOKENS], return_index=True)
+        sums[own] += np.add.reduceat(matrix[at[k:k + POOL_TOKENS]], first, 0)
+    return pa.array([(s / n).tolist() if n else None for s, n in zip(sums, count.tolist())], pa.list_(pa.float64()))
+
+
+def pool_arrays(df: DataFrame, id_cols: str | Sequence[str], ids_col: str, table: DataFrame, key_col: str = "vec_id",
+                vec_col: str = "embedding", out_col: str = "pooled", small: bool | None = None) -> DataFrame:
+    """V2: <id..., pooled>: mean embedding of each row's ids, ids without a vector left out (NULL if all are).
+
+    A sparse-dense product by blocks of rows: beyond the broadcast limit a vector goes to a block once, however
+    often the block's rows use it, and rows stay where they are (``functions.exchange``).
+    """
+    ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    vectors = table.select(F.col(key_col).alias("_wm_key"), F.col(vec_col).cast("array<double>").alias("_wm_vec"))
+    return lookup_arrays(df, ids, ids_col, vectors, "_wm_key", "_wm_vec", out_col, small=small,
+                         combine=_mean_vectors, out_type="array<double>")
+
+
 def pooled_embeddings(token_ids: DataFrame, table: DataFrame, row_col: str = "doc_id",
                       token_col: str = "token_id", key_col: str = "vec_id",
                       vec_col: str = "embedding", out_col: str = "pooled",

@@ -26,12 +26,10 @@ def s1_tsv(spark: SparkSession, sf_dir: str):
 def s2_csv(spark, sf_dir):
     path = io.scratch_path(spark, "splits-csv")
     sp = spam_splits(spark, sf_dir).select("split", "Label", "Text")
-    for name in ("train", "validation", "test"):
-        io._csv_writer(sp.where(F.col("split") == name).select("Label", "Text"), True) \
-            .mode("overwrite").csv(f"{path}/{name}")
-    parts = [io.read_split_csv(spark, f"{path}/{n}").withColumn("split", F.lit(n))
-             for n in ("train", "validation", "test")]
-    back = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    io.write_split_csv(sp, path)  # one pass over the texts, a folder for each split
+    back = io.read_split_csv(spark, path)
+    if "split" not in back.columns:  # no row, no folder
+        back = back.withColumn("split", F.lit(None).cast("string"))
     return back.select("split", "Label", F.md5("Text").alias("text_md5"))
 
 
@@ -44,12 +42,16 @@ def s3_json(spark, sf_dir):
                        .alias("record_md5"))
 
 
+#: Documents of one file, which is one row when it is read whole.
+S4_LINES = 200
+
+
 def s4_whole_text(spark, sf_dir):
-    """A text file for each range of documents, a document a line; every file is read back whole."""
+    """Text files of at most S4_LINES documents, a document a line; every file is read back whole."""
     path = io.scratch_path(spark, "corpus-text")
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     docs.orderBy("doc_id").select(F.concat_ws("\t", "doc_id", F.hex(F.encode("text", "UTF-8"))).alias("value")) \
-        .write.mode("overwrite").text(path)
+        .write.mode("overwrite").option("maxRecordsPerFile", S4_LINES).text(path)
     lines = io.read_whole_text(spark, path).select(F.explode(F.split("text", "\n")).alias("v")).where("v <> ''")
     return lines.select(F.substring_index("v", "\t", 1).cast("bigint").alias("doc_id"),
                         F.md5(F.unhex(F.substring_index("v", "\t", -1))).alias("text_md5"))

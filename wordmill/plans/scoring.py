@@ -74,7 +74,8 @@ def _scored_rows(spark, sf_dir) -> DataFrame:
 
 def m7_loader_loss(spark, sf_dir):
     r = ev.split_report(_scored_rows(spark, sf_dir), 5)
-    return r.select("split", F.round("loss_first", R6).alias("loss_first5"), F.round("loss_all", R6).alias("loss_all"))
+    return r.select("split", F.round("loss_first", R6).alias("loss_first5"), F.round("loss_all", R6).alias("loss_all"),
+                    F.round("loss_rows", R6).alias("loss_rows"))
 
 
 def m8_accuracy(spark, sf_dir):
@@ -119,8 +120,7 @@ def v1_layer_norm(spark, sf_dir):
 def v2_pooled(spark, sf_dir):
     docs = adapters.corpus(spark, sf_dir)
     vocab = tok.build_vocab(tok.explode_tokens(docs, "doc_id"))
-    ids = tok.encode_tokens(tok.explode_tokens(docs, "doc_id"), vocab, "doc_id")
-    pooled = vec.pooled_embeddings(ids, load_table(spark, sf_dir, "embeddings"), rows=docs)
+    pooled = vec.pool_arrays(tok.encode_texts(docs, vocab), "doc_id", "ids", load_table(spark, sf_dir, "embeddings"))
     return pooled.select("doc_id", F.posexplode_outer("pooled").alias("dim", "value")).select(
         "doc_id", F.col("dim").cast("int").alias("dim"), F.round("value", R6).alias("value"))
 
@@ -190,8 +190,9 @@ SELECT row_id, CAST(coalesce(min(CASE WHEN cum >= u THEN class_id END), max(clas
 GROUP BY row_id""",
     "m6_cross_entropy": f"SELECT row_id, round(loss, 6) AS loss FROM ({_CE}) c",
     "m7_loader_loss": f"""
-SELECT split, round(avg(CASE WHEN batch_id < 5 THEN bl END), 6) AS loss_first5, round(avg(bl), 6) AS loss_all
-FROM ({_LOSS_B}) b GROUP BY split""",
+SELECT b.split, round(avg(CASE WHEN batch_id < 5 THEN bl END), 6) AS loss_first5, round(avg(bl), 6) AS loss_all, any_value(g.lr) AS loss_rows
+FROM ({_LOSS_B}) b JOIN (SELECT r.split, round(avg(c.loss), 6) AS lr FROM ({_CE}) c JOIN ({_RS}) r ON c.row_id = r.row_id GROUP BY r.split) g
+  ON g.split = b.split GROUP BY b.split""",
     "m8_accuracy": f"""
 SELECT split, round(coalesce(count_if(batch_id < 5 AND pred = target) / count_if(batch_id < 5), 0), 6) AS acc_first5,
        round(count_if(pred = target) / count(*), 6) AS acc_all

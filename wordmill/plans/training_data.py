@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordmill.functions.text import word_tokens
 from wordmill.operators import distributions as dist
 from wordmill.operators import ledger as led
 from wordmill.operators import prompts as pr
 from wordmill.operators import sequences as seq
 from wordmill.operators import tokens as tok
 from wordmill.plans import sqlbits as q
-from wordmill.plans.classification import spam_splits
+from wordmill.plans.classification import narrow_splits, spam_splits
 from wordmill.session import cut_lineage, load_table
 from wordmill.sources import adapters
 
@@ -51,10 +52,7 @@ def q1_windows(spark, sf_dir):
 
 
 def q2_next_token(spark, sf_dir):
-    docs = adapters.corpus(spark, sf_dir)
-    vocab = doc_vocab(spark, sf_dir)
-    long = tok.encode_tokens(tok.explode_tokens(docs, "doc_id"), vocab, "doc_id")
-    nxt = seq.next_token_long(long, "doc_id")
+    nxt = seq.next_tokens(encoded_docs(spark, sf_dir), "doc_id")
     return nxt.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "token_id", "next_id")
 
 
@@ -72,7 +70,7 @@ def q4_pad_to_train(spark, sf_dir):
 
 
 def q5_batches(spark, sf_dir):
-    sp = encoded_splits(spark, sf_dir)
+    sp = narrow_splits(spark, sf_dir)
     train = led.make_batches(sp.where(F.col("split") == "train"), "doc_id", 8,
                              shuffle=True, drop_last=True, seed=123)
     # every split is a loader of its own
@@ -139,21 +137,22 @@ def q11_classifier_input(spark, sf_dir):
                     .alias("input_md5"))
 
 
-def _schedule(spark, sf_dir):
-    """The train loader's visits; a row is padded to the longest, so it has that many tokens."""
-    sp = encoded_splits(spark, sf_dir).where(F.col("split") == "train")
-    sp = seq.pad_to_longest(sp, "ids", None, F.col("pad_id")).select(
-        "doc_id", F.size("padded").cast("bigint").alias("n_tok"))
-    return led.epoch_schedule(sp, "doc_id", num_epochs=5, batch_size=8, seed=123,
-                              drop_last=True)
+def _schedule(train):
+    """The train loader's visits."""
+    return led.epoch_schedule(train, "doc_id", num_epochs=5, batch_size=8, seed=123, drop_last=True)
 
 
 def q7_schedule(spark, sf_dir):
-    return _schedule(spark, sf_dir).select("doc_id", "epoch", "batch_id", "step")
+    train = narrow_splits(spark, sf_dir).where(F.col("split") == "train").select("doc_id")
+    return _schedule(train).select("doc_id", "epoch", "batch_id", "step")
 
 
 def _ledger(spark, sf_dir):
-    return led.exposure_ledger(_schedule(spark, sf_dir), "n_tok")
+    """A row is padded to the longest one, so it has that many tokens; only their number is looked at."""
+    train = narrow_splits(spark, sf_dir).where(F.col("split") == "train").select("doc_id")
+    texts = adapters.corpus(spark, sf_dir).join(train, "doc_id", "left_semi")
+    longest = texts.agg(F.max(F.size(word_tokens("text"))).cast("bigint").alias("n_tok"))  # one row
+    return led.exposure_ledger(_schedule(train.crossJoin(F.broadcast(longest))), "n_tok")
 
 
 def q8_exposure(spark, sf_dir):
