@@ -18,6 +18,8 @@ Re-aimed from transformer pre-training: the model is a table of counts
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,6 +88,53 @@ def loss(counts: DataFrame, val: DataFrame, ids_col: str, vocab_size: DataFrame
     return agg.withColumn("perplexity", F.exp("loss"))
 
 
+def fit_orders(df: DataFrame, ids_col: str, order: int = 3) -> DataFrame:
+    """Counts ``<ctx, next, n>`` of every order from 1 to ``order`` from one pass; ``size(ctx) + 1`` is the order."""
+    pos = F.explode(F.sequence(F.lit(0), F.size(ids_col) - 1))
+    x = df.where(F.size(ids_col) > 0).select(F.col(ids_col).alias("_wm_ids"), pos.alias("_wm_i"))
+    x = x.withColumn(
+        "_wm_k", F.explode(F.sequence(F.lit(0), F.least(F.col("_wm_i"), F.lit(order - 1)))))
+    ctx = F.slice("_wm_ids", F.col("_wm_i") - F.col("_wm_k") + 1, F.col("_wm_k"))
+    return x.select(ctx.cast("array<bigint>").alias("ctx"), F.element_at("_wm_ids", F.col("_wm_i") + 1).cast("bigint").alias("next")) \
+        .groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("n"))
+
+
+def backoff_loss(counts: DataFrame, val: DataFrame, ids_col: str, vocab_size: int, order: int = 3,
+                 alpha: float = 0.4) -> DataFrame:
+    """Mean ``-log S(next | context)`` by back-off over ``fit_orders`` counts, and its perplexity.
+
+    S is n(ctx, next) / n(ctx) where the pair was seen, else ``alpha`` times S under the context without its
+    first id; without context it is (n(next) + 1) / (N + V). The first id of a row is not scored. Pairs that an
+    order doesn't have go on to the next lower one, counted together again, so every join has distinct keys.
+    """
+    counts = cut_lineage(counts)
+    pos = F.explode(F.sequence(F.lit(1), F.size(ids_col) - 1))
+    x = val.where(F.size(ids_col) > 1).select(F.col(ids_col).alias("_wm_ids"), pos.alias("_wm_i"))
+    k = F.least(F.col("_wm_i"), F.lit(order - 1))
+    left = x.select(F.slice("_wm_ids", F.col("_wm_i") - k + 1, k).cast("array<bigint>").alias("ctx"),
+                    F.element_at("_wm_ids", F.col("_wm_i") + 1).cast("bigint").alias("next"), F.lit(0).alias("steps"))
+    left = left.groupBy("ctx", "next", "steps").agg(F.count(F.lit(1)).alias("mult"))
+    parts = []
+    for size in range(order - 1, 0, -1):
+        left = cut_lineage(left)
+        own = counts.where(F.size("ctx") == size)
+        here = left.where(F.size("ctx") == size)
+        totals = cut_lineage(context_totals(own).select("ctx", "ctx_n", "n_next"))
+        hit = salted_lookup(here.join(own, ["ctx", "next"]), totals, "ctx", salt_cols=["next"], freq_col="n_next")
+        parts.append(hit.select("mult", (-F.log(F.col("n") / F.col("ctx_n")) - F.col("steps") * F.log(F.lit(alpha))).alias("l")))
+        missed = here.join(own, ["ctx", "next"], "left_anti").select(
+            F.slice("ctx", 2, size).alias("ctx"), "next", (F.col("steps") + 1).alias("steps"), "mult")
+        left = left.where(F.size("ctx") < size).unionByName(missed).groupBy("ctx", "next", "steps").agg(F.sum("mult").alias("mult"))
+    uni = counts.where(F.size("ctx") == 0).select("next", "n")
+    every = uni.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_wm_all"))  # one row
+    last = left.join(uni, "next", "left").crossJoin(F.broadcast(every))
+    p = (F.coalesce("n", F.lit(0)) + 1) / (F.col("_wm_all") + F.lit(vocab_size))
+    parts.append(last.select("mult", (-F.log(p) - F.col("steps") * F.log(F.lit(alpha))).alias("l")))
+    scored = reduce(DataFrame.unionByName, parts)
+    out = scored.agg(F.sum("mult").alias("n_pairs"), (F.sum(F.col("l") * F.col("mult")) / F.sum("mult")).alias("loss"))
+    return out.withColumn("perplexity", F.exp("loss"))
+
+
 def best_next(counts: DataFrame) -> DataFrame:
     """Greedy choice per context: the most frequent next id, ties to the lowest id."""
     return counts.groupBy("ctx").agg(

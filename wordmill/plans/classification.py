@@ -16,6 +16,7 @@ from wordmill.operators import tokens as tok
 from wordmill.operators.indexing import sorted_index
 from wordmill.plans import sqlbits as q
 from wordmill.sources import adapters
+from wordmill.sources import files as io
 from wordmill.session import cut_lineage, load_table
 
 SEED = 123
@@ -151,6 +152,18 @@ def t3_vocab_size(spark, sf_dir):
     return long.agg(tok.vocab_size(long).alias("vocab_size"))
 
 
+def t3_sketches(spark, sf_dir):
+    """Sketches of each source are stored, read back and united; exact size, and whether the estimate is within 3 standard errors."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    long = tok.explode_tokens(docs, ["doc_id", "source"])
+    path = io.scratch_path(spark, "vocab-sketches")
+    tok.vocab_sketches(long, ["source"]).write.parquet(path)
+    united = tok.united_vocab_size(spark.read.parquet(path))
+    exact = long.agg(tok.vocab_size(long).alias("vocab_size"))  # one row, as the estimate
+    within = F.abs(F.col("estimate") - F.col("vocab_size")) <= F.col("vocab_size") * (3 * 1.04 / 128)
+    return exact.crossJoin(F.broadcast(united)).select("vocab_size", within.alias("within"))
+
+
 def t4_inverse_vocab(spark, sf_dir):
     v = _vocab(spark, sf_dir)
     return v.select("token_id", "token", F.length("token").cast("bigint").alias("token_chars"))
@@ -222,6 +235,7 @@ QUERIES = {
     "t3_vocab_size": t3_vocab_size,
     "t4_inverse_vocab": t4_inverse_vocab,
     "t5_encode": t5_encode,
+    "t3_sketches": t3_sketches,
     "t5_oov_null": t5_oov_null,
     "t5_oov_skip": t5_oov_skip,
     "t5_oov_unk": t5_oov_unk,
@@ -292,6 +306,7 @@ FROM (SELECT lang, {q.word_tokens('text')} AS toks FROM documents) t GROUP BY la
     "t3_vocab_size": f"SELECT count(DISTINCT token) AS vocab_size FROM ({_LONG}) l",
     "t4_inverse_vocab": f"SELECT token_id, token, length(token) AS token_chars FROM ({_VOCAB}) v",
     "t5_encode": f"SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, md5(array_to_string(ids, ' ')) AS ids_md5 FROM ({_ENC}) e",
+    "t3_sketches": f"SELECT count(DISTINCT token) AS vocab_size, true AS within FROM ({_LONG}) l",
     "t5_oov_null": _beyond("coalesce(CAST(v.token_id AS VARCHAR), '-')", ""),
     "t5_oov_skip": _beyond("CAST(v.token_id AS VARCHAR)", "WHERE v.token_id IS NOT NULL"),
     "t5_oov_unk": _beyond("CAST(coalesce(v.token_id, -1) AS VARCHAR)", ""),

@@ -59,6 +59,18 @@ def l6_loss(spark, sf_dir):
                       F.round("perplexity", 4).alias("perplexity"))
 
 
+def l5_trigrams(spark, sf_dir):
+    ids, _, _ = _model(spark, sf_dir)
+    counts = ng.fit_orders(ids, "train_ids", 3).where(F.size("ctx") == 2)
+    return counts.select(F.element_at("ctx", 1).alias("ctx1"), F.element_at("ctx", 2).alias("ctx2"), "next", "n")
+
+
+def l6_backoff(spark, sf_dir):
+    ids, vocab, _ = _model(spark, sf_dir)
+    out = ng.backoff_loss(ng.fit_orders(ids, "train_ids", 3), ids, "val_ids", vocab.count(), 3)
+    return out.select("n_pairs", F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity"))
+
+
 def _ids_text(c: str) -> F.Column:
     return F.array_join(c, " ")
 
@@ -97,6 +109,8 @@ def l10_sample_report(spark, sf_dir):
 QUERIES = {
     "l5_fit": l5_fit,
     "l6_loss": l6_loss,
+    "l5_trigrams": l5_trigrams,
+    "l6_backoff": l6_backoff,
     "l7_greedy": l7_greedy,
     "l8_sample": l8_sample,
     "l8_sample_stop": l8_sample_stop,
@@ -185,3 +199,20 @@ SELECT doc_id, length(replace({q.decode_clean('joined')}, chr(10), ' ')) AS n_ch
        md5(replace({q.decode_clean('joined')}, chr(10), ' ')) AS text_md5 FROM toks
 """
 ORACLE["l10_sample_report"] = _L10
+
+_GRAMS = "SELECT {k}, train_ids[i] AS next, count(*) AS n FROM x, range({s}, len(train_ids) + 1) r(i) GROUP BY ALL"
+_UNI, _BI, _TRI = (_GRAMS.format(k=k, s=s) for k, s in (
+    ("0 AS c0", 1), ("train_ids[i - 1] AS c1", 2), ("train_ids[i - 2] AS c2, train_ids[i - 1] AS c1", 3)))
+ORACLE["l5_trigrams"] = f"WITH x AS MATERIALIZED ({_IDS}), t AS ({_TRI}) SELECT c2 AS ctx1, c1 AS ctx2, next, n FROM t"
+ORACLE["l6_backoff"] = f"""
+WITH x AS MATERIALIZED ({_IDS}), u AS MATERIALIZED ({_UNI}), b AS MATERIALIZED ({_BI}), t AS MATERIALIZED ({_TRI}),
+bt AS (SELECT c1, sum(n) AS s FROM b GROUP BY c1), tt AS (SELECT c2, c1, sum(n) AS s FROM t GROUP BY c2, c1),
+z AS (SELECT (SELECT sum(n) FROM u) + (SELECT count(*) FROM ({_VOCAB}) v) AS z),
+p AS (SELECT CASE WHEN i > 2 THEN val_ids[i - 2] END AS c2, val_ids[i - 1] AS c1, val_ids[i] AS next
+      FROM x, range(2, len(val_ids) + 1) r(i)),
+q AS (SELECT CASE WHEN t.n IS NOT NULL THEN -ln(t.n / tt.s)
+                  WHEN b.n IS NOT NULL THEN -ln(b.n / bt.s) - CASE WHEN p.c2 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END
+                  ELSE -ln((coalesce(u.n, 0) + 1) / z.z) - CASE WHEN p.c2 IS NULL THEN 1 ELSE 2 END * ln(0.4::DOUBLE) END AS l
+      FROM p LEFT JOIN t ON t.c2 = p.c2 AND t.c1 = p.c1 AND t.next = p.next LEFT JOIN tt ON tt.c2 = p.c2 AND tt.c1 = p.c1
+      LEFT JOIN b ON b.c1 = p.c1 AND b.next = p.next LEFT JOIN bt ON bt.c1 = p.c1 LEFT JOIN u ON u.next = p.next, z)
+SELECT count(*) AS n_pairs, round(avg(l), 6) AS loss, round(exp(avg(l)), 4) AS perplexity FROM q"""

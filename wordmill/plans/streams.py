@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wordmill.functions.text import word_tokens
 from wordmill.operators import prompts as pr
+from wordmill.operators import sequences as seq
+from wordmill.operators import tokens as tok
 from wordmill.plans import sqlbits as q
 from wordmill.sources import files as io
 from wordmill.session import load_table
@@ -32,6 +34,26 @@ def st1_ingest(spark: SparkSession, sf_dir: str):
                      _row_local, sink, ck)
 
 
+#: Ids of a streamed row.
+ST1_LENGTH = 64
+
+
+def st1_encode(spark: SparkSession, sf_dir: str):
+    """The documents arrive as four files; each micro-batch is encoded in the labelled documents' vocabulary, then padded."""
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = docs.join(load_table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    vocab = tok.build_vocab(tok.explode_tokens(known, "doc_id"))
+    size = vocab.count()  # the unknown id; the pad id is the next one
+    folder, sink, ck = (io.scratch_path(spark, f"encode-{x}") for x in ("docs", "sink", "ck"))
+    docs.repartition(4).write.parquet(folder)
+
+    def padded(batch: DataFrame) -> DataFrame:
+        enc = tok.encode_texts(batch, vocab, oov="unk", unk_id=size)
+        return enc.select("doc_id", seq.pad_truncate("ids", ST1_LENGTH, size + 1).alias("ids"))
+    out = st.ingest_batches(st.stream_files(spark, folder, docs.schema, max_files_per_trigger=1), padded, sink, ck)
+    return out.select("doc_id", F.md5(F.array_join("ids", " ")).alias("ids_md5"))
+
+
 def st2_reassemble(spark, sf_dir):
     """The events come as files of consecutive event_ids, a micro-batch each; the stream is stopped half-way and restarted."""
     ev = load_table(spark, sf_dir, "events")
@@ -62,10 +84,18 @@ def _replies(spark, folder, schema, sink, ck):
 
 QUERIES = {
     "st1_ingest": st1_ingest,
+    "st1_encode": st1_encode,
     "st2_reassemble": st2_reassemble,
 }
 
+_KNOWN = q.vocab("SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 ORACLE = {
+    "st1_encode": f"""
+WITH v AS MATERIALIZED ({_KNOWN}), z AS (SELECT count(*) AS n FROM v),
+e AS (SELECT l.doc_id, list(coalesce(v.token_id, z.n) ORDER BY l.pos) AS ids
+      FROM ({q.long_tokens('SELECT * FROM documents')}) l LEFT JOIN v ON l.token = v.token, z WHERE l.pos < {ST1_LENGTH} GROUP BY l.doc_id)
+SELECT d.doc_id, md5(array_to_string(list_resize(coalesce(e.ids, []), {ST1_LENGTH}, z.n + 1), ' ')) AS ids_md5
+FROM documents d LEFT JOIN e ON e.doc_id = d.doc_id, z""",
     "st1_ingest": f"""
 SELECT doc_id, CAST(len({q.word_tokens('text')}) AS BIGINT) AS n_tokens,
        md5(replace(text, chr(10), ' ')) AS flat_md5 FROM documents""",

@@ -50,6 +50,28 @@ def ingest(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], sink_
     return stream.sparkSession.read.schema(out.schema).parquet(sink_path)
 
 
+def ingest_batches(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], sink_path: str,
+                   checkpoint_path: str, timeout_s: float | None = None) -> DataFrame:
+    """ST1 for operators that join static tables of any size: ``transform`` sees each micro-batch as a batch frame.
+
+    A batch is written to a folder of its number, so a batch that is run again replaces itself.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        transform(batch).write.mode("overwrite").parquet(f"{sink_path}/batch={number}")
+    q = (stream.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(write)
+         .trigger(availableNow=True).start())
+    _drained(q, timeout_s)
+    spark = stream.sparkSession
+    empty = transform(spark.createDataFrame([], stream.schema))
+    return spark.read.schema(empty.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(sink_path) \
+        if _exists(spark, sink_path) else empty
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 _OPEN = "lines array<bigint>, contents array<string>, finished boolean"
 
 
