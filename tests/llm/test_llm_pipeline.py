@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -34,6 +35,27 @@ def test_query_runs_over_its_whole_table(spark, name):
     assert queries.QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
+def plain_simhash(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(x, 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_near_dedup_stage_keeps_one_of_each_component(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    longest = table.orderBy(F.length("text").desc(), "doc_id").limit(12)
+    copies = [longest.withColumn("doc_id", F.col("doc_id") + 100_000 * k).withColumn("text", F.concat("text", F.lit(" end" * k)))
+              for k in (1, 2)]
+    docs = table.unionByName(copies[0]).unionByName(copies[1])
+    prints = {r.doc_id: plain_simhash(r.text) for r in docs.collect()}
+    root = {i: i for i in prints}
+    while (now := {i: min(root[j] for j in prints if (prints[i] ^ prints[j]).bit_count() <= 2) for i in prints}) != root:
+        root = now  # smallest doc_id reachable
+    kept = sorted(r.doc_id for r in corpus_pipeline.simhash_dedup(spark, docs, SF).collect())
+    assert kept == sorted(set(root.values())) and sum(i >= 100_000 for i in kept) < 12
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     names = []
