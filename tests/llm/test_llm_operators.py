@@ -476,48 +476,70 @@ def test_chunked_coder_is_the_library(texts):
 
 # language-model scores -----------------------------------------------------------------------
 
-def test_lm_scores(spark):
-    rows = [(1, "abab abab"), (2, "cdcd cdcd"), (3, None), (4, ""), (5, "abé"), (5, "abé"), (None, "cd")]
-    got = lmscore.score(frame(spark, rows), spark.createDataFrame([(1,), (1,), (77,), (None,)], "doc_id long"), prior=2.0).collect()
-    data = [(i, (t or "").encode()) for i, t in rows]
-    vocab = sorted({b for _, t in data for b in t} | {255})
+def plain_lm_scores(data, goal, prior, order):
+    """Counters of plain words in place of hashes, blocks and owners."""
+    split = {id(row): re.findall("[a-z0-9\x80-\U0010ffff]+|[^a-z0-9\x80-\U0010ffff\t-\r ]+", (row[1] or "").translate(
+        {c: c + 32 for c in range(65, 91)})) for row in data}
+    texts = list(split.values())
+    vocabulary = {w for t in texts for w in t}
 
     def model(texts, scale):
-        three = collections.Counter()
+        gram, context = collections.Counter(), collections.Counter()
         for t in texts:
-            x = b"\xff\xff" + t
-            three.update(x[k - 2:k + 1] for k in range(2, len(x)))
-        two, one, c3, c2 = (collections.Counter() for _ in range(4))
-        for g, n in three.items():
-            n *= scale
-            c3[g] += n
-            c2[g[:2]] += n
-            two[g[1:]] += n
-            one[g[2:]] += n
-        ctx = collections.Counter()
-        for g, n in two.items():
-            ctx[g[:1]] += n
-        total = sum(one.values())
+            x = ["<s>"] * (order - 1) + t
+            for i in range(order - 1, len(x)):
+                for k in range(order):
+                    gram[tuple(x[i - k:i + 1])] += scale
+                    context[tuple(x[i - k:i])] += scale
 
         def loss(g):
-            p1 = (one[g[2:]] + 1) / (total + len(vocab))
-            p2 = (two[g[1:]] + 2 * p1) / (ctx[g[1:2]] + 2)
-            return -np.log((c3[g] + 2 * p2) / (c2[g[:2]] + 2))
+            p = (gram[g[-1:]] + 1) / (context[()] + len(vocabulary))
+            for k in range(1, order):
+                p = (gram[g[-k - 1:]] + prior * p) / (context[g[-k - 1:-1]] + prior)
+            return -np.log(p)
         return loss
-    goal = [t for i, t in data if i == 1]
-    every = [t for _, t in data]
-    target, background = model(goal, 1), model(every, sum(map(len, goal)) / sum(map(len, every)))
-    want = []
-    for i, t in data:
-        x = b"\xff\xff" + t
-        losses = [[m(x[k - 2:k + 1]) for k in range(2, len(x))] for m in (target, background)]
+    own = [split[id(row)] for row in data if row[0] in goal]
+    models = model(own, 1), model(texts, sum(map(len, own)) / max(1, sum(map(len, texts))))
+    out = []
+    for row in data:
+        x = ["<s>"] * (order - 1) + split[id(row)]
+        losses = [[m(tuple(x[i - order + 1:i + 1])) for i in range(order - 1, len(x))] for m in models]
         means = [float(np.mean(v)) if v else 0.0 for v in losses]
-        want.append((i, len(t), *means, means[0] - means[1]))
+        out.append((row[0], len(split[id(row)]), *means, means[0] - means[1]))
+    return out
+
+
+def same_scores(got, want):
     assert len(got) == len(want)
     for a, b in zip(sorted(map(tuple, got), key=str), sorted(want, key=str)):
-        assert a[:2] == b[:2] and np.allclose(a[2:], b[2:], atol=1e-5)
+        assert a[:2] == b[:2] and np.allclose(a[2:], b[2:], atol=1e-9)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_lm_scores(spark, order):
+    rows = [(1, "Ab, ab ab: x"), (2, "cd cd\tcd cd"), (3, None), (4, ""), (5, "ab\u00e9 !! cd"), (5, "ab\u00e9 !! cd"), (None, "cd"), (6, " \n")]
+    ids = spark.createDataFrame([(1,), (1,), (77,), (None,)], "doc_id long")
+    got = lmscore.score(frame(spark, rows), ids, prior=2.0, order=order).collect()
+    same_scores(got, plain_lm_scores([(i, t) for i, t in rows], {1}, 2.0, order))
     by = {r.doc_id: r.score for r in got}
-    assert by[1] < 0 < by[2] and by[3] == by[4] == 0
+    assert by[1] < 0 < by[2] and by[3] == by[4] == by[6] == 0
+
+
+def test_lm_scores_of_many_blocks(docs, spark, monkeypatch):
+    """Small blocks and owners, and target ids beyond the broadcast limit, give the plain scores."""
+    monkeypatch.setattr(lmscore, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(lmscore, "OWNER_BYTES", 20000)
+    monkeypatch.setattr(lmscore, "BROADCAST_IDS", 1)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    goal = {i for i, _ in rows if i is not None and i % 3 == 0}
+    got = lmscore.score(docs, spark.createDataFrame([(i,) for i in goal], "doc_id long")).collect()
+    same_scores(got, plain_lm_scores(rows, goal, 16.0, 2))
+
+
+def test_packed_columns_come_back():
+    columns = [np.array(x, np.uint64) for x in ([0, 0, 0], [1, 255, 256], [0, 2**64 - 1, 7])]
+    back = lmscore._unpack(lmscore._pack(*columns), 3, 3)
+    assert [x.tolist() for x in back] == [x.tolist() for x in columns]
 
 
 def test_lm_scores_without_target(docs, nothing, spark):

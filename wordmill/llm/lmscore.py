@@ -1,126 +1,196 @@
 """Language-model scores by cross-entropy difference.
 
-The token is a byte; the vocabulary, shared by both models, is the set of bytes that occur in the
-corpus and a start sign. The background model learns from all documents, the target model from the
-target documents. Trigram counts are summed in every scan task, then shuffled as sparse rows and
-added up. Background counts are scaled to the target's number of tokens, so that both models match
-in size and get the same smoothing: each order interpolates with the next lower one by a Dirichlet
-prior of weight ``prior``. The score of a document is the mean of its per-token loss differences,
-target minus background, in nats: the lower, the more like the target.
-
-What is broadcast is two tables with an entry for each trigram of the vocabulary, 2**24 at most.
+Tokens are the lower-cased (A-Z) runs of letters, digits and non-ASCII characters, and the runs of other
+characters that aren't white space; the vocabulary, shared by both models, is the set of tokens of the corpus. The
+background model learns from all documents, the target model from the target documents. Background
+counts are scaled to the target's number of tokens, so that both models match in size and get the same
+smoothing: each order interpolates with the next lower one by a Dirichlet prior of weight ``prior``.
+The score of a document is the mean of its per-token loss differences, target minus background, in
+nats: the lower, the more like the target.
+
+The models are a table that grows with the corpus, and no part of it meets in one place:
+
+1. A scan task cuts its texts into *blocks* of ``BLOCK_BYTES``. Of each block it sends the distinct n-grams, as sorted
+   64-bit hashes with their counts, to *owners*, each a range of the hashes. A frequent n-gram is one
+   entry a block, however often it occurs. The block itself follows as numbers of its own vocabulary.
+2. An owner adds up what its blocks sent, and answers each with the sums of all blocks, in the order of the block's own
+   list. There are so many owners that each has ``OWNER_BYTES`` of text to answer for.
+3. A block puts the sums to its n-grams and scores its documents. The driver sees three totals.
 
 Defined results: null and empty texts have no token and score 0. Without a target token every score is 0.
-Repeated rows count as often as they occur. A null doc_id is never a target.
+Repeated rows count as often as they occur. A null doc_id is never a target. An empty table gives an empty
+result. Other columns are not read. Two n-grams are told apart by 63 bits of hash.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import BROADCAST_IDS, cut_lineage, native, slices, text_bytes
-
-#: Start sign: a byte that UTF-8 never uses.
-START = 0xFF
-#: Text bytes counted at once; the counts of a slice are as many as the vocabulary's trigrams.
-COUNT_BYTES = 4 << 20
-
-
-def _grams(texts: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(code of the trigram that ends at each byte, number of bytes of each text).
-
-    ``place`` numbers the bytes of the vocabulary in ascending order; the start sign is the last.
+from wordmill.llm.common import (BROADCAST_IDS, _mix, cut_lineage, native, owners_of, slices, text_bytes,
+                                 word_hashes)
+
+#: Text bytes of a block (a single longer text is a block of its own).
+BLOCK_BYTES = 8 << 20
+#: Text bytes of the corpus for each owner.
+OWNER_BYTES = 16 << 20
+
+_START, _MULT, _GRAM = np.uint64(0x5851F42D4C957F2D), np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
+_WORD = np.uint64(1)  # the lowest bit of a key: set for single tokens alone
+
+#: What a byte belongs to: 0 white space, 1 a word, 2 anything else.
+_KIND = np.full(256, 2, np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = 0
+_KIND[[*b"0123456789", *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+
+_SENT = "owner int, block string, n int, data binary, words binary, doc_ids array<long>, sizes array<long>"
+_SENT_ARROW = pa.schema([("owner", pa.int32()), ("block", pa.string()), ("n", pa.int32()), ("data", pa.binary()),
+                         ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))])
+_TOTALS = ("n_vocabulary", "n_tokens", "n_target")
+_SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+
+
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each token, number of tokens of each text)."""
+    data = np.frombuffer(b" ".join(texts).lower(), np.uint8)
+    kind = _KIND[data]
+    edges = np.flatnonzero(np.diff(kind, prepend=0, append=0))
+    is_token = kind[edges[:-1]] != 0
+    starts, ends = edges[:-1][is_token], edges[1:][is_token]
+    after = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return word_hashes(data, starts, ends), np.diff(np.searchsorted(starts, np.r_[0, after]))
+
+
+def _keys(words: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
+    """The keys of each token: the token, then for each order from 2 what stands before it and the n-gram."""
+    place = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out, context = [_mix(words) | _WORD], np.full(len(words), _START)
+    for k in range(1, order):
+        before = np.where(place >= k, np.roll(words, k), _START)
+        context = _mix(context * _MULT + before)
+        out += [context & ~_WORD, _mix((context + _GRAM) * _MULT + words) & ~_WORD]
+    return np.stack(out)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of non-negative integers as compressed byte planes, as many as the largest value needs."""
+    widths = [max(1, -(-int(x.max(initial=0)).bit_length() // 8)) for x in columns]
+    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w].T.tobytes() for x, w in zip(columns, widths)]
+    return bytes(widths) + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int, columns: int) -> list[np.ndarray]:
+    """The columns of ``n`` values that ``_pack`` was given."""
+    if n == 0:
+        return [np.zeros(0, np.uint64)] * columns
+    widths, out, at = data[:columns], [], 0
+    planes = np.frombuffer(pa.decompress(data[columns:], n * sum(widths), codec="zstd", asbytes=True), np.uint8)
+    for w in widths:
+        values = np.zeros((n, 8), np.uint8)
+        values[:, :w] = planes[at:at + n * w].reshape(w, n).T
+        out.append(values.view("<u8").ravel())
+        at += n * w
+    return out
+
+
+def _sender(owners: int, order: int):
+    def run(batches):
+        n_blocks = 0
+        for batch in batches:
+            for part in slices(batch, "text", BLOCK_BYTES):
+                block, n_blocks = f"{TaskContext.get().partitionId()}-{n_blocks}", n_blocks + 1
+                words, sizes = _tokens(text_bytes(part, "text"))
+                vocabulary, local = np.unique(words, return_inverse=True)
+                rows = [{"owner": zlib.crc32(block.encode()) % owners, "block": block, "n": len(words), "data": _pack(local),
+                         "words": vocabulary.tobytes(), "doc_ids": part.column(0).to_pylist(), "sizes": sizes.tolist()}]
+                flags = np.repeat(part.column(2).to_numpy(zero_copy_only=False), sizes)
+                keys, at = np.unique(_keys(words, sizes, order), return_inverse=True)
+                at = at.reshape(2 * order - 1, len(words))
+                count = np.bincount(at.ravel(), minlength=len(keys))
+                target = np.bincount(at[:, flags].ravel(), minlength=len(keys))
+                owner = ((keys >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
+                for mine in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(owner)) + 1):
+                    if len(mine):
+                        lo, hi = mine[0], mine[-1] + 1
+                        gaps = np.diff(keys[lo:hi], prepend=keys[lo])
+                        rows.append({"owner": int(owner[lo]), "block": block, "n": int(hi - lo),
+                                     "data": keys[lo].tobytes() + _pack(gaps, count[lo:hi], target[lo:hi])})
+                yield from pa.Table.from_pylist(rows, _SENT_ARROW).to_batches(256)
+    return run
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """Each block's list with the sums of all blocks in place of its own; the blocks that came along, as they are."""
+    lists = rows.filter(pc.is_null(rows["words"]))
+    size = lists["n"].to_pylist()
+    keys, sums = [np.zeros(0, np.uint64)], [np.zeros((2, 0))]
+    for n, data in zip(size, lists["data"].to_pylist()):
+        gaps, *counts = _unpack(data[8:], n, 3)
+        keys.append(np.cumsum(gaps, dtype=np.uint64) + np.frombuffer(data[:8], "<u8"))
+        sums.append(np.stack(counts))
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    count, target = (np.bincount(at, x, len(distinct)).astype(np.int64) for x in np.concatenate(sums, 1))
+    ends = np.cumsum(size, dtype=np.int64)
+    answers = [_pack(count[at[hi - n:hi]], target[at[hi - n:hi]]) for n, hi in zip(size, ends)]
+    out = pa.concat_tables([lists.set_column(lists.schema.get_field_index("data"), "data", pa.array(answers, pa.binary())),
+                            rows.filter(pc.is_valid(rows["words"]))])
+    is_word = distinct & _WORD != 0
+    for name, total in zip(_TOTALS, (is_word.sum(), count[is_word].sum(), target[is_word].sum())):
+        out = out.append_column(name, pa.array([int(total)] + [0] * (out.num_rows - 1), pa.int64()))
+    return out
+
+
+def _scorer(order: int, prior: float, n_vocabulary: int, n_tokens: int, n_target: int):
+    def run(rows: pa.Table) -> pa.Table:
+        own = rows.filter(pc.is_valid(rows["words"])).to_pylist()
+        if len(own) != 1:
+            raise RuntimeError("a block was sent more or less than once: the documents differ between two reads")
+        sizes = np.array(own[0]["sizes"], np.int64)
+        words = np.frombuffer(own[0]["words"], np.uint64)[_unpack(own[0]["data"], own[0]["n"], 1)[0].astype(np.int64)]
+        lists = rows.filter(pc.is_null(rows["words"])).sort_by("owner")
+        sums = [_unpack(d, n, 2) for n, d in zip(lists["n"].to_pylist(), lists["data"].to_pylist())]
+        keys, at = np.unique(_keys(words, sizes, order), return_inverse=True)
+        if len(keys) != sum(len(x) for x, _ in sums):
+            raise RuntimeError("a block has other n-grams than it sent: the documents differ between two reads")
+        at, ends, means = at.reshape(2 * order - 1, len(words)), np.cumsum(sizes), []
+        for which, scale in ((1, 1.0), (0, n_target / n_tokens if n_tokens else 0.0)):
+            count = np.concatenate([np.zeros(0), *(x[which] for x in sums)]) * scale
+            p = (count[at[0]] + 1) / (n_target + n_vocabulary)
+            for k in range(1, len(at), 2):
+                p = (count[at[k + 1]] + prior * p) / (count[at[k]] + prior)
+            total = np.r_[0.0, np.cumsum(-np.log(p))]
+            means.append((total[ends] - total[ends - sizes]) / np.maximum(sizes, 1))
+        return pa.table([pa.array(own[0]["doc_ids"], pa.int64()), pa.array(sizes), *map(pa.array, means),
+                         pa.array(means[0] - means[1])],
+                        ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+    return run
+
+
+def score(docs: DataFrame, target_ids: DataFrame, prior: float = 16.0, order: int = 2) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score of every row of ``docs(doc_id, text)``.
+
+    ``order`` is the length of the longest n-grams. ``docs`` must give the same rows on each read.
     """
-    v = int(place[START]) + 1
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
-    data = np.frombuffer(b"".join(bytes([START, START]) + t for t in texts), np.uint8)
-    at = place[data]
-    code = (at[:-2] * v + at[1:-1]) * v + at[2:]
-    ends = np.cumsum(size + 2)
-    inside = np.ones(len(data), bool)
-    first = ends - size - 2
-    inside[first] = inside[first + 1] = False
-    return code[inside[2:]], size
-
-
-def _counts(batches):
-    """Sparse trigram counts of a task: all texts, and those flagged as target."""
-    held = []
-    for batch in batches:
-        for part in slices(batch, "text", COUNT_BYTES):
-            texts, flags = text_bytes(part, "text"), part.column(1).to_pylist()
-            seen = np.unique(np.frombuffer(b"".join(texts) + bytes([START]), np.uint8))
-            place = np.zeros(256, np.int64)
-            place[seen] = np.arange(len(seen))
-            for column, chosen in ((1, [t for t, f in zip(texts, flags) if f]), (0, [t for t, f in zip(texts, flags) if not f])):
-                if not chosen:
-                    continue
-                counts = np.bincount(_grams(chosen, place)[0])
-                code = np.flatnonzero(counts)
-                a, bc = np.divmod(code, len(seen) ** 2)
-                b, c = np.divmod(bc, len(seen))
-                gram = seen[a].astype(np.int64) << 16 | seen[b].astype(np.int64) << 8 | seen[c]
-                held.append(np.stack([gram, counts[code], counts[code] * column]))
-    if held:
-        gram, n, target = np.concatenate(held, 1)
-        keys, at = np.unique(gram, return_inverse=True)
-        sums = [np.bincount(at, x).astype(np.int64) for x in (n, target)]
-        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(sums[0]), pa.array(sums[1])],
-                                         ["gram", "n", "n_target"])
-
-
-def _losses(cube: np.ndarray, prior: float) -> np.ndarray:
-    """-log p(c | a, b) of a cube of counts [a, b, c]."""
-    one, two = cube.sum((0, 1)), cube.sum(0)
-    low = (one + 1) / (one.sum() + len(one))
-    mid = (two + prior * low) / (two.sum(1, keepdims=True) + prior)
-    return -np.log((cube + prior * mid) / (cube.sum(2, keepdims=True) + prior))
-
-
-def learn(docs: DataFrame, target_ids: DataFrame, prior: float = 16.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of each byte in the vocabulary, target losses, background losses by trigram)."""
     ids = cut_lineage(native(target_ids, "doc_id").select(F.col("doc_id").cast("long").alias("_id"))
                       .where("_id is not null").distinct())
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     ids = ids.withColumn("_hit", F.lit(True))
     rows = native(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    n_bytes = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
+    owners = max(owners_of(docs.sparkSession), -(-n_bytes // OWNER_BYTES))
     rows = rows.join(F.broadcast(ids) if few else ids, rows["doc_id"] == ids["_id"], "left")
-    table = (rows.select("text", F.coalesce("_hit", F.lit(False)).alias("hit"))
-             .mapInArrow(_counts, "gram int, n long, n_target long")
-             .groupBy("gram").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))).toPandas()
-    gram = table["gram"].to_numpy(np.int64)
-    bytes_ = np.unique(np.concatenate([gram >> 16, gram >> 8 & 255, gram & 255, [START]])).astype(np.int64)
-    place = np.zeros(256, np.int64)
-    place[bytes_] = np.arange(len(bytes_))
-    at = (place[gram >> 16], place[gram >> 8 & 255], place[gram & 255])
-    out = []
-    every, target = float(table["n"].sum()), float(table["n_target"].sum())
-    for counts in (table["n_target"].to_numpy(float), table["n"].to_numpy(float) * (target / every if every else 0.0)):
-        cube = np.zeros((len(bytes_),) * 3)
-        cube[at] = counts
-        out.append(_losses(cube, prior).astype(np.float32).ravel())
-    return place, out[0], out[1]
-
-
-def score(docs: DataFrame, target_ids: DataFrame, prior: float = 16.0) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss, score of every row of ``docs(doc_id, text)``."""
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs, target_ids, prior))
-
-    def run(batches):
-        place, target, background = model.value
-        for batch in batches:
-            for part in slices(batch, "text"):
-                code, size = _grams(text_bytes(part, "text"), place)
-                ends = np.cumsum(size)
-                means = []
-                for table in (target, background):
-                    sums = np.r_[0.0, np.cumsum(table[code], dtype=np.float64)]
-                    means.append((sums[ends] - sums[ends - size]) / np.maximum(size, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(size), *map(pa.array, means), pa.array(means[0] - means[1])],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-    rows = native(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    rows = rows.select("doc_id", "text", F.coalesce("_hit", F.lit(False)).alias("hit"))
+    if not few:
+        rows = cut_lineage(rows)  # a shuffle may order rows anew when it is repeated
+    sent = rows.mapInArrow(_sender(owners, order), _SENT)
+    answers = cut_lineage(sent.groupBy("owner").applyInArrow(
+        lambda t: _answer(t), _SENT + "".join(f", {name} long" for name in _TOTALS)))
+    totals = answers.agg(*[F.sum(name).alias(name) for name in _TOTALS]).first()
+    score_block = _scorer(order, prior, *(totals[name] or 0 for name in _TOTALS))
+    return answers.drop(*_TOTALS).groupBy("block").applyInArrow(lambda t: score_block(t), _SCORES)
