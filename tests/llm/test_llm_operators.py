@@ -483,29 +483,38 @@ def plain_lm_scores(data, goal, prior, order):
     texts = list(split.values())
     vocabulary = {w for t in texts for w in t}
 
-    def model(texts, scale):
+    def grams(t):
+        x = ["<s>"] * (order - 1) + t
+        return [(tuple(x[i - k:i + 1]), k) for i in range(order - 1, len(x)) for k in range(order)]
+
+    def counts(texts):
+        """Of all n-grams and of what stands before them."""
         gram, context = collections.Counter(), collections.Counter()
         for t in texts:
-            x = ["<s>"] * (order - 1) + t
-            for i in range(order - 1, len(x)):
-                for k in range(order):
-                    gram[tuple(x[i - k:i + 1])] += scale
-                    context[tuple(x[i - k:i])] += scale
-
-        def loss(g):
-            p = (gram[g[-1:]] + 1) / (context[()] + len(vocabulary))
-            for k in range(1, order):
-                p = (gram[g[-k - 1:]] + prior * p) / (context[g[-k - 1:-1]] + prior)
-            return -np.log(p)
-        return loss
-    own = [split[id(row)] for row in data if row[0] in goal]
-    models = model(own, 1), model(texts, sum(map(len, own)) / max(1, sum(map(len, texts))))
+            for g, k in grams(t):
+                gram[g] += 1
+                context[k, g[:-1]] += 1
+        return gram, context
+    every, target = counts(texts), counts([split[id(row)] for row in data if row[0] in goal])
     out = []
     for row in data:
-        x = ["<s>"] * (order - 1) + split[id(row)]
-        losses = [[m(tuple(x[i - order + 1:i + 1])) for i in range(order - 1, len(x))] for m in models]
+        t = split[id(row)]
+        own, none = counts([t]), counts([])
+        left = [[collections.Counter(x) for x in model] for model in (target, every)]
+        for model, mine in zip(left, (own if row[0] in goal else none, own)):
+            for x, y in zip(model, mine):
+                x.subtract(y)
+        n_target, n_every = (model[1][0, ()] for model in left)
+        losses, all_grams = [[], []], grams(t)
+        for i in range(len(t)):
+            here = all_grams[i * order:(i + 1) * order]
+            for loss, (gram, context), scale in zip(losses, left, (1, n_target / max(1, n_every))):
+                for g, k in here:
+                    p = ((gram[g] * scale + prior * p) / (context[k, g[:-1]] * scale + prior) if k else
+                         (gram[g] * scale + 1) / (n_target * (n_every > 0) + len(vocabulary)))
+                loss.append(-np.log(p))
         means = [float(np.mean(v)) if v else 0.0 for v in losses]
-        out.append((row[0], len(split[id(row)]), *means, means[0] - means[1]))
+        out.append((row[0], len(t), *means, means[0] - means[1]))
     return out
 
 
@@ -517,10 +526,10 @@ def same_scores(got, want):
 
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_lm_scores(spark, order):
-    rows = [(1, "Ab, ab ab: x"), (2, "cd cd\tcd cd"), (3, None), (4, ""), (5, "ab\u00e9 !! cd"), (5, "ab\u00e9 !! cd"), (None, "cd"), (6, " \n")]
-    ids = spark.createDataFrame([(1,), (1,), (77,), (None,)], "doc_id long")
-    got = lmscore.score(frame(spark, rows), ids, prior=2.0, order=order).collect()
-    same_scores(got, plain_lm_scores([(i, t) for i, t in rows], {1}, 2.0, order))
+    rows = [(1, "Ab, ab ab: x"), (8, "ab ab; x"), (2, "cd cd\tcd cd"), (3, None), (4, ""), (5, "ab\u00e9 !! cd"), (5, "ab\u00e9 !! cd"), (None, "cd"), (6, " \n")]
+    ids = spark.createDataFrame([(1,), (1,), (8,), (77,), (None,)], "doc_id long")
+    got = lmscore.score(frame(spark, rows).repartition(2).cache(), ids, prior=2.0, order=order).collect()
+    same_scores(got, plain_lm_scores([(i, t) for i, t in rows], {1, 8}, 2.0, order))
     by = {r.doc_id: r.score for r in got}
     assert by[1] < 0 < by[2] and by[3] == by[4] == by[6] == 0
 
@@ -530,7 +539,9 @@ def test_lm_scores_of_many_blocks(docs, spark, monkeypatch):
     monkeypatch.setattr(lmscore, "BLOCK_BYTES", 3000)
     monkeypatch.setattr(lmscore, "OWNER_BYTES", 20000)
     monkeypatch.setattr(lmscore, "BROADCAST_IDS", 1)
-    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.text != LONG]
+    docs = frame(spark, [*rows, (99, "a b c d " * 300)]).repartition(3).cache()
+    rows.append((99, "a b c d " * 300))
     goal = {i for i, _ in rows if i is not None and i % 3 == 0}
     got = lmscore.score(docs, spark.createDataFrame([(i,) for i in goal], "doc_id long")).collect()
     same_scores(got, plain_lm_scores(rows, goal, 16.0, 2))

@@ -6,16 +6,18 @@ background model learns from all documents, the target model from the target doc
 counts are scaled to the target's number of tokens, so that both models match in size and get the same
 smoothing: each order interpolates with the next lower one by a Dirichlet prior of weight ``prior``.
 The score of a document is the mean of its per-token loss differences, target minus background, in
-nats: the lower, the more like the target.
+nats: the lower, the more like the target. No row is scored by its own text: its counts are taken out of the models that
+learned from it, so that rare words of its own speak neither for nor against it.
 
 The models are a table that grows with the corpus, and no part of it meets in one place:
 
 1. A scan task cuts its texts into *blocks* of ``BLOCK_BYTES``. Of each block it sends the distinct n-grams, as sorted
    64-bit hashes with their counts, to *owners*, each a range of the hashes. A frequent n-gram is one
-   entry a block, however often it occurs. The block itself follows as numbers of its own vocabulary.
+   entry a block, however often it occurs.
 2. An owner adds up what its blocks sent, and answers each with the sums of all blocks, in the order of the block's own
    list. There are so many owners that each has ``OWNER_BYTES`` of text to answer for.
-3. A block puts the sums to its n-grams and scores its documents. The driver sees three totals.
+3. The documents are read again; a block meets its answers as numbers of its own vocabulary, puts the sums to its
+   n-grams and scores its documents. The driver sees three totals.
 
 Defined results: null and empty texts have no token and score 0. Without a target token every score is 0.
 Repeated rows count as often as they occur. A null doc_id is never a target. An empty table gives an empty
@@ -49,9 +51,11 @@ _KIND = np.full(256, 2, np.uint8)
 _KIND[[0x20, *range(0x09, 0x0E)]] = 0
 _KIND[[*b"0123456789", *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 
-_SENT = "owner int, block string, n int, data binary, words binary, doc_ids array<long>, sizes array<long>"
-_SENT_ARROW = pa.schema([("owner", pa.int32()), ("block", pa.string()), ("n", pa.int32()), ("data", pa.binary()),
-                         ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))])
+_LIST = "block string, owner int, n int, data binary"
+_LIST_ARROW = pa.schema([("block", pa.string()), ("owner", pa.int32()), ("n", pa.int32()), ("data", pa.binary())])
+_BLOCK = _LIST + ", words binary, doc_ids array<long>, flags array<boolean>, sizes array<long>"
+_BLOCK_ARROW = pa.schema([*_LIST_ARROW, ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
+                          ("flags", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64()))])
 _TOTALS = ("n_vocabulary", "n_tokens", "n_target")
 _SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
@@ -99,37 +103,58 @@ def _unpack(data: bytes, n: int, columns: int) -> list[np.ndarray]:
     return out
 
 
+def _distinct(kinds: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(the distinct keys in ascending order, for each kind where its keys are among them)."""
+    found = [np.unique(kind, return_inverse=True) for kind in kinds]
+    keys = np.unique(np.concatenate([own for own, _ in found]))
+    return keys, [np.searchsorted(keys, own).astype(np.int32)[at] for own, at in found]
+
+
+def _blocks(batches):
+    """(name, rows, token hashes, tokens of each row) of a task's blocks; the name tells blocks of other tokens apart."""
+    n_blocks = 0
+    for batch in batches:
+        for part in slices(batch, "text", BLOCK_BYTES):
+            words, sizes = _tokens(text_bytes(part, "text"))
+            digest = zlib.crc32(sizes.tobytes(), zlib.crc32(words.tobytes()))
+            yield f"{TaskContext.get().partitionId()}-{n_blocks}-{digest:08x}", part, words, sizes
+            n_blocks += 1
+
+
 def _sender(owners: int, order: int):
     def run(batches):
-        n_blocks = 0
-        for batch in batches:
-            for part in slices(batch, "text", BLOCK_BYTES):
-                block, n_blocks = f"{TaskContext.get().partitionId()}-{n_blocks}", n_blocks + 1
-                words, sizes = _tokens(text_bytes(part, "text"))
-                vocabulary, local = np.unique(words, return_inverse=True)
-                rows = [{"owner": zlib.crc32(block.encode()) % owners, "block": block, "n": len(words), "data": _pack(local),
-                         "words": vocabulary.tobytes(), "doc_ids": part.column(0).to_pylist(), "sizes": sizes.tolist()}]
-                flags = np.repeat(part.column(2).to_numpy(zero_copy_only=False), sizes)
-                keys, at = np.unique(_keys(words, sizes, order), return_inverse=True)
-                at = at.reshape(2 * order - 1, len(words))
-                count = np.bincount(at.ravel(), minlength=len(keys))
-                target = np.bincount(at[:, flags].ravel(), minlength=len(keys))
-                owner = ((keys >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
-                for mine in np.split(np.arange(len(keys)), np.flatnonzero(np.diff(owner)) + 1):
-                    if len(mine):
-                        lo, hi = mine[0], mine[-1] + 1
-                        gaps = np.diff(keys[lo:hi], prepend=keys[lo])
-                        rows.append({"owner": int(owner[lo]), "block": block, "n": int(hi - lo),
-                                     "data": keys[lo].tobytes() + _pack(gaps, count[lo:hi], target[lo:hi])})
-                yield from pa.Table.from_pylist(rows, _SENT_ARROW).to_batches(256)
+        for block, part, words, sizes in _blocks(batches):
+            flags = np.repeat(part.column(2).to_numpy(zero_copy_only=False), sizes)
+            keys, at = _distinct(_keys(words, sizes, order))
+            count = sum(np.bincount(x, minlength=len(keys)) for x in at)
+            target = sum(np.bincount(x[flags], minlength=len(keys)) for x in at)
+            owner = (((keys >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)).astype(np.int64)
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            rows = []
+            for lo, hi in zip(first, [*first[1:], len(keys)]):
+                gaps = np.diff(keys[lo:hi], prepend=keys[lo])
+                rows.append({"block": block, "owner": int(owner[lo]), "n": int(hi - lo),
+                             "data": keys[lo].tobytes() + _pack(gaps, count[lo:hi], target[lo:hi])})
+            yield from pa.Table.from_pylist(rows, _LIST_ARROW).to_batches(256)
     return run
 
 
-def _answer(rows: pa.Table) -> pa.Table:
-    """Each block's list with the sums of all blocks in place of its own; the blocks that came along, as they are."""
-    lists = rows.filter(pc.is_null(rows["words"]))
+def _texts(batches):
+    """The blocks as numbers of their own vocabularies, frequent tokens first."""
+    for block, part, words, sizes in _blocks(batches):
+        vocabulary, local, count = np.unique(words, return_inverse=True, return_counts=True)
+        order = np.argsort(-count, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        yield pa.RecordBatch.from_pylist([{
+            "block": block, "n": len(words), "data": _pack(rank[local]), "words": vocabulary[order].tobytes(),
+            "doc_ids": part.column(0).to_pylist(), "flags": part.column(2).to_pylist(), "sizes": sizes.tolist()}], _BLOCK_ARROW)
+
+
+def _answer(lists: pa.Table) -> pa.Table:
+    """Each block's list with the sums of all blocks in place of its own."""
     size = lists["n"].to_pylist()
-    keys, sums = [np.zeros(0, np.uint64)], [np.zeros((2, 0))]
+    keys, sums = [], []
     for n, data in zip(size, lists["data"].to_pylist()):
         gaps, *counts = _unpack(data[8:], n, 3)
         keys.append(np.cumsum(gaps, dtype=np.uint64) + np.frombuffer(data[:8], "<u8"))
@@ -138,8 +163,7 @@ def _answer(rows: pa.Table) -> pa.Table:
     count, target = (np.bincount(at, x, len(distinct)).astype(np.int64) for x in np.concatenate(sums, 1))
     ends = np.cumsum(size, dtype=np.int64)
     answers = [_pack(count[at[hi - n:hi]], target[at[hi - n:hi]]) for n, hi in zip(size, ends)]
-    out = pa.concat_tables([lists.set_column(lists.schema.get_field_index("data"), "data", pa.array(answers, pa.binary())),
-                            rows.filter(pc.is_valid(rows["words"]))])
+    out = lists.set_column(lists.schema.get_field_index("data"), "data", pa.array(answers, pa.binary()))
     is_word = distinct & _WORD != 0
     for name, total in zip(_TOTALS, (is_word.sum(), count[is_word].sum(), target[is_word].sum())):
         out = out.append_column(name, pa.array([int(total)] + [0] * (out.num_rows - 1), pa.int64()))
@@ -150,20 +174,28 @@ def _scorer(order: int, prior: float, n_vocabulary: int, n_tokens: int, n_target
     def run(rows: pa.Table) -> pa.Table:
         own = rows.filter(pc.is_valid(rows["words"])).to_pylist()
         if len(own) != 1:
-            raise RuntimeError("a block was sent more or less than once: the documents differ between two reads")
-        sizes = np.array(own[0]["sizes"], np.int64)
+            raise RuntimeError("a block was read more or less than once: the documents differ between two reads")
+        sizes, flags = np.array(own[0]["sizes"], np.int64), np.array(own[0]["flags"], bool)
         words = np.frombuffer(own[0]["words"], np.uint64)[_unpack(own[0]["data"], own[0]["n"], 1)[0].astype(np.int64)]
         lists = rows.filter(pc.is_null(rows["words"])).sort_by("owner")
         sums = [_unpack(d, n, 2) for n, d in zip(lists["n"].to_pylist(), lists["data"].to_pylist())]
-        keys, at = np.unique(_keys(words, sizes, order), return_inverse=True)
+        keys, at = _distinct(_keys(words, sizes, order))
         if len(keys) != sum(len(x) for x, _ in sums):
             raise RuntimeError("a block has other n-grams than it sent: the documents differ between two reads")
-        at, ends, means = at.reshape(2 * order - 1, len(words)), np.cumsum(sizes), []
-        for which, scale in ((1, 1.0), (0, n_target / n_tokens if n_tokens else 0.0)):
-            count = np.concatenate([np.zeros(0), *(x[which] for x in sums)]) * scale
-            p = (count[at[0]] + 1) / (n_target + n_vocabulary)
-            for k in range(1, len(at), 2):
-                p = (count[at[k + 1]] + prior * p) / (count[at[k]] + prior)
+        doc, flag = np.repeat(np.arange(len(sizes)), sizes), np.repeat(flags, sizes)
+        mine = []  # how often the token's own row has the key
+        for x in at:
+            _, pair, times = np.unique(doc * max(1, len(keys)) + x, return_inverse=True, return_counts=True)
+            mine.append(times[pair].astype(np.int32))
+        all_target = np.repeat(n_target - sizes * flags, sizes)
+        all_tokens = np.repeat(n_tokens - sizes, sizes)
+        ends, means = np.cumsum(sizes), []
+        for which, scale in ((1, 1.0), (0, all_target / np.maximum(all_tokens, 1))):
+            sent = np.concatenate([np.zeros(0), *(x[which] for x in sums)])
+            count = [(sent[x] - (m if which == 0 else m * flag)) * scale for x, m in zip(at, mine)]
+            p = (count[0] + 1) / (all_target * (all_tokens > 0) + n_vocabulary)
+            for k in range(1, len(count), 2):
+                p = (count[k + 1] + prior * p) / (count[k] + prior)
             total = np.r_[0.0, np.cumsum(-np.log(p))]
             means.append((total[ends] - total[ends - sizes]) / np.maximum(sizes, 1))
         return pa.table([pa.array(own[0]["doc_ids"], pa.int64()), pa.array(sizes), *map(pa.array, means),
@@ -175,7 +207,8 @@ def _scorer(order: int, prior: float, n_vocabulary: int, n_tokens: int, n_target
 def score(docs: DataFrame, target_ids: DataFrame, prior: float = 16.0, order: int = 2) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of every row of ``docs(doc_id, text)``.
 
-    ``order`` is the length of the longest n-grams. ``docs`` must give the same rows on each read.
+    ``order`` is the length of the longest n-grams. ``docs`` must give the same rows in the same order on each read, as
+    files, tables and checkpoints do; if it doesn't, the job fails.
     """
     ids = cut_lineage(native(target_ids, "doc_id").select(F.col("doc_id").cast("long").alias("_id"))
                       .where("_id is not null").distinct())
@@ -188,9 +221,9 @@ def score(docs: DataFrame, target_ids: DataFrame, prior: float = 16.0, order: in
     rows = rows.select("doc_id", "text", F.coalesce("_hit", F.lit(False)).alias("hit"))
     if not few:
         rows = cut_lineage(rows)  # a shuffle may order rows anew when it is repeated
-    sent = rows.mapInArrow(_sender(owners, order), _SENT)
-    answers = cut_lineage(sent.groupBy("owner").applyInArrow(
-        lambda t: _answer(t), _SENT + "".join(f", {name} long" for name in _TOTALS)))
+    answers = cut_lineage(rows.mapInArrow(_sender(owners, order), _LIST).groupBy("owner").applyInArrow(
+        lambda t: _answer(t), _LIST + "".join(f", {name} long" for name in _TOTALS)))
     totals = answers.agg(*[F.sum(name).alias(name) for name in _TOTALS]).first()
     score_block = _scorer(order, prior, *(totals[name] or 0 for name in _TOTALS))
-    return answers.drop(*_TOTALS).groupBy("block").applyInArrow(lambda t: score_block(t), _SCORES)
+    met = rows.mapInArrow(_texts, _BLOCK).unionByName(answers.drop(*_TOTALS), allowMissingColumns=True)
+    return met.groupBy("block").applyInArrow(lambda t: score_block(t), _SCORES)
