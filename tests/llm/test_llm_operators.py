@@ -476,12 +476,13 @@ def test_chunked_coder_is_the_library(texts):
 
 # language-model scores -----------------------------------------------------------------------
 
-def plain_lm_scores(data, goal, prior, order):
+def plain_lm_scores(data, goal, prior, order, min_count):
     """Counters of plain words in place of hashes, blocks and owners."""
     split = {id(row): re.findall("[a-z0-9\x80-\U0010ffff]+|[^a-z0-9\x80-\U0010ffff\t-\r ]+", (row[1] or "").translate(
         {c: c + 32 for c in range(65, 91)})) for row in data}
     texts = list(split.values())
-    vocabulary = {w for t in texts for w in t}
+    times = collections.Counter(w for t in texts for w in t)
+    vocabulary = {w for w, n in times.items() if n >= min_count}
 
     def grams(t):
         x = ["<s>"] * (order - 1) + t
@@ -492,7 +493,7 @@ def plain_lm_scores(data, goal, prior, order):
         gram, context = collections.Counter(), collections.Counter()
         for t in texts:
             for g, k in grams(t):
-                gram[g] += 1
+                gram[g if k or g[0] in vocabulary else ("<unknown>",)] += 1
                 context[k, g[:-1]] += 1
         return gram, context
     every, target = counts(texts), counts([split[id(row)] for row in data if row[0] in goal])
@@ -509,9 +510,9 @@ def plain_lm_scores(data, goal, prior, order):
         for i in range(len(t)):
             here = all_grams[i * order:(i + 1) * order]
             for loss, (gram, context), scale in zip(losses, left, (1, n_target / max(1, n_every))):
-                for g, k in here:
+                for g, k in here if t[i] in vocabulary else [(("<unknown>",), 0)]:
                     p = ((gram[g] * scale + prior * p) / (context[k, g[:-1]] * scale + prior) if k else
-                         (gram[g] * scale + 1) / (n_target * (n_every > 0) + len(vocabulary)))
+                         (gram[g] * scale + 1) / (n_target * (n_every > 0) + len(vocabulary) + 1))
                 loss.append(-np.log(p))
         means = [float(np.mean(v)) if v else 0.0 for v in losses]
         out.append((row[0], len(t), *means, means[0] - means[1]))
@@ -524,12 +525,12 @@ def same_scores(got, want):
         assert a[:2] == b[:2] and np.allclose(a[2:], b[2:], atol=1e-9)
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_lm_scores(spark, order):
+@pytest.mark.parametrize("order, min_count", [(1, 1), (2, 1), (3, 1), (2, 3)])
+def test_lm_scores(spark, order, min_count):
     rows = [(1, "Ab, ab ab: x"), (8, "ab ab; x"), (2, "cd cd\tcd cd"), (3, None), (4, ""), (5, "ab\u00e9 !! cd"), (5, "ab\u00e9 !! cd"), (None, "cd"), (6, " \n")]
     ids = spark.createDataFrame([(1,), (1,), (8,), (77,), (None,)], "doc_id long")
-    got = lmscore.score(frame(spark, rows).repartition(2).cache(), ids, prior=2.0, order=order).collect()
-    same_scores(got, plain_lm_scores([(i, t) for i, t in rows], {1, 8}, 2.0, order))
+    got = lmscore.score(frame(spark, rows).repartition(2).cache(), ids, prior=2.0, order=order, min_count=min_count).collect()
+    same_scores(got, plain_lm_scores([(i, t) for i, t in rows], {1, 8}, 2.0, order, min_count))
     by = {r.doc_id: r.score for r in got}
     assert by[1] < 0 < by[2] and by[3] == by[4] == by[6] == 0
 
@@ -544,7 +545,7 @@ def test_lm_scores_of_many_blocks(docs, spark, monkeypatch):
     rows.append((99, "a b c d " * 300))
     goal = {i for i, _ in rows if i is not None and i % 3 == 0}
     got = lmscore.score(docs, spark.createDataFrame([(i,) for i in goal], "doc_id long")).collect()
-    same_scores(got, plain_lm_scores(rows, goal, 16.0, 2))
+    same_scores(got, plain_lm_scores(rows, goal, 1000.0, 2, 5))
 
 
 def test_packed_columns_come_back():

@@ -1,8 +1,8 @@
 """Language-model scores by cross-entropy difference.
 
 Tokens are the lower-cased (A-Z) runs of letters, digits and non-ASCII characters, and the runs of other
-characters that aren't white space; the vocabulary, shared by both models, is the set of tokens of the corpus. The
-background model learns from all documents, the target model from the target documents. Background
+characters that aren't white space; the vocabulary, shared by both models, is the set of tokens that the corpus has
+``min_count`` times or more, and one for all others, which is scored without what stands before it. The background model learns from all documents, the target model from the target documents. Background
 counts are scaled to the target's number of tokens, so that both models match in size and get the same
 smoothing: each order interpolates with the next lower one by a Dirichlet prior of weight ``prior``.
 The score of a document is the mean of its per-token loss differences, target minus background, in
@@ -56,7 +56,7 @@ _LIST_ARROW = pa.schema([("block", pa.string()), ("owner", pa.int32()), ("n", pa
 _BLOCK = _LIST + ", words binary, doc_ids array<long>, flags array<boolean>, sizes array<long>"
 _BLOCK_ARROW = pa.schema([*_LIST_ARROW, ("words", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
                           ("flags", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64()))])
-_TOTALS = ("n_vocabulary", "n_tokens", "n_target")
+_TOTALS = ("n_vocabulary", "n_tokens", "n_target", "n_rare", "n_rare_target")
 _SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
 
 
@@ -151,7 +151,7 @@ def _texts(batches):
             "doc_ids": part.column(0).to_pylist(), "flags": part.column(2).to_pylist(), "sizes": sizes.tolist()}], _BLOCK_ARROW)
 
 
-def _answer(lists: pa.Table) -> pa.Table:
+def _answer(lists: pa.Table, min_count: int) -> pa.Table:
     """Each block's list with the sums of all blocks in place of its own."""
     size = lists["n"].to_pylist()
     keys, sums = [], []
@@ -165,12 +165,14 @@ def _answer(lists: pa.Table) -> pa.Table:
     answers = [_pack(count[at[hi - n:hi]], target[at[hi - n:hi]]) for n, hi in zip(size, ends)]
     out = lists.set_column(lists.schema.get_field_index("data"), "data", pa.array(answers, pa.binary()))
     is_word = distinct & _WORD != 0
-    for name, total in zip(_TOTALS, (is_word.sum(), count[is_word].sum(), target[is_word].sum())):
+    rare = is_word & (count < min_count)
+    for name, total in zip(_TOTALS, ((is_word & ~rare).sum(), *(x[w].sum() for w in (is_word, rare) for x in (count, target)))):
         out = out.append_column(name, pa.array([int(total)] + [0] * (out.num_rows - 1), pa.int64()))
     return out
 
 
-def _scorer(order: int, prior: float, n_vocabulary: int, n_tokens: int, n_target: int):
+def _scorer(order: int, prior: float, min_count: int, n_vocabulary: int, n_tokens: int, n_target: int, n_rare: int,
+            n_rare_target: int):
     def run(rows: pa.Table) -> pa.Table:
         own = rows.filter(pc.is_valid(rows["words"])).to_pylist()
         if len(own) != 1:
@@ -189,13 +191,18 @@ def _scorer(order: int, prior: float, n_vocabulary: int, n_tokens: int, n_target
             mine.append(times[pair].astype(np.int32))
         all_target = np.repeat(n_target - sizes * flags, sizes)
         all_tokens = np.repeat(n_tokens - sizes, sizes)
+        everywhere = np.concatenate([np.zeros(0), *(x[0] for x in sums)])
+        rare = everywhere[at[0]] < min_count
+        mine[0] = np.where(rare, np.bincount(doc, rare, len(sizes))[doc], mine[0])
         ends, means = np.cumsum(sizes), []
-        for which, scale in ((1, 1.0), (0, all_target / np.maximum(all_tokens, 1))):
-            sent = np.concatenate([np.zeros(0), *(x[which] for x in sums)])
-            count = [(sent[x] - (m if which == 0 else m * flag)) * scale for x, m in zip(at, mine)]
-            p = (count[0] + 1) / (all_target * (all_tokens > 0) + n_vocabulary)
+        for which, scale, n_unknown in ((1, 1.0, n_rare_target), (0, all_target / np.maximum(all_tokens, 1), n_rare)):
+            sent = np.concatenate([np.zeros(0), *(x[which] for x in sums)]) if which else everywhere
+            count = [sent[x] for x in at]
+            count[0] = np.where(rare, n_unknown, count[0])
+            count = [(x - (m * flag if which else m)) * scale for x, m in zip(count, mine)]
+            p = (count[0] + 1) / (all_target * (all_tokens > 0) + n_vocabulary + 1)
             for k in range(1, len(count), 2):
-                p = (count[k + 1] + prior * p) / (count[k] + prior)
+                p = np.where(rare, p, (count[k + 1] + prior * p) / (count[k] + prior))
             total = np.r_[0.0, np.cumsum(-np.log(p))]
             means.append((total[ends] - total[ends - sizes]) / np.maximum(sizes, 1))
         return pa.table([pa.array(own[0]["doc_ids"], pa.int64()), pa.array(sizes), *map(pa.array, means),
@@ -204,7 +211,7 @@ def _scorer(order: int, prior: float, n_vocabulary: int, n_tokens: int, n_target
     return run
 
 
-def score(docs: DataFrame, target_ids: DataFrame, prior: float = 16.0, order: int = 2) -> DataFrame:
+def score(docs: DataFrame, target_ids: DataFrame, prior: float = 1000.0, order: int = 2, min_count: int = 5) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of every row of ``docs(doc_id, text)``.
 
     ``order`` is the length of the longest n-grams. ``docs`` must give the same rows in the same order on each read, as
@@ -222,8 +229,8 @@ def score(docs: DataFrame, target_ids: DataFrame, prior: float = 16.0, order: in
     if not few:
         rows = cut_lineage(rows)  # a shuffle may order rows anew when it is repeated
     answers = cut_lineage(rows.mapInArrow(_sender(owners, order), _LIST).groupBy("owner").applyInArrow(
-        lambda t: _answer(t), _LIST + "".join(f", {name} long" for name in _TOTALS)))
+        lambda t: _answer(t, min_count), _LIST + "".join(f", {name} long" for name in _TOTALS)))
     totals = answers.agg(*[F.sum(name).alias(name) for name in _TOTALS]).first()
-    score_block = _scorer(order, prior, *(totals[name] or 0 for name in _TOTALS))
+    score_block = _scorer(order, prior, min_count, *(totals[name] or 0 for name in _TOTALS))
     met = rows.mapInArrow(_texts, _BLOCK).unionByName(answers.drop(*_TOTALS), allowMissingColumns=True)
     return met.groupBy("block").applyInArrow(lambda t: score_block(t), _SCORES)
