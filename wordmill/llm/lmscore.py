@@ -17,7 +17,7 @@ The models are a table that grows with the corpus, and no part of it meets in on
 2. An owner adds up what its blocks sent, and answers each with the sums of all blocks, in the order of the block's own
    list. There are so many owners that each has ``OWNER_BYTES`` of text to answer for.
 3. The documents are read again; a block meets its answers as numbers of its own vocabulary, puts the sums to its
-   n-grams and scores its documents. The driver sees three totals.
+   n-grams and scores its documents. The driver sees five totals.
 
 Defined results: null and empty texts have no token and score 0. Without a target token every score is 0.
 Repeated rows count as often as they occur. A null doc_id is never a target. An empty table gives an empty
