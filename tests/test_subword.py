@@ -183,3 +183,14 @@ def test_model_from_files(spark, corpus):
     io.write_model_files(spark, model, path)
     back = bpe.Model.from_tables(io.read_vocab_json(spark, f"{path}/vocab"), io.read_merge_list(spark, f"{path}/merges"))
     assert back == model
+
+
+def test_special_tokens_give_the_digest_of_learned_ids(spark, tmp_path):
+    import hashlib
+    spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    merges = py_learn(TEXTS, subwords.SPECIAL_MERGES)
+    ranks = {m: r for r, m in enumerate(merges)}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    got = {r.doc_id: (r.n_special, r.ids_md5, r.text_md5) for r in subwords.t9_special_tokens(spark, str(tmp_path)).collect()}
+    assert got == {i: (1, md5(" ".join(map(str, [*py_encode(t, ranks), 50256, *py_encode(t, ranks)]))), md5(f"{t}<|endoftext|>{t}"))
+                   for i, t in enumerate(TEXTS)}

@@ -11,6 +11,8 @@ from wordmill.sources import adapters
 
 #: Merges that the queries learn.
 NUM_MERGES = 2_000
+#: Merges behind the ids of T9, which SQL learns too.
+SPECIAL_MERGES = 30
 
 
 def published(path: str | None = None) -> bpe.Model:
@@ -49,21 +51,27 @@ def _marked(spark, sf_dir):
     return docs.select("doc_id", F.concat(F.col("text"), F.lit(bpe.END_OF_TEXT), F.col("text")).alias("text"))
 
 
-def _special(spark, sf_dir, policy):
+def _special(marked, policy, keep=()):
     model = published()
-    enc = cut_lineage(bpe.encode(_marked(spark, sf_dir), model, special=policy))
+    enc = cut_lineage(bpe.encode(marked, model, ["doc_id", *keep], special=policy))
     n_special = F.size(F.filter("ids", lambda x: x == F.lit(model.special[bpe.END_OF_TEXT])))
     dec = bpe.decode(enc, model, out_col="decoded")
-    return enc.join(dec, "doc_id").select("doc_id", n_special.cast("bigint").alias("n_special"),
-                                          F.md5("decoded").alias("text_md5"))
+    # digests meet, not texts
+    return enc.select("doc_id", n_special.cast("bigint").alias("n_special"), *keep).join(
+        dec.select("doc_id", F.md5("decoded").alias("text_md5")), "doc_id")
 
 
 def t9_special_tokens(spark, sf_dir):
-    return _special(spark, sf_dir, "allow")
+    """Marked texts coded with learned merges (digest of the ids) and with the published ones (marks found, text back)."""
+    merges = learned(spark, sf_dir, SPECIAL_MERGES)
+    own = bpe.encode(_marked(spark, sf_dir).withColumn("marked", F.col("text")), merges, ["doc_id", "marked"],
+                     special="allow")
+    coded = own.select("doc_id", F.col("marked").alias("text"), F.md5(F.array_join("ids", " ")).alias("ids_md5"))
+    return _special(coded, "allow", ["ids_md5"])
 
 
 def t9_special_as_text(spark, sf_dir):
-    return _special(spark, sf_dir, "as_text")
+    return _special(_marked(spark, sf_dir), "as_text")
 
 
 QUERIES = {
@@ -106,21 +114,27 @@ def learned_sql(n: int) -> str:
     return f"WITH {_learn_sql(n)} {rows}"
 
 
-def coded_sql(n: int) -> str:
-    """Ids and their digests with ``n`` learned merges: what ``ids_row`` gives."""
+def _coded(n: int) -> str:
+    """CTEs up to ids <doc_id, text, s>: the ids of ``n`` learned merges, joined by spaces."""
     return f"""
 WITH {_learn_sql(n)},
 coded AS (SELECT o.doc_id, string_agg(replace(substr(w.u, 2, length(w.u) - 2), '><', ' '), ' ' ORDER BY o.i) AS s
           FROM occ o JOIN w{n} w ON o.w = w.w GROUP BY o.doc_id),
-ids AS (SELECT d.doc_id, coalesce(c.s, '') AS s FROM documents d LEFT JOIN coded c ON c.doc_id = d.doc_id)
+ids AS (SELECT d.doc_id, d.text, coalesce(c.s, '') AS s FROM documents d LEFT JOIN coded c ON c.doc_id = d.doc_id)"""
+
+
+def coded_sql(n: int) -> str:
+    """Ids and their digests with ``n`` learned merges: what ``ids_row`` gives."""
+    return f"""{_coded(n)}
 SELECT doc_id, CAST(CASE WHEN s = '' THEN 0 ELSE length(s) - length(replace(s, ' ', '')) + 1 END AS BIGINT) AS n_ids,
        md5(s) AS ids_md5 FROM ids"""
 
 
 # One CTE a merge is too slow for NUM_MERGES (T10): tests compare 30 with ``learned_sql`` and ``coded_sql``.
-_MARKED = f"md5(concat(text, '{bpe.END_OF_TEXT}', text)) AS text_md5 FROM documents"
+_MARKED = f"md5(concat(text, '{bpe.END_OF_TEXT}', text)) AS text_md5"
 ORACLE = {
     "t8_subword_decode": "SELECT doc_id, md5(text) AS text_md5 FROM documents",
-    "t9_special_tokens": f"SELECT doc_id, CAST(1 AS BIGINT) AS n_special, {_MARKED}",
-    "t9_special_as_text": f"SELECT doc_id, CAST(0 AS BIGINT) AS n_special, {_MARKED}",
+    "t9_special_tokens": f"{_coded(SPECIAL_MERGES)} SELECT doc_id, CAST(1 AS BIGINT) AS n_special, "
+                         f"md5(trim(s || ' {bpe.END_OF_TEXT_ID} ' || s)) AS ids_md5, {_MARKED} FROM ids",
+    "t9_special_as_text": f"SELECT doc_id, CAST(0 AS BIGINT) AS n_special, {_MARKED} FROM documents",
 }
