@@ -194,3 +194,39 @@ def test_special_tokens_give_the_digest_of_learned_ids(spark, tmp_path):
     got = {r.doc_id: (r.n_special, r.ids_md5, r.text_md5) for r in subwords.t9_special_tokens(spark, str(tmp_path)).collect()}
     assert got == {i: (1, md5(" ".join(map(str, [*py_encode(t, ranks), 50256, *py_encode(t, ranks)]))), md5(f"{t}<|endoftext|>{t}"))
                    for i, t in enumerate(TEXTS)}
+
+
+def test_coding_works_slice_by_slice_and_forgets(spark, corpus, monkeypatch):
+    merges = py_learn(TEXTS, 40)
+    docs = corpus.unionByName(spark.createDataFrame([(9, ""), (10, None)], "doc_id long, text string")).coalesce(1)
+    whole = {r.doc_id: list(r.ids) for r in bpe.encode(docs, merges).collect()}
+    seen = []
+    monkeypatch.setattr(bpe, "SLICE_VALUES", 3)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 500)
+    enc = bpe.encode(docs, merges)
+    assert {r.doc_id: list(r.ids) for r in enc.collect()} == whole
+    assert {r.doc_id: r.text for r in bpe.decode(enc, merges).collect()} == dict(enumerate(TEXTS)) | {9: "", 10: ""}
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array([[1, 2], [3, 4], None, [5] * 9, []])], ["id", "ids"])
+    for part, flat, lens in bpe._slices(iter([batch])):
+        seen.append((part.num_rows, len(flat), lens.tolist()))
+    assert seen == [(1, 2, [2]), (2, 2, [2, 0]), (1, 9, [9]), (1, 0, [0])]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(-1, 6), max_size=40), st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6)), max_size=6, unique=True))
+def test_merges_in_one_pass_are_merges_one_by_one(symbols, pairs):
+    sym = np.array([-1, *symbols], np.int32)
+    made = [(a, b, 7 + k) for k, (a, b) in enumerate(pairs)]
+    one = sym.tolist()
+    for a, b, new in made:
+        out, i = [], 0
+        while i < len(one):
+            if one[i:i + 2] == [a, b]:
+                out.append(new)
+                i += 2
+            else:
+                out.append(one[i])
+                i += 1
+        one = out
+    assert bpe._apply(sym, made).tolist() == one

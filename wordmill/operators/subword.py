@@ -21,11 +21,11 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordmill.functions.exchange import _arrays, _cuts, _rebuilt
 from wordmill.session import cut_lineage
 
 # The public GPT-2 pre-token pattern and its end-of-text token.
@@ -35,8 +35,11 @@ PRETOKEN_PATTERN = (
 END_OF_TEXT = "<|endoftext|>"
 END_OF_TEXT_ID = 50256
 BASE_SYMBOLS = 256
-#: Distinct pre-tokens that a task remembers at once.
-CACHE_WORDS = 500_000
+#: Bytes of distinct pre-tokens and their ids that a task remembers at once, and what an entry takes beside them, about.
+CACHE_BYTES = 96 << 20
+CACHE_ENTRY = 200
+#: Pre-tokens or ids that a task works on at once, about.
+SLICE_VALUES = 1 << 17
 #: Pairs looked at in one round of learning, and pairs whose counts are kept from round to round.
 ROUND_PAIRS = 1024
 FRONTIER = 50_000
@@ -183,26 +186,52 @@ def encode(df: DataFrame, model: Model | Sequence[Merge], id_col: str | Sequence
     src = df.select(*ids, pieces.alias("_wm_p"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     # the rank table travels with the task's function, which Spark broadcasts when it is large
-    segment, limit, marked = _segmenter(model), CACHE_WORDS, dict(model.special) if special == "allow" else {}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict = {}
-        for pdf in batches:
-            rows = []
-            for words in pdf["_wm_p"]:
-                row: list[int] = []
-                for w in words:
-                    own = known.get(w)
-                    if own is None:
-                        if len(known) >= limit:
-                            known.clear()
-                        own = known[w] = [marked[w]] if w in marked else segment(w)
-                    row.extend(own)
-                rows.append(row)
-            out = pdf[ids].copy()
-            out[out_col] = rows
-            yield out
-    return src.mapInPandas(run, f"{schema}, `{out_col}` array<bigint>")
+    segment, limit, marked = _segmenter(model), CACHE_BYTES, dict(model.special) if special == "allow" else {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, bytes] = {}  # the ids of a word as int64
+        held = 0
+        for part, flat, lens in _slices(batches):
+            coded = flat.dictionary_encode()
+            own: list[bytes] = []
+            for w in coded.dictionary.to_pylist():
+                found = known.get(w)
+                if found is None:
+                    found = np.array([marked[w]] if w in marked else segment(w), np.int64).tobytes()
+                    held += CACHE_ENTRY + len(w) + len(found)
+                    if held > limit:
+                        known.clear()
+                        held = CACHE_ENTRY + len(w) + len(found)
+                    known[w] = found
+                own.append(found)
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            values, sizes = _gathered(np.frombuffer(b"".join(own), np.int64), np.array([len(x) >> 3 for x in own], np.int64), at)
+            yield _with_lists(part, values, _row_sums(sizes, lens), out_col)
+    return src.mapInArrow(run, f"{schema}, `{out_col}` array<bigint>")
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
+    """Runs of rows of at most SLICE_VALUES elements (one row at least): rows, elements of their last column, elements a row."""
+    for batch in batches:
+        for a, b in _cuts(_arrays(batch.column(batch.num_columns - 1))[1], SLICE_VALUES):
+            part = batch.slice(a, b - a)
+            yield part, *_arrays(part.column(part.num_columns - 1))
+
+
+def _gathered(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``flat``, which is cut into runs of ``sizes``, one after another, and their sizes."""
+    first, own = np.cumsum(sizes) - sizes, sizes[at]
+    return flat[np.repeat(first[at] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))], own
+
+
+def _row_sums(sizes: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    upto = np.r_[0, np.cumsum(sizes)]
+    return np.diff(upto[np.r_[0, np.cumsum(lens)]])
+
+
+def _with_lists(part: pa.RecordBatch, values: np.ndarray, lens: np.ndarray, name: str) -> pa.RecordBatch:
+    """``part`` with arrays of ``lens`` elements of ``values`` in place of its last column."""
+    return pa.RecordBatch.from_arrays([*part.columns[:-1], _rebuilt(pa.array(values), lens)], [*part.schema.names[:-1], name])
 
 
 def decode(df: DataFrame, model: Model | Sequence[Merge], id_col: str | Sequence[str] = "doc_id",
@@ -212,19 +241,27 @@ def decode(df: DataFrame, model: Model | Sequence[Merge], id_col: str | Sequence
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     src = df.select(*ids, ids_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    held = df.sparkSession.sparkContext.broadcast(model.pieces())
+    table = sorted(model.pieces().items())
+    held = df.sparkSession.sparkContext.broadcast(
+        (np.array([i for i, _ in table], np.int64), b"".join(x for _, x in table), np.array([len(x) for _, x in table], np.int64)))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pieces = held.value
-        for pdf in batches:
-            out = pdf[ids].copy()
-            try:
-                out[out_col] = [b"".join([pieces[int(i)] for i in (row if row is not None else ())])
-                                .decode("utf-8", "replace") for row in pdf[ids_col]]
-            except KeyError as unknown:
-                raise ValueError(f"unknown id: {unknown}") from None
-            yield out
-    return src.mapInPandas(run, f"{schema}, `{out_col}` string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, blob, sizes = held.value
+        blob = np.frombuffer(blob, np.uint8)
+        for part, flat, lens in _slices(batches):
+            if flat.null_count:
+                raise ValueError("unknown id: null")
+            own = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            strange = own[known[at] != own]
+            if len(strange):
+                raise ValueError(f"unknown id: {strange[0]}")
+            data, each = _gathered(blob, sizes, at)
+            ends = np.cumsum(_row_sums(each, lens)).tolist()
+            data = data.tobytes()
+            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends], ends)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], [*part.schema.names[:-1], out_col])
+    return src.mapInArrow(run, f"{schema}, `{out_col}` string")
 
 
 _BLOCK = "sym binary, n binary"
@@ -250,19 +287,51 @@ def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
 
 
 def _apply(sym: np.ndarray, made: Sequence[tuple[int, int, int]]) -> np.ndarray:
-    """The symbols after the merges, one after another, each leftmost first."""
-    for left, right, own in made:
-        at = np.flatnonzero((sym[:-1] == left) & (sym[1:] == right))
-        if left == right and len(at) > 1:  # of overlapping places every other one merges
+    """The symbols after the merges, one after another, each leftmost first.
+
+    Merges that follow one another and can't overlap (no right symbol is another's left one, none is made by
+    another) are done in one pass over the symbols.
+    """
+    for run in _apart(made):
+        if len(sym) < 2:
+            break
+        left, right, new = (np.array(x, np.int64) for x in zip(*sorted(run)))
+        starts = np.zeros(int(max(sym.max(), left.max())) + 2, bool)  # the last one is for -1
+        starts[left] = True
+        at = np.flatnonzero(starts[sym[:-1]])
+        at = at[sym[at + 1] >= 0]
+        key = sym[at].astype(np.int64) << 32 | sym[at + 1]
+        keys = left << 32 | right
+        which = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        hit = keys[which] == key
+        at, which = at[hit], which[hit]
+        if left[0] == right[0] and len(at) > 1:  # alone in its run: of overlapping places every other one merges
             begins = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-            at = at[(np.arange(len(at)) - np.repeat(begins, np.diff(np.r_[begins, len(at)]))) % 2 == 0]
+            odd = (np.arange(len(at)) - np.repeat(begins, np.diff(np.r_[begins, len(at)]))) % 2 == 0
+            at, which = at[odd], which[odd]
         if len(at):
             sym = sym.copy()
-            sym[at] = own
+            sym[at] = new[which]
             sym = np.delete(sym, at + 1)
     return sym
 
 
+def _apart(made: Sequence[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """``made`` in runs of merges that can't overlap or build on one another; a pair of one symbol twice is a run."""
+    run: list[tuple[int, int, int]] = []
+    lefts, rights, news = set(), set(), set()
+    for left, right, new in made:
+        if run and (left == right or run[-1][0] == run[-1][1] or left in rights or right in lefts or left in news or right in news):
+            yield run
+            run, lefts, rights, news = [], set(), set(), set()
+        run.append((left, right, new))
+        lefts.add(left)
+        rights.add(right)
+        news.add(new)
+    if run:
+        yield run
+
+
 def _pairs(sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Adjacent pairs as left << 32 | right, and the frequency of the word of each."""
     inside = (sym[:-1] >= 0) & (sym[1:] >= 0)
@@ -298,8 +367,12 @@ def _changed(pending: list, made: list, known) -> Callable:
             sym = _apply(sym, pending)
             word = np.cumsum(sym < 0) - 1
             touched = np.zeros(len(n), bool)
-            for left, right, _ in made:
-                touched[word[:-1][(sym[:-1] == left) & (sym[1:] == right)]] = True
+            starts = np.zeros(int(max(sym.max(initial=0), max(m[0] for m in made))) + 2, bool)  # the last one is for -1
+            starts[[m[0] for m in made]] = True
+            at = np.flatnonzero(starts[sym[:-1]])
+            at = at[sym[at + 1] >= 0]
+            pair = sym[at].astype(np.int64) << 32 | sym[at + 1]
+            touched[word[at[np.isin(pair, [m[0] << 32 | m[1] for m in made])]]] = True
             if touched.any():
                 old, own = sym[touched[word]], n[touched]
                 (a, x), (b, y) = _pairs(old, own), _pairs(_apply(old, made), own)
