@@ -131,3 +131,33 @@ def test_schedule_and_ledger(spark):
     assert [r.tokens_seen for r in ledger] == [12 * (k + 1) for k in range(8)]
     pts = led.eval_points(led.exposure_ledger(sch), 3).orderBy("step").collect()
     assert [r.step for r in pts] == [0, 3, 6]
+
+
+def test_corpus_ids_shuffle_no_tokens_and_join_the_rows_of_an_id(spark, tmp_path, monkeypatch):
+    from wordmill.operators import tokens as tok
+    from wordmill.plans import corpus
+
+    def never(*a, **kw):
+        raise AssertionError("single tokens are shuffled")
+    monkeypatch.setattr(tok, "encode_tokens", never)
+    texts = [(1, "a b c d e f g h i jk"), (2, "b b b, b"), (2, "c d. e f g"), (3, None), (4, ""), (None, "a c")]
+    for rows, folder in ((texts[:2] + texts[3:5], "own"), (texts, "shared")):
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/{folder}/documents.parquet")
+        ids, vocab = corpus.corpus_ids(spark, f"{tmp_path}/{folder}")
+        word = {r.token_id: r.token for r in vocab.collect()}
+        got = sorted((r.doc_id or 0, " ".join(word[i] for i in r.train_ids), " ".join(word[i] for i in r.val_ids))
+                     for r in ids.collect())
+        assert all(len(r.full_ids) == len(r.train_ids) + len(r.val_ids) for r in ids.collect())
+        if folder == "own":
+            assert got == [(1, "a b c d e f g h i", "jk"), (2, "b b b ,", "b"), (3, "", ""), (4, "", "")]
+        else:
+            both = "b c b d . b , e f", "b g"
+            assert got[1:] == [(1, "a b c d e f g h i", "jk"), (2, *both), (2, *both), (3, "", ""), (4, "", "")]
+            assert got[0] == (0, "", "")
+
+
+def test_counts_travel_as_plain_ids(spark):
+    for counts in (ng.fit(_ids(spark), "ids"), ng.fit_orders(_ids(spark), "ids", 3)):
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        dealt = [x for x in plan.splitlines() if "hashpartitioning" in x]
+        assert dealt and not any("hashpartitioning(ctx" in x for x in dealt)

@@ -57,8 +57,16 @@ def ngram_pairs(df: DataFrame, ids_col: str, order: int = 2) -> DataFrame:
 
 def fit(df: DataFrame, ids_col: str, order: int = 2) -> DataFrame:
     """N-gram counts ``<ctx, next, n>`` over a table of id arrays."""
-    return ngram_pairs(df, ids_col, order).groupBy("ctx", "next").agg(
-        F.count(F.lit(1)).alias("n"))
+    return _tallied(ngram_pairs(df, ids_col, order), order, "n")
+
+
+def _tallied(pairs: DataFrame, order: int, count_col: str) -> DataFrame:
+    """Distinct <ctx, next> with their number; the ids of a context are shuffled as plain columns, half as wide as arrays."""
+    own = [F.col("ctx")[i].alias(f"_wm_c{i}") for i in range(order - 1)]
+    names = [f"_wm_c{i}" for i in range(order - 1)]
+    counted = pairs.select(*own, "next").groupBy(*names, "next").agg(F.count(F.lit(1)).alias(count_col))
+    ctx = F.array(*names) if names else empty_ctx()
+    return counted.select(ctx.cast("array<bigint>").alias("ctx"), "next", count_col)
 
 
 def context_totals(counts: DataFrame) -> DataFrame:
@@ -73,11 +81,13 @@ def loss(counts: DataFrame, val: DataFrame, ids_col: str, vocab_size: DataFrame
     ``vocab_size`` is an int or a one-row DataFrame with column ``v``.
     """
     v = F.lit(vocab_size) if isinstance(vocab_size, int) else F.col("v")
-    pairs = ngram_pairs(val, ids_col, order).groupBy("ctx", "next").agg(
-        F.count(F.lit(1)).alias("mult"))
+    pairs = _tallied(ngram_pairs(val, ids_col, order), order, "mult")
     # the distinct successors of a frequent context would meet on its key: salted by their number
     totals = context_totals(counts).select("ctx", "ctx_n", "n_next")
-    j = salted_lookup(pairs.join(counts, ["ctx", "next"], "left"), totals, "ctx", salt_cols=["next"],
+    # on the plain ids, by which ``fit`` leaves its counts partitioned
+    known = counts.select(*[F.col("ctx")[i].alias(f"_wm_c{i}") for i in range(order - 1)], F.col("next").alias("_wm_next"), "n")
+    same = reduce(lambda a, b: a & b, [pairs["ctx"][i] == known[f"_wm_c{i}"] for i in range(order - 1)], pairs["next"] == known["_wm_next"])
+    j = salted_lookup(pairs.join(known, same, "left").select("ctx", "next", "mult", "n"), totals, "ctx", salt_cols=["next"],
                       freq_col="n_next")
     if not isinstance(vocab_size, int):
         j = j.crossJoin(F.broadcast(vocab_size.select("v")))  # one row
@@ -94,9 +104,14 @@ def fit_orders(df: DataFrame, ids_col: str, order: int = 3) -> DataFrame:
     x = df.where(F.size(ids_col) > 0).select(F.col(ids_col).alias("_wm_ids"), pos.alias("_wm_i"))
     x = x.withColumn(
         "_wm_k", F.explode(F.sequence(F.lit(0), F.least(F.col("_wm_i"), F.lit(order - 1)))))
-    ctx = F.slice("_wm_ids", F.col("_wm_i") - F.col("_wm_k") + 1, F.col("_wm_k"))
-    return x.select(ctx.cast("array<bigint>").alias("ctx"), F.element_at("_wm_ids", F.col("_wm_i") + 1).cast("bigint").alias("next")) \
-        .groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("n"))
+    # plain columns are shuffled, the last id of a context in the last one
+    own = [F.when(F.col("_wm_k") >= back, F.element_at("_wm_ids", F.greatest(F.col("_wm_i") + 1 - back, F.lit(1)))).cast("bigint")
+           .alias(f"_wm_c{back}") for back in range(order - 1, 0, -1)]
+    names = [f"_wm_c{back}" for back in range(order - 1, 0, -1)]
+    counted = x.select("_wm_k", *own, F.element_at("_wm_ids", F.col("_wm_i") + 1).cast("bigint").alias("next")).groupBy(
+        "_wm_k", *names, "next").agg(F.count(F.lit(1)).alias("n"))
+    ctx = F.slice(F.array(*names), F.lit(order) - F.col("_wm_k"), F.col("_wm_k")) if names else empty_ctx()
+    return counted.select(ctx.cast("array<bigint>").alias("ctx"), "next", "n")
 
 
 def backoff_loss(counts: DataFrame, val: DataFrame, ids_col: str, vocab_size: int, order: int = 3,

@@ -10,6 +10,7 @@ from wordmill.operators import prompts as pr
 from wordmill.operators import sampling as smp
 from wordmill.operators import tokens as tok
 from wordmill.plans import sqlbits as q
+from wordmill.functions.exchange import lookup_arrays
 from wordmill.functions.text import word_tokens
 from wordmill.session import cut_lineage
 from wordmill.sources import adapters
@@ -18,26 +19,41 @@ from wordmill.sources import adapters
 def corpus_ids(spark: SparkSession, sf_dir: str):
     """<doc_id, train_ids, val_ids, full_ids> and the vocabulary of both parts.
 
-    Both halves are encoded in one pass (one ordered collect per document), and
-    the result, which every n-gram query reads several times, is materialised
-    once in the reliable checkpoint folder.
+    Both halves are encoded in one pass by dictionary exchange, which shuffles neither texts nor tokens, and
+    the result, which every n-gram query reads several times, is materialised once, as one array a
+    document, in the reliable checkpoint folder.
     """
     parts = smp.char_split(adapters.corpus(spark, sf_dir), "text", 0.9)
     halves = parts.select("doc_id", F.posexplode(F.array("train_text", "val_text")).alias("part", "text"))
-    long = halves.select("doc_id", "part", F.posexplode(word_tokens("text")).alias("pos", "token"))
-    vocab = tok.build_vocab(long)
-    enc = tok.encode_tokens(long, vocab, ["doc_id", "part"])
-    ordered = F.array_sort(F.collect_list(F.struct("part", "pos", "token_id")))
-    per_doc = enc.groupBy("doc_id").agg(ordered.alias("_s"))
-
-    def half(k):
-        return F.transform(F.filter("_s", lambda x: x["part"] == k), lambda x: x["token_id"])
-
-    ids = (parts.select("doc_id").join(per_doc, "doc_id", "left")
-                .withColumn("_s", F.coalesce("_s", F.array().cast(per_doc.schema["_s"].dataType)))
-                .select("doc_id", half(0).alias("train_ids"), half(1).alias("val_ids"))
-                .withColumn("full_ids", F.concat("train_ids", "val_ids")))
-    return cut_lineage(ids), vocab
+    vocab = tok.build_vocab(halves.select("doc_id", "part", F.posexplode(word_tokens("text")).alias("pos", "token")))
+    none = F.array().cast("array<string>")
+    words = [F.coalesce(word_tokens(c), none) for c in ("train_text", "val_text")]
+    enc = lookup_arrays(parts.select("doc_id", F.size(words[0]).alias("n_train"), F.concat(*words).alias("words")),
+                        ["doc_id", "n_train"], "words", vocab, "token", "token_id", "full_ids", "n", missing="unknown token: ")
+    ids = _one_text_an_id(cut_lineage(enc))
+    return ids.select("doc_id", F.slice("full_ids", F.lit(1), F.col("n_train")).alias("train_ids"),
+                      F.slice("full_ids", F.col("n_train") + 1, F.size("full_ids") - F.col("n_train")).alias("val_ids"), "full_ids"), vocab
+
+
+def _one_text_an_id(enc: DataFrame) -> DataFrame:
+    """``enc(doc_id, n_train, full_ids)``, materialised; rows that share a doc_id have the tokens of all of them, by part and position.
+
+    Rows without a doc_id have none. Where each row has its own id nothing is shuffled but the ids.
+    """
+    again = cut_lineage(enc.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select(
+        F.col("doc_id").alias("_wm_id")))
+    if again.isEmpty():
+        return enc
+    same = F.col("doc_id").eqNullSafe(F.col("_wm_id"))
+    shared = enc.join(again, same, "left_semi")
+    at = shared.select("doc_id", "n_train", F.posexplode("full_ids").alias("pos", "token_id")).where("doc_id IS NOT NULL")
+    late = F.col("pos") >= F.col("n_train")
+    at = at.select("doc_id", late.alias("late"), F.when(late, F.col("pos") - F.col("n_train")).otherwise(F.col("pos")).alias("pos"), "token_id")
+    whole = at.groupBy("doc_id").agg(F.count_if(~F.col("late")).cast("int").alias("n_train"), F.transform(
+        F.array_sort(F.collect_list(F.struct("late", "pos", "token_id"))), lambda x: x["token_id"]).alias("full_ids"))
+    whole = shared.select("doc_id").join(whole, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_train", F.lit(0)).alias("n_train"), F.coalesce("full_ids", F.array().cast("array<bigint>")).alias("full_ids"))
+    return cut_lineage(enc.join(again, same, "left_anti").unionByName(whole))
 
 
 def _model(spark, sf_dir):
