@@ -161,3 +161,22 @@ def test_counts_travel_as_plain_ids(spark):
         plan = counts._jdf.queryExecution().executedPlan().toString()
         dealt = [x for x in plan.splitlines() if "hashpartitioning" in x]
         assert dealt and not any("hashpartitioning(ctx" in x for x in dealt)
+
+
+def test_a_step_of_sampling_reads_one_row_for_many_buckets(spark, monkeypatch):
+    counts = spark.createDataFrame([([1], i, 1 + i % 3) for i in range(2, 200)] + [([i], 1, 2) for i in range(2, 200)],
+                                   "ctx array<bigint>, next long, n long")
+    prompts = spark.createDataFrame([(i, [1 + i % 5]) for i in range(40)], "doc_id long, ids array<bigint>")
+    kept, cut = [], ng.cut_lineage
+
+    def noted(df):
+        if "drawn" in df.columns:
+            kept.append(df)
+        return cut(df)
+    monkeypatch.setattr(ng, "cut_lineage", noted)
+    runs = []
+    for chunk in (32, 1):  # one bucket a row is the plain form
+        monkeypatch.setattr(ng, "CHUNK_BUCKETS", chunk)
+        runs.append(sorted((r.doc_id, tuple(r.generated)) for r in ng.sample_continue(prompts, "doc_id", "ids", counts, 6).collect()))
+    assert runs[0] == runs[1] and all(len(g) == 6 for _, g in runs[0])
+    assert len(kept) == 2 and kept[0].count() * 8 < kept[1].count()

@@ -30,6 +30,8 @@ from wordmill.session import cut_lineage
 
 # Buckets shared out by training frequency: a context with share f gets >= f * 4096.
 HOT_BUCKETS = 4096
+# Buckets whose candidates a step finds together.
+CHUNK_BUCKETS = 32
 
 
 def empty_ctx() -> Column:
@@ -326,11 +328,14 @@ def sample_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
     The draw for (prompt, step) is ``hash_uniform(seed, prompt, step)``. A
     drawn ``eos_id`` stops that prompt and is not appended.
     """
-    # Materialised once, hash-partitioned on the per-step join keys so each step
-    # shuffles only the frontier.
-    n_parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cand = cut_lineage(candidates(counts, top_k, temperature, order)
-                       .repartition(n_parts, "ctx", "bucket"))
+    # A step reads the table of candidates once, so it holds few rows: those of CHUNK_BUCKETS buckets are one
+    # array, and each candidate stands once in it, from its first bucket there on.
+    cand = candidates(counts, top_k, temperature, order)
+    bottom = F.least(F.floor(F.col("lo") * F.col("nb")), F.col("nb") - 1)
+    once = cand.where((F.col("bucket") % CHUNK_BUCKETS == 0) | (F.col("bucket") == bottom))
+    chunk = F.floor(F.col("bucket") / F.lit(CHUNK_BUCKETS)).alias("chunk")
+    cand = cut_lineage(once.groupBy("ctx", chunk).agg(
+        F.first("nb").alias("nb"), F.collect_list(F.struct("next", "lo", "hi", "next_ctx", "next_nb")).alias("drawn")))
     nb = cand.select("ctx", "nb").distinct()
     empty_nb = nb.where(F.size("ctx") == 0).select(F.col("nb").alias("_wm_enb"))
     start = prompts.select(id_col, context_of(F.col(ids_col), order).cast("array<bigint>").alias("cur"))
@@ -343,18 +348,17 @@ def sample_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
         id_col, F.when(F.col("nb").isNull(), empty_ctx()).otherwise(F.col("cur")).alias("cur"),
         F.coalesce("nb", "_wm_enb").alias("nb"), F.array().cast("array<bigint>").alias("path"),
         F.lit(False).alias("done"))
-    c = cand.select(*[F.col(k).alias("c_" + k) for k in
-                      ("ctx", "bucket", "next", "lo", "hi", "next_ctx", "next_nb")])
+    c = cand.select(F.col("ctx").alias("c_ctx"), F.col("chunk").alias("c_chunk"), "drawn")
     for step in range(max_new_tokens):
         u = hash_uniform(seed, id_col, F.lit(step))
         f = (frontier.withColumn("_wm_u", F.when(~F.col("done"), u))
-                     .withColumn("_wm_b", F.least(F.floor(F.col("_wm_u") * F.col("nb")),
-                                                  F.col("nb") - 1).cast("int")))
-        # One left join per step (done rows carry a NULL bucket and match nothing),
+                     .withColumn("_wm_b", F.floor(F.least(F.floor(F.col("_wm_u") * F.col("nb")),
+                                                          F.col("nb") - 1) / F.lit(CHUNK_BUCKETS))))
+        # One left join per step (done rows carry a NULL chunk and match nothing),
         # so each step reads the previous frontier once and lineage grows linearly.
-        cond = ((f["cur"] == c["c_ctx"]) & (f["_wm_b"] == c["c_bucket"])
-                & (c["c_lo"] <= f["_wm_u"]) & (f["_wm_u"] < c["c_hi"]))
-        j = f.join(c, cond, "left")
+        j = f.join(c, (f["cur"] == c["c_ctx"]) & (f["_wm_b"] == c["c_chunk"]), "left")
+        j = j.withColumn("_wm_hit", F.get(F.filter("drawn", lambda x: (x["lo"] <= F.col("_wm_u")) & (F.col("_wm_u") < x["hi"])), F.lit(0)))
+        j = j.select("*", *[F.col(f"_wm_hit.{k}").alias("c_" + k) for k in ("next", "next_ctx", "next_nb")])
         hit = F.col("c_next").isNotNull()
         stop = F.lit(False) if eos_id is None else (F.col("c_next") == F.lit(eos_id))
         go = hit & ~stop
