@@ -122,3 +122,19 @@ def test_salted_lookup_matches_plain_join(spark):
                       broadcast_max_bytes=None).select("row", "v").orderBy("row").collect()
     b = facts.join(dim, "k", "left").select("row", "v").orderBy("row").collect()
     assert a == b
+
+
+def test_direct_lookups_bring_in_few_values_at_once(spark, monkeypatch):
+    import pyarrow as pa
+    from wordmill.functions import exchange
+    monkeypatch.setattr(exchange, "DIRECT_VALUES", 4)
+    dim = spark.createDataFrame([(k, k * 10) for k in range(6)], "k long, v long")
+    rows = [(1, [0, 1, 2]), (2, [3]), (3, None), (4, [5] * 9), (5, []), (6, [9])]
+    df = spark.createDataFrame(rows, "doc_id long, a array<bigint>").coalesce(1)
+
+    def at_once(values, at, lens):
+        return pa.array([len(at)] * len(lens), pa.int64())
+    got = exchange.lookup_arrays(df, ["doc_id"], "a", dim, "k", "v", "n", small=True, combine=at_once, out_type="bigint")
+    assert {r.doc_id: r.n for r in got.collect()} == {1: 4, 2: 4, 3: 4, 4: 9, 5: 1, 6: 1}
+    got = exchange.lookup_arrays(df, ["doc_id"], "a", dim, "k", "v", "vs", small=True)
+    assert {r.doc_id: r.vs for r in got.collect()} == {i: [x * 10 if x < 6 else None for x in a or []] for i, a in rows}

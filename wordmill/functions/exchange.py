@@ -24,6 +24,8 @@ from wordmill.session import cut_lineage
 
 #: Elements of the arrays of one block, about.
 BLOCK_VALUES = 1 << 20
+#: Elements whose values a task brings in at once where the table is at hand.
+DIRECT_VALUES = 1 << 20
 
 
 def _arrays(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -82,12 +84,14 @@ def lookup_arrays(df: DataFrame, keep: Sequence[str], array_col: str, dim: DataF
         def direct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, values = held.value
             for batch in batches:
-                flat, lens = _arrays(batch.column(batch.num_columns - 1))
-                coded = flat.dictionary_encode()
-                found = values.take(pc.index_in(coded.dictionary, value_set=keys, skip_nulls=True))
-                check(coded.dictionary, found)
-                out = join(found, coded.indices, lens)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], [*batch.schema.names[:-1], out_col])
+                for a, b in _cuts(_arrays(batch.column(batch.num_columns - 1))[1], DIRECT_VALUES):
+                    rows = batch.slice(a, b - a)
+                    flat, lens = _arrays(rows.column(rows.num_columns - 1))
+                    coded = flat.dictionary_encode()
+                    found = values.take(pc.index_in(coded.dictionary, value_set=keys, skip_nulls=True))
+                    check(coded.dictionary, found)
+                    out = join(found, coded.indices, lens)
+                    yield pa.RecordBatch.from_arrays([*rows.columns[:-1], out], [*rows.schema.names[:-1], out_col])
         return src.mapInArrow(direct, schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
