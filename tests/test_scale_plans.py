@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from wordmill.functions import joins
 from wordmill.operators import ngram as ng
 from wordmill.operators import sequences as seq
 from wordmill.operators import vectors as vec
@@ -80,3 +81,20 @@ def test_next_tokens_of_short_arrays(spark):
 def test_exact_classifier_rows(spark):
     rows = models.l2_bayes(spark, SF).collect()
     assert {r.split for r in rows} >= {"train"} and all(0 <= r.accuracy <= 1 and r.loss >= 0 for r in rows)
+
+
+def test_greedy_walks_take_the_contexts_that_prompts_reach(spark, monkeypatch):
+    chain = spark.range(400).select(F.array("id").alias("ctx"), ((F.col("id") + 1) % 400).alias("next"), F.lit(1).cast("long").alias("n"))
+    starts = spark.createDataFrame([([7],), ([7],), (None,)], "ctx array<long>")
+    for limit in (1 << 20, None):
+        assert ng._greedy_steps(chain, starts, 2, 5, limit).count() == 5
+    prompts = spark.createDataFrame([(1, [7]), (2, [900]), (3, None), (4, [398])], "doc_id long, ids array<long>")
+    want = {1: list(range(8, 28)), 2: list(range(20)), 3: [], 4: [399, *range(19)]}
+    asked, fits = [], joins.fits_broadcast
+    monkeypatch.setattr(joins, "fits_broadcast", lambda d, most: asked.append(most) or fits(d, most))
+    for levels in (12, 30):  # before and after the walks have ended
+        monkeypatch.setattr(ng, "GREEDY_LEVELS", levels)
+        out = ng.greedy_continue(prompts, "doc_id", "ids", chain, 20)
+        assert {r.doc_id: list(r.generated) for r in out.collect()} == want
+    # the tables of all joins together, and the continuations, fit the limit
+    assert asked.count(joins.BROADCAST_MAX_BYTES) == 2 and max(set(asked) - {joins.BROADCAST_MAX_BYTES}) * 11 <= joins.BROADCAST_MAX_BYTES

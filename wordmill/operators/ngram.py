@@ -8,7 +8,7 @@ Re-aimed from transformer pre-training: the model is a table of counts
 * Loss pre-aggregates validation pairs to distinct (ctx, next) with a
   multiplicity before joining, so no hot pair is joined row by row.
 * Greedy continuation depends only on the context: distinct start contexts are
-  continued by path doubling over the table of contexts, with few joins.
+  continued by path doubling over the contexts that they reach, with few joins.
 * Sampled continuation is an inverse-CDF lookup per prompt and step. Each
   context's cumulative probabilities are cut into ``max(ceil(k/4),
   ceil(4096 * share of training occurrences))`` buckets of the [0,1) axis,
@@ -32,6 +32,8 @@ from wordmill.session import cut_lineage
 HOT_BUCKETS = 4096
 # Buckets whose candidates a step finds together.
 CHUNK_BUCKETS = 32
+# Levels of contexts that greedy walks are followed before the steps of all contexts are made.
+GREEDY_LEVELS = 12
 
 
 def empty_ctx() -> Column:
@@ -168,27 +170,47 @@ def _next_context(ctx: Column, token: Column, order: int) -> Column:
     return context_of(F.concat(ctx, F.array(token)), order).cast("array<bigint>")
 
 
-def _greedy_steps(counts: DataFrame, starts: DataFrame, order: int) -> DataFrame:
-    """<ctx, tok, nxt> for every context that a walk can reach: seen ones, starts, and where they lead.
+def _greedy_steps(counts: DataFrame, starts: DataFrame, order: int, max_new_tokens: int, limit: int | None) -> DataFrame:
+    """<ctx, tok, nxt> for the contexts that walks of ``max_new_tokens`` ids from ``starts`` reach, or for all.
 
-    An unseen context goes on with the overall most frequent id, so after ``order`` steps from a
-    known one nothing new turns up.
+    An unseen context goes on with the overall most frequent id. Walks flow together, so those of all starts
+    soon reach nothing new, and the few contexts on them are found level by level. Where they go on
+    reaching new ones after so many levels as following all contexts has joins, the steps of all contexts are taken;
+    after ``order`` steps from a known one nothing new turns up there.
     """
-    best = cut_lineage(best_next(counts))
-    fallback = best.sparkSession.createDataFrame(
-        [global_best(counts).first()], "fallback bigint") if not best.isEmpty() else None
+    # one pass over the counts: the row without a context is the fallback
+    none = F.lit(None).cast("array<bigint>").alias("ctx")
+    both = cut_lineage(best_next(counts).select("ctx", "best").unionByName(
+        global_best(counts).select(none, F.col("fallback").alias("best"))))
+    fallback = both.where(F.col("ctx").isNull()).first()["best"]
+    best = both.where(F.col("ctx").isNotNull())
     if fallback is None:
         return best.select("ctx", F.col("best").alias("tok"), F.col("ctx").alias("nxt"))
 
-    def step(nodes: DataFrame) -> DataFrame:
-        x = nodes.join(best, "ctx", "left").crossJoin(F.broadcast(fallback))  # one row
-        tok = F.coalesce("best", "fallback")
-        return x.select("ctx", tok.alias("tok"), _next_context(F.col("ctx"), tok, order).alias("nxt"))
-
-    steps = cut_lineage(step(best.select("ctx").union(starts.select("ctx")).distinct()))
+    def step(nodes: DataFrame, known: DataFrame) -> DataFrame:
+        tok = F.coalesce("best", F.lit(fallback))
+        x = nodes.join(known, "ctx", "left").select("ctx", tok.alias("tok"))
+        return x.select("ctx", "tok", _next_context(F.col("ctx"), F.col("tok"), order).alias("nxt"))
+
+    def beyond(steps: DataFrame, last: DataFrame) -> DataFrame:
+        return cut_lineage(last.select(F.col("nxt").alias("ctx")).distinct().join(steps.select("ctx"), "ctx", "left_anti"))
+
+    new, parts = cut_lineage(starts.where(F.col("ctx").isNotNull()).distinct()), []
+    for level in range(min(max_new_tokens, GREEDY_LEVELS)):
+        if joins.fits_broadcast(new, limit):  # the table of contexts stays where it is
+            known = cut_lineage(best.join(F.broadcast(new), "ctx", "left_semi"))
+        else:
+            known = best
+        parts.append(cut_lineage(step(new, known)))
+        steps = reduce(DataFrame.unionByName, parts)
+        new = beyond(steps, parts[-1])
+        if level + 1 == max_new_tokens or new.isEmpty():
+            return cut_lineage(steps)
+
+    steps = cut_lineage(step(best.select("ctx").union(starts.select("ctx")).distinct(), best))
     new = steps
     for _ in range(order):
-        new = cut_lineage(step(new.select(F.col("nxt").alias("ctx")).distinct().join(steps, "ctx", "left_anti")))
+        new = cut_lineage(step(beyond(steps, new), best))
         if new.isEmpty():
             break
         steps = steps.unionByName(new)
@@ -201,16 +223,17 @@ def greedy_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
     """Append ``max_new_tokens`` greedy ids to every prompt; ``eos_id`` ends it and is not appended.
 
     Prompts sharing their last ``order - 1`` ids share the walk, so it runs over distinct
-    contexts. Walks flow together, so they aren't followed step by step: a table of jumps over
+    contexts, those that the prompts reach. Walks aren't followed step by step: a table of jumps over
     1, 2, 4, ... steps is made by joining it with itself, and the positions of a walk are filled
     in by halves, about ``2 * log2(max_new_tokens)`` joins in all. A context in which many walks
     meet is salted by how many do.
     """
     p = prompts.select(id_col, context_of(F.col(ids_col), order).cast("array<bigint>").alias("start"))
     starts = cut_lineage(p.groupBy("start").agg(F.count(F.lit(1)).alias("n_prompts")))
-    steps = _greedy_steps(counts, starts.select(F.col("start").alias("ctx")), order)
-    # every table that is followed below has at most the rows and columns of ``steps``
-    small = joins.fits_broadcast(steps, joins.BROADCAST_MAX_BYTES)
+    # every table that is followed below has at most the rows and columns of ``steps``; the driver holds those broadcast together
+    limit = joins.BROADCAST_MAX_BYTES and joins.BROADCAST_MAX_BYTES // (2 * max(max_new_tokens, 1).bit_length() + 1)
+    steps = _greedy_steps(counts, starts.select(F.col("start").alias("ctx")), order, max_new_tokens, limit)
+    small = joins.fits_broadcast(steps, limit)
 
     def follow(rows: DataFrame, key: str, table: DataFrame, salt_cols: list[str]) -> DataFrame:
         if small:
