@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wordmill.functions import joins
+from wordmill.functions import exchange, joins
 from wordmill.operators import ngram as ng
 from wordmill.operators import sequences as seq
 from wordmill.operators import vectors as vec
@@ -83,6 +83,27 @@ def test_exact_classifier_rows(spark):
     assert {r.split for r in rows} >= {"train"} and all(0 <= r.accuracy <= 1 and r.loss >= 0 for r in rows)
 
 
+@pytest.mark.parametrize("block_values, owner_keys, owner_bytes", [(1 << 20, 1 << 12, 32 << 20), (7, 1, 32 << 20), (7, 1, 40)])
+def test_exchange_by_owners_equals_plain_look_up(spark, monkeypatch, block_values, owner_keys, owner_bytes):
+    monkeypatch.setattr(exchange, "OWNER_KEYS", owner_keys)
+    monkeypatch.setattr(exchange, "OWNER_BYTES", owner_bytes)
+    rows = [(i % 5, None if i % 11 == 0 else [None if j % 13 == 0 else (i * j) % 40 for j in range(i % 9)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, a array<long>").repartition(3)
+    for kind, of in (("string", lambda k: f"w{k}"), ("long", lambda k: -k), ("array<float>", lambda k: [float(k), 0.5])):
+        dim = spark.createDataFrame([(k, of(k)) for k in range(30)] + [(None, of(77))], f"k long, v {kind}")
+        found = exchange.lookup_arrays(df, ["id"], "a", dim, "k", "v", "o", small=False, block_values=block_values)
+        assert "Generate" not in plan(found)  # no element is a row
+        want = sorted(str((i, [of(k) if k is not None and k < 30 else None for k in a or []])) for i, a in rows)
+        assert sorted(str((r.id, r.o)) for r in found.collect()) == want
+        words = df.select("id", F.transform("a", lambda x: F.concat(F.lit("ß"), x.cast("string"))).alias("a"))
+        keys = dim.select(F.concat(F.lit("ß"), F.col("k").cast("string")).alias("k"), "v")
+        found = exchange.lookup_arrays(words, ["id"], "a", keys, "k", "v", "o", small=False, block_values=block_values)
+        assert sorted(str((r.id, r.o)) for r in found.collect()) == want
+    empty = exchange.lookup_arrays(df, ["id"], "a", dim.limit(0), "k", "v", "o", small=False, block_values=block_values)
+    assert sorted(str((r.id, r.o)) for r in empty.collect()) == sorted(str((i, [None] * len(a or []))) for i, a in rows)
+    assert exchange.lookup_arrays(df.limit(0), ["id"], "a", dim, "k", "v", "o", small=False).collect() == []
+
+
 def test_greedy_walks_take_the_contexts_that_prompts_reach(spark, monkeypatch):
     chain = spark.range(400).select(F.array("id").alias("ctx"), ((F.col("id") + 1) % 400).alias("next"), F.lit(1).cast("long").alias("n"))
     starts = spark.createDataFrame([([7],), ([7],), (None,)], "ctx array<long>")

@@ -2,10 +2,11 @@
 
 A lookup table of measured size within the broadcast limit goes to every task, which maps whole Arrow batches.
 Beyond it, a task cuts its rows into blocks of at most ``BLOCK_VALUES`` elements (a longer array is a block of its
-own) and keeps each block as row columns plus indices into the block's distinct elements. Only those distinct
-elements, one row per block and element, travel to the table's owners (hot ones salted) and bring their values
-back to the block, which is put together from its stored indices. Rows are told apart by their place in the
-block, so ids may repeat, and arrays keep their order.
+own) and keeps each block as row columns plus indices into the block's distinct elements. Those elements, in the order
+of their hash, are asked of *owners*, each a range of the hashes with the table's rows in it: one compressed message for a block
+and an owner, and one back. An element is asked once by a block, so no key is hot, and there are so many owners that
+each has about ``OWNER_BYTES`` to hold and answer. The block is put together from its stored indices. Rows are told apart by their
+place in the block, so ids may repeat, and arrays keep their order.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -26,6 +28,10 @@ from wordmill.session import cut_lineage
 BLOCK_VALUES = 1 << 20
 #: Elements whose values a task brings in at once where the table is at hand.
 DIRECT_VALUES = 1 << 20
+#: Bytes of the table, or of questions and answers, of one owner, about.
+OWNER_BYTES = 32 << 20
+#: Questions that make an owner worth while.
+OWNER_KEYS = 1 << 12
 
 
 def _arrays(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -52,20 +58,47 @@ def _cuts(lens: np.ndarray, limit: int) -> list[tuple[int, int]]:
 
 def _packed(rows: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema) as writer:
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_batch(rows)
     return sink.getvalue().to_pybytes()
 
 
+def _unpacked(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
+
+
+def _one(values: pa.Array) -> bytes:
+    return _packed(pa.RecordBatch.from_arrays([values], ["v"]))
+
+
+def _joined(column: pa.ChunkedArray) -> pa.Array:
+    """The values of packed messages, one after the other."""
+    return pa.concat_arrays([_unpacked(m).column(0) for m in column.to_pylist()])
+
+
+def _hashes(keys: pa.Array) -> np.ndarray:
+    """32 bits for each key, the same in every process."""
+    if pa.types.is_integer(keys.type):
+        values = keys.cast(pa.int64()).to_numpy(zero_copy_only=False)
+    else:
+        values = keys.cast(pa.string()).to_numpy(zero_copy_only=False)
+    return pd.util.hash_array(values, categorize=False) >> np.uint64(32)
+
+
+def _owners(hashes: np.ndarray, n: int) -> np.ndarray:
+    return (hashes * np.uint64(n) >> np.uint64(32)).astype(np.int32)
+
+
 def lookup_arrays(df: DataFrame, keep: Sequence[str], array_col: str, dim: DataFrame, key: str, value: str, out_col: str,
-                  freq_col: str | None = None, small: bool | None = None, missing: str | None = None,
+                  small: bool | None = None, missing: str | None = None,
                   combine: Callable[[pa.Array, pa.Array, np.ndarray], pa.Array] | None = None,
-                  out_type: str | None = None) -> DataFrame:
+                  out_type: str | None = None, block_values: int | None = None) -> DataFrame:
     """<keep..., out_col>: each element of ``array_col`` replaced by ``dim.value`` of ``dim.key``, null where it has none.
 
-    ``dim`` must be unique on ``key``. ``freq_col`` names its frequencies, by which hot keys are salted. A null
+    ``dim`` must be unique on ``key``. A null
     array gives an empty one. ``combine`` makes a row's result, of ``out_type``, from (values of the distinct
-    elements, indices into them of all elements in a row, elements of each array) in place of the array. With ``missing`` an element without a value raises that message. ``small`` is the answer of ``joins.fits_broadcast`` when the caller has it.
+    elements, indices into them of all elements in a row, elements of each array) in place of the array. With ``missing`` an element without a value raises that message. ``small`` is the answer of ``joins.fits_broadcast`` when the caller has it,
+    ``block_values`` the most elements of a block in place of ``BLOCK_VALUES``.
     """
     src = df.select(*keep, F.col(array_col).alias("_wm_array"))
     kinds = {f.name: f.dataType.simpleString() for f in dim.schema}
@@ -94,33 +127,71 @@ def lookup_arrays(df: DataFrame, keep: Sequence[str], array_col: str, dim: DataF
                     yield pa.RecordBatch.from_arrays([*rows.columns[:-1], out], [*rows.schema.names[:-1], out_col])
         return src.mapInArrow(direct, schema)
 
+    limit = block_values or BLOCK_VALUES
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             lens = _arrays(batch.column(batch.num_columns - 1))[1]
-            for a, b in _cuts(lens, BLOCK_VALUES):
+            for a, b in _cuts(lens, limit):
                 rows = batch.slice(a, b - a)
                 flat, own = _arrays(rows.column(rows.num_columns - 1))
                 coded = flat.dictionary_encode()
-                stored = pa.RecordBatch.from_arrays([*rows.columns[:-1], _rebuilt(coded.indices, own)], rows.schema.names)
+                order = np.argsort(_hashes(coded.dictionary), kind="stable")
+                place = np.empty(len(order), np.int32)
+                place[order] = np.arange(len(order), dtype=np.int32)
+                keys = coded.dictionary.take(pa.array(order))
+                stored = pa.RecordBatch.from_arrays([*rows.columns[:-1], _rebuilt(pa.array(place).take(coded.indices), own)],
+                                                    rows.schema.names)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part << 32 | n]), pa.array([_packed(stored)], pa.binary()),
-                     _rebuilt(coded.dictionary, np.array([len(coded.dictionary)]))], ["block", "rows", "keys"])
+                    [pa.array([part << 32 | n]), pa.array([_packed(stored)], pa.binary()), pa.array([_one(keys)], pa.binary()),
+                     pa.array([len(keys)]), pa.array([keys.nbytes])], ["block", "rows", "keys", "n_keys", "key_bytes"])
                 n += 1
 
+    blocks = cut_lineage(src.mapInArrow(cut, "block long, rows binary, keys binary, n_keys long, key_bytes long"))
+    asked = blocks.agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n"), F.coalesce(F.sum("key_bytes"), F.lit(0)).alias("b")).first()
+    dim_rows, dim_bytes = joins.measured(dim.select(key, value))
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(dim_bytes, asked["b"] + asked["n"] * (dim_bytes // max(1, dim_rows)))
+    owners = max(1, min(4 * width, asked["n"] // OWNER_KEYS), most // OWNER_BYTES)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                keys = _unpacked(data.as_py()).column(0)
+                ends = np.searchsorted(_owners(_hashes(keys), owners), np.arange(owners + 1))
+                has = np.flatnonzero(np.diff(ends)) if len(keys) else np.zeros(1, np.int64)  # without an element, nothing of the first
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(has.astype(np.int32)), pa.array([block] * len(has), pa.int64()), pa.array(np.diff(ends)[has].astype(np.int32)),
+                     pa.array([_one(keys.slice(ends[o], ends[o + 1] - ends[o])) for o in has], pa.binary())],
+                    ["owner", "block", "n", "data"])
+
+    def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_owners(_hashes(batch.column(0)), owners)), *batch.columns], ["owner", "key", "value"])
+
+    def answer(questions: pa.Table, table: pa.Table) -> pa.Table:
+        known, values, out, upto = table["key"].combine_chunks(), table["value"].combine_chunks(), [], 0
+        if questions.num_rows:
+            keys = _joined(questions["data"])
+            at = pc.index_in(keys.cast(known.type), value_set=known)
+            for n in questions["n"].to_pylist():
+                found = values.take(at.slice(upto, n))
+                check(keys.slice(upto, n), found)
+                out.append(_one(found))
+                upto += n
+        return pa.table([questions["block"], questions["owner"], pa.array(out, pa.binary())], ["block", "owner", "data"])
+
     def put_together(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        answers = answers.sort_by("nth")
-        values = answers["value"].combine_chunks()
-        check(answers[key], values)
-        rows = pa.ipc.open_stream(blocks["rows"][0].as_py()).read_all()
+        values = _joined(answers.sort_by("owner")["data"])
+        rows = _unpacked(blocks["rows"][0].as_py())
         flat, lens = _arrays(rows.column(rows.num_columns - 1))
         out = join(values, flat, lens)
-        return pa.table([*rows.columns[:-1], out], [*rows.column_names[:-1], out_col])
-    key_kind = src.schema["_wm_array"].dataType.elementType.simpleString()
-    blocks = cut_lineage(src.mapInArrow(cut, f"block long, rows binary, keys array<{key_kind}>"))
-    asked = blocks.select("block", F.posexplode("keys").alias("nth", key))
-    cols = [key, value] + ([freq_col] if freq_col else [])
-    answers = (joins.salted_lookup(asked, dim.select(*cols), key, salt_cols=["block"], freq_col=freq_col, small=False)
-               .select(F.col("block").alias("of"), "nth", key, F.col(value).alias("value")))
-    return (blocks.select("block", "rows").groupBy("block").cogroup(answers.groupBy("of"))
+        return pa.table([*rows.columns[:-1], out], [*rows.schema.names[:-1], out_col])
+
+    questions = blocks.select("block", "keys").mapInArrow(ask, "owner int, block long, n int, data binary")
+    table = dim.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(value).alias("value")).mapInArrow(
+        owned, f"owner int, key {kinds[key]}, value {kinds[value]}")
+    answers = questions.groupBy("owner").cogroup(table.groupBy("owner")).applyInArrow(answer, "block long, owner int, data binary")
+    return (blocks.select("block", "rows").groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(put_together, schema))

@@ -60,8 +60,14 @@ def fits_broadcast(dim: DataFrame, max_bytes: int | None) -> bool:
     """True when the rows of ``dim`` have at most ``max_bytes`` (counted and measured in place)."""
     if not max_bytes:
         return False
+    return measured(dim)[1] <= max_bytes
+
+
+def measured(dim: DataFrame) -> tuple[int, int]:
+    """Rows of ``dim`` and their bytes, about."""
     row = sum((_width(F.col(f.name), f.dataType) for f in dim.schema.fields), F.lit(ROW_OVERHEAD))
-    return (dim.agg(F.sum(row.cast("bigint")).alias("b")).first()["b"] or 0) <= max_bytes
+    found = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("bigint")).alias("b")).first()
+    return found["n"], found["b"] or 0
 
 
 def salted_lookup(facts: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str],

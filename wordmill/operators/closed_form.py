@@ -86,7 +86,7 @@ def bayes_scores(df: DataFrame, keep: Sequence[str], tokens_col: str, model: tup
                  out_col: str = "scores", small: bool | None = None) -> DataFrame:
     """L4 core: <keep..., scores>: log prior plus the tokens' log-likelihoods of each class; unknown tokens add nothing."""
     table, priors = model
-    found = lookup_arrays(df, keep, tokens_col, table, "token", "logs", "_wm_logs", "n", small)
+    found = lookup_arrays(df, keep, tokens_col, table, "token", "logs", "_wm_logs", small)
     known = F.filter("_wm_logs", lambda x: x.isNotNull())
     zero = F.lit(priors).cast("array<double>")
     total = F.aggregate(known, zero, lambda a, x: F.zip_with(a, x, lambda p, q: p + q))

@@ -109,7 +109,7 @@ def encode_texts(df: DataFrame, vocab: DataFrame, id_col: str | Sequence[str] =
     """
     ids = _ids(id_col)
     words = df.select(*ids, word_tokens(text_col).alias("_wm_words"))
-    found = lookup_arrays(words, ids, "_wm_words", vocab, "token", "token_id", out_col, count_col, small,
+    found = lookup_arrays(words, ids, "_wm_words", vocab, "token", "token_id", out_col, small,
                           "unknown token: " if oov == "error" else None)
     if oov in ("error", "null"):
         return found
@@ -126,7 +126,7 @@ def decode_ids(df: DataFrame, vocab: DataFrame, id_col: str | Sequence[str] = "d
     """Ids -> tokens via the inverse vocabulary -> text joined with spaces, with
     the space before punctuation removed, a row for a row. An unknown id raises."""
     ids = _ids(id_col)
-    found = lookup_arrays(df, ids, ids_col, vocab, vocab_id_col, token_col, "_wm_toks", count_col, small, "unknown id: ")
+    found = lookup_arrays(df, ids, ids_col, vocab, vocab_id_col, token_col, "_wm_toks", small, "unknown id: ")
     return found.select(*ids, decode_join("_wm_toks").alias(out_col))
 
 

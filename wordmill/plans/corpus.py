@@ -29,7 +29,7 @@ def corpus_ids(spark: SparkSession, sf_dir: str):
     none = F.array().cast("array<string>")
     words = [F.coalesce(word_tokens(c), none) for c in ("train_text", "val_text")]
     enc = lookup_arrays(parts.select("doc_id", F.size(words[0]).alias("n_train"), F.concat(*words).alias("words")),
-                        ["doc_id", "n_train"], "words", vocab, "token", "token_id", "full_ids", "n", missing="unknown token: ")
+                        ["doc_id", "n_train"], "words", vocab, "token", "token_id", "full_ids", missing="unknown token: ")
     ids = _one_text_an_id(cut_lineage(enc))
     return ids.select("doc_id", F.slice("full_ids", F.lit(1), F.col("n_train")).alias("train_ids"),
                       F.slice("full_ids", F.col("n_train") + 1, F.size("full_ids") - F.col("n_train")).alias("val_ids"), "full_ids"), vocab
