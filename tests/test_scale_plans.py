@@ -104,6 +104,15 @@ def test_exchange_by_owners_equals_plain_look_up(spark, monkeypatch, block_value
     assert exchange.lookup_arrays(df.limit(0), ["id"], "a", dim, "k", "v", "o", small=False).collect() == []
 
 
+def test_vectors_of_floats_are_not_widened(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(vec, "lookup_arrays", lambda *a, **kw: seen.append(a[3].dtypes[1][1]))
+    ids = spark.createDataFrame([(1, [0])], "doc_id long, ids array<long>")
+    for kind in ("float", "double", "int"):
+        vec.pool_arrays(ids, "doc_id", "ids", spark.createDataFrame([], f"vec_id long, embedding array<{kind}>"))
+    assert seen == ["array<float>", "array<double>", "array<double>"]
+
+
 def test_greedy_walks_take_the_contexts_that_prompts_reach(spark, monkeypatch):
     chain = spark.range(400).select(F.array("id").alias("ctx"), ((F.col("id") + 1) % 400).alias("next"), F.lit(1).cast("long").alias("n"))
     starts = spark.createDataFrame([([7],), ([7],), (None,)], "ctx array<long>")

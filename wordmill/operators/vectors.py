@@ -23,6 +23,8 @@ from wordmill.functions.joins import salted_lookup
 LN_EPS = 1e-5
 #: Token vectors added up at once.
 POOL_TOKENS = 1 << 14
+#: Ids of a block; a vector goes to a block once, so larger blocks send fewer.
+POOL_BLOCK_VALUES = 1 << 21
 
 
 def layer_norm(df: DataFrame, arr_col: str, out_col: str = "normed", eps: float = LN_EPS,
@@ -81,9 +83,12 @@ def pool_arrays(df: DataFrame, id_cols: str | Sequence[str], ids_col: str, table
     often the block's rows use it, and rows stay where they are (``functions.exchange``).
     """
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    vectors = table.select(F.col(key_col).alias("_wm_key"), F.col(vec_col).cast("array<double>").alias("_wm_vec"))
-    return lookup_arrays(df, ids, ids_col, vectors, "_wm_key", "_wm_vec", out_col, small=small,
-                         combine=_mean_vectors, out_type="array<double>")
+    vec = F.col(vec_col)
+    if table.schema[vec_col].dataType.simpleString() != "array<float>":  # floats travel as they are, and are added up as doubles
+        vec = vec.cast("array<double>")
+    vectors = table.select(F.col(key_col).alias("_wm_key"), vec.alias("_wm_vec"))
+    return lookup_arrays(df, ids, ids_col, vectors, "_wm_key", "_wm_vec", out_col, small=small, combine=_mean_vectors,
+                         out_type="array<double>", block_values=POOL_BLOCK_VALUES)
 
 
 def pooled_embeddings(token_ids: DataFrame, table: DataFrame, row_col: str = "doc_id",
