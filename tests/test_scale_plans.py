@@ -1,5 +1,6 @@
 """Plans and sides that only large data would take."""
 
+import os
 import re
 
 import pytest
@@ -9,7 +10,7 @@ from wordmill.functions import exchange, joins
 from wordmill.operators import ngram as ng
 from wordmill.operators import sequences as seq
 from wordmill.operators import vectors as vec
-from wordmill.plans import models, training_data
+from wordmill.plans import models, streams, training_data
 
 SF = "/root/testdata/sf0.001"
 
@@ -128,3 +129,16 @@ def test_greedy_walks_take_the_contexts_that_prompts_reach(spark, monkeypatch):
         assert {r.doc_id: list(r.generated) for r in out.collect()} == want
     # the tables of all joins together, and the continuations, fit the limit
     assert asked.count(joins.BROADCAST_MAX_BYTES) == 2 and max(set(asked) - {joins.BROADCAST_MAX_BYTES}) * 11 <= joins.BROADCAST_MAX_BYTES
+
+
+def test_batches_of_the_stream_are_many_files(spark, monkeypatch):
+    seen, plain = [], streams.st.stream_files
+
+    def stream(session, path, schema, **kw):
+        seen.append((sum(n.endswith(".parquet") for n in os.listdir(path.removeprefix("file:"))), kw["max_files_per_trigger"]))
+        return plain(session, path, schema, **kw)
+    monkeypatch.setattr(streams.st, "stream_files", stream)
+    monkeypatch.setattr(streams, "ST1_BATCHES", 2)
+    assert streams.st1_encode(spark, SF).count() == 200
+    width = spark.sparkContext.defaultParallelism
+    assert seen == [(2 * width, width)]

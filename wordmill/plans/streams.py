@@ -34,23 +34,25 @@ def st1_ingest(spark: SparkSession, sf_dir: str):
                      _row_local, sink, ck)
 
 
-#: Ids of a streamed row.
+#: Ids of a streamed row, and micro-batches of the documents.
 ST1_LENGTH = 64
+ST1_BATCHES = 4
 
 
 def st1_encode(spark: SparkSession, sf_dir: str):
-    """The documents arrive as four files; each micro-batch is encoded in the labelled documents' vocabulary, then padded."""
+    """The documents arrive in four batches of files; each micro-batch is encoded in the labelled documents' vocabulary, then padded."""
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     known = docs.join(load_table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
     vocab = tok.build_vocab(tok.explode_tokens(known, "doc_id"))
     size = vocab.count()  # the unknown id; the pad id is the next one
     folder, sink, ck = (io.scratch_path(spark, f"encode-{x}") for x in ("docs", "sink", "ck"))
-    docs.repartition(4).write.parquet(folder)
+    files = spark.sparkContext.defaultParallelism  # of a batch, as many as tasks run at a time
+    docs.repartition(ST1_BATCHES * files).write.parquet(folder)
 
     def padded(batch: DataFrame) -> DataFrame:
         enc = tok.encode_texts(batch, vocab, oov="unk", unk_id=size)
         return enc.select("doc_id", seq.pad_truncate("ids", ST1_LENGTH, size + 1).alias("ids"))
-    out = st.ingest_batches(st.stream_files(spark, folder, docs.schema, max_files_per_trigger=1), padded, sink, ck)
+    out = st.ingest_batches(st.stream_files(spark, folder, docs.schema, max_files_per_trigger=files), padded, sink, ck)
     return out.select("doc_id", F.md5(F.array_join("ids", " ")).alias("ids_md5"))
 
 
