@@ -44,6 +44,36 @@ def test_orders_and_backoff_equal_plain_python(spark, order):
     assert got.n_pairs == len(losses) and got.loss == pytest.approx(sum(losses) / len(losses))
 
 
+@pytest.mark.parametrize("order, parts", [(1, 3), (2, 3), (3, 2), (4, 5)])
+def test_backoff_in_parts_stores_no_counts(spark, monkeypatch, order, parts):
+    train = spark.createDataFrame([(t,) for t in TRAIN], "ids array<bigint>").repartition(2)
+    val = spark.createDataFrame([(t,) for t in VAL], "ids array<bigint>").repartition(2)
+    want = ng.backoff_loss(ng.fit_orders(train, "ids", order), val, "ids", 7, order).first()
+    kept, freed, cut = [], [], ng.cut_lineage
+    monkeypatch.setattr(ng, "cut_lineage", lambda df: kept.append(cut(df)) or kept[-1])
+    monkeypatch.setattr(ng, "free_unused", lambda session: freed.append(session))
+    apart = ng.fit_orders(train, "ids", order, apart=True)
+    assert [sorted(map(str, t.collect())) for t in apart] == [
+        sorted(map(str, ng.fit_orders(train, "ids", order).where(F.size("ctx") == k).collect())) for k in range(order)]
+    for counts in (apart, ng.fit_orders(train, "ids", order)):
+        got = ng.backoff_loss(counts, val, "ids", 7, order, parts=parts).first()
+        assert got.n_pairs == want.n_pairs and got.loss == pytest.approx(want.loss)
+    assert len(freed) == 2 * parts * (order - 1)
+    assert all("n" not in df.columns for df in kept)  # only pairs of the validation part
+    none = ng.backoff_loss(apart, val.limit(0), "ids", 7, order, parts=parts).first()
+    assert none.n_pairs is None and none.loss is None
+
+
+def test_packed_rows_come_back(spark, monkeypatch):
+    from wordmill.functions import exchange
+    monkeypatch.setattr(exchange, "PACKED_BYTES", 400)
+    rows = [(i if i % 7 else None, None if i % 5 == 0 else [j if j % 3 else None for j in range(i)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, ids array<bigint>").repartition(3)
+    packed = exchange.cut_packed(df)
+    assert sorted(map(str, packed.collect())) == sorted(map(str, df.collect())) and packed.dtypes == df.dtypes
+    assert exchange.cut_packed(df.limit(0)).count() == 0
+
+
 def test_sketches_of_parts_unite(spark):
     rows = spark.range(6000).select((F.col("id") % 3).alias("source"), (F.col("id") % 2500).cast("string").alias("token"))
     sketches = tok.vocab_sketches(rows, ["source"])

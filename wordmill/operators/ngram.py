@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 from wordmill.functions import joins
 from wordmill.functions.joins import salted_lookup
 from wordmill.functions.order import hash_uniform
-from wordmill.session import cut_lineage
+from wordmill.session import cut_lineage, free_unused
 
 # Buckets shared out by training frequency: a context with share f gets >= f * 4096.
 HOT_BUCKETS = 4096
 # Buckets whose candidates a step finds together.
 CHUNK_BUCKETS = 32
+# Tokens that make a part of the n-grams worth while, and the most parts; each is another pass over the ids.
+PART_TOKENS, MAX_PARTS = 1 << 20, 8
 # Levels of contexts that greedy walks are followed before the steps of all contexts are made.
 GREEDY_LEVELS = 12
 
@@ -60,10 +62,23 @@ def ngram_pairs(df: DataFrame, ids_col: str, order: int = 2) -> DataFrame:
 
 
 def fit(df: DataFrame, ids_col: str, order: int = 2) -> DataFrame:
-    """N-gram counts ``<ctx, next, n>`` over a table of id arrays."""
+    """N-gram counts ``<ctx, next, n>`` over a table of id arrays.
+
+    A filter on ``ctx`` acts before the shuffle, so counts can be taken part by part.
+    """
     return _tallied(ngram_pairs(df, ids_col, order), order, "n")
 
 
+def _part_of(ids: list[Column], parts: int) -> Column:
+    """The part, of so many, of a context given by its ids."""
+    return F.pmod(F.xxhash64(*ids), F.lit(parts))
+
+
+def parts_for(n_tokens: int) -> int:
+    """Parts in which the n-grams of so many tokens are worked on, so that the disk holds the shuffles of one part only."""
+    return max(1, min(MAX_PARTS, n_tokens // PART_TOKENS))
+
+
 def _tallied(pairs: DataFrame, order: int, count_col: str) -> DataFrame:
     """Distinct <ctx, next> with their number; the ids of a context are shuffled as plain columns, half as wide as arrays."""
     own = [F.col("ctx")[i].alias(f"_wm_c{i}") for i in range(order - 1)]
@@ -102,8 +117,13 @@ def loss(counts: DataFrame, val: DataFrame, ids_col: str, vocab_size: DataFrame
     return agg.withColumn("perplexity", F.exp("loss"))
 
 
-def fit_orders(df: DataFrame, ids_col: str, order: int = 3) -> DataFrame:
-    """Counts ``<ctx, next, n>`` of every order from 1 to ``order`` from one pass; ``size(ctx) + 1`` is the order."""
+def fit_orders(df: DataFrame, ids_col: str, order: int = 3, apart: bool = False) -> DataFrame | list[DataFrame]:
+    """Counts ``<ctx, next, n>`` of every order from 1 to ``order``; ``size(ctx) + 1`` is the order.
+
+    They come from one pass over the ids, or, with ``apart``, as one table for each order, which can be taken in parts.
+    """
+    if apart:
+        return [fit(df, ids_col, k) for k in range(1, order + 1)]
     pos = F.explode(F.sequence(F.lit(0), F.size(ids_col) - 1))
     x = df.where(F.size(ids_col) > 0).select(F.col(ids_col).alias("_wm_ids"), pos.alias("_wm_i"))
     x = x.withColumn(
@@ -118,42 +138,71 @@ def fit_orders(df: DataFrame, ids_col: str, order: int = 3) -> DataFrame:
     return counted.select(ctx.cast("array<bigint>").alias("ctx"), "next", "n")
 
 
-def backoff_loss(counts: DataFrame, val: DataFrame, ids_col: str, vocab_size: int, order: int = 3,
-                 alpha: float = 0.4) -> DataFrame:
+def backoff_loss(counts: DataFrame | list[DataFrame], val: DataFrame, ids_col: str, vocab_size: int, order: int = 3,
+                 alpha: float = 0.4, parts: int = 1) -> DataFrame:
     """Mean ``-log S(next | context)`` by back-off over ``fit_orders`` counts, and its perplexity.
 
     S is n(ctx, next) / n(ctx) where the pair was seen, else ``alpha`` times S under the context without its
     first id; without context it is (n(next) + 1) / (N + V). The first id of a row is not scored. Pairs that an
     order doesn't have go on to the next lower one, counted together again, so every join has distinct keys.
+    An order with contexts is worked off in ``parts``, by the hash of the context: the counts are never stored, and the
+    shuffle files of a part go before the next one begins.
     """
-    counts = cut_lineage(counts)
+    own_of = counts if isinstance(counts, list) else [counts.where(F.size("ctx") == k) for k in range(order)]
     pos = F.explode(F.sequence(F.lit(1), F.size(ids_col) - 1))
     x = val.where(F.size(ids_col) > 1).select(F.col(ids_col).alias("_wm_ids"), pos.alias("_wm_i"))
     k = F.least(F.col("_wm_i"), F.lit(order - 1))
     left = x.select(F.slice("_wm_ids", F.col("_wm_i") - k + 1, k).cast("array<bigint>").alias("ctx"),
-                    F.element_at("_wm_ids", F.col("_wm_i") + 1).cast("bigint").alias("next"), F.lit(0).alias("steps"))
-    left = left.groupBy("ctx", "next", "steps").agg(F.count(F.lit(1)).alias("mult"))
-    parts = []
+                    F.element_at("_wm_ids", F.col("_wm_i") + 1).cast("bigint").alias("next"))
+    left = cut_lineage(left.groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("mult")))
+    scored = []
     for size in range(order - 1, 0, -1):
-        left = cut_lineage(left)
-        own = counts.where(F.size("ctx") == size)
-        here = left.where(F.size("ctx") == size)
-        totals = cut_lineage(context_totals(own).select("ctx", "ctx_n", "n_next"))
-        hit = salted_lookup(here.join(own, ["ctx", "next"]), totals, "ctx", salt_cols=["next"], freq_col="n_next")
-        parts.append(hit.select("mult", (-F.log(F.col("n") / F.col("ctx_n")) - F.col("steps") * F.log(F.lit(alpha))).alias("l")))
-        missed = here.join(own, ["ctx", "next"], "left_anti").select(
-            F.slice("ctx", 2, size).alias("ctx"), "next", (F.col("steps") + 1).alias("steps"), "mult")
-        left = left.where(F.size("ctx") < size).unionByName(missed).groupBy("ctx", "next", "steps").agg(F.sum("mult").alias("mult"))
-    uni = counts.where(F.size("ctx") == 0).select("next", "n")
+        done = []
+        for part in range(parts):
+            done.append(cut_lineage(_scored_part(own_of[size], left, size, part, parts, alpha)))
+            if parts > 1:
+                free_unused(val.sparkSession)
+        done = reduce(DataFrame.unionByName, done)
+        scored.append(done.where("ctx IS NULL").select("mult", "l"))
+        missed = done.where("ctx IS NOT NULL").select("ctx", "next", "mult")
+        left = cut_lineage(left.where(F.size("ctx") < size).unionByName(missed).groupBy("ctx", "next").agg(F.sum("mult").alias("mult")))
+    uni = own_of[0].select("next", "n")
     every = uni.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_wm_all"))  # one row
     last = left.join(uni, "next", "left").crossJoin(F.broadcast(every))
     p = (F.coalesce("n", F.lit(0)) + 1) / (F.col("_wm_all") + F.lit(vocab_size))
-    parts.append(last.select("mult", (-F.log(p) - F.col("steps") * F.log(F.lit(alpha))).alias("l")))
-    scored = reduce(DataFrame.unionByName, parts)
-    out = scored.agg(F.sum("mult").alias("n_pairs"), (F.sum(F.col("l") * F.col("mult")) / F.sum("mult")).alias("loss"))
+    scored.append(last.agg(F.sum("mult").alias("mult"), F.sum(-F.log(p) * F.col("mult")).alias("l")))
+    out = reduce(DataFrame.unionByName, scored).agg(F.sum("mult").alias("n_pairs"), (F.sum("l") / F.sum("mult")).alias("loss"))
     return out.withColumn("perplexity", F.exp("loss"))
 
 
+def _scored_part(own: DataFrame, left: DataFrame, size: int, part: int, parts: int, alpha: float) -> DataFrame:
+    """Of the pairs in ``left`` whose context has ``size`` ids and is in this part: a row <ctx, next, mult> with the shorter
+    context for each that ``own`` doesn't have, and one row <mult, l> without context for the number and the loss
+    of those it has, and the steps down of the others."""
+    names = [f"_wm_c{i}" for i in range(size)]
+
+    def plain(df: DataFrame, *cols: str) -> DataFrame:
+        x = df.select(*[F.col("ctx")[i].alias(name) for i, name in enumerate(names)], *cols)
+        return x.where(_part_of([F.col(name) for name in names], parts) == part) if parts > 1 else x
+    # by the plain ids, by which ``fit`` leaves its counts partitioned; the few pairs are held, the counts stream by
+    here = plain(left.where(F.size("ctx") == size), F.col("next").alias("_wm_next"), "mult")
+    own = plain(own, "next", "n").withColumnsRenamed({name: f"{name}o" for name in names})
+    same = reduce(lambda a, b: a & b, [F.col(f"{name}o") == F.col(name) for name in names], F.col("next") == F.col("_wm_next"))
+    met = own.join(here.hint("shuffle_hash"), same, "full")
+    hit = F.col("n").isNotNull() & F.col("mult").isNotNull()
+    # a context's counts are added up in two steps, so that a frequent one meets in no task
+    totals = met.where("n IS NOT NULL").groupBy(*[f"{name}o" for name in names]).agg(
+        F.sum("n").alias("ctx_n"), F.sum(F.when(hit, F.col("mult"))).alias("mult"),
+        F.sum(F.when(hit, -F.log("n") * F.col("mult"))).alias("l")).where("mult IS NOT NULL")
+    gone = met.where("n IS NULL").select(*names, "_wm_next", "mult")
+    none = F.lit(None).cast("array<bigint>").alias("ctx"), F.lit(None).cast("bigint").alias("next")
+    found = totals.agg(F.sum("mult").alias("mult"), F.sum(F.col("l") + F.log("ctx_n") * F.col("mult")).alias("l"))
+    steps = gone.agg((F.sum("mult") * F.lit(0)).alias("mult"), (F.sum("mult") * -F.log(F.lit(alpha))).alias("l"))
+    shorter = F.array(*names[1:]).cast("array<bigint>").alias("ctx")
+    return (gone.select(shorter, F.col("_wm_next").alias("next"), "mult", F.lit(None).cast("double").alias("l"))
+            .unionByName(found.select(*none, "mult", "l")).unionByName(steps.select(*none, "mult", "l")))
+
+
 def best_next(counts: DataFrame) -> DataFrame:
     """Greedy choice per context: the most frequent next id, ties to the lowest id."""
     return counts.groupBy("ctx").agg(

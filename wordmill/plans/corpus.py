@@ -10,9 +10,9 @@ from wordmill.operators import prompts as pr
 from wordmill.operators import sampling as smp
 from wordmill.operators import tokens as tok
 from wordmill.plans import sqlbits as q
-from wordmill.functions.exchange import lookup_arrays
+from wordmill.functions.exchange import cut_packed, lookup_arrays
 from wordmill.functions.text import word_tokens
-from wordmill.session import cut_lineage
+from wordmill.session import cut_lineage, free_unused
 from wordmill.sources import adapters
 
 
@@ -21,16 +21,19 @@ def corpus_ids(spark: SparkSession, sf_dir: str):
 
     Both halves are encoded in one pass by dictionary exchange, which shuffles neither texts nor tokens, and
     the result, which every n-gram query reads several times, is materialised once, as one array a
-    document, in the reliable checkpoint folder.
+    document, packed in the reliable checkpoint folder.
     """
     parts = smp.char_split(adapters.corpus(spark, sf_dir), "text", 0.9)
     halves = parts.select("doc_id", F.posexplode(F.array("train_text", "val_text")).alias("part", "text"))
     vocab = tok.build_vocab(halves.select("doc_id", "part", F.posexplode(word_tokens("text")).alias("pos", "token")))
     none = F.array().cast("array<string>")
     words = [F.coalesce(word_tokens(c), none) for c in ("train_text", "val_text")]
+    free_unused(spark)
     enc = lookup_arrays(parts.select("doc_id", F.size(words[0]).alias("n_train"), F.concat(*words).alias("words")),
                         ["doc_id", "n_train"], "words", vocab, "token", "token_id", "full_ids", missing="unknown token: ")
-    ids = _one_text_an_id(cut_lineage(enc))
+    enc = cut_packed(enc)
+    free_unused(spark)  # the blocks and messages of the exchange
+    ids = _one_text_an_id(enc)
     return ids.select("doc_id", F.slice("full_ids", F.lit(1), F.col("n_train")).alias("train_ids"),
                       F.slice("full_ids", F.col("n_train") + 1, F.size("full_ids") - F.col("n_train")).alias("val_ids"), "full_ids"), vocab
 
@@ -53,7 +56,7 @@ def _one_text_an_id(enc: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("late", "pos", "token_id"))), lambda x: x["token_id"]).alias("full_ids"))
     whole = shared.select("doc_id").join(whole, "doc_id", "left").select(
         "doc_id", F.coalesce("n_train", F.lit(0)).alias("n_train"), F.coalesce("full_ids", F.array().cast("array<bigint>")).alias("full_ids"))
-    return cut_lineage(enc.join(again, same, "left_anti").unionByName(whole))
+    return cut_packed(enc.join(again, same, "left_anti").unionByName(whole))
 
 
 def _model(spark, sf_dir):
@@ -83,7 +86,8 @@ def l5_trigrams(spark, sf_dir):
 
 def l6_backoff(spark, sf_dir):
     ids, vocab, _ = _model(spark, sf_dir)
-    out = ng.backoff_loss(ng.fit_orders(ids, "train_ids", 3), ids, "val_ids", vocab.count(), 3)
+    size = vocab.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
+    out = ng.backoff_loss(ng.fit_orders(ids, "train_ids", 3, apart=True), ids, "val_ids", size["v"], 3, parts=ng.parts_for(size["tokens"]))
     return out.select("n_pairs", F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -70,5 +71,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_unused(spark: SparkSession) -> None:
+    """Have the files of shuffles and checkpoints that nothing refers to any more removed now.
+
+    Spark removes them once the driver has collected the garbage that points to them, which
+    may be hours away; until then every step of a long query adds to the disk. The scheduler's
+    threads hold on to the last job until they get another one, here a tiny one.
+    """
+    gc.collect()
+    spark.range(1, numPartitions=1).count()
+    spark.sparkContext._jvm.System.gc()
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
