@@ -180,3 +180,22 @@ def test_a_step_of_sampling_reads_one_row_for_many_buckets(spark, monkeypatch):
         runs.append(sorted((r.doc_id, tuple(r.generated)) for r in ng.sample_continue(prompts, "doc_id", "ids", counts, 6).collect()))
     assert runs[0] == runs[1] and all(len(g) == 6 for _, g in runs[0])
     assert len(kept) == 2 and kept[0].count() * 8 < kept[1].count()
+
+
+def test_sampling_in_parts_draws_the_same(spark, monkeypatch):
+    rows = [[i % 7, (i * i) % 11, i % 3, (i * 5) % 13, 3, i % 2, 3] for i in range(40)] + [[99], [], None]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, ids array<bigint>").repartition(3)
+    freed, kept, cut = [], [], ng.cut_lineage
+    monkeypatch.setattr(ng, "free_unused", lambda session: freed.append(session))
+    monkeypatch.setattr(ng, "cut_lineage", lambda d: kept.append(cut(d)) or kept[-1])
+    for order, top_k, heat, eos in ((2, 3, 1.4, None), (3, None, 0.8, 3)):
+        counts = ng.fit(df, "ids", order)
+        runs = []
+        for parts in (1, 2):
+            kept.clear(), freed.clear()
+            out = ng.sample_continue(df, "doc_id", "ids", counts, 6, order, top_k, heat, eos, parts=parts)
+            runs.append(sorted((r.doc_id, tuple(r.generated)) for r in out.collect()))
+            assert len(freed) == (0 if parts == 1 else 2 * parts + 1)
+        assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+        whole = counts.count()
+        assert all(d.count() < whole for d in kept if d.columns == ["ctx", "next", "n"])

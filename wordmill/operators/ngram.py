@@ -18,6 +18,7 @@ Re-aimed from transformer pre-training: the model is a table of counts
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -331,15 +332,27 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
     last candidate's upper bound is 2 so a sum ending just below 1 still hits.
     Contexts also include the empty context (unigram counts) as the fallback.
     """
-    uni = counts.groupBy("next").agg(F.sum("n").alias("n")).withColumn("ctx", empty_ctx())
-    if top_k is not None and temperature and temperature > 0:
-        # only ids that tie with the k-th can be drawn, so the whole vocabulary meets in no task
-        kth = uni.select("n").orderBy(F.col("n").desc()).limit(top_k).agg(F.min("n").alias("_wm_kth"))
-        uni = uni.crossJoin(F.broadcast(kth)).where(F.col("n") >= F.col("_wm_kth")).drop("_wm_kth")
-    allc = counts.select("ctx", "next", "n").unionByName(uni.select("ctx", "next", "n"))
+    uni = _fallback(counts.groupBy("next").agg(F.sum("n").alias("n")), top_k, temperature)
+    allc = counts.select("ctx", "next", "n").unionByName(uni)
     # a context's training frequency sizes its bucket count too, so a context that
     # dominates the frontier is spread over many (ctx, bucket) join keys
     total = allc.where(F.size("ctx") > 0).agg(F.sum("n").alias("_wm_total"))
+    kept, stats = _weighted(allc, top_k, temperature)
+    c = _on_axis(kept, stats, total)
+    return _followed(c, c.select("ctx", "nb").distinct(), order)
+
+
+def _fallback(uni: DataFrame, top_k: int | None, temperature: float) -> DataFrame:
+    """The counts of the empty context from all <next, n>."""
+    if top_k is not None and temperature and temperature > 0:
+        # only ids that tie with the k-th can be drawn, so the whole vocabulary meets in no task
+        kth = uni.select("n").orderBy(F.col("n").desc()).limit(top_k).agg(F.min("n").alias("_wm_kth"))
+        uni = uni.crossJoin(F.broadcast(kth)).where(F.col("n") >= F.col("_wm_kth"))
+    return uni.select(empty_ctx().alias("ctx"), "next", "n")
+
+
+def _weighted(allc: DataFrame, top_k: int | None, temperature: float) -> tuple[DataFrame, DataFrame]:
+    """<ctx, next, _wm_w, _wm_span> of the ids that can be drawn, and <ctx, _wm_ctx_n, _wm_top, _wm_rows> of the contexts, materialised."""
     stats = cut_lineage(allc.groupBy("ctx").agg(F.sum("n").alias("_wm_ctx_n"), F.max("n").alias("_wm_top"),
                                                 F.count(F.lit(1)).alias("_wm_rows")))
     span = F.floor(F.col("next") / F.lit(SPAN_IDS)).alias("_wm_span")
@@ -357,8 +370,18 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
                  .where(F.col("n") >= F.col("_wm_kth")))
         lg = F.log(F.col("n").cast("double")) - F.log(F.col("_wm_top").cast("double"))
         kept = x.select("ctx", "next", F.exp(lg / F.lit(float(temperature))).alias("_wm_w"))
+    return cut_lineage(kept.select("ctx", "next", "_wm_w", span)), stats
+
+
+def _buckets(rows: str) -> Column:
+    """Buckets of a context by its candidates and its share of all occurrences."""
+    return F.greatest(F.ceil(F.col(rows) / F.lit(4)), F.ceil(
+        F.col("_wm_ctx_n") * F.lit(HOT_BUCKETS) / F.col("_wm_total"))).cast("int")
+
+
+def _on_axis(kept: DataFrame, stats: DataFrame, total: DataFrame) -> DataFrame:
+    """<ctx, bucket, next, lo, hi, nb>: the candidates in their places on [0,1), once in each bucket that they touch."""
     # running weights in two levels: inside a span of ids, and over the spans of a context
-    kept = cut_lineage(kept.select("ctx", "next", "_wm_w", span))
     inside = Window.partitionBy("ctx", "_wm_span").orderBy("next").rowsBetween(Window.unboundedPreceding, 0)
     spans = kept.groupBy("ctx", "_wm_span").agg(F.sum("_wm_w").alias("w"), F.count(F.lit(1)).alias("c"), F.max("next").alias("m"))
     spans = spans.groupBy("ctx").agg(F.array_sort(F.collect_list(F.struct("_wm_span", "w", "c", "m"))).alias("s"))
@@ -372,12 +395,14 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
     c = (c.withColumn("hi", (F.col("off") + F.col("_wm_in")) / F.col("_wm_all"))
           .withColumn("lo", F.col("hi") - F.col("_wm_w") / F.col("_wm_all"))
           .withColumn("hi", F.when(F.col("next") == F.col("_wm_last"), F.lit(2.0)).otherwise(F.col("hi")))
-          .withColumn("nb", F.greatest(F.ceil(F.col("_wm_c") / F.lit(4)), F.ceil(
-              F.col("_wm_ctx_n") * F.lit(HOT_BUCKETS) / F.col("_wm_total"))).cast("int")))
+          .withColumn("nb", _buckets("_wm_c")))
     top = F.least(F.floor(F.least(F.col("hi"), F.lit(1.0)) * F.col("nb")), F.col("nb") - 1)
-    c = c.withColumn("bucket", F.explode(F.sequence(
+    return c.withColumn("bucket", F.explode(F.sequence(
         F.least(F.floor(F.col("lo") * F.col("nb")), F.col("nb") - 1).cast("int"), top.cast("int"))))
-    nb = c.select("ctx", "nb").distinct()
+
+
+def _followed(c: DataFrame, nb: DataFrame, order: int) -> DataFrame:
+    """The candidates with the context that each leads to and its buckets, from ``nb`` of all contexts."""
     nxt_ctx = (F.slice(F.concat("ctx", F.array("next")), F.greatest(F.size("ctx") + 2 - F.lit(order - 1), F.lit(1)),
                        F.lit(order - 1)) if order > 1 else empty_ctx())
     c = c.withColumn("next_ctx", nxt_ctx.cast("array<bigint>"))
@@ -391,24 +416,67 @@ def candidates(counts: DataFrame, top_k: int | None = None, temperature: float =
     return c.select("ctx", "bucket", "next", "lo", "hi", "nb", "next_ctx", "next_nb")
 
 
+def _candidates_in_parts(counts: DataFrame, parts: int, top_k: int | None, temperature: float, order: int,
+                         as_rows: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """``as_rows(candidates(...))``, materialised, and <ctx, nb> of all contexts.
+
+    Contexts are worked on in ``parts`` by their hash, twice: for the weights, and, once the buckets of all are known,
+    for the rows. The counts are never stored as a whole, and the files of a part go before the next one begins.
+    """
+    spark, own = counts.sparkSession, [F.col("ctx")[i] for i in range(order - 1)]
+    kept, sizes, nexts = [], [], []
+
+    def weigh(some: DataFrame) -> None:
+        weights, stats = _weighted(some, top_k, temperature)
+        rows = weights.groupBy("ctx").agg(F.count(F.lit(1)).alias("_wm_c"))
+        kept.append(weights)
+        sizes.append(cut_lineage(rows.join(stats.select("ctx", "_wm_ctx_n"), "ctx")))
+
+    for part in range(parts):
+        some = cut_lineage(counts.where(_part_of(own, parts) == part).select("ctx", "next", "n"))
+        nexts.append(cut_lineage(some.groupBy("next").agg(F.sum("n").alias("n"))))
+        weigh(some)
+        del some
+        free_unused(spark)
+    uni = cut_lineage(reduce(DataFrame.unionByName, nexts).groupBy("next").agg(F.sum("n").alias("n")))
+    total = uni.agg(F.sum("n").alias("_wm_total"))
+    weigh(_fallback(uni, top_k, temperature))
+    nb = reduce(DataFrame.unionByName, sizes).crossJoin(F.broadcast(total)).select("ctx", _buckets("_wm_c").alias("nb"))  # one row
+    nb = cut_lineage(nb)
+    done = []
+    while kept:
+        c = _on_axis(kept.pop(), sizes.pop(), total)
+        done.append(cut_lineage(as_rows(_followed(c, nb, order))))
+        del c
+        free_unused(spark)
+    return reduce(DataFrame.unionByName, done), nb
+
+
 def sample_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataFrame,
                     max_new_tokens: int, order: int = 2, top_k: int | None = None,
                     temperature: float = 1.0, eos_id: int | None = None, seed: int = 123,
-                    checkpoint_every: int = 10, out_col: str = "generated") -> DataFrame:
+                    checkpoint_every: int = 10, out_col: str = "generated", parts: int = 1) -> DataFrame:
     """Per prompt, top-k -> temperature -> draw, for up to ``max_new_tokens`` steps.
 
+    With ``parts`` the table of candidates is made in so many parts, and only shuffle files of one are on disk at a time.
+
     The draw for (prompt, step) is ``hash_uniform(seed, prompt, step)``. A
     drawn ``eos_id`` stops that prompt and is not appended.
     """
     # A step reads the table of candidates once, so it holds few rows: those of CHUNK_BUCKETS buckets are one
     # array, and each candidate stands once in it, from its first bucket there on.
-    cand = candidates(counts, top_k, temperature, order)
-    bottom = F.least(F.floor(F.col("lo") * F.col("nb")), F.col("nb") - 1)
-    once = cand.where((F.col("bucket") % CHUNK_BUCKETS == 0) | (F.col("bucket") == bottom))
-    chunk = F.floor(F.col("bucket") / F.lit(CHUNK_BUCKETS)).alias("chunk")
-    cand = cut_lineage(once.groupBy("ctx", chunk).agg(
-        F.first("nb").alias("nb"), F.collect_list(F.struct("next", "lo", "hi", "next_ctx", "next_nb")).alias("drawn")))
-    nb = cand.select("ctx", "nb").distinct()
+    def chunked(cand: DataFrame) -> DataFrame:
+        bottom = F.least(F.floor(F.col("lo") * F.col("nb")), F.col("nb") - 1)
+        once = cand.where((F.col("bucket") % CHUNK_BUCKETS == 0) | (F.col("bucket") == bottom))
+        chunk = F.floor(F.col("bucket") / F.lit(CHUNK_BUCKETS)).alias("chunk")
+        return once.groupBy("ctx", chunk).agg(
+            F.first("nb").alias("nb"), F.collect_list(F.struct("next", "lo", "hi", "next_ctx", "next_nb")).alias("drawn"))
+
+    if parts > 1 and order > 1:
+        cand, nb = _candidates_in_parts(counts, parts, top_k, temperature, order, chunked)
+    else:
+        cand = cut_lineage(chunked(candidates(counts, top_k, temperature, order)))
+        nb = cand.select("ctx", "nb").distinct()
     empty_nb = nb.where(F.size("ctx") == 0).select(F.col("nb").alias("_wm_enb"))
     start = prompts.select(id_col, context_of(F.col(ids_col), order).cast("array<bigint>").alias("cur"))
     # many prompts may end in one context: salted by how many do
@@ -442,4 +510,7 @@ def sample_continue(prompts: DataFrame, id_col: str, ids_col: str, counts: DataF
             (F.col("done") | (hit & stop)).alias("done"))
         if checkpoint_every and (step + 1) % checkpoint_every == 0 and step + 1 < max_new_tokens:
             frontier = cut_lineage(frontier)
+            del f, j
+            if parts > 1:
+                free_unused(prompts.sparkSession)
     return frontier.select(id_col, F.col("path").alias(out_col))

@@ -65,6 +65,10 @@ def _model(spark, sf_dir):
     return ids, vocab, counts
 
 
+def _n_tokens(vocab: DataFrame) -> int:
+    return vocab.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def l5_fit(spark, sf_dir):
     _, _, counts = _model(spark, sf_dir)
     return counts.select(F.element_at("ctx", 1).alias("ctx"), "next", "n")
@@ -86,8 +90,8 @@ def l5_trigrams(spark, sf_dir):
 
 def l6_backoff(spark, sf_dir):
     ids, vocab, _ = _model(spark, sf_dir)
-    size = vocab.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    out = ng.backoff_loss(ng.fit_orders(ids, "train_ids", 3, apart=True), ids, "val_ids", size["v"], 3, parts=ng.parts_for(size["tokens"]))
+    out = ng.backoff_loss(ng.fit_orders(ids, "train_ids", 3, apart=True), ids, "val_ids", vocab.count(), 3,
+                          parts=ng.parts_for(_n_tokens(vocab)))
     return out.select("n_pairs", F.round("loss", 6).alias("loss"), F.round("perplexity", 4).alias("perplexity"))
 
 
@@ -102,9 +106,11 @@ def l7_greedy(spark, sf_dir):
 
 
 def l8_sample(spark, sf_dir):
-    ids, _, counts = _model(spark, sf_dir)
+    ids, vocab, counts = _model(spark, sf_dir)
+    tokens = _n_tokens(vocab)
+    del vocab
     s = ng.sample_continue(ids, "doc_id", "full_ids", counts, 15, order=2, top_k=25,
-                           temperature=1.4, eos_id=None, seed=123)
+                           temperature=1.4, eos_id=None, seed=123, parts=ng.parts_for(tokens))
     return s.select("doc_id", _ids_text("generated").alias("generated"))
 
 
@@ -112,8 +118,10 @@ def l8_sample_stop(spark, sf_dir):
     """L8 with a stop id that occurs: the id of the full stop."""
     ids, vocab, counts = _model(spark, sf_dir)
     stop = vocab.where(F.col("token") == ".").select("token_id").first()
+    tokens = _n_tokens(vocab)
+    del vocab  # its files are not needed from here on
     s = ng.sample_continue(ids, "doc_id", "full_ids", counts, 15, order=2, top_k=25,
-                           temperature=1.4, eos_id=stop[0] if stop else None, seed=123)
+                           temperature=1.4, eos_id=stop[0] if stop else None, seed=123, parts=ng.parts_for(tokens))
     return s.select("doc_id", _ids_text("generated").alias("generated"))
 
 

@@ -76,10 +76,11 @@ def free_unused(spark: SparkSession) -> None:
 
     Spark removes them once the driver has collected the garbage that points to them, which
     may be hours away; until then every step of a long query adds to the disk. The scheduler's
-    threads hold on to the last job until they get another one, here a tiny one.
+    threads hold on to their last task until they get another one, here of a tiny job.
     """
     gc.collect()
-    spark.range(1, numPartitions=1).count()
+    n = 2 * max(8, spark.sparkContext.defaultParallelism)
+    spark.range(0, n, numPartitions=n).count()
     spark.sparkContext._jvm.System.gc()
 
 
